@@ -31,6 +31,7 @@ LAKE_ACTION = "play"
 CATALOG_GENRE = "SMALL"
 STREAM_FILES = 4
 STREAM_TIMEOUT_S = 900
+STATE_PARTITIONS = 8  # state of these views is small (windows x genres/movies)
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,7 +208,7 @@ def q_stream_trending_genres(spark, sf_dir):
     src = _stream_source(spark, sf_dir)
     events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=1))
     out, ckpt = fresh_path(spark, "trending"), fresh_path(spark, "ckpt-trending")
-    _run(streams.start_trending(events, out, ckpt, TREND_WINDOW, trigger="availableNow"))
+    _run(streams.start_trending(events, out, ckpt, TREND_WINDOW, trigger="availableNow", state_partitions=STATE_PARTITIONS))
     return _ntz(spark.read.parquet(out), "window_start", "window_end")
 
 
@@ -217,7 +218,9 @@ def q_stream_engagement_windows(spark, sf_dir):
     # times is not defined, and a late file would be dropped by the watermark.
     events = ingest.parse_events(files.read_message_stream(spark, src))
     out, ckpt = fresh_path(spark, "engagement"), fresh_path(spark, "ckpt-engagement")
-    _run(streams.start_engagement(events, out, ckpt, DAY_WINDOW, STREAM_WATERMARK, trigger="availableNow"))
+    _run(
+        streams.start_engagement(events, out, ckpt, DAY_WINDOW, STREAM_WATERMARK, trigger="availableNow", state_partitions=STATE_PARTITIONS)
+    )
     return _ntz(spark.read.parquet(out), "window_start", "window_end")
 
 
@@ -225,7 +228,7 @@ def q_stream_live_genres(spark, sf_dir):
     src = _stream_source(spark, sf_dir)
     events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=1))
     out, ckpt = fresh_path(spark, "live-genres"), fresh_path(spark, "ckpt-live-genres")
-    _run(streams.start_live_genres(events, out, ckpt, *SLIDING_WINDOW, trigger="availableNow"))
+    _run(streams.start_live_genres(events, out, ckpt, *SLIDING_WINDOW, trigger="availableNow", state_partitions=STATE_PARTITIONS))
     return _ntz(spark.read.parquet(out), "window_start", "window_end")
 
 

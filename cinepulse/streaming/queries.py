@@ -4,17 +4,21 @@ Every query gets its own checkpoint (restart = exactly-once for the file sinks).
 Ranked views are not streamed: a stream can only be sorted in complete mode, so
 the aggregate is streamed and ranked on read (``operators.windowed.top_*``).
 
-* trending (complete mode; state = one row per (window, genre), small domain),
+* trending (complete mode; state = one row per (window, genre), a small domain),
   written whole on each trigger by ``foreachBatch`` (overwrite = idempotent);
 * engagement (append mode + watermark: a window is written once it is closed and
-  its state is dropped, so state stays bounded);
+  its state is dropped, so state stays bounded however long the job runs);
 * live genres over sliding windows (complete mode, like trending);
-* raw lake (append, partitioned by dt and action).
+* raw lake (append, partitioned by dt and action; no state).
+
+``state_partitions`` sets the number of state-store partitions of a stateful
+query; it is fixed in the checkpoint at the first start, so size it for the state
+the query will hold at full scale, not for the first batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,14 +28,29 @@ from cinepulse.operators.windowed import engagement_scores, trending_genres
 from cinepulse.sources.lake import PARTITION_COLUMNS, with_partition_columns
 
 DEFAULT_TRIGGER = "30 seconds"
+DEFAULT_WATERMARK = "10 minutes"
 
 
-def _trigger(writer, trigger: str | None):
+def _start(writer, trigger: str | None, query_name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    if query_name:
+        writer = writer.queryName(query_name)
     if trigger is None or trigger == "availableNow":
-        return writer.trigger(availableNow=True)
-    if trigger == "once":
-        return writer.trigger(once=True)
-    return writer.trigger(processingTime=trigger)
+        writer = writer.trigger(availableNow=True)
+    elif trigger == "once":
+        writer = writer.trigger(once=True)
+    else:
+        writer = writer.trigger(processingTime=trigger)
+    if not state_partitions:
+        return writer.start()
+    # The query clones the session (and its conf) at start; restore ours after.
+    spark = SparkSession.getActiveSession()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
 
 
 def _overwrite_to(path: str):
@@ -48,12 +67,11 @@ def start_trending(
     window_duration: str = S.DEFAULT_WINDOW,
     trigger: str | None = DEFAULT_TRIGGER,
     query_name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     agg = trending_genres(events, window_duration)
     writer = agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(_overwrite_to(out_path))
-    if query_name:
-        writer = writer.queryName(query_name)
-    return _trigger(writer, trigger).start()
+    return _start(writer, trigger, query_name, state_partitions)
 
 
 def start_engagement(
@@ -61,15 +79,14 @@ def start_engagement(
     out_path: str,
     checkpoint: str,
     window_duration: str = S.DEFAULT_WINDOW,
-    watermark: str = "10 minutes",
+    watermark: str = DEFAULT_WATERMARK,
     trigger: str | None = DEFAULT_TRIGGER,
     query_name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     agg = engagement_scores(events.withWatermark("event_time", watermark), window_duration)
     writer = agg.writeStream.outputMode("append").format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
-    if query_name:
-        writer = writer.queryName(query_name)
-    return _trigger(writer, trigger).start()
+    return _start(writer, trigger, query_name, state_partitions)
 
 
 def live_genre_windows(events: DataFrame, window_duration: str = "5 minutes", slide: str = "5 seconds") -> DataFrame:
@@ -88,12 +105,11 @@ def start_live_genres(
     slide: str = "5 seconds",
     trigger: str | None = DEFAULT_TRIGGER,
     query_name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     agg = live_genre_windows(events, window_duration, slide)
     writer = agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(_overwrite_to(out_path))
-    if query_name:
-        writer = writer.queryName(query_name)
-    return _trigger(writer, trigger).start()
+    return _start(writer, trigger, query_name, state_partitions)
 
 
 def start_raw_lake(
@@ -111,34 +127,45 @@ def start_raw_lake(
         .option("checkpointLocation", checkpoint)
         .partitionBy(*PARTITION_COLUMNS)
     )
-    if query_name:
-        writer = writer.queryName(query_name)
-    return _trigger(writer, trigger).start()
+    return _start(writer, trigger, query_name)
+
+
+def start_console(df: DataFrame, name: str, output_mode: str = "complete", trigger: str | None = DEFAULT_TRIGGER, rows: int = 20) -> StreamingQuery:
+    """Print each trigger's result (debugging; the driver prints ``rows`` rows)."""
+    writer = df.writeStream.format("console").outputMode(output_mode).option("truncate", "false").option("numRows", str(rows))
+    return _start(writer, trigger, name)
 
 
 def start_all(
     events: DataFrame,
     base_path: str,
     window_duration: str = S.DEFAULT_WINDOW,
-    watermark: str = "10 minutes",
+    watermark: str = DEFAULT_WATERMARK,
     trigger: str | None = DEFAULT_TRIGGER,
+    state_partitions: int | None = None,
 ) -> dict[str, StreamingQuery]:
     """The streaming job: trend, engagement and raw lake from one parsed stream."""
+    ck = f"{base_path}/_checkpoints"
     return {
-        "trending": start_trending(events, f"{base_path}/trending", f"{base_path}/_checkpoints/trending", window_duration, trigger),
+        "trending": start_trending(events, f"{base_path}/trending", f"{ck}/trending", window_duration, trigger, "trending_genres", state_partitions),
         "engagement": start_engagement(
-            events, f"{base_path}/engagement", f"{base_path}/_checkpoints/engagement", window_duration, watermark, trigger
+            events, f"{base_path}/engagement", f"{ck}/engagement", window_duration, watermark, trigger, "engagement_scores", state_partitions
         ),
-        "raw_lake": start_raw_lake(events, f"{base_path}/lake", f"{base_path}/_checkpoints/raw_lake", trigger),
+        "raw_lake": start_raw_lake(events, f"{base_path}/lake", f"{ck}/raw_lake", trigger, "raw_lake"),
     }
 
 
 def await_all(queries, timeout_s: float | None = None) -> None:
     """Wait for queries to finish (``availableNow``); raise the first failure."""
-    for q in (queries.values() if isinstance(queries, dict) else queries):
+    for q in queries.values() if isinstance(queries, dict) else queries:
         finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
         if finished is False:
             q.stop()
             raise TimeoutError(f"streaming query {q.name or q.id} did not finish in {timeout_s}s")
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
+
+
+def events_processed(query: StreamingQuery) -> int:
+    """Input rows over the query's retained progress reports (health counter)."""
+    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
