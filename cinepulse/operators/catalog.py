@@ -16,6 +16,14 @@ def by_genre(catalog: DataFrame, genre: str = S.ALL_GENRES) -> DataFrame:
     return catalog if genre == S.ALL_GENRES else catalog.filter(F.col("genre") == F.lit(genre))
 
 
+def genre_list(catalog: DataFrame, include_all: bool = True) -> DataFrame:
+    """Distinct catalogue genres, plus the ``All`` selector entry."""
+    genres = catalog.select("genre").where(F.col("genre").isNotNull()).distinct()
+    if not include_all:
+        return genres
+    return genres.unionByName(catalog.sparkSession.range(1).select(F.lit(S.ALL_GENRES).alias("genre")))
+
+
 def totals(catalog: DataFrame) -> DataFrame:
     return catalog.agg(F.sum("likes").cast("long").alias("total_likes"), F.sum("views").cast("long").alias("total_views"))
 
@@ -25,7 +33,7 @@ def counts(catalog: DataFrame) -> DataFrame:
     return catalog.agg(F.count(F.lit(1)).alias("movies"), F.count_distinct("genre").alias("genres"))
 
 
-def _argmax(catalog: DataFrame, metric: str, prefix: str) -> list:
+def _argmax(metric: str, prefix: str) -> list:
     """Row with the largest metric; on ties the last row (largest ``pos``) wins."""
     key = F.struct(F.col(metric), F.col("pos"))
     return [
@@ -37,9 +45,9 @@ def _argmax(catalog: DataFrame, metric: str, prefix: str) -> list:
 def extremes(catalog: DataFrame) -> DataFrame:
     """Most liked, most viewed and highest rated movie: one aggregate pass."""
     return catalog.agg(
-        *_argmax(catalog, "likes", "most_liked"),
-        *_argmax(catalog, "views", "most_viewed"),
-        *_argmax(catalog, "rating", "highest_rated"),
+        *_argmax("likes", "most_liked"),
+        *_argmax("views", "most_viewed"),
+        *_argmax("rating", "highest_rated"),
     )
 
 

@@ -119,3 +119,20 @@ def test_catalog_argmax_tie_last_wins(spark):
     )
     ext = cat.extremes(c).first()
     assert (ext.most_liked_id, ext.most_viewed_id, ext.highest_rated_id) == ("B", "B", "B")
+
+
+def test_genre_list(spark):
+    got = sorted(g for (g,) in rows(cat.genre_list(sample_catalog(spark))))
+    assert got == sorted(["All", "Sci-Fi", "Action", "Thriller", "Romance", "Horror", "Comedy", "Documentary", "Fantasy"])
+
+
+def test_snapshot_table_overwrite(spark):
+    from cinepulse.session import fresh_path
+    from cinepulse.sources import snapshot
+
+    path = fresh_path(spark, "snapshot")
+    ev = sample_events(spark)
+    snapshot.publish_live_snapshot(ev, path, AS_OF)
+    snapshot.publish_live_snapshot(ev, path, AS_OF)  # a second refresh replaces, not appends
+    assert snapshot.read_snapshot(spark, path).count() == 12
+    assert rows(snapshot.read_snapshot(spark, path, "trending_genres").orderBy("position"), "key")[0] == ("Sci-Fi",)
