@@ -27,6 +27,16 @@ def as_of_column(events: DataFrame | None, as_of=None, time_col: str = "event_ti
     return events.select(F.max(time_col)).scalar()
 
 
+def resolve_as_of(events: DataFrame, time_col: str = "event_time"):
+    """``max(time_col)`` as a Python value: one aggregate job, one scalar to the driver.
+
+    Passing the result as ``as_of`` turns the trailing predicate into a literal, which
+    reaches the Parquet reader (``PushedFilters: GreaterThan(ts, ...)``) and skips row
+    groups and ``dt`` partitions outside the window; a subquery value cannot.
+    """
+    return events.agg(F.max(time_col).alias("t")).first()["t"]
+
+
 def parse_iso_timestamp(c: Column | str) -> Column:
     """ISO-8601 text with a ``Z`` suffix or without zone -> TIMESTAMP_NTZ in UTC.
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinepulse import schema as S
-from cinepulse.functions.clock import iso_naive_text
+from cinepulse.functions.clock import iso_naive_text, resolve_as_of
 from cinepulse.operators import catalog as cat
 from cinepulse.operators import ingest, live, reports, state, windowed
 from cinepulse.session import ensure_utc, fresh_path
@@ -110,32 +110,46 @@ def q_engagement_top20(spark, sf_dir):
 # --- live -------------------------------------------------------------------
 
 
+def _live(spark, sf_dir):
+    """Events and the snapshot instant (max event time, resolved to a literal so the
+    trailing predicate is pushed into the Parquet scan)."""
+    ev = _events(spark, sf_dir)
+    return ev, resolve_as_of(ev)
+
+
 def q_live_trending_genres(spark, sf_dir):
-    return live.live_trending_genres(_events(spark, sf_dir), window=LIVE_TRAILING)
+    ev, as_of = _live(spark, sf_dir)
+    return live.live_trending_genres(ev, as_of, LIVE_TRAILING)
 
 
 def q_live_movie_scores(spark, sf_dir):
-    return live.live_movie_scores(_events(spark, sf_dir), window=LIVE_TRAILING)
+    ev, as_of = _live(spark, sf_dir)
+    return live.live_movie_scores(ev, as_of, LIVE_TRAILING)
 
 
 def q_trending_snapshot(spark, sf_dir):
-    return live.trending_snapshot(_events(spark, sf_dir), window=LIVE_TRAILING)
+    ev, as_of = _live(spark, sf_dir)
+    return live.trending_snapshot(ev, as_of, LIVE_TRAILING)
 
 
 def q_health_counts(spark, sf_dir):
-    return live.health_counts(_events(spark, sf_dir), window=LIVE_TRAILING)
+    ev, as_of = _live(spark, sf_dir)
+    return live.health_counts(ev, as_of, LIVE_TRAILING)
 
 
 def q_genre_share(spark, sf_dir):
-    return cat.genre_share(_events(spark, sf_dir), window=LIVE_TRAILING)
+    ev, as_of = _live(spark, sf_dir)
+    return cat.genre_share(ev, as_of, LIVE_TRAILING)
 
 
 def q_leaderboard(spark, sf_dir):
-    return cat.leaderboard(_events(spark, sf_dir), adapter.catalog(spark, sf_dir), window=LIVE_TRAILING)
+    ev, as_of = _live(spark, sf_dir)
+    return cat.leaderboard(ev, adapter.catalog(spark, sf_dir), as_of, LIVE_TRAILING)
 
 
 def q_headline_movie(spark, sf_dir):
-    return cat.headline_movie(_events(spark, sf_dir), adapter.catalog(spark, sf_dir), window=LIVE_TRAILING)
+    ev, as_of = _live(spark, sf_dir)
+    return cat.headline_movie(ev, adapter.catalog(spark, sf_dir), as_of, LIVE_TRAILING)
 
 
 # --- catalogue --------------------------------------------------------------

@@ -52,3 +52,13 @@ def test_leaderboard_broadcasts_the_cut_side(spark, sf_small):
     p = plan(df)
     assert "BuildLeft" in p and "TakeOrderedAndProject(limit=5" in p
     assert len(rows(df)) <= 5
+
+
+def test_literal_as_of_reaches_parquet(spark, sf_small):
+    from cinepulse.functions.clock import resolve_as_of
+    from cinepulse.operators import live
+
+    ev = adapter.activity(spark, sf_small)
+    as_of = resolve_as_of(ev)
+    p = plan(live.live_movie_scores(ev, as_of, "1 day"))
+    assert "GreaterThan(ts," in p.split("PushedFilters: ")[1].split("]")[0] or "GreaterThan(ts," in p
