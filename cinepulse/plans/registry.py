@@ -28,8 +28,10 @@ STREAM_WATERMARK = "10 minutes"
 SLIDING_WINDOW = ("1 hour", "15 minutes")
 LAKE_DAY = "2024-01-15"
 LAKE_ACTION = "play"
+LAKE_FILES_PER_PARTITION = 2  # salted writers per (dt, action): a hot partition is split
 CATALOG_GENRE = "SMALL"
 STREAM_FILES = 4
+FILES_PER_TRIGGER = 2  # two micro-batches: state carried from one batch to the next
 STREAM_TIMEOUT_S = 900
 STATE_PARTITIONS = 8  # state of these views is small (windows x genres/movies)
 
@@ -194,23 +196,30 @@ def q_monthly_report(spark, sf_dir):
     return reports.monthly_report(_events(spark, sf_dir))
 
 
+def _write_lake(spark, sf_dir) -> str:
+    return lake.write_lake(
+        _events(spark, sf_dir), fresh_path(spark, "lake"), files_per_partition=LAKE_FILES_PER_PARTITION, salt_cols=["event_id"]
+    )
+
+
 def q_lake_write_read(spark, sf_dir):
-    path = lake.write_lake(_events(spark, sf_dir), fresh_path(spark, "lake"))
+    path = _write_lake(spark, sf_dir)
     return lake.partition_counts(lake.read_lake(spark, path))
 
 
 def q_lake_pruned_read(spark, sf_dir):
-    path = lake.write_lake(_events(spark, sf_dir), fresh_path(spark, "lake"))
+    path = _write_lake(spark, sf_dir)
     return lake.read_lake(spark, path, LAKE_DAY, LAKE_DAY, [LAKE_ACTION], ["movie_id", "event_time"])
 
 
 # --- streaming --------------------------------------------------------------
 
 
-def _stream_source(spark, sf_dir) -> str:
-    """Land the activity messages as time-ordered files a file stream replays."""
+def _stream_source(spark, sf_dir, time_ordered: bool = False) -> str:
+    """Land the activity messages as files a file stream replays (time-ordered
+    files model a topic read in arrival order: each batch then spans few days)."""
     path = fresh_path(spark, "messages")
-    files.write_messages(_messages(spark, sf_dir, malformed_every=None), path, files=STREAM_FILES)
+    files.write_messages(_messages(spark, sf_dir, malformed_every=None), path, files=STREAM_FILES, time_ordered=time_ordered)
     return path
 
 
@@ -220,7 +229,7 @@ def _run(query) -> None:
 
 def q_stream_trending_genres(spark, sf_dir):
     src = _stream_source(spark, sf_dir)
-    events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=1))
+    events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
     out, ckpt = fresh_path(spark, "trending"), fresh_path(spark, "ckpt-trending")
     _run(streams.start_trending(events, out, ckpt, TREND_WINDOW, trigger="availableNow", state_partitions=STATE_PARTITIONS))
     return _ntz(spark.read.parquet(out), "window_start", "window_end")
@@ -240,15 +249,15 @@ def q_stream_engagement_windows(spark, sf_dir):
 
 def q_stream_live_genres(spark, sf_dir):
     src = _stream_source(spark, sf_dir)
-    events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=1))
+    events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
     out, ckpt = fresh_path(spark, "live-genres"), fresh_path(spark, "ckpt-live-genres")
     _run(streams.start_live_genres(events, out, ckpt, *SLIDING_WINDOW, trigger="availableNow", state_partitions=STATE_PARTITIONS))
     return _ntz(spark.read.parquet(out), "window_start", "window_end")
 
 
 def q_stream_raw_lake(spark, sf_dir):
-    src = _stream_source(spark, sf_dir)
-    events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=2))
+    src = _stream_source(spark, sf_dir, time_ordered=True)
+    events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
     path, ckpt = fresh_path(spark, "stream-lake"), fresh_path(spark, "ckpt-stream-lake")
     _run(streams.start_raw_lake(events, path, ckpt, trigger="availableNow"))
     return lake.partition_counts(lake.read_lake(spark, path))

@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from cinepulse import schema as S
 
 
-def write_messages(messages: DataFrame, path: str, files: int | None = None, mode: str = "append") -> str:
+def write_messages(messages: DataFrame, path: str, files: int | None = None, mode: str = "append", time_ordered: bool = False) -> str:
     """Land messages as Parquet files a file stream can pick up.
 
-    With ``files`` = n the rows are range-partitioned by message time into n files,
-    so file i holds older messages than file i+1 (replay order for a stream).
+    With ``files`` = n the rows are split into n files by a hash of the payload
+    (deterministic, so a retried task writes the same rows); with ``time_ordered``
+    they are range-partitioned by message time instead, so file i holds older
+    messages than file i+1 (costs a sampling pass over the input).
     """
     out = messages
-    if files:
+    if files and time_ordered:
         out = messages.repartitionByRange(files, F.col("timestamp"))
+    elif files:
+        out = messages.repartition(files, F.xxhash64("value", "timestamp"))
     out.write.mode(mode).parquet(path)
     return path
 

@@ -28,6 +28,7 @@ def write_lake(
     files_per_partition: int | None = None,
     salt_cols: list[str] | None = None,
     max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
+    writers: int | None = None,
 ) -> str:
     """Write events to the lake.
 
@@ -36,13 +37,17 @@ def write_lake(
     are first hash-partitioned on (dt, action, salt in 0..n-1), bounding the file
     count per partition while a hot partition is still spread over n writers. The
     salt is a hash of the row (``salt_cols``), so a retried task rewrites the same
-    rows.
+    rows. ``writers`` (default: ``spark.sql.shuffle.partitions``) is the number of
+    write tasks; it is explicit so that adaptive execution does not fold a small
+    shuffle into a single writer. Each (dt, action, salt) group still lands in
+    exactly one task, so the file count does not depend on it.
     """
     out = with_partition_columns(events, time_col)
     if files_per_partition:
-        cols = salt_cols or [c for c in events.columns]
+        cols = salt_cols or list(events.columns)
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(files_per_partition))
-        out = out.repartition(F.col("dt"), F.col("action"), salt)
+        n = writers or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = out.repartition(n, F.col("dt"), F.col("action"), salt)
     (
         out.write.mode(mode)
         .option("maxRecordsPerFile", str(max_records_per_file))
