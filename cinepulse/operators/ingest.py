@@ -32,10 +32,15 @@ def decode(messages: DataFrame, keep_corrupt: bool = False, value_col: str = "va
     if keep_corrupt:
         options["columnNameOfCorruptRecord"] = S.CORRUPT_COLUMN
     data = F.from_json(F.col(value_col).cast("string"), _decode_schema(keep_corrupt), options)
+    # The one-element explode is a Generate node: a later filter on decoded fields
+    # cannot be pushed below it, so the optimizer does not copy ``from_json`` into
+    # every predicate and field (one JSON parse per message, not one per use).
+    # A NULL payload stays one row with a NULL struct.
+    decoded = messages.select(F.explode(F.array(data)).alias("data"), F.col(time_col))
     cols = [F.col("data.*"), F.col(time_col).alias("event_time")]
     if keep_corrupt:
         cols.append(F.col("data").isNotNull().alias("_decoded"))
-    return messages.select(data.alias("data"), F.col(time_col)).select(*cols)
+    return decoded.select(*cols)
 
 
 def parse_events(messages: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ stream can be sorted only in complete mode.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinepulse import schema as S
@@ -84,7 +84,7 @@ def top_genre_per_window(trending: DataFrame) -> DataFrame:
     """The most active genre of each window (ties -> smallest genre name).
 
     An aggregate, not a ranking window: ``min(struct(-count, genre))`` per window
-    picks the row, partial-aggregates on the map side and needs no sort.
+    picks the row and is combined on the map side before the shuffle.
     """
     best = F.min(F.struct((-F.col("activity_count")).alias("neg_count"), F.col("genre").alias("genre")))
     return (

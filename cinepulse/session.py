@@ -25,6 +25,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        return spark.conf.get(key, None)
+    except Exception:
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by the whole cluster, taken from ``spark.checkpoint.dir``.
 
@@ -33,18 +40,24 @@ def shared_dir(spark: SparkSession) -> str:
     (tests); on a cluster the setting is required, since a machine-local folder
     would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        current = sc._jsc.sc().getCheckpointDir()
-        path = current.get() if current.isDefined() else None
+    path = _conf(spark, "spark.checkpoint.dir")
+    sc = None
+    try:
+        sc = spark.sparkContext  # classic sessions only
+        if not path:
+            current = sc._jsc.sc().getCheckpointDir()
+            path = current.get() if current.isDefined() else None
+    except Exception:  # Spark Connect: only the conf is visible
+        pass
     if not path:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else (_conf(spark, "spark.master") or "")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         path = tempfile.mkdtemp(prefix="cinepulse-")
-        sc.setCheckpointDir(path)
-        current = sc._jsc.sc().getCheckpointDir()
-        path = current.get() if current.isDefined() else path
+        if sc is not None:
+            sc.setCheckpointDir(path)
+            current = sc._jsc.sc().getCheckpointDir()
+            path = current.get() if current.isDefined() else path
     return path.rstrip("/")
 
 

@@ -33,13 +33,16 @@ def activity_from(events: DataFrame, part: DataFrame, max_broadcast_bytes: int =
     is joined by a salted shuffle join (salt from ``event_id``), so a movie holding
     a third of all events is spread over many tasks.
     """
+    # The key is read from the JSON props once per row: the one-element explode
+    # keeps the join's inferred ``isnotnull(k)`` from being pushed below it as a
+    # second JSON parse; filters on other columns still reach the Parquet scan.
     ev = events.select(
         "event_id",
         "ts",
         "user_id",
         "event_type",
         "value",
-        F.get_json_object("props", "$.k").try_cast("long").alias("k"),
+        F.explode(F.array(F.get_json_object("props", "$.k").try_cast("long"))).alias("k"),
     )
     movies = part.select(F.col("p_partkey").alias("k"), F.col("p_type"))
     joined = lookup_join(ev, movies, "k", max_broadcast_bytes=max_broadcast_bytes, salt_cols=["event_id"])
