@@ -81,6 +81,27 @@ def validate_events(messages: DataFrame, as_of=None) -> DataFrame:
     )
 
 
+def intake(messages: DataFrame, as_of=None) -> DataFrame:
+    """Every message once, with ``status`` = accepted / rejected and its reason.
+
+    The JSON is parsed once; writing this frame partitioned by ``status`` lands the
+    accepted table and the quarantine in one pass (``sources.lake.write_intake``).
+    Accepted rows carry the intake instant in ``timestamp`` (``as_of``; default the
+    session clock, as the service stamps events on arrival).
+    """
+    stamp = as_of_column(None, as_of) if as_of is not None else F.localtimestamp()
+    classified = classify(messages)
+    accepted = F.col("reject_reason").isNull()
+    return classified.select(
+        *[c for c in S.PAYLOAD_FIELDS if c != "timestamp"],
+        F.when(accepted, stamp.cast("string")).otherwise(F.col("timestamp")).alias("timestamp"),
+        "event_time",
+        F.col(S.CORRUPT_COLUMN).alias("raw_payload"),
+        F.when(accepted, F.lit("accepted")).otherwise(F.lit("rejected")).alias("status"),
+        "reject_reason",
+    )
+
+
 def quarantine(messages: DataFrame) -> DataFrame:
     """Rejected messages with their reason (the quarantine table)."""
     return classify(messages).filter(F.col("reject_reason").isNotNull()).drop("_decoded")

@@ -79,3 +79,10 @@ def read_lake(
 def partition_counts(lake: DataFrame) -> DataFrame:
     """Rows per (dt, action) partition."""
     return lake.groupBy("dt", "action").agg(F.count(F.lit(1)).alias("n"))
+
+
+def write_intake(classified: DataFrame, path: str, mode: str = "append") -> str:
+    """Land ``operators.ingest.intake`` output: ``status=accepted/`` and
+    ``status=rejected/`` side by side, written in one job."""
+    classified.write.mode(mode).partitionBy("status").parquet(path)
+    return path

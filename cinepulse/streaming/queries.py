@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cinepulse import schema as S
 from cinepulse.functions.expressions import truthy
+from cinepulse.operators.ingest import intake
 from cinepulse.operators.windowed import engagement_scores, trending_genres
 from cinepulse.sources.lake import PARTITION_COLUMNS, with_partition_columns
 
@@ -130,6 +131,24 @@ def start_raw_lake(
     return _start(writer, trigger, query_name)
 
 
+def start_intake(
+    messages: DataFrame,
+    out_path: str,
+    checkpoint: str,
+    trigger: str | None = DEFAULT_TRIGGER,
+    query_name: str | None = None,
+) -> StreamingQuery:
+    """Streaming intake: accepted and quarantined messages, partitioned by status."""
+    writer = (
+        intake(messages).writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", out_path)
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("status")
+    )
+    return _start(writer, trigger, query_name)
+
+
 def start_console(df: DataFrame, name: str, output_mode: str = "complete", trigger: str | None = DEFAULT_TRIGGER, rows: int = 20) -> StreamingQuery:
     """Print each trigger's result (debugging; the driver prints ``rows`` rows)."""
     writer = df.writeStream.format("console").outputMode(output_mode).option("truncate", "false").option("numRows", str(rows))

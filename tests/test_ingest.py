@@ -90,3 +90,31 @@ def test_to_messages_malformed_every(spark, sf_small):
     n_bad = ev.filter("event_id % 97 = 0").count()
     assert parsed.filter("user_id is null").count() == n_bad
     assert parsed.count() == ev.count()
+
+
+def test_intake_one_pass_both_tables(spark):
+    from cinepulse.session import fresh_path
+    from cinepulse.sources import lake
+
+    msgs = messages(spark, [SAMPLE_MESSAGE, "{bad", '{"user_id":"u","action":"play","movie_id":"A","timestamp":"t"}'])
+    out = ingest.intake(msgs, as_of=NOW)
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert p.count("from_json(") == 1
+    path = lake.write_intake(out, fresh_path(spark, "intake"))
+    back = spark.read.parquet(path)
+    got = sorted(rows(back, "status", "reject_reason", "timestamp"), key=str)
+    assert got == sorted(
+        [("accepted", None, "2024-01-15 10:30:00"), ("rejected", "malformed", None), ("rejected", "missing_genre", "t")], key=str
+    )
+    assert rows(back.filter("status = 'rejected' and reject_reason = 'malformed'"), "raw_payload") == [("{bad",)]
+
+
+def test_intake_stream(spark):
+    from cinepulse.session import fresh_path
+    from cinepulse.sources import files
+    from cinepulse.streaming import queries as streams
+
+    src = files.write_messages(messages(spark, [SAMPLE_MESSAGE, "{bad"]), fresh_path(spark, "msgs"))
+    out, ckpt = fresh_path(spark, "intake"), fresh_path(spark, "ckpt")
+    streams.await_all([streams.start_intake(files.read_message_stream(spark, src), out, ckpt, trigger="availableNow")], 300)
+    assert sorted(rows(spark.read.parquet(out), "status")) == [("accepted",), ("rejected",)]
