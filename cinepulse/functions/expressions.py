@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import Column
@@ -20,6 +21,14 @@ def interval(duration: str) -> Column:
     return F.expr(f"INTERVAL {int(m.group(1))} {m.group(2).upper()}")
 
 
+def to_timedelta(duration: str) -> dt.timedelta:
+    """``"5 minutes"`` -> ``timedelta`` (same grammar as ``interval``)."""
+    m = _DURATION.match(duration)
+    if not m:
+        raise ValueError(f"not a duration: {duration!r}")
+    return dt.timedelta(**{f"{m.group(2).lower()}s": int(m.group(1))})
+
+
 def truthy(c: Column | str) -> Column:
     """Not null and not the empty string (how the live path tests a string)."""
     c = F.col(c) if isinstance(c, str) else c

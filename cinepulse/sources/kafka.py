@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Fixed value: the topic the event producer publishes to.
 DEFAULT_TOPIC = "web_activity"
 
 
