@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cinepulse import schema as S
 from cinepulse.functions.expressions import to_timedelta
 from cinepulse.operators import ingest, reports, windowed
-from cinepulse.session import shared_dir
+from cinepulse.session import ensure_utc, shared_dir
 from cinepulse.sources import files, kafka, lake, snapshot
 from cinepulse.sources.fixtures import sample_events
 from cinepulse.streaming import queries as streams
@@ -112,6 +112,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"cinepulse-{args.job}").getOrCreate()
+    ensure_utc(spark)
     try:
         if args.job == "stream":
             base = args.base_path or f"{shared_dir(spark)}/cinepulse/stream-job"
