@@ -143,3 +143,79 @@ def health_counts(events: DataFrame, as_of=None, window: str = S.DEFAULT_TRAILIN
         F.count(F.lit(1)).alias("events_processed"),
         F.count(F.when(in_window, F.lit(1))).alias("events_in_window"),
     )
+
+
+# --- pre-aggregated time buckets ---------------------------------------------
+# A trailing window recomputed every few seconds does not need the raw events:
+# per-bucket partial aggregates (written once, by a streaming query in append
+# mode) are summed over the buckets inside the window. Buckets are (start, end]
+# in event time, so the buckets with ``bucket_start >= as_of - window`` hold exactly
+# the events with ``event_time > as_of - window`` whenever that instant is a bucket
+# boundary (refresh on bucket boundaries); otherwise the window is rounded to whole
+# buckets. The first-seen merge (``min_by`` over the order key) is exact.
+
+BUCKET_TIME = "bucket_time"
+
+
+def with_bucket_time(events: DataFrame, time_col: str = "event_time") -> DataFrame:
+    """Adds ``bucket_time`` = event time - 1 us: windows over it are (start, end]
+    in event time. A stream puts its watermark on this column."""
+    return events.withColumn(BUCKET_TIME, F.col(time_col) - F.expr("INTERVAL 1 MICROSECOND"))
+
+
+def _bucket(events: DataFrame, bucket: str, time_col: str) -> tuple[DataFrame, Column]:
+    ev = events if BUCKET_TIME in events.columns else with_bucket_time(events, time_col)
+    return ev, F.window(F.col(BUCKET_TIME), bucket)
+
+
+def genre_buckets(events: DataFrame, bucket: str = "5 seconds", time_col: str = "event_time") -> DataFrame:
+    """bucket_start, genre, score, first_seen: live genre counts per time bucket."""
+    first = order_key(_order_cols(events, time_col))
+    ev, win = _bucket(events, bucket, time_col)
+    agg = ev.filter(truthy("genre")).groupBy(win.alias("b"), "genre").agg(
+        F.count(F.lit(1)).alias("score"), F.min(first).alias("first_seen")
+    )
+    return agg.select(F.col("b.start").alias("bucket_start"), "genre", "score", "first_seen")
+
+
+def movie_buckets(events: DataFrame, bucket: str = "5 seconds", time_col: str = "event_time") -> DataFrame:
+    """bucket_start, movie_id, genre (first seen in the bucket), views, likes,
+    total_rating, rating_count, first_seen: live movie statistics per time bucket."""
+    first = order_key(_order_cols(events, time_col))
+    rated = is_action(S.ACTION_RATE) & F.col("rating_value").isNotNull() & (F.col("rating_value") != 0)
+    ev, win = _bucket(events, bucket, time_col)
+    agg = ev.filter(truthy("movie_id")).groupBy(win.alias("b"), "movie_id").agg(
+        F.min_by(F.col("genre"), first).alias("genre"),
+        F.count(F.when(is_action(S.ACTION_PLAY), F.lit(1))).alias("views"),
+        F.count(F.when(is_action(S.ACTION_LIKE), F.lit(1))).alias("likes"),
+        F.sum(F.when(rated, F.col("rating_value"))).alias("total_rating"),
+        F.count(F.when(rated, F.lit(1))).alias("rating_count"),
+        F.min(first).alias("first_seen"),
+    )
+    return agg.select(F.col("b.start").alias("bucket_start"), "movie_id", "genre", "views", "likes", "total_rating", "rating_count", "first_seen")
+
+
+def _recent_buckets(buckets: DataFrame, as_of, window: str) -> DataFrame:
+    stamp = as_of_column(None, as_of) if as_of is not None else buckets.select(F.max("bucket_start")).scalar()
+    return buckets.filter(F.col("bucket_start") >= stamp - interval(window))
+
+
+def live_trending_genres_from_buckets(genre_bkts: DataFrame, as_of, window: str = S.DEFAULT_TRAILING, k: int = S.TOP_LIVE_GENRES) -> DataFrame:
+    merged = _recent_buckets(genre_bkts, as_of, window).groupBy("genre").agg(
+        F.sum("score").alias("score"), F.min("first_seen").alias("first_seen")
+    )
+    return top_live(merged, k).select("genre", "score")
+
+
+def live_movie_scores_from_buckets(movie_bkts: DataFrame, as_of, window: str = S.DEFAULT_TRAILING, k: int = S.TOP_LIVE_MOVIES) -> DataFrame:
+    merged = _recent_buckets(movie_bkts, as_of, window).groupBy("movie_id").agg(
+        F.min_by("genre", F.col("first_seen")).alias("genre"),
+        F.sum("views").alias("views"),
+        F.sum("likes").alias("likes"),
+        F.sum("total_rating").alias("total_rating"),
+        F.sum("rating_count").alias("rating_count"),
+        F.min("first_seen").alias("first_seen"),
+    )
+    avg = F.when(F.col("rating_count") > 0, F.col("total_rating").cast("double") / F.col("rating_count")).otherwise(F.lit(0.0))
+    scored = merged.withColumn("avg_rating", avg).withColumn("score", engagement_score())
+    return top_live(scored, k).select("movie_id", "genre", "score", "views", "likes", "avg_rating")

@@ -110,6 +110,11 @@ _REJECT = """CASE WHEN malformed THEN 'malformed'
             WHEN genre IS NULL THEN 'missing_genre'
             WHEN "timestamp" IS NULL THEN 'missing_timestamp' END"""
 
+# (start, end] one-minute buckets of truthy genres.
+_GENRE_BUCKETS = """
+SELECT time_bucket(INTERVAL 1 MINUTE, event_time - INTERVAL 1 MICROSECOND) AS bucket_start, genre, count(*) AS score
+FROM activity WHERE genre IS NOT NULL AND genre <> '' GROUP BY ALL"""
+
 _LAKE_COUNTS = _with() + """
 SELECT CAST(event_time AS DATE) AS dt, action, count(*) AS n FROM activity GROUP BY ALL"""
 
@@ -180,6 +185,7 @@ FROM top_movies t JOIN catalog c ON c.movie_id = t.movie_id WHERE t.position <=
   UNION ALL
   SELECT * FROM (SELECT 1 AS pref, movie_id, title, genre, likes, views FROM catalog ORDER BY likes DESC, pos DESC LIMIT 1)
 ) ORDER BY pref LIMIT 1""",
+    "live_genre_buckets": _with() + _GENRE_BUCKETS,
     # catalogue
     "catalog_by_genre": _with() + "SELECT * FROM catalog WHERE genre = 'SMALL'",
     "catalog_all": _with() + "SELECT * FROM catalog",
@@ -220,4 +226,8 @@ FROM activity WHERE action = 'rate' AND rating_value IS NOT NULL GROUP BY user_i
   FROM activity, range(4) AS r(k) WHERE genre IS NOT NULL AND genre <> ''
 ) GROUP BY ALL""",
     "stream_raw_lake": _LAKE_COUNTS,
+    # closed buckets only: bucket end <= watermark (max event time - 10 minutes)
+    "stream_live_buckets": _with()
+    + f"SELECT * FROM ({_GENRE_BUCKETS}) "
+    + "WHERE bucket_start + INTERVAL 1 MINUTE <= date_trunc('millisecond', (SELECT t FROM as_of)) - INTERVAL 10 MINUTE",
 }

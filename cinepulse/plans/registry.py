@@ -26,6 +26,7 @@ LIVE_TRAILING = "1 day"  # sf0.01 has about one event per 4 minutes
 MALFORMED_EVERY = 97
 STREAM_WATERMARK = "10 minutes"
 SLIDING_WINDOW = ("1 hour", "15 minutes")
+LIVE_BUCKET = "1 minute"
 LAKE_DAY = "2024-01-15"
 LAKE_ACTION = "play"
 LAKE_FILES_PER_PARTITION = 2  # salted writers per (dt, action): a hot partition is split
@@ -154,6 +155,10 @@ def q_headline_movie(spark, sf_dir):
     return cat.headline_movie(ev, adapter.catalog(spark, sf_dir), as_of, LIVE_TRAILING)
 
 
+def q_live_genre_buckets(spark, sf_dir):
+    return live.genre_buckets(_events(spark, sf_dir), LIVE_BUCKET).select("bucket_start", "genre", "score")
+
+
 # --- catalogue --------------------------------------------------------------
 
 
@@ -255,6 +260,17 @@ def q_stream_live_genres(spark, sf_dir):
     return _ntz(spark.read.parquet(out), "window_start", "window_end")
 
 
+def q_stream_live_buckets(spark, sf_dir):
+    src = _stream_source(spark, sf_dir)
+    events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
+    out, ckpt = fresh_path(spark, "live-buckets"), fresh_path(spark, "ckpt-live-buckets")
+    queries = streams.start_live_buckets(
+        events, out, ckpt, LIVE_BUCKET, STREAM_WATERMARK, trigger="availableNow", state_partitions=STATE_PARTITIONS
+    )
+    streams.await_all(queries, STREAM_TIMEOUT_S)
+    return _ntz(spark.read.parquet(f"{out}/genres").select("bucket_start", "genre", "score"), "bucket_start")
+
+
 def q_stream_raw_lake(spark, sf_dir):
     src = _stream_source(spark, sf_dir, time_ordered=True)
     events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))

@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cinepulse import schema as S
 from cinepulse.functions.expressions import truthy
 from cinepulse.operators.ingest import intake
+from cinepulse.operators.live import BUCKET_TIME, genre_buckets, movie_buckets, with_bucket_time
 from cinepulse.operators.windowed import engagement_scores, trending_genres
 from cinepulse.sources.lake import PARTITION_COLUMNS, with_partition_columns
 
@@ -113,6 +114,35 @@ def start_live_genres(
     return _start(writer, trigger, query_name, state_partitions)
 
 
+def start_live_buckets(
+    events: DataFrame,
+    out_path: str,
+    checkpoint: str,
+    bucket: str = "5 seconds",
+    watermark: str = DEFAULT_WATERMARK,
+    trigger: str | None = DEFAULT_TRIGGER,
+    query_name: str | None = None,
+    state_partitions: int | None = None,
+) -> dict[str, StreamingQuery]:
+    """Live pre-aggregation: per-bucket genre counts and movie statistics, appended
+    once each bucket is closed (state bounded by the watermark). The live view at
+    any instant is then ``operators.live.live_*_from_buckets`` over a few buckets,
+    with no sliding-window copies of each event."""
+    # The buckets are windows over bucket_time; the watermark must be on that column.
+    timed = with_bucket_time(events).withWatermark(BUCKET_TIME, watermark)
+    out = {}
+    for kind, build in (("genres", genre_buckets), ("movies", movie_buckets)):
+        agg = build(timed, bucket)
+        writer = (
+            agg.writeStream.outputMode("append")
+            .format("parquet")
+            .option("path", f"{out_path}/{kind}")
+            .option("checkpointLocation", f"{checkpoint}/{kind}")
+        )
+        out[kind] = _start(writer, trigger, f"{query_name}_{kind}" if query_name else None, state_partitions)
+    return out
+
+
 def start_raw_lake(
     events: DataFrame,
     lake_path: str,
