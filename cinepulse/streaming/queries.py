@@ -4,8 +4,9 @@ Every query gets its own checkpoint (restart = exactly-once for the file sinks).
 Ranked views are not streamed: a stream can only be sorted in complete mode, so
 the aggregate is streamed and ranked on read (``operators.windowed.top_*``).
 
-* trending (complete mode; state = one row per (window, genre), a small domain),
-  written whole on each trigger by ``foreachBatch`` (overwrite = idempotent);
+* trending: complete mode (state = one row per (window, genre), kept for ever),
+  written whole on each trigger by ``foreachBatch`` (overwrite = idempotent); or,
+  with a watermark, append mode with bounded state;
 * engagement (append mode + watermark: a window is written once it is closed and
   its state is dropped, so state stays bounded however long the job runs);
 * live genres over sliding windows (complete mode, like trending);
@@ -70,9 +71,21 @@ def start_trending(
     trigger: str | None = DEFAULT_TRIGGER,
     query_name: str | None = None,
     state_partitions: int | None = None,
+    watermark: str | None = None,
 ) -> StreamingQuery:
-    agg = trending_genres(events, window_duration)
-    writer = agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(_overwrite_to(out_path))
+    """Genre trend per window.
+
+    Without ``watermark``: complete mode, the whole result rewritten on each trigger
+    (every window ever seen stays in state). With ``watermark``: append mode, each
+    window written once when closed and dropped from state, which is the form for a
+    long-running job.
+    """
+    if watermark:
+        agg = trending_genres(events.withWatermark("event_time", watermark), window_duration)
+        writer = agg.writeStream.outputMode("append").format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
+    else:
+        agg = trending_genres(events, window_duration)
+        writer = agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(_overwrite_to(out_path))
     return _start(writer, trigger, query_name, state_partitions)
 
 
@@ -192,11 +205,17 @@ def start_all(
     watermark: str = DEFAULT_WATERMARK,
     trigger: str | None = DEFAULT_TRIGGER,
     state_partitions: int | None = None,
+    trending_append: bool = False,
 ) -> dict[str, StreamingQuery]:
-    """The streaming job: trend, engagement and raw lake from one parsed stream."""
+    """The streaming job: trend, engagement and raw lake from one parsed stream.
+    ``trending_append`` writes closed trend windows once (bounded state) instead of
+    rewriting every window on each trigger."""
     ck = f"{base_path}/_checkpoints"
+    trend_wm = watermark if trending_append else None
     return {
-        "trending": start_trending(events, f"{base_path}/trending", f"{ck}/trending", window_duration, trigger, "trending_genres", state_partitions),
+        "trending": start_trending(
+            events, f"{base_path}/trending", f"{ck}/trending", window_duration, trigger, "trending_genres", state_partitions, trend_wm
+        ),
         "engagement": start_engagement(
             events, f"{base_path}/engagement", f"{ck}/engagement", window_duration, watermark, trigger, "engagement_scores", state_partitions
         ),

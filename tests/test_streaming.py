@@ -104,3 +104,17 @@ def test_live_sliding_windows(spark):
     streams.await_all([streams.start_live_genres(stream, out, ckpt, "10 minutes", "5 minutes", trigger="availableNow")], 300)
     got = sorted((r.window_start.replace(tzinfo=None), r.genre, r.score) for r in spark.read.parquet(out).collect())
     assert got == [(at(0), "X", 1), (at(5), "X", 1)]
+
+
+def test_trending_append_mode_closed_windows(spark, sf_small):
+    ev = activity(spark, sf_small)
+    src = files.write_messages(ingest.to_messages(ev), fresh_path(spark, "msgs"), files=2)
+    stream = ingest.parse_events(files.read_message_stream(spark, src))
+    out, ckpt = fresh_path(spark, "trend"), fresh_path(spark, "ckpt")
+    q = streams.start_trending(stream, out, ckpt, "1 day", trigger="availableNow", watermark="10 minutes", state_partitions=4)
+    streams.await_all([q], 300)
+    got = spark.read.parquet(out).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "genre", "activity_count")
+    cutoff = ev.agg(F.max("event_time")).first()[0] - dt.timedelta(minutes=10)
+    want = windowed.trending_genres(ev, "1 day").filter(F.col("window_end") <= F.lit(cutoff)).select("window_start", "genre", "activity_count")
+    assert got.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
