@@ -242,8 +242,8 @@ def q_stream_trending_genres(spark, sf_dir):
 
 def q_stream_engagement_windows(spark, sf_dir):
     src = _stream_source(spark, sf_dir)
-    # One batch for all files: replay order of files with equal modification
-    # times is not defined, and a late file would be dropped by the watermark.
+    # One batch for all files: the files are hash-split, not in time order, so a
+    # later batch could hold rows behind the watermark, which it would drop.
     events = ingest.parse_events(files.read_message_stream(spark, src))
     out, ckpt = fresh_path(spark, "engagement"), fresh_path(spark, "ckpt-engagement")
     _run(
@@ -262,7 +262,9 @@ def q_stream_live_genres(spark, sf_dir):
 
 def q_stream_live_buckets(spark, sf_dir):
     src = _stream_source(spark, sf_dir)
-    events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
+    # One batch, as for engagement: the files are not in time order, so a later
+    # batch could hold rows behind the watermark, which a watermark drops.
+    events = ingest.parse_events(files.read_message_stream(spark, src))
     out, ckpt = fresh_path(spark, "live-buckets"), fresh_path(spark, "ckpt-live-buckets")
     queries = streams.start_live_buckets(
         events, out, ckpt, LIVE_BUCKET, STREAM_WATERMARK, trigger="availableNow", state_partitions=STATE_PARTITIONS
