@@ -44,7 +44,10 @@ def salted_join(
     """Shuffle join with every dimension row copied to ``salt_buckets`` salts.
 
     The fact salt is a hash of its own columns, so a retried task recomputes the
-    same salt (a random salt would move rows between reducers on retry).
+    same salt (a random salt would move rows between reducers on retry). Copying
+    the dimension ``salt_buckets`` times is the price; the fact side, far larger, is
+    shuffled once, and no reducer receives more than about 1/``salt_buckets`` of
+    a hot key's rows.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"salted join keeps the fact side on the left, not {how!r}")
