@@ -21,13 +21,25 @@ def _decode_schema(keep_corrupt: bool) -> T.StructType:
     return T.StructType([*S.EVENT_SCHEMA.fields, T.StructField(S.CORRUPT_COLUMN, T.StringType(), True)])
 
 
-def decode(messages: DataFrame, keep_corrupt: bool = False, value_col: str = "value", time_col: str = "timestamp") -> DataFrame:
-    """value BINARY, timestamp -> payload fields + event_time (the message time).
+def decode(
+    messages: DataFrame,
+    keep_corrupt: bool = False,
+    value_col: str = "value",
+    time_col: str = "timestamp",
+    event_time_from: str = "message",
+) -> DataFrame:
+    """value BINARY, timestamp -> payload fields + event_time.
+
+    ``event_time_from``: ``"message"`` (default) takes the message (broker) time;
+    ``"payload"`` parses the payload's ISO ``timestamp`` text instead (NULL when it
+    does not parse, so the row leaves the windowed aggregates).
 
     Permissive: a malformed payload gives a row whose fields are all NULL; the row
     is kept. With ``keep_corrupt`` the raw text of a payload that did not decode
     cleanly is kept in ``_corrupt_record`` and ``_decoded`` tells a NULL payload.
     """
+    if event_time_from not in ("message", "payload"):
+        raise ValueError(f"event_time_from must be 'message' or 'payload', not {event_time_from!r}")
     options = {"mode": "PERMISSIVE"}
     if keep_corrupt:
         options["columnNameOfCorruptRecord"] = S.CORRUPT_COLUMN
@@ -37,15 +49,16 @@ def decode(messages: DataFrame, keep_corrupt: bool = False, value_col: str = "va
     # every predicate and field (one JSON parse per message, not one per use).
     # A NULL payload stays one row with a NULL struct.
     decoded = messages.select(F.explode(F.array(data)).alias("data"), F.col(time_col))
-    cols = [F.col("data.*"), F.col(time_col).alias("event_time")]
+    event_time = F.col(time_col) if event_time_from == "message" else parse_iso_timestamp(F.col("data.timestamp")).cast("timestamp")
+    cols = [F.col("data.*"), event_time.alias("event_time")]
     if keep_corrupt:
         cols.append(F.col("data").isNotNull().alias("_decoded"))
     return decoded.select(*cols)
 
 
-def parse_events(messages: DataFrame) -> DataFrame:
+def parse_events(messages: DataFrame, event_time_from: str = "message") -> DataFrame:
     """The reference decode: payload columns + event_time, malformed rows kept."""
-    return decode(messages, keep_corrupt=False)
+    return decode(messages, keep_corrupt=False, event_time_from=event_time_from)
 
 
 def _reject_reason() -> Column:

@@ -118,3 +118,11 @@ def test_intake_stream(spark):
     out, ckpt = fresh_path(spark, "intake"), fresh_path(spark, "ckpt")
     streams.await_all([streams.start_intake(files.read_message_stream(spark, src), out, ckpt, trigger="availableNow")], 300)
     assert sorted(rows(spark.read.parquet(out), "status")) == [("accepted",), ("rejected",)]
+
+
+def test_event_time_from_payload(spark):
+    msgs = messages(spark, [SAMPLE_MESSAGE.replace("10:30:00Z", "09:00:00Z"), "{bad"])
+    by_message = rows(ingest.parse_events(msgs), "event_time")
+    by_payload = rows(ingest.parse_events(msgs, event_time_from="payload"), "event_time")
+    assert by_message == [(NOW,), (NOW,)]
+    assert by_payload == [(dt.datetime(2024, 1, 15, 9, 0),), (None,)]
