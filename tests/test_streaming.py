@@ -76,10 +76,17 @@ def test_raw_lake_restart_no_duplicates(spark, sf_small):
     ev = activity(spark, sf_small)
     src = files.write_messages(ingest.to_messages(ev), fresh_path(spark, "msgs"), files=2)
     path, ckpt = fresh_path(spark, "lake"), fresh_path(spark, "ckpt")
-    for _ in range(2):
-        stream = ingest.parse_events(files.read_message_stream(spark, src))
+
+    def run():
+        stream = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=1))
         streams.await_all([streams.start_raw_lake(stream, path, ckpt, trigger="availableNow")], 300)
-        assert lake.read_lake(spark, path).count() == ev.count()
+        return lake.read_lake(spark, path).count()
+
+    assert run() == ev.count()
+    assert run() == ev.count()  # restart on the same checkpoint: nothing re-added
+    extra = ev.limit(7)  # a new file lands; only its rows are added
+    files.write_messages(ingest.to_messages(extra), src)
+    assert run() == ev.count() + 7
 
 
 def test_three_queries_one_stream(spark, sf_small):
