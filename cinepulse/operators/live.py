@@ -200,14 +200,13 @@ def _recent_buckets(buckets: DataFrame, as_of, window: str) -> DataFrame:
     return buckets.filter(F.col("bucket_start") >= stamp - interval(window))
 
 
-def live_trending_genres_from_buckets(genre_bkts: DataFrame, as_of, window: str = S.DEFAULT_TRAILING, k: int = S.TOP_LIVE_GENRES) -> DataFrame:
-    merged = _recent_buckets(genre_bkts, as_of, window).groupBy("genre").agg(
+def _merge_genre_buckets(genre_bkts: DataFrame, as_of, window: str) -> DataFrame:
+    return _recent_buckets(genre_bkts, as_of, window).groupBy("genre").agg(
         F.sum("score").alias("score"), F.min("first_seen").alias("first_seen")
     )
-    return top_live(merged, k).select("genre", "score")
 
 
-def live_movie_scores_from_buckets(movie_bkts: DataFrame, as_of, window: str = S.DEFAULT_TRAILING, k: int = S.TOP_LIVE_MOVIES) -> DataFrame:
+def _merge_movie_buckets(movie_bkts: DataFrame, as_of, window: str) -> DataFrame:
     merged = _recent_buckets(movie_bkts, as_of, window).groupBy("movie_id").agg(
         F.min_by("genre", F.col("first_seen")).alias("genre"),
         F.sum("views").alias("views"),
@@ -217,5 +216,32 @@ def live_movie_scores_from_buckets(movie_bkts: DataFrame, as_of, window: str = S
         F.min("first_seen").alias("first_seen"),
     )
     avg = F.when(F.col("rating_count") > 0, F.col("total_rating").cast("double") / F.col("rating_count")).otherwise(F.lit(0.0))
-    scored = merged.withColumn("avg_rating", avg).withColumn("score", engagement_score())
-    return top_live(scored, k).select("movie_id", "genre", "score", "views", "likes", "avg_rating")
+    return merged.withColumn("avg_rating", avg).withColumn("score", engagement_score())
+
+
+def live_trending_genres_from_buckets(genre_bkts: DataFrame, as_of, window: str = S.DEFAULT_TRAILING, k: int = S.TOP_LIVE_GENRES) -> DataFrame:
+    return top_live(_merge_genre_buckets(genre_bkts, as_of, window), k).select("genre", "score")
+
+
+def live_movie_scores_from_buckets(movie_bkts: DataFrame, as_of, window: str = S.DEFAULT_TRAILING, k: int = S.TOP_LIVE_MOVIES) -> DataFrame:
+    return top_live(_merge_movie_buckets(movie_bkts, as_of, window), k).select(
+        "movie_id", "genre", "score", "views", "likes", "avg_rating"
+    )
+
+
+def trending_snapshot_from_buckets(
+    genre_bkts: DataFrame,
+    movie_bkts: DataFrame,
+    as_of,
+    window: str = S.DEFAULT_TRAILING,
+    k_genres: int = S.TOP_LIVE_GENRES,
+    k_movies: int = S.TOP_LIVE_MOVIES,
+) -> DataFrame:
+    """``trending_snapshot`` (long form) computed from the bucket tables."""
+    genres = top_live(_merge_genre_buckets(genre_bkts, as_of, window), k_genres).select(
+        F.lit("trending_genres").alias("section"), "position", F.col("genre").alias("key"), F.col("score").cast("double").alias("score")
+    )
+    movies = top_live(_merge_movie_buckets(movie_bkts, as_of, window), k_movies).select(
+        F.lit("movie_scores").alias("section"), "position", F.col("movie_id").alias("key"), "score"
+    )
+    return genres.unionByName(movies)

@@ -4,7 +4,8 @@
   raw lake as three queries on one parsed stream; waits for any to end.
 * ``sample_job``: the batch sample mode (ten sample events -> trend, engagement).
 * ``snapshot_refresh``: one refresh of the live view from the lake, scanning only
-  the ``dt`` partitions the trailing window can touch.
+  the ``dt`` partitions the trailing window can touch; ``snapshot_refresh_from_buckets``
+  does it from the live bucket tables.
 * ``daily_report_job``: the engagement report of one day, from that day's lake
   partitions, replacing only that day's output partition.
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cinepulse import schema as S
 from cinepulse.functions.expressions import to_timedelta
-from cinepulse.operators import ingest, reports, windowed
+from cinepulse.operators import ingest, live, reports, windowed
 from cinepulse.session import ensure_utc, shared_dir
 from cinepulse.sources import files, kafka, lake, snapshot
 from cinepulse.sources.fixtures import sample_events
@@ -80,6 +81,21 @@ def snapshot_refresh(
     return snapshot.publish_live_snapshot(events, snapshot_path, as_of, window)
 
 
+def snapshot_refresh_from_buckets(
+    spark: SparkSession,
+    buckets_path: str,
+    snapshot_path: str,
+    as_of: dt.datetime | None = None,
+    window: str = S.DEFAULT_TRAILING,
+) -> str:
+    """Refresh the live snapshot from ``start_live_buckets`` output (``genres/`` and
+    ``movies/``): reads only window/bucket rows per key instead of raw events."""
+    as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    genres = spark.read.parquet(f"{buckets_path}/genres")
+    movies = spark.read.parquet(f"{buckets_path}/movies")
+    return snapshot.write_snapshot(live.trending_snapshot_from_buckets(genres, movies, as_of, window), snapshot_path)
+
+
 def daily_report_job(spark: SparkSession, lake_path: str, out_path: str, day: dt.date | str) -> str:
     """Write the report of ``day`` to ``out_path/day=...``, replacing that partition only."""
     events = lake.read_lake(spark, lake_path, start=day, end=day)
@@ -102,8 +118,10 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--base-path", help="output folder (default: below spark.checkpoint.dir)")
     s.add_argument("--trigger", default=streams.DEFAULT_TRIGGER)
     sub.add_parser("sample", help="batch sample mode")
-    r = sub.add_parser("snapshot", help="refresh the live snapshot from the lake")
-    r.add_argument("--lake", required=True)
+    r = sub.add_parser("snapshot", help="refresh the live snapshot from the lake or from live buckets")
+    src = r.add_mutually_exclusive_group(required=True)
+    src.add_argument("--lake")
+    src.add_argument("--buckets")
     r.add_argument("--out", required=True)
     d = sub.add_parser("daily-report", help="report of one day from the lake")
     d.add_argument("--lake", required=True)
@@ -121,6 +139,8 @@ def main(argv: list[str] | None = None) -> None:
             trend, engagement = sample_job(spark)
             trend.show(truncate=False)
             engagement.show(truncate=False)
+        elif args.job == "snapshot" and args.buckets:
+            snapshot_refresh_from_buckets(spark, args.buckets, args.out)
         elif args.job == "snapshot":
             snapshot_refresh(spark, args.lake, args.out)
         elif args.job == "daily-report":

@@ -60,3 +60,15 @@ def test_stream_writes_closed_buckets(spark, sf_small):
     got_m = {(r.movie_id, r.score) for r in live.live_movie_scores_from_buckets(m, AS_OF, "1 day", k=1000).collect()}
     want_m = {(r.movie_id, r.score) for r in live.live_movie_scores(ev, AS_OF, "1 day", k=1000).collect()}
     assert got_m == want_m
+
+
+def test_snapshot_from_buckets_equals_raw(spark, sf_small):
+    from cinepulse.plans import jobs
+
+    ev = activity(spark, sf_small)
+    base = fresh_path(spark, "bkts")
+    live.genre_buckets(ev, "1 minute").write.parquet(f"{base}/genres")
+    live.movie_buckets(ev, "1 minute").write.parquet(f"{base}/movies")
+    out = jobs.snapshot_refresh_from_buckets(spark, base, fresh_path(spark, "snap"), AS_OF, "1 day")
+    got = sorted(rows(spark.read.parquet(out), "section", "position", "key", "score"))
+    assert got == sorted(rows(live.trending_snapshot(ev, AS_OF, "1 day"), "section", "position", "key", "score"))
