@@ -237,3 +237,10 @@ def await_all(queries, timeout_s: float | None = None) -> None:
 def events_processed(query: StreamingQuery) -> int:
     """Input rows over the query's retained progress reports (health counter)."""
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+
+
+def late_rows_dropped(query: StreamingQuery) -> int:
+    """Rows the watermark dropped as too late, over the retained progress reports."""
+    return sum(
+        int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p.get("stateOperators", [])
+    )
