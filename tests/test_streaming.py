@@ -125,3 +125,17 @@ def test_trending_append_mode_closed_windows(spark, sf_small):
     want = windowed.trending_genres(ev, "1 day").filter(F.col("window_end") <= F.lit(cutoff)).select("window_start", "genre", "activity_count")
     assert got.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_processing_time_trigger(spark, sf_small):
+    ev = activity(spark, sf_small)
+    src = files.write_messages(ingest.to_messages(ev), fresh_path(spark, "msgs"), files=2)
+    stream = ingest.parse_events(files.read_message_stream(spark, src))
+    path, ckpt = fresh_path(spark, "lake"), fresh_path(spark, "ckpt")
+    q = streams.start_raw_lake(stream, path, ckpt, trigger="1 second", query_name="raw_lake_periodic")
+    try:
+        q.processAllAvailable()
+        assert q.isActive and q.name == "raw_lake_periodic"
+    finally:
+        q.stop()
+    assert lake.read_lake(spark, path).count() == ev.count()
