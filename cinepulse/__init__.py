@@ -1,0 +1,9 @@
+"""cinepulse: user-activity analytics (play, like, rate) on Spark.
+
+Subpackages: ``sources`` (topic, files, lake, snapshot table, adapters), ``operators``
+(DataFrame -> DataFrame analytics), ``functions`` (shared expressions, clock, joins),
+``streaming`` (the operators as streaming queries) and ``plans`` (registered
+queries, oracle SQL, runnable jobs).
+"""
+
+__version__ = "0.1.0"

@@ -1,0 +1 @@
+"""Runnable query plans: the registry, its DuckDB oracle SQL and the jobs."""

@@ -1,0 +1 @@
+"""Structured Streaming queries built from the operators."""
