@@ -27,7 +27,7 @@ from cinepulse import schema as S
 from cinepulse.functions.expressions import truthy
 from cinepulse.operators.ingest import intake
 from cinepulse.operators.live import BUCKET_TIME, genre_buckets, movie_buckets, with_bucket_time
-from cinepulse.operators.windowed import engagement_scores, trending_genres
+from cinepulse.operators.windowed import engagement_scores, top_engagement, top_trending, trending_genres
 from cinepulse.sources.lake import PARTITION_COLUMNS, with_partition_columns
 
 DEFAULT_TRIGGER = "30 seconds"
@@ -192,6 +192,47 @@ def start_intake(
     return _start(writer, trigger, query_name)
 
 
+def _start_ranked(ranked: DataFrame, out_path: str | None, checkpoint: str, trigger, query_name, state_partitions, rows: int):
+    writer = ranked.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+    if out_path:
+        writer = writer.foreachBatch(_overwrite_to(out_path))
+    else:
+        writer = writer.format("console").option("truncate", "false").option("numRows", str(rows))
+    return _start(writer, trigger, query_name, state_partitions)
+
+
+def start_top_trending(
+    events: DataFrame,
+    checkpoint: str,
+    out_path: str | None = None,
+    window_duration: str = S.DEFAULT_WINDOW,
+    k: int = S.TOP_TRENDING,
+    trigger: str | None = DEFAULT_TRIGGER,
+    query_name: str | None = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """The reference's ranked trend view: top-k (window, genre) rows over all windows,
+    re-ranked each trigger (complete mode is the only mode a stream can be sorted
+    in). Console when ``out_path`` is None, else a table replaced each trigger."""
+    ranked = top_trending(trending_genres(events, window_duration), k)
+    return _start_ranked(ranked, out_path, checkpoint, trigger, query_name, state_partitions, k)
+
+
+def start_top_engagement(
+    events: DataFrame,
+    checkpoint: str,
+    out_path: str | None = None,
+    window_duration: str = S.DEFAULT_WINDOW,
+    k: int = S.TOP_ENGAGEMENT,
+    trigger: str | None = DEFAULT_TRIGGER,
+    query_name: str | None = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Top-k (window, movie, genre) engagement rows, re-ranked each trigger."""
+    ranked = top_engagement(engagement_scores(events, window_duration), k)
+    return _start_ranked(ranked, out_path, checkpoint, trigger, query_name, state_partitions, k)
+
+
 def start_console(df: DataFrame, name: str, output_mode: str = "complete", trigger: str | None = DEFAULT_TRIGGER, rows: int = 20) -> StreamingQuery:
     """Print each trigger's result (debugging; the driver prints ``rows`` rows)."""
     writer = df.writeStream.format("console").outputMode(output_mode).option("truncate", "false").option("numRows", str(rows))
