@@ -36,7 +36,9 @@ def test_snapshot_refresh_prunes_days(spark, sf_small):
     path = lake.write_lake(ev, fresh_path(spark, "lake"))
     as_of = dt.datetime(2024, 1, 20, 12, 0)
     out = jobs.snapshot_refresh(spark, path, fresh_path(spark, "snap"), as_of, "1 day")
-    snap = spark.read.parquet(out)
+    from cinepulse.sources import snapshot
+
+    snap = snapshot.read_snapshot(spark, out)
     assert 0 < snap.count() <= 15
     pruned = lake.read_lake(spark, path, start=dt.date(2024, 1, 19))
     assert "PartitionFilters: [isnotnull(dt" in plan(pruned)

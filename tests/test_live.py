@@ -133,6 +133,15 @@ def test_snapshot_table_overwrite(spark):
     path = fresh_path(spark, "snapshot")
     ev = sample_events(spark)
     snapshot.publish_live_snapshot(ev, path, AS_OF)
-    snapshot.publish_live_snapshot(ev, path, AS_OF)  # a second refresh replaces, not appends
+    snapshot.publish_live_snapshot(ev, path, t(30))  # a second refresh replaces the first
     assert snapshot.read_snapshot(spark, path).count() == 12
     assert rows(snapshot.read_snapshot(spark, path, "trending_genres").orderBy("position"), "key")[0] == ("Sci-Fi",)
+    for v in range(1, 6):  # explicit versions; only the newest three are kept
+        snapshot.write_snapshot(live.trending_snapshot(ev, AS_OF).limit(v), path, version=v, keep=3)
+    import os
+
+    from cinepulse.session import local_fs_path
+
+    kept = sorted(d for d in os.listdir(local_fs_path(path)) if d.startswith("version="))
+    assert len(kept) == 3
+    assert snapshot.read_snapshot(spark, path).count() == 12  # the epoch-ms versions are newer

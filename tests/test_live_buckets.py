@@ -70,5 +70,7 @@ def test_snapshot_from_buckets_equals_raw(spark, sf_small):
     live.genre_buckets(ev, "1 minute").write.parquet(f"{base}/genres")
     live.movie_buckets(ev, "1 minute").write.parquet(f"{base}/movies")
     out = jobs.snapshot_refresh_from_buckets(spark, base, fresh_path(spark, "snap"), AS_OF, "1 day")
-    got = sorted(rows(spark.read.parquet(out), "section", "position", "key", "score"))
+    from cinepulse.sources import snapshot
+
+    got = sorted(rows(snapshot.read_snapshot(spark, out), "section", "position", "key", "score"))
     assert got == sorted(rows(live.trending_snapshot(ev, AS_OF, "1 day"), "section", "position", "key", "score"))
