@@ -197,7 +197,11 @@ def movie_buckets(events: DataFrame, bucket: str = "5 seconds", time_col: str =
 
 def _recent_buckets(buckets: DataFrame, as_of, window: str) -> DataFrame:
     stamp = as_of_column(None, as_of) if as_of is not None else buckets.select(F.max("bucket_start")).scalar()
-    return buckets.filter(F.col("bucket_start") >= stamp - interval(window))
+    cutoff = stamp - interval(window)
+    recent = buckets.filter(F.col("bucket_start") >= cutoff)
+    if "dt" in buckets.columns:  # a dt-partitioned bucket table: prune whole days
+        recent = recent.filter(F.col("dt") >= F.to_date(cutoff))
+    return recent
 
 
 def _merge_genre_buckets(genre_bkts: DataFrame, as_of, window: str) -> DataFrame:

@@ -145,12 +145,14 @@ def start_live_buckets(
     timed = with_bucket_time(events).withWatermark(BUCKET_TIME, watermark)
     out = {}
     for kind, build in (("genres", genre_buckets), ("movies", movie_buckets)):
-        agg = build(timed, bucket)
+        # dt partitions: a refresh reads only the days its trailing window touches.
+        agg = build(timed, bucket).withColumn("dt", F.to_date("bucket_start"))
         writer = (
             agg.writeStream.outputMode("append")
             .format("parquet")
             .option("path", f"{out_path}/{kind}")
             .option("checkpointLocation", f"{checkpoint}/{kind}")
+            .partitionBy("dt")
         )
         out[kind] = _start(writer, trigger, f"{query_name}_{kind}" if query_name else None, state_partitions)
     return out

@@ -74,3 +74,17 @@ def test_snapshot_from_buckets_equals_raw(spark, sf_small):
 
     got = sorted(rows(snapshot.read_snapshot(spark, out), "section", "position", "key", "score"))
     assert got == sorted(rows(live.trending_snapshot(ev, AS_OF, "1 day"), "section", "position", "key", "score"))
+
+
+def test_bucket_table_days_pruned(spark, sf_small):
+    from helpers import plan
+
+    ev = activity(spark, sf_small)
+    src = files.write_messages(ingest.to_messages(ev), fresh_path(spark, "msgs"), files=2)
+    stream = ingest.parse_events(files.read_message_stream(spark, src))
+    out, ckpt = fresh_path(spark, "buckets"), fresh_path(spark, "ckpt")
+    streams.await_all(streams.start_live_buckets(stream, out, ckpt, "1 minute", "10 minutes", trigger="availableNow", state_partitions=4), 300)
+    g = spark.read.parquet(f"{out}/genres")
+    view = live.live_trending_genres_from_buckets(g, AS_OF, "1 day")
+    assert "PartitionFilters: [isnotnull(dt" in plan(view)
+    assert rows(view) == rows(live.live_trending_genres_from_buckets(g.drop("dt"), AS_OF, "1 day"))
