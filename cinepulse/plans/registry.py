@@ -250,7 +250,7 @@ def q_stream_engagement_windows(spark, sf_dir):
     _run(
         streams.start_engagement(events, out, ckpt, DAY_WINDOW, STREAM_WATERMARK, trigger="availableNow", state_partitions=STATE_PARTITIONS)
     )
-    return _ntz(spark.read.parquet(out), "window_start", "window_end")
+    return _ntz(spark.read.parquet(out).drop("dt"), "window_start", "window_end")
 
 
 def q_stream_live_genres(spark, sf_dir):

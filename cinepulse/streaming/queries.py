@@ -56,6 +56,19 @@ def _start(writer, trigger: str | None, query_name: str | None = None, state_par
         spark.conf.set(key, old)
 
 
+def _append_by_day(windows: DataFrame, path: str, checkpoint: str):
+    """Closed windows appended to Parquet partitioned by ``dt`` (day of window
+    start), so reads of recent days prune the older ones."""
+    return (
+        windows.withColumn("dt", F.to_date("window_start"))
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("dt")
+    )
+
+
 def _overwrite_to(path: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(path)
@@ -82,7 +95,7 @@ def start_trending(
     """
     if watermark:
         agg = trending_genres(events.withWatermark("event_time", watermark), window_duration)
-        writer = agg.writeStream.outputMode("append").format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
+        writer = _append_by_day(agg, out_path, checkpoint)
     else:
         agg = trending_genres(events, window_duration)
         writer = agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(_overwrite_to(out_path))
@@ -100,8 +113,7 @@ def start_engagement(
     state_partitions: int | None = None,
 ) -> StreamingQuery:
     agg = engagement_scores(events.withWatermark("event_time", watermark), window_duration)
-    writer = agg.writeStream.outputMode("append").format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
-    return _start(writer, trigger, query_name, state_partitions)
+    return _start(_append_by_day(agg, out_path, checkpoint), trigger, query_name, state_partitions)
 
 
 def live_genre_windows(events: DataFrame, window_duration: str = "5 minutes", slide: str = "5 seconds") -> DataFrame:
