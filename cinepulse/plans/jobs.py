@@ -6,8 +6,8 @@
 * ``snapshot_refresh``: one refresh of the live view from the lake, scanning only
   the ``dt`` partitions the trailing window can touch; ``snapshot_refresh_from_buckets``
   does it from the live bucket tables.
-* ``daily_report_job``: the engagement report of one day, from that day's lake
-  partitions, replacing only that day's output partition.
+* ``daily_report_job`` / ``monthly_report_job``: the engagement report of one day
+  or month, from its lake partitions only, replacing only its output partition.
 
 ``python -m cinepulse.plans.jobs --help`` runs them from the command line.
 """
@@ -109,6 +109,22 @@ def daily_report_job(spark: SparkSession, lake_path: str, out_path: str, day: dt
     return out_path
 
 
+def monthly_report_job(spark: SparkSession, lake_path: str, out_path: str, month: str) -> str:
+    """Write the report of ``month`` (``YYYY-MM``) to ``out_path/month=...``, reading only
+    that month's ``dt`` partitions and replacing only that month's output."""
+    first = dt.date.fromisoformat(f"{month}-01")
+    last = (first.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
+    events = lake.read_lake(spark, lake_path, start=first, end=last)
+    (
+        reports.monthly_report(events)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("month")
+        .parquet(out_path)
+    )
+    return out_path
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="cinepulse.plans.jobs")
     sub = parser.add_subparsers(dest="job", required=True)
@@ -127,6 +143,10 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("--lake", required=True)
     d.add_argument("--out", required=True)
     d.add_argument("--day", required=True)
+    m = sub.add_parser("monthly-report", help="report of one month from the lake")
+    m.add_argument("--lake", required=True)
+    m.add_argument("--out", required=True)
+    m.add_argument("--month", required=True, help="YYYY-MM")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"cinepulse-{args.job}").getOrCreate()
@@ -145,6 +165,8 @@ def main(argv: list[str] | None = None) -> None:
             snapshot_refresh(spark, args.lake, args.out)
         elif args.job == "daily-report":
             daily_report_job(spark, args.lake, args.out, args.day)
+        elif args.job == "monthly-report":
+            monthly_report_job(spark, args.lake, args.out, args.month)
     finally:
         spark.stop()
 

@@ -60,3 +60,12 @@ def test_kafka_source_needs_connector(spark):
     # The connector jar is not bundled with PySpark; the call path reaches Spark's lookup.
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         kafka.read_kafka_stream(spark, "localhost:9092")
+
+
+def test_monthly_report_job(spark, sf_small):
+    ev = activity(spark, sf_small)
+    path = lake.write_lake(ev, fresh_path(spark, "lake"))
+    out = jobs.monthly_report_job(spark, path, fresh_path(spark, "monthly"), "2024-01")
+    got = sorted(rows(spark.read.parquet(out), "movie_id", "genre", "views", "likes"), key=str)
+    want = sorted(rows(reports.monthly_report(ev), "movie_id", "genre", "views", "likes"), key=str)
+    assert got == want
