@@ -55,19 +55,19 @@ def _messages(spark: SparkSession, sf_dir: str, malformed_every: int | None = MA
 # --- ingest -----------------------------------------------------------------
 
 
-def q_parse_events(spark, sf_dir):
+def q_parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(ingest.parse_events(_messages(spark, sf_dir)), "event_time")
 
 
-def q_validate_events(spark, sf_dir):
+def q_validate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(ingest.validate_events(_messages(spark, sf_dir)), "event_time")
 
 
-def q_quarantine_counts(spark, sf_dir):
+def q_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.quarantine_counts(_messages(spark, sf_dir))
 
 
-def q_normalize_timestamps(spark, sf_dir):
+def q_normalize_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     text = (
         F.when(F.col("event_id") % 4 == 0, F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
@@ -79,7 +79,7 @@ def q_normalize_timestamps(spark, sf_dir):
     return ingest.normalize_timestamps(raw, "timestamp", "event_time")
 
 
-def q_publish_events(spark, sf_dir):
+def q_publish_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir).withColumn("timestamp", iso_naive_text("event_time"))
     published = ingest.encode_events(ev)
     text = F.col("value").cast("string")
@@ -90,130 +90,130 @@ def q_publish_events(spark, sf_dir):
 # --- windowed ---------------------------------------------------------------
 
 
-def q_trending_windows(spark, sf_dir):
+def q_trending_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windowed.trending_genres(_events(spark, sf_dir), TREND_WINDOW)
 
 
-def q_trending_top10(spark, sf_dir):
+def q_trending_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windowed.calculate_trending_genres(_events(spark, sf_dir), TREND_WINDOW, 10)
 
 
-def q_top_genre_per_window(spark, sf_dir):
+def q_top_genre_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windowed.top_genre_per_window(windowed.trending_genres(_events(spark, sf_dir), DAY_WINDOW))
 
 
-def q_engagement_windows(spark, sf_dir):
+def q_engagement_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windowed.engagement_scores(_events(spark, sf_dir), TREND_WINDOW)
 
 
-def q_engagement_top20(spark, sf_dir):
+def q_engagement_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windowed.calculate_engagement_score(_events(spark, sf_dir), TREND_WINDOW, 20)
 
 
 # --- live -------------------------------------------------------------------
 
 
-def _live(spark, sf_dir):
+def _live(spark: SparkSession, sf_dir: str):
     """Events and the snapshot instant (max event time, resolved to a literal so the
     trailing predicate is pushed into the Parquet scan)."""
     ev = _events(spark, sf_dir)
     return ev, resolve_as_of(ev)
 
 
-def q_live_trending_genres(spark, sf_dir):
+def q_live_trending_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev, as_of = _live(spark, sf_dir)
     return live.live_trending_genres(ev, as_of, LIVE_TRAILING)
 
 
-def q_live_movie_scores(spark, sf_dir):
+def q_live_movie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev, as_of = _live(spark, sf_dir)
     return live.live_movie_scores(ev, as_of, LIVE_TRAILING)
 
 
-def q_trending_snapshot(spark, sf_dir):
+def q_trending_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev, as_of = _live(spark, sf_dir)
     return live.trending_snapshot(ev, as_of, LIVE_TRAILING)
 
 
-def q_health_counts(spark, sf_dir):
+def q_health_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Counts every row anyway (no filter to push), so the instant stays a subquery
     # evaluated inside the same query instead of a separate job.
     return live.health_counts(_events(spark, sf_dir), None, LIVE_TRAILING)
 
 
-def q_genre_share(spark, sf_dir):
+def q_genre_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev, as_of = _live(spark, sf_dir)
     return cat.genre_share(ev, as_of, LIVE_TRAILING)
 
 
-def q_leaderboard(spark, sf_dir):
+def q_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev, as_of = _live(spark, sf_dir)
     return cat.leaderboard(ev, adapter.catalog(spark, sf_dir), as_of, LIVE_TRAILING)
 
 
-def q_headline_movie(spark, sf_dir):
+def q_headline_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev, as_of = _live(spark, sf_dir)
     return cat.headline_movie(ev, adapter.catalog(spark, sf_dir), as_of, LIVE_TRAILING)
 
 
-def q_live_genre_buckets(spark, sf_dir):
+def q_live_genre_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.genre_buckets(_events(spark, sf_dir), LIVE_BUCKET).select("bucket_start", "genre", "score")
 
 
 # --- catalogue --------------------------------------------------------------
 
 
-def q_catalog_by_genre(spark, sf_dir):
+def q_catalog_by_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.by_genre(adapter.catalog(spark, sf_dir), CATALOG_GENRE)
 
 
-def q_catalog_all(spark, sf_dir):
+def q_catalog_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.by_genre(adapter.catalog(spark, sf_dir), "All")
 
 
-def q_catalog_totals(spark, sf_dir):
+def q_catalog_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.totals(adapter.catalog(spark, sf_dir))
 
 
-def q_catalog_extremes(spark, sf_dir):
+def q_catalog_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.extremes(adapter.catalog(spark, sf_dir))
 
 
-def q_catalog_counts(spark, sf_dir):
+def q_catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.counts(adapter.catalog(spark, sf_dir))
 
 
 # --- state, reports, lake ---------------------------------------------------
 
 
-def q_latest_ratings(spark, sf_dir):
+def q_latest_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.latest_ratings(_events(spark, sf_dir))
 
 
-def q_liked_pairs(spark, sf_dir):
+def q_liked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.liked_pairs(_events(spark, sf_dir))
 
 
-def q_daily_report(spark, sf_dir):
+def q_daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.daily_report(_events(spark, sf_dir))
 
 
-def q_monthly_report(spark, sf_dir):
+def q_monthly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.monthly_report(_events(spark, sf_dir))
 
 
-def _write_lake(spark, sf_dir) -> str:
+def _write_lake(spark: SparkSession, sf_dir: str) -> str:
     return lake.write_lake(
         _events(spark, sf_dir), fresh_path(spark, "lake"), files_per_partition=LAKE_FILES_PER_PARTITION, salt_cols=["event_id"]
     )
 
 
-def q_lake_write_read(spark, sf_dir):
+def q_lake_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _write_lake(spark, sf_dir)
     return lake.partition_counts(lake.read_lake(spark, path))
 
 
-def q_lake_pruned_read(spark, sf_dir):
+def q_lake_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _write_lake(spark, sf_dir)
     return lake.read_lake(spark, path, LAKE_DAY, LAKE_DAY, [LAKE_ACTION], ["movie_id", "event_time"])
 
@@ -221,7 +221,7 @@ def q_lake_pruned_read(spark, sf_dir):
 # --- streaming --------------------------------------------------------------
 
 
-def _stream_source(spark, sf_dir, time_ordered: bool = False) -> str:
+def _stream_source(spark: SparkSession, sf_dir: str, time_ordered: bool = False) -> str:
     """Land the activity messages as files a file stream replays (time-ordered
     files model a topic read in arrival order: each batch then spans few days)."""
     path = fresh_path(spark, "messages")
@@ -233,7 +233,7 @@ def _run(query) -> None:
     streams.await_all([query], STREAM_TIMEOUT_S)
 
 
-def q_stream_trending_genres(spark, sf_dir):
+def q_stream_trending_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _stream_source(spark, sf_dir)
     events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
     out, ckpt = fresh_path(spark, "trending"), fresh_path(spark, "ckpt-trending")
@@ -241,7 +241,7 @@ def q_stream_trending_genres(spark, sf_dir):
     return _ntz(spark.read.parquet(out), "window_start", "window_end")
 
 
-def q_stream_engagement_windows(spark, sf_dir):
+def q_stream_engagement_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _stream_source(spark, sf_dir)
     # One batch for all files: the files are hash-split, not in time order, so a
     # later batch could hold rows behind the watermark, which it would drop.
@@ -253,7 +253,7 @@ def q_stream_engagement_windows(spark, sf_dir):
     return _ntz(spark.read.parquet(out).drop("dt"), "window_start", "window_end")
 
 
-def q_stream_live_genres(spark, sf_dir):
+def q_stream_live_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _stream_source(spark, sf_dir)
     events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
     out, ckpt = fresh_path(spark, "live-genres"), fresh_path(spark, "ckpt-live-genres")
@@ -261,7 +261,7 @@ def q_stream_live_genres(spark, sf_dir):
     return _ntz(spark.read.parquet(out), "window_start", "window_end")
 
 
-def q_stream_live_buckets(spark, sf_dir):
+def q_stream_live_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _stream_source(spark, sf_dir)
     # One batch, as for engagement: the files are not in time order, so a later
     # batch could hold rows behind the watermark, which a watermark drops.
@@ -274,7 +274,7 @@ def q_stream_live_buckets(spark, sf_dir):
     return _ntz(spark.read.parquet(f"{out}/genres").select("bucket_start", "genre", "score"), "bucket_start")
 
 
-def q_stream_raw_lake(spark, sf_dir):
+def q_stream_raw_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _stream_source(spark, sf_dir, time_ordered=True)
     events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
     path, ckpt = fresh_path(spark, "stream-lake"), fresh_path(spark, "ckpt-stream-lake")
