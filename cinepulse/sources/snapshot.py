@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinepulse import schema as S
-from cinepulse.operators.live import trending_snapshot
+from cinepulse.operators.live import trending_snapshot, trending_snapshot_nested
 
 VERSION = "version"
 
@@ -55,18 +55,25 @@ def publish_live_snapshot(
     window: str = S.DEFAULT_TRAILING,
     k_genres: int = S.TOP_LIVE_GENRES,
     k_movies: int = S.TOP_LIVE_MOVIES,
+    nested: bool = False,
 ) -> str:
-    """One refresh of the live view: compute the long-form snapshot and publish it.
+    """One refresh of the live view: compute the snapshot and publish it.
+
+    Long form (section, position, key, score) by default; ``nested`` publishes the
+    one-row response shape (``trending_genres``, ``movie_scores`` arrays with the
+    movie details) that a reader can serve as is.
 
     For a running service pass ``as_of=F.localtimestamp()`` (server clock, TIMESTAMP_NTZ)
     and a lake read restricted to the last ``dt`` values, so each refresh scans only
     the partitions that can hold rows of the trailing window.
     """
-    return write_snapshot(trending_snapshot(events, as_of, window, k_genres, k_movies), path)
+    build = trending_snapshot_nested if nested else trending_snapshot
+    return write_snapshot(build(events, as_of, window, k_genres, k_movies), path)
 
 
 def read_snapshot(spark: SparkSession, path: str, section: str | None = None) -> DataFrame:
-    """The newest snapshot, optionally one section (``trending_genres`` / ``movie_scores``)."""
+    """The newest snapshot; for the long form optionally one section
+    (``trending_genres`` / ``movie_scores``)."""
     df = spark.read.parquet(path)
     latest = df.select(F.max(VERSION)).scalar()
     df = df.filter(F.col(VERSION) == latest).drop(VERSION)

@@ -145,3 +145,15 @@ def test_snapshot_table_overwrite(spark):
     kept = sorted(d for d in os.listdir(local_fs_path(path)) if d.startswith("version="))
     assert len(kept) == 3
     assert snapshot.read_snapshot(spark, path).count() == 12  # the epoch-ms versions are newer
+
+
+def test_nested_snapshot_table(spark):
+    from cinepulse.session import fresh_path
+    from cinepulse.sources import snapshot
+
+    path = fresh_path(spark, "snapshot-nested")
+    snapshot.publish_live_snapshot(sample_events(spark), path, AS_OF, nested=True)
+    (row,) = snapshot.read_snapshot(spark, path).collect()
+    assert [g["genre"] for g in row["trending_genres"]] == ["Sci-Fi", "Action", "Thriller", "Romance", "Horror"]
+    top = row["movie_scores"][0]
+    assert (top["movie_id"], top["genre"], top["score"], top["views"], top["likes"], top["avg_rating"]) == ("D", "Romance", 25.0, 0, 0, 5.0)
