@@ -8,21 +8,24 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cinepulse") -> SparkSession:
-    """Session for tests and benchmarks on one machine (UI off, UTC, AQE on)."""
-    return (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
-        .getOrCreate()
-    )
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cinepulse", extra: dict[str, str] | None = None) -> SparkSession:
+    """Session for tests and benchmarks on one machine (UI off, UTC, AQE on);
+    ``extra`` settings override these."""
+    conf = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.driver.memory": "8g",
+        **(extra or {}),
+    }
+    builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    for k, v in conf.items():
+        builder = builder.config(k, v)
+    return builder.getOrCreate()
 
 
 def _conf(spark: SparkSession, key: str) -> str | None:

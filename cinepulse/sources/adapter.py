@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinepulse.functions.joins import DEFAULT_MAX_BROADCAST_BYTES, lookup_join
+from cinepulse.functions.joins import DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_SALT_BUCKETS, lookup_join
 
 ACTION_MAP = {"view": "play", "click": "like", "purchase": "rate"}
 NULL_GENRE_EVERY = 50
@@ -26,7 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def activity_from(events: DataFrame, part: DataFrame, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+def activity_from(
+    events: DataFrame,
+    part: DataFrame,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+) -> DataFrame:
     """events x part -> user_id, action, movie_id, genre, event_time, rating_value, event_id.
 
     The part side (key, type) is broadcast only under a checked size; a larger one
@@ -45,7 +50,7 @@ def activity_from(events: DataFrame, part: DataFrame, max_broadcast_bytes: int =
         F.explode(F.array(F.get_json_object("props", "$.k").try_cast("long"))).alias("k"),
     )
     movies = part.select(F.col("p_partkey").alias("k"), F.col("p_type"))
-    joined = lookup_join(ev, movies, "k", max_broadcast_bytes=max_broadcast_bytes, salt_cols=["event_id"])
+    joined = lookup_join(ev, movies, "k", max_broadcast_bytes=max_broadcast_bytes, salt_buckets=salt_buckets, salt_cols=["event_id"])
     action = F.col("event_type")
     for src, dst in reversed(list(ACTION_MAP.items())):
         action = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(action)
