@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinepulse import schema as S
-from cinepulse.functions.clock import as_of_column, iso_utc_text, parse_iso_timestamp
+from cinepulse.functions.clock import as_of_column, iso_naive_text, iso_utc_text, parse_iso_timestamp
 
 MALFORMED = "malformed"
 
@@ -99,15 +99,15 @@ def intake(messages: DataFrame, as_of=None) -> DataFrame:
 
     The JSON is parsed once; writing this frame partitioned by ``status`` lands the
     accepted table and the quarantine in one pass (``sources.lake.write_intake``).
-    Accepted rows carry the intake instant in ``timestamp`` (``as_of``; default the
-    session clock, as the service stamps events on arrival).
+    Accepted rows carry the intake instant in ``timestamp`` as ISO-8601 text
+    (``as_of``; default the session clock, as the service stamps events on arrival).
     """
     stamp = as_of_column(None, as_of) if as_of is not None else F.localtimestamp()
     classified = classify(messages)
     accepted = F.col("reject_reason").isNull()
     return classified.select(
         *[c for c in S.PAYLOAD_FIELDS if c != "timestamp"],
-        F.when(accepted, stamp.cast("string")).otherwise(F.col("timestamp")).alias("timestamp"),
+        F.when(accepted, iso_naive_text(stamp)).otherwise(F.col("timestamp")).alias("timestamp"),
         "event_time",
         F.col(S.CORRUPT_COLUMN).alias("raw_payload"),
         F.when(accepted, F.lit("accepted")).otherwise(F.lit("rejected")).alias("status"),

@@ -104,7 +104,7 @@ def test_intake_one_pass_both_tables(spark):
     back = spark.read.parquet(path)
     got = sorted(rows(back, "status", "reject_reason", "timestamp"), key=str)
     assert got == sorted(
-        [("accepted", None, "2024-01-15 10:30:00"), ("rejected", "malformed", None), ("rejected", "missing_genre", "t")], key=str
+        [("accepted", None, "2024-01-15T10:30:00.000000"), ("rejected", "malformed", None), ("rejected", "missing_genre", "t")], key=str
     )
     assert rows(back.filter("status = 'rejected' and reject_reason = 'malformed'"), "raw_payload") == [("{bad",)]
 
