@@ -46,7 +46,7 @@ def _start(writer, trigger: str | None, query_name: str | None = None, state_par
     if not state_partitions:
         return writer.start()
     # The query clones the session (and its conf) at start; restore ours after.
-    spark = SparkSession.getActiveSession()
+    spark = getattr(writer, "_spark", None) or SparkSession.getActiveSession()
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
     spark.conf.set(key, str(state_partitions))
