@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinepulse import schema as S
@@ -59,17 +59,14 @@ def genre_share(
     cards: int = S.TOP_GENRE_CARDS,
     time_col: str = "event_time",
 ) -> DataFrame:
-    """Trend cards: rank, genre, score, pct_of_max = min(score / max * 100, 100).
-
-    The max is taken over the k rows left after the cut (a window with no
-    partition over at most k rows).
-    """
+    """Trend cards: rank, genre, score, pct_of_max = min(score / max * 100, 100),
+    where max is the top score of the k rows left after the cut."""
     top = top_live(genre_counts(events, as_of, window, time_col), k).filter(F.col("position") <= cards)
     return top.select(
         F.col("position").alias("rank"),
         "genre",
         "score",
-        share_of_max("score", F.max("score").over(Window.partitionBy())).alias("pct_of_max"),
+        share_of_max("score", F.col("top_score")).alias("pct_of_max"),
     )
 
 

@@ -9,7 +9,7 @@ trailing`` (strict, no upper bound: future rows pass).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinepulse import schema as S
@@ -66,9 +66,22 @@ def live_order() -> list[Column]:
 
 
 def top_live(df: DataFrame, k: int) -> DataFrame:
-    """Top-k with a ``position`` (1..k) over the at most k rows left after the cut."""
+    """Top-k by (score desc, first_seen) with ``position`` 1..k and ``top_score``.
+
+    The cut is a TakeOrderedAndProject (k rows per task, then a merge). The at most
+    k rows left are numbered inside one small aggregate (sorted array, then
+    ``posexplode``) instead of an unpartitioned window; ``top_score`` is the score
+    at position 1. An empty input gives no rows.
+    """
+    cols = df.columns
     top = df.orderBy(*live_order()).limit(k)
-    return top.withColumn("position", F.row_number().over(Window.orderBy(*live_order())))
+    key = F.struct((-F.col("score")).alias("neg_score"), F.col("first_seen").alias("first"), F.struct(*cols).alias("row"))
+    packed = top.agg(F.sort_array(F.collect_list(key)).alias("ranked"))
+    numbered = packed.select(
+        F.posexplode("ranked").alias("pos", "r"),
+        F.element_at("ranked", 1)["row"]["score"].alias("top_score"),
+    )
+    return numbered.select((F.col("pos") + 1).cast("int").alias("position"), "r.row.*", "top_score")
 
 
 def live_trending_genres(events: DataFrame, as_of=None, window: str = S.DEFAULT_TRAILING, k: int = S.TOP_LIVE_GENRES, time_col: str = "event_time") -> DataFrame:

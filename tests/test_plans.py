@@ -50,7 +50,10 @@ def test_filter_and_columns_reach_the_scan(spark, sf_small):
 def test_leaderboard_broadcasts_the_cut_side(spark, sf_small):
     df = cat.leaderboard(adapter.activity(spark, sf_small), adapter.catalog(spark, sf_small), window="1 day")
     p = plan(df)
-    assert "BuildLeft" in p and "TakeOrderedAndProject(limit=5" in p
+    # top 10 by TakeOrderedAndProject, numbered in one small aggregate, cut to 5 and
+    # broadcast as the build side; no unpartitioned window
+    assert "BuildLeft" in p and "TakeOrderedAndProject(limit=10" in p and "posexplode" in p
+    assert "WindowExec" not in p and "Window [" not in p
     assert len(rows(df)) <= 5
 
 
