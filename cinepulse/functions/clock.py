@@ -19,7 +19,11 @@ def as_of_column(events: DataFrame | None, as_of=None, time_col: str = "event_ti
     if isinstance(as_of, Column):
         return as_of
     if isinstance(as_of, dt.datetime):
-        return F.lit(as_of)
+        # A TIMESTAMP_NTZ literal from text: independent of the Python process's
+        # time zone (a plain ``lit(datetime)`` goes through it). Aware -> UTC first.
+        if as_of.tzinfo is not None:
+            as_of = as_of.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     if isinstance(as_of, str):
         return F.lit(as_of).cast("timestamp_ntz")
     if events is None:
