@@ -17,6 +17,7 @@ from cinepulse.operators import catalog as cat
 from cinepulse.operators import ingest, live, reports, state, windowed
 from cinepulse.session import ensure_utc, fresh_path
 from cinepulse.sources import adapter, files, lake
+from cinepulse.sources.versioned import read_latest
 from cinepulse.streaming import queries as streams
 
 # Parameters of the registered queries (see README, "Registered queries").
@@ -238,7 +239,7 @@ def q_stream_trending_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
     out, ckpt = fresh_path(spark, "trending"), fresh_path(spark, "ckpt-trending")
     _run(streams.start_trending(events, out, ckpt, TREND_WINDOW, trigger="availableNow", state_partitions=STATE_PARTITIONS))
-    return _ntz(spark.read.parquet(out), "window_start", "window_end")
+    return _ntz(read_latest(spark, out), "window_start", "window_end")
 
 
 def q_stream_engagement_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,7 +259,7 @@ def q_stream_live_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
     out, ckpt = fresh_path(spark, "live-genres"), fresh_path(spark, "ckpt-live-genres")
     _run(streams.start_live_genres(events, out, ckpt, *SLIDING_WINDOW, trigger="availableNow", state_partitions=STATE_PARTITIONS))
-    return _ntz(spark.read.parquet(out), "window_start", "window_end")
+    return _ntz(read_latest(spark, out), "window_start", "window_end")
 
 
 def q_stream_live_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:

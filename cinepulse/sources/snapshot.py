@@ -1,10 +1,9 @@
 """The live snapshot table: replaced whole on each refresh, read whole by clients.
 
-Each refresh is appended as a new ``version=<n>`` partition holding one Parquet file
-(the snapshot is at most k genres + k movies, already bounded by ``limit``). The
-committer publishes a new partition folder with one rename, so a reader sees either
-the previous version or the new one, never a half-written table; ``read_snapshot``
-serves the newest version. Older versions beyond ``keep`` are removed.
+Each refresh is a new version of a versioned table (``sources.versioned``) holding one
+Parquet file (the snapshot is at most k genres + k movies, already bounded by
+``limit``): a reader sees the previous snapshot or the new one, never a half-written
+table.
 """
 
 from __future__ import annotations
@@ -16,36 +15,12 @@ from pyspark.sql import functions as F
 
 from cinepulse import schema as S
 from cinepulse.operators.live import trending_snapshot, trending_snapshot_nested
-
-VERSION = "version"
-
-
-def _prune_versions(spark: SparkSession, path: str, keep: int) -> None:
-    """Delete all but the newest ``keep`` versions (Hadoop file system of ``path``)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(path)
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        names = [st.getPath().getName() for st in fs.listStatus(root)]
-    except Exception:  # Spark Connect: no file system handle; keep every version
-        return
-    versions = sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{VERSION}=") and n.split("=", 1)[1].isdigit())
-    for v in versions[:-keep] if keep > 0 else []:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION}={v}"), True)
-
+from cinepulse.sources.versioned import read_latest, write_version
 
 def write_snapshot(snapshot: DataFrame, path: str, version: int | None = None, keep: int = 3) -> str:
-    """Publish ``snapshot`` as a new version (default: epoch milliseconds)."""
+    """Publish ``snapshot`` as a new one-file version (default: epoch milliseconds)."""
     version = int(time.time() * 1000) if version is None else int(version)
-    (
-        snapshot.withColumn(VERSION, F.lit(version).cast("long"))
-        .coalesce(1)
-        .write.mode("append")
-        .partitionBy(VERSION)
-        .parquet(path)
-    )
-    _prune_versions(snapshot.sparkSession, path, keep)
-    return path
+    return write_version(snapshot, path, version, keep, single_file=True)
 
 
 def publish_live_snapshot(
@@ -74,7 +49,5 @@ def publish_live_snapshot(
 def read_snapshot(spark: SparkSession, path: str, section: str | None = None) -> DataFrame:
     """The newest snapshot; for the long form optionally one section
     (``trending_genres`` / ``movie_scores``)."""
-    df = spark.read.parquet(path)
-    latest = df.select(F.max(VERSION)).scalar()
-    df = df.filter(F.col(VERSION) == latest).drop(VERSION)
+    df = read_latest(spark, path)
     return df if section is None else df.filter(F.col("section") == F.lit(section))

@@ -5,8 +5,9 @@ Ranked views are not streamed: a stream can only be sorted in complete mode, so
 the aggregate is streamed and ranked on read (``operators.windowed.top_*``).
 
 * trending: complete mode (state = one row per (window, genre), kept for ever),
-  written whole on each trigger by ``foreachBatch`` (overwrite = idempotent); or,
-  with a watermark, append mode with bounded state;
+  published whole on each trigger by ``foreachBatch`` as a new version of a
+  versioned table (readers never see a half-written table; a replayed batch
+  rewrites its own version); or, with a watermark, append mode with bounded state;
 * engagement (append mode + watermark: a window is written once it is closed and
   its state is dropped, so state stays bounded however long the job runs);
 * live genres over sliding windows (complete mode, like trending);
@@ -29,6 +30,7 @@ from cinepulse.operators.ingest import intake
 from cinepulse.operators.live import BUCKET_TIME, genre_buckets, movie_buckets, with_bucket_time
 from cinepulse.operators.windowed import engagement_scores, top_engagement, top_trending, trending_genres
 from cinepulse.sources.lake import PARTITION_COLUMNS, with_partition_columns
+from cinepulse.sources.versioned import publish_each_batch
 
 DEFAULT_TRIGGER = "30 seconds"
 DEFAULT_WATERMARK = "10 minutes"
@@ -69,13 +71,6 @@ def _append_by_day(windows: DataFrame, path: str, checkpoint: str):
     )
 
 
-def _overwrite_to(path: str):
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    return write
-
-
 def start_trending(
     events: DataFrame,
     out_path: str,
@@ -98,7 +93,7 @@ def start_trending(
         writer = _append_by_day(agg, out_path, checkpoint)
     else:
         agg = trending_genres(events, window_duration)
-        writer = agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(_overwrite_to(out_path))
+        writer = agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(publish_each_batch(out_path))
     return _start(writer, trigger, query_name, state_partitions)
 
 
@@ -135,7 +130,7 @@ def start_live_genres(
     state_partitions: int | None = None,
 ) -> StreamingQuery:
     agg = live_genre_windows(events, window_duration, slide)
-    writer = agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(_overwrite_to(out_path))
+    writer = agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(publish_each_batch(out_path))
     return _start(writer, trigger, query_name, state_partitions)
 
 
@@ -209,7 +204,7 @@ def start_intake(
 def _start_ranked(ranked: DataFrame, out_path: str | None, checkpoint: str, trigger, query_name, state_partitions, rows: int):
     writer = ranked.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
     if out_path:
-        writer = writer.foreachBatch(_overwrite_to(out_path))
+        writer = writer.foreachBatch(publish_each_batch(out_path))
     else:
         writer = writer.format("console").option("truncate", "false").option("numRows", str(rows))
     return _start(writer, trigger, query_name, state_partitions)

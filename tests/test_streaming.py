@@ -13,6 +13,7 @@ from cinepulse.session import fresh_path, local_fs_path
 from cinepulse.sources import files, lake
 from cinepulse.sources.adapter import activity
 from cinepulse.sources.fixtures import events_df
+from cinepulse.sources.versioned import read_latest
 from cinepulse.streaming import queries as streams
 
 from helpers import rows
@@ -43,7 +44,7 @@ def test_trending_stream_equals_batch(spark, sf_small):
     q = streams.start_trending(stream, out, ckpt, "5 minutes", trigger="availableNow")
     streams.await_all([q], 300)
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) >= 2  # incremental state used
-    got = spark.read.parquet(out).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "genre", "activity_count")
+    got = read_latest(spark, out).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "genre", "activity_count")
     want = windowed.trending_genres(ev).select("window_start", "genre", "activity_count")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
@@ -96,7 +97,7 @@ def test_three_queries_one_stream(spark, sf_small):
     base = fresh_path(spark, "job")
     qs = streams.start_all(stream, base, "1 day", "10 minutes", trigger="availableNow")
     streams.await_all(qs, 300)
-    assert spark.read.parquet(f"{base}/trending").count() > 0
+    assert read_latest(spark, f"{base}/trending").count() > 0
     assert spark.read.parquet(f"{base}/engagement").count() > 0
     assert lake.read_lake(spark, f"{base}/lake").count() == ev.count()
 
@@ -109,7 +110,7 @@ def test_live_sliding_windows(spark):
     stream = ingest.parse_events(files.read_message_stream(spark, src))
     out, ckpt = fresh_path(spark, "livew"), fresh_path(spark, "ckpt")
     streams.await_all([streams.start_live_genres(stream, out, ckpt, "10 minutes", "5 minutes", trigger="availableNow")], 300)
-    got = sorted((r.window_start.replace(tzinfo=None), r.genre, r.score) for r in spark.read.parquet(out).collect())
+    got = sorted((r.window_start.replace(tzinfo=None), r.genre, r.score) for r in read_latest(spark, out).collect())
     assert got == [(at(0), "X", 1), (at(5), "X", 1)]
 
 
@@ -147,7 +148,7 @@ def test_ranked_stream_equals_batch_topk(spark, sf_small):
     stream = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=2))
     out, ckpt = fresh_path(spark, "top"), fresh_path(spark, "ckpt")
     streams.await_all([streams.start_top_trending(stream, ckpt, out, "5 minutes", 10, trigger="availableNow", state_partitions=4)], 300)
-    got = [(r.window_start.replace(tzinfo=None), r.genre, r.activity_count) for r in spark.read.parquet(out).collect()]
+    got = [(r.window_start.replace(tzinfo=None), r.genre, r.activity_count) for r in read_latest(spark, out).collect()]
     want = rows(windowed.calculate_trending_genres(ev, "5 minutes", 10), "window_start", "genre", "activity_count")
     assert sorted(got) == sorted(want)
     ckpt2 = fresh_path(spark, "ckpt")
@@ -155,3 +156,16 @@ def test_ranked_stream_equals_batch_topk(spark, sf_small):
     q = streams.start_top_engagement(stream2, ckpt2, None, "5 minutes", 5, trigger="availableNow", state_partitions=4)
     streams.await_all([q], 300)  # console sink: the ranked view prints each trigger
     assert streams.events_processed(q) == ev.count()
+
+
+def test_complete_mode_table_is_versioned(spark, sf_small):
+    import os
+
+    ev = activity(spark, sf_small)
+    src = files.write_messages(ingest.to_messages(ev), fresh_path(spark, "msgs"), files=4)
+    stream = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=1))
+    out, ckpt = fresh_path(spark, "trend"), fresh_path(spark, "ckpt")
+    streams.await_all([streams.start_trending(stream, out, ckpt, "1 day", trigger="availableNow", state_partitions=4)], 300)
+    versions = sorted(d for d in os.listdir(local_fs_path(out)) if d.startswith("version="))
+    assert len(versions) == 2  # four triggers published, the two newest kept
+    assert read_latest(spark, out).count() == windowed.trending_genres(ev, "1 day").count()
