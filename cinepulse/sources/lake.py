@@ -29,9 +29,14 @@ def write_lake(
     salt_cols: list[str] | None = None,
     max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
     writers: int | None = None,
+    replace_partitions: bool = False,
 ) -> str:
     """Write events to the lake.
 
+    ``replace_partitions``: replace exactly the (dt, action) partitions present in
+    ``events`` (dynamic partition overwrite) instead of appending, so re-running a
+    load after a failure or by mistake leaves the lake as one run would.
+
     Default: no shuffle; each task writes its rows to the partitions it holds, so a
     hot ``action`` cannot skew anything. With ``files_per_partition`` = n the rows
     are first hash-partitioned on (dt, action, salt in 0..n-1), bounding the file
@@ -48,12 +53,12 @@ def write_lake(
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(files_per_partition))
         n = writers or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         out = out.repartition(n, F.col("dt"), F.col("action"), salt)
-    (
-        out.write.mode(mode)
-        .option("maxRecordsPerFile", str(max_records_per_file))
-        .partitionBy(*PARTITION_COLUMNS)
-        .parquet(path)
-    )
+    writer = out.write.option("maxRecordsPerFile", str(max_records_per_file)).partitionBy(*PARTITION_COLUMNS)
+    if replace_partitions:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode)
+    writer.parquet(path)
     return path
 
 

@@ -75,3 +75,14 @@ def test_liked_pairs_and_latest_ratings(spark):
     )
     assert sorted(rows(state.liked_pairs(ev))) == [("u1", "A"), ("u2", "A")]
     assert sorted(rows(state.latest_ratings(ev))) == [("u1", "A", 3), ("u2", "B", 1)]
+
+
+def test_lake_rerun_replaces_its_partitions(spark, sf_small):
+    ev = activity(spark, sf_small)
+    path = fresh_path(spark, "lake")
+    day1 = ev.filter(F.to_date("event_time") == "2024-01-10")
+    day2 = ev.filter(F.to_date("event_time") == "2024-01-11")
+    for part in (day1, day2, day1):  # day 1 loaded twice
+        lake.write_lake(part, path, replace_partitions=True)
+    back = lake.read_lake(spark, path)
+    assert back.count() == day1.count() + day2.count()
