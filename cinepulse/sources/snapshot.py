@@ -17,6 +17,7 @@ from cinepulse import schema as S
 from cinepulse.operators.live import trending_snapshot, trending_snapshot_nested
 from cinepulse.sources.versioned import read_latest, write_version
 
+
 def write_snapshot(snapshot: DataFrame, path: str, version: int | None = None, keep: int = 3) -> str:
     """Publish ``snapshot`` as a new one-file version (default: epoch milliseconds)."""
     version = int(time.time() * 1000) if version is None else int(version)
