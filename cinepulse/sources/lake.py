@@ -86,8 +86,16 @@ def partition_counts(lake: DataFrame) -> DataFrame:
     return lake.groupBy("dt", "action").agg(F.count(F.lit(1)).alias("n"))
 
 
-def write_intake(classified: DataFrame, path: str, mode: str = "append") -> str:
-    """Land ``operators.ingest.intake`` output: ``status=accepted/`` and
-    ``status=rejected/`` side by side, written in one job."""
-    classified.write.mode(mode).partitionBy("status").parquet(path)
+def write_intake(classified: DataFrame, path: str, mode: str = "append", replace_partitions: bool = False) -> str:
+    """Land ``operators.ingest.intake`` output partitioned by ``dt`` (message date) and
+    ``status`` (accepted / rejected): both tables in one job. ``replace_partitions``
+    replaces the (dt, status) partitions written, so re-running a day's intake does
+    not duplicate rows."""
+    out = classified.withColumn("dt", F.to_date("event_time"))
+    writer = out.write.partitionBy("dt", "status")
+    if replace_partitions:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode)
+    writer.parquet(path)
     return path

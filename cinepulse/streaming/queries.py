@@ -190,13 +190,14 @@ def start_intake(
     trigger: str | None = DEFAULT_TRIGGER,
     query_name: str | None = None,
 ) -> StreamingQuery:
-    """Streaming intake: accepted and quarantined messages, partitioned by status."""
+    """Streaming intake: accepted and quarantined messages, partitioned by day and status."""
     writer = (
-        intake(messages).writeStream.format("parquet")
+        intake(messages).withColumn("dt", F.to_date("event_time"))
+        .writeStream.format("parquet")
         .outputMode("append")
         .option("path", out_path)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("status")
+        .partitionBy("dt", "status")
     )
     return _start(writer, trigger, query_name)
 

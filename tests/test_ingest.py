@@ -100,8 +100,10 @@ def test_intake_one_pass_both_tables(spark):
     out = ingest.intake(msgs, as_of=NOW)
     p = out._jdf.queryExecution().executedPlan().toString()
     assert p.count("from_json(") == 1
-    path = lake.write_intake(out, fresh_path(spark, "intake"))
+    path = lake.write_intake(out, fresh_path(spark, "intake"), replace_partitions=True)
+    lake.write_intake(out, path, replace_partitions=True)  # a rerun replaces, not duplicates
     back = spark.read.parquet(path)
+    assert back.count() == 3
     got = sorted(rows(back, "status", "reject_reason", "timestamp"), key=str)
     assert got == sorted(
         [("accepted", None, "2024-01-15T10:30:00.000000"), ("rejected", "malformed", None), ("rejected", "missing_genre", "t")], key=str
