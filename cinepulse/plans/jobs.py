@@ -38,8 +38,14 @@ def streaming_job(
     trigger: str | None = streams.DEFAULT_TRIGGER,
     state_partitions: int | None = None,
     wait: bool = True,
+    live_buckets: str | None = None,
+    with_intake: bool = False,
 ):
-    """Start the three streaming queries; read the topic, or message files for tests."""
+    """Start the streaming queries on one topic (or message files, for tests): trend,
+    engagement and raw lake; with ``live_buckets`` (a bucket size such as
+    ``"5 seconds"``) also the live pre-aggregation under ``base/live_buckets`` that
+    ``snapshot_refresh_from_buckets`` reads; with ``with_intake`` also the
+    accepted/quarantine intake under ``base/intake``."""
     if bootstrap_servers:
         messages = kafka.read_kafka_stream(spark, bootstrap_servers)
     elif message_path:
@@ -48,6 +54,14 @@ def streaming_job(
         raise ValueError("bootstrap_servers or message_path is required")
     events = ingest.parse_events(messages)
     queries = streams.start_all(events, base_path, window_duration, watermark, trigger, state_partitions)
+    ck = f"{base_path}/_checkpoints"
+    if live_buckets:
+        buckets = streams.start_live_buckets(
+            events, f"{base_path}/live_buckets", f"{ck}/live_buckets", live_buckets, watermark, trigger, "live_buckets", state_partitions
+        )
+        queries.update({f"live_buckets_{k}": q for k, q in buckets.items()})
+    if with_intake:
+        queries["intake"] = streams.start_intake(messages, f"{base_path}/intake", f"{ck}/intake", trigger, "intake")
     if wait:
         if trigger in (None, "availableNow", "once"):
             streams.await_all(queries)
@@ -133,6 +147,8 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--message-path")
     s.add_argument("--base-path", help="output folder (default: below spark.checkpoint.dir)")
     s.add_argument("--trigger", default=streams.DEFAULT_TRIGGER)
+    s.add_argument("--live-buckets", help="bucket size for the live pre-aggregation, e.g. '5 seconds'")
+    s.add_argument("--intake", action="store_true", help="also land accepted/quarantined messages")
     sub.add_parser("sample", help="batch sample mode")
     r = sub.add_parser("snapshot", help="refresh the live snapshot from the lake or from live buckets")
     src = r.add_mutually_exclusive_group(required=True)
@@ -154,7 +170,10 @@ def main(argv: list[str] | None = None) -> None:
     try:
         if args.job == "stream":
             base = args.base_path or f"{shared_dir(spark)}/cinepulse/stream-job"
-            streaming_job(spark, base, args.bootstrap_servers, args.message_path, trigger=args.trigger)
+            streaming_job(
+                spark, base, args.bootstrap_servers, args.message_path, trigger=args.trigger,
+                live_buckets=args.live_buckets, with_intake=args.intake,
+            )
         elif args.job == "sample":
             trend, engagement = sample_job(spark)
             trend.show(truncate=False)

@@ -26,9 +26,17 @@ def test_streaming_job_from_files(spark, sf_small):
     ev = activity(spark, sf_small)
     src = files.write_messages(ingest.to_messages(ev), fresh_path(spark, "msgs"), files=2)
     base = fresh_path(spark, "job")
-    qs = jobs.streaming_job(spark, base, message_path=src, window_duration="1 day", trigger="availableNow", state_partitions=4)
-    assert set(qs) == {"trending", "engagement", "raw_lake"}
+    qs = jobs.streaming_job(
+        spark, base, message_path=src, window_duration="1 day", trigger="availableNow", state_partitions=4,
+        live_buckets="1 minute", with_intake=True,
+    )
+    assert set(qs) == {"trending", "engagement", "raw_lake", "live_buckets_genres", "live_buckets_movies", "intake"}
     assert lake.read_lake(spark, f"{base}/lake").count() == ev.count()
+    assert spark.read.parquet(f"{base}/intake").filter("status = 'accepted'").count() == ev.filter("genre is not null").count()
+    snap = jobs.snapshot_refresh_from_buckets(spark, f"{base}/live_buckets", fresh_path(spark, "snap"), dt.datetime(2024, 1, 20), "1 day")
+    from cinepulse.sources import snapshot
+
+    assert snapshot.read_snapshot(spark, snap).count() > 0
 
 
 def test_snapshot_refresh_prunes_days(spark, sf_small):
