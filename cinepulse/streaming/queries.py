@@ -58,6 +58,14 @@ def _start(writer, trigger: str | None, query_name: str | None = None, state_par
         spark.conf.set(key, old)
 
 
+def _watermarked(events: DataFrame, watermark: str, col: str = "event_time") -> DataFrame:
+    """``withWatermark`` needs TIMESTAMP; a TIMESTAMP_NTZ event time is cast first
+    (session time zone, UTC in this library)."""
+    if events.schema[col].dataType.typeName() == "timestamp_ntz":
+        events = events.withColumn(col, F.col(col).cast("timestamp"))
+    return events.withWatermark(col, watermark)
+
+
 def _append_by_day(windows: DataFrame, path: str, checkpoint: str):
     """Closed windows appended to Parquet partitioned by ``dt`` (day of window
     start), so reads of recent days prune the older ones."""
@@ -89,7 +97,7 @@ def start_trending(
     long-running job.
     """
     if watermark:
-        agg = trending_genres(events.withWatermark("event_time", watermark), window_duration)
+        agg = trending_genres(_watermarked(events, watermark), window_duration)
         writer = _append_by_day(agg, out_path, checkpoint)
     else:
         agg = trending_genres(events, window_duration)
@@ -107,7 +115,7 @@ def start_engagement(
     query_name: str | None = None,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    agg = engagement_scores(events.withWatermark("event_time", watermark), window_duration)
+    agg = engagement_scores(_watermarked(events, watermark), window_duration)
     return _start(_append_by_day(agg, out_path, checkpoint), trigger, query_name, state_partitions)
 
 
@@ -149,7 +157,7 @@ def start_live_buckets(
     any instant is then ``operators.live.live_*_from_buckets`` over a few buckets,
     with no sliding-window copies of each event."""
     # The buckets are windows over bucket_time; the watermark must be on that column.
-    timed = with_bucket_time(events).withWatermark(BUCKET_TIME, watermark)
+    timed = _watermarked(with_bucket_time(events), watermark, BUCKET_TIME)
     out = {}
     for kind, build in (("genres", genre_buckets), ("movies", movie_buckets)):
         # dt partitions: a refresh reads only the days its trailing window touches.

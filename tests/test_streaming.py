@@ -169,3 +169,14 @@ def test_complete_mode_table_is_versioned(spark, sf_small):
     versions = sorted(d for d in os.listdir(local_fs_path(out)) if d.startswith("version="))
     assert len(versions) == 2  # four triggers published, the two newest kept
     assert read_latest(spark, out).count() == windowed.trending_genres(ev, "1 day").count()
+
+
+def test_watermark_accepts_ntz_event_time(spark, sf_small):
+    # events with a TIMESTAMP_NTZ event time (the adapter's type), streamed from Parquet
+    ev = activity(spark, sf_small)
+    src = fresh_path(spark, "ntz-events")
+    ev.write.parquet(src)
+    stream = spark.readStream.schema(ev.schema).parquet(src)
+    out, ckpt = fresh_path(spark, "eng"), fresh_path(spark, "ckpt")
+    streams.await_all([streams.start_engagement(stream, out, ckpt, "1 day", "10 minutes", trigger="availableNow", state_partitions=4)], 300)
+    assert spark.read.parquet(out).count() > 0
