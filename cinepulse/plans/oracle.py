@@ -186,6 +186,11 @@ FROM top_movies t JOIN catalog c ON c.movie_id = t.movie_id WHERE t.position <=
   SELECT * FROM (SELECT 1 AS pref, movie_id, title, genre, likes, views FROM catalog ORDER BY likes DESC, pos DESC LIMIT 1)
 ) ORDER BY pref LIMIT 1""",
     "live_genre_buckets": _with() + _GENRE_BUCKETS,
+    # raw-event live genres at the max event time floored to the minute
+    "live_genres_from_buckets": _with(
+        _RECENT.replace("(SELECT t FROM as_of)", "date_trunc('minute', (SELECT t FROM as_of))"), _GENRES
+    )
+    + "SELECT genre, score FROM top_genres",
     # catalogue
     "catalog_by_genre": _with() + "SELECT * FROM catalog WHERE genre = 'SMALL'",
     "catalog_all": _with() + "SELECT * FROM catalog",

@@ -157,6 +157,14 @@ def q_headline_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.headline_movie(ev, adapter.catalog(spark, sf_dir), as_of, LIVE_TRAILING)
 
 
+def q_live_genres_from_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live genre top-5 from one-minute buckets at a minute boundary (max event
+    time floored to the minute): equal to the raw-event view at that instant."""
+    ev = _events(spark, sf_dir)
+    as_of = resolve_as_of(ev).replace(second=0, microsecond=0)
+    return live.live_trending_genres_from_buckets(live.genre_buckets(ev, LIVE_BUCKET), as_of, LIVE_TRAILING)
+
+
 def q_live_genre_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.genre_buckets(_events(spark, sf_dir), LIVE_BUCKET).select("bucket_start", "genre", "score")
 
