@@ -180,3 +180,12 @@ def test_watermark_accepts_ntz_event_time(spark, sf_small):
     out, ckpt = fresh_path(spark, "eng"), fresh_path(spark, "ckpt")
     streams.await_all([streams.start_engagement(stream, out, ckpt, "1 day", "10 minutes", trigger="availableNow", state_partitions=4)], 300)
     assert spark.read.parquet(out).count() > 0
+
+
+def test_console_sink(spark, sf_small):
+    ev = activity(spark, sf_small)
+    src = files.write_messages(ingest.to_messages(ev), fresh_path(spark, "msgs"))
+    stream = ingest.parse_events(files.read_message_stream(spark, src))
+    q = streams.start_console(windowed.trending_genres(stream, "1 day"), "trend_console", trigger="availableNow", rows=5)
+    streams.await_all([q], 300)
+    assert q.name == "trend_console" and streams.events_processed(q) == ev.count()
