@@ -77,7 +77,8 @@ def classify(messages: DataFrame) -> DataFrame:
 
 def validate_events(messages: DataFrame, as_of=None) -> DataFrame:
     """Accepted events; the payload time is replaced by the intake instant ``as_of``
-    (default: max message time, as a scalar subquery)."""
+    (default: max message time, as a scalar subquery), typed TIMESTAMP_NTZ here.
+    ``intake`` writes the same instant as ISO-8601 text, as the service publishes it."""
     classified = classify(messages)
     if as_of is None:
         stamp = messages.select(F.max("timestamp").cast("timestamp_ntz")).scalar()
