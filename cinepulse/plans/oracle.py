@@ -210,6 +210,7 @@ FROM top_movies t JOIN catalog c ON c.movie_id = t.movie_id WHERE t.position <=
 FROM activity WHERE action = 'rate' AND rating_value IS NOT NULL GROUP BY user_id, movie_id""",
     "liked_pairs": _with() + "SELECT DISTINCT user_id, movie_id FROM activity WHERE action = 'like'",
     "daily_report": _with() + _engagement("CAST(event_time AS DATE) AS day, movie_id, genre", "day, movie_id, genre"),
+    "daily_report_from_lake": _with() + _engagement("CAST(event_time AS DATE) AS day, movie_id, genre", "day, movie_id, genre"),
     "monthly_report": _with()
     + _engagement("CAST(date_trunc('month', event_time) AS DATE) AS month, movie_id, genre", "month, movie_id, genre"),
     "lake_write_read": _LAKE_COUNTS,

@@ -217,6 +217,11 @@ def _write_lake(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
+def q_daily_report_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily report built from the landed lake (all of it) instead of the events."""
+    return reports.daily_report(lake.read_lake(spark, _write_lake(spark, sf_dir)))
+
+
 def q_lake_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _write_lake(spark, sf_dir)
     return lake.partition_counts(lake.read_lake(spark, path))
