@@ -86,3 +86,45 @@ def test_live_matches_model(spark, data):
     scored.sort(key=lambda x: x[2], reverse=True)
     got_movies = [(r.movie_id, r.genre, r.score) for r in live.live_movie_scores(ev, AS_OF).collect()]
     assert got_movies == [(m, g, float(s)) for m, g, s in scored[:10]]
+
+
+FIELDS = ["user_id", "action", "movie_id", "genre", "timestamp"]
+payload = st.fixed_dictionaries(
+    {},
+    optional={
+        **{f: st.one_of(st.none(), st.text(max_size=6)) for f in FIELDS},
+        "rating_value": st.one_of(st.none(), st.integers(-5, 10), st.sampled_from([4.5, 2.25])),
+    },
+)
+
+
+@SETTINGS
+@given(st.lists(payload, min_size=1, max_size=15))
+def test_decode_and_validate_match_model(spark, payloads):
+    import json
+
+    from pyspark.sql import types as T
+
+    from cinepulse.operators import ingest
+
+    schema = T.StructType([T.StructField("value", T.BinaryType()), T.StructField("timestamp", T.TimestampType())])
+    msgs = spark.createDataFrame([(bytearray(json.dumps(p).encode()), BASE) for p in payloads], schema)
+    got = [tuple(r[f] for f in [*FIELDS, "rating_value"]) for r in ingest.parse_events(msgs).collect()]
+
+    def model(p):
+        r = p.get("rating_value")
+        return (*[p.get(f) for f in FIELDS], r if isinstance(r, int) else None)
+
+    assert sorted(got, key=repr) == sorted((model(p) for p in payloads), key=repr)
+
+    def reason(p):
+        if isinstance(p.get("rating_value"), float):
+            return "malformed"  # a rating that is not an integer
+        for f in FIELDS:
+            if p.get(f) is None:
+                return f"missing_{f}"
+        return None
+
+    want = collections.Counter(r for r in map(reason, payloads) if r)
+    counts = {row.reason: row.n for row in ingest.quarantine_counts(msgs).collect()}
+    assert counts == dict(want)
