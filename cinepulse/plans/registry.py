@@ -57,18 +57,22 @@ def _messages(spark: SparkSession, sf_dir: str, malformed_every: int | None = MA
 
 
 def q_parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decode the topic messages; every 97th payload is broken and stays an all-NULL row."""
     return _ntz(ingest.parse_events(_messages(spark, sf_dir)), "event_time")
 
 
 def q_validate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted messages, payload time replaced by the intake instant."""
     return _ntz(ingest.validate_events(_messages(spark, sf_dir)), "event_time")
 
 
 def q_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected messages per reason."""
     return ingest.quarantine_counts(_messages(spark, sf_dir))
 
 
 def q_normalize_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISO text with `Z`, zone-less, empty or junk; unparsable rows drop out."""
     ev = _events(spark, sf_dir)
     text = (
         F.when(F.col("event_id") % 4 == 0, F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
@@ -81,6 +85,7 @@ def q_normalize_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_publish_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON payloads with NULL fields written, decoded back."""
     ev = _events(spark, sf_dir).withColumn("timestamp", iso_naive_text("event_time"))
     published = ingest.encode_events(ev)
     text = F.col("value").cast("string")
@@ -92,22 +97,27 @@ def q_publish_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_trending_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genre counts per 5-minute window."""
     return windowed.trending_genres(_events(spark, sf_dir), TREND_WINDOW)
 
 
 def q_trending_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 10 (window, genre) rows."""
     return windowed.calculate_trending_genres(_events(spark, sf_dir), TREND_WINDOW, 10)
 
 
 def q_top_genre_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most active genre of each day."""
     return windowed.top_genre_per_window(windowed.trending_genres(_events(spark, sf_dir), DAY_WINDOW))
 
 
 def q_engagement_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Engagement per (5-minute window, movie, genre)."""
     return windowed.engagement_scores(_events(spark, sf_dir), TREND_WINDOW)
 
 
 def q_engagement_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 20 engagement rows."""
     return windowed.calculate_engagement_score(_events(spark, sf_dir), TREND_WINDOW, 20)
 
 
@@ -122,37 +132,44 @@ def _live(spark: SparkSession, sf_dir: str):
 
 
 def q_live_trending_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live genre top 5 over the trailing day."""
     ev, as_of = _live(spark, sf_dir)
     return live.live_trending_genres(ev, as_of, LIVE_TRAILING)
 
 
 def q_live_movie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live movie top 10 over the trailing day."""
     ev, as_of = _live(spark, sf_dir)
     return live.live_movie_scores(ev, as_of, LIVE_TRAILING)
 
 
 def q_trending_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both live lists in long form."""
     ev, as_of = _live(spark, sf_dir)
     return live.trending_snapshot(ev, as_of, LIVE_TRAILING)
 
 
 def q_health_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events processed and events in the trailing window."""
     # Counts every row anyway (no filter to push), so the instant stays a subquery
     # evaluated inside the same query instead of a separate job.
     return live.health_counts(_events(spark, sf_dir), None, LIVE_TRAILING)
 
 
 def q_genre_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trend cards with share of the top score."""
     ev, as_of = _live(spark, sf_dir)
     return cat.genre_share(ev, as_of, LIVE_TRAILING)
 
 
 def q_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 5 live movies joined with the catalogue."""
     ev, as_of = _live(spark, sf_dir)
     return cat.leaderboard(ev, adapter.catalog(spark, sf_dir), as_of, LIVE_TRAILING)
 
 
 def q_headline_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue row of the top live movie, else the most liked."""
     ev, as_of = _live(spark, sf_dir)
     return cat.headline_movie(ev, adapter.catalog(spark, sf_dir), as_of, LIVE_TRAILING)
 
@@ -166,6 +183,7 @@ def q_live_genres_from_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_live_genre_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-minute (start, end] buckets of live genre counts."""
     return live.genre_buckets(_events(spark, sf_dir), LIVE_BUCKET).select("bucket_start", "genre", "score")
 
 
@@ -173,22 +191,27 @@ def q_live_genre_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_catalog_by_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue rows of one genre."""
     return cat.by_genre(adapter.catalog(spark, sf_dir), CATALOG_GENRE)
 
 
 def q_catalog_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The `All` selector (no filter)."""
     return cat.by_genre(adapter.catalog(spark, sf_dir), "All")
 
 
 def q_catalog_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total likes and views."""
     return cat.totals(adapter.catalog(spark, sf_dir))
 
 
 def q_catalog_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most liked, most viewed, highest rated (ties: last row)."""
     return cat.extremes(adapter.catalog(spark, sf_dir))
 
 
 def q_catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movies and genres."""
     return cat.counts(adapter.catalog(spark, sf_dir))
 
 
@@ -196,18 +219,22 @@ def q_catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_latest_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last rating per (user, movie)."""
     return state.latest_ratings(_events(spark, sf_dir))
 
 
 def q_liked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user, movie) pairs with a like."""
     return state.liked_pairs(_events(spark, sf_dir))
 
 
 def q_daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Engagement per day, movie and genre."""
     return reports.daily_report(_events(spark, sf_dir))
 
 
 def q_monthly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Engagement per month, movie and genre."""
     return reports.monthly_report(_events(spark, sf_dir))
 
 
@@ -223,11 +250,13 @@ def q_daily_report_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_lake_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lake written by (dt, action), rows per partition read back."""
     path = _write_lake(spark, sf_dir)
     return lake.partition_counts(lake.read_lake(spark, path))
 
 
 def q_lake_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One (dt, action) partition read back with partition pruning."""
     path = _write_lake(spark, sf_dir)
     return lake.read_lake(spark, path, LAKE_DAY, LAKE_DAY, [LAKE_ACTION], ["movie_id", "event_time"])
 
@@ -248,6 +277,7 @@ def _run(query) -> None:
 
 
 def q_stream_trending_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trend as a complete-mode stream over two micro-batches."""
     src = _stream_source(spark, sf_dir)
     events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
     out, ckpt = fresh_path(spark, "trending"), fresh_path(spark, "ckpt-trending")
@@ -256,6 +286,7 @@ def q_stream_trending_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_engagement_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Engagement as an append-mode stream with a watermark (closed days)."""
     src = _stream_source(spark, sf_dir)
     # One batch for all files: the files are hash-split, not in time order, so a
     # later batch could hold rows behind the watermark, which it would drop.
@@ -268,6 +299,7 @@ def q_stream_engagement_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_live_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live genres over sliding windows (1 hour every 15 minutes), streamed."""
     src = _stream_source(spark, sf_dir)
     events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
     out, ckpt = fresh_path(spark, "live-genres"), fresh_path(spark, "ckpt-live-genres")
@@ -276,6 +308,7 @@ def q_stream_live_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_live_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live genre buckets as an append-mode stream (closed buckets)."""
     src = _stream_source(spark, sf_dir)
     # One batch, as for engagement: the files are not in time order, so a later
     # batch could hold rows behind the watermark, which a watermark drops.
@@ -289,6 +322,7 @@ def q_stream_live_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_raw_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw lake sink, rows per partition read back."""
     src = _stream_source(spark, sf_dir, time_ordered=True)
     events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
     path, ckpt = fresh_path(spark, "stream-lake"), fresh_path(spark, "ckpt-stream-lake")
