@@ -214,6 +214,8 @@ def _recent_buckets(buckets: DataFrame, as_of, window: str) -> DataFrame:
     recent = buckets.filter(F.col("bucket_start") >= cutoff)
     if "dt" in buckets.columns:  # a dt-partitioned bucket table: prune whole days
         recent = recent.filter(F.col("dt") >= F.to_date(cutoff))
+    if "batch_id" in buckets.columns:  # per-batch partial rows: a replayed batch repeats its rows
+        recent = recent.dropDuplicates()
     return recent
 
 

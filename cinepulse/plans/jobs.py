@@ -56,8 +56,10 @@ def streaming_job(
     queries = streams.start_all(events, base_path, window_duration, watermark, trigger, state_partitions)
     ck = f"{base_path}/_checkpoints"
     if live_buckets:
+        # fresh (stateless) buckets: the snapshot sees the last trigger's events
         buckets = streams.start_live_buckets(
-            events, f"{base_path}/live_buckets", f"{ck}/live_buckets", live_buckets, watermark, trigger, "live_buckets", state_partitions
+            events, f"{base_path}/live_buckets", f"{ck}/live_buckets", live_buckets, watermark, trigger, "live_buckets",
+            state_partitions, fresh=True,
         )
         queries.update({f"live_buckets_{k}": q for k, q in buckets.items()})
     if with_intake:

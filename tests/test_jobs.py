@@ -30,7 +30,7 @@ def test_streaming_job_from_files(spark, sf_small):
         spark, base, message_path=src, window_duration="1 day", trigger="availableNow", state_partitions=4,
         live_buckets="1 minute", with_intake=True,
     )
-    assert set(qs) == {"trending", "engagement", "raw_lake", "live_buckets_genres", "live_buckets_movies", "intake"}
+    assert set(qs) == {"trending", "engagement", "raw_lake", "live_buckets_fresh", "intake"}
     assert lake.read_lake(spark, f"{base}/lake").count() == ev.count()
     assert spark.read.parquet(f"{base}/intake").filter("status = 'accepted'").count() == ev.filter("genre is not null").count()
     snap = jobs.snapshot_refresh_from_buckets(spark, f"{base}/live_buckets", fresh_path(spark, "snap"), dt.datetime(2024, 1, 20), "1 day")
