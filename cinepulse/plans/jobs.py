@@ -18,6 +18,7 @@ import argparse
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cinepulse import schema as S
 from cinepulse.functions.expressions import to_timedelta
@@ -141,6 +142,24 @@ def monthly_report_job(spark: SparkSession, lake_path: str, out_path: str, month
     return out_path
 
 
+def compact_live_buckets(spark: SparkSession, buckets_path: str, before: dt.date | str) -> None:
+    """Merge the fresh live buckets' per-batch partial rows of the days before
+    ``before`` into one row per (bucket, key), replacing those ``dt`` partitions.
+
+    Run it on closed days only (older than the stream's newest events), since a
+    replaced day loses rows a running stream appends to it meanwhile. The job
+    rewrites the folders it reads, so the merged rows are checkpointed first
+    (``spark.checkpoint.dir``), which cuts their lineage to the old files.
+    """
+    before = dt.date.fromisoformat(before) if isinstance(before, str) else before
+    for kind, compact in (("genres", live.compact_genre_buckets), ("movies", live.compact_movie_buckets)):
+        path = f"{buckets_path}/{kind}"
+        table = spark.read.parquet(path)
+        old = table.filter(F.col("dt") < F.lit(before)).drop("dt")
+        merged = compact(old).withColumn("dt", F.to_date("bucket_start")).select(*table.columns).checkpoint()
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="cinepulse.plans.jobs")
     sub = parser.add_subparsers(dest="job", required=True)
@@ -161,6 +180,9 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("--lake", required=True)
     d.add_argument("--out", required=True)
     d.add_argument("--day", required=True)
+    c = sub.add_parser("compact-buckets", help="merge fresh live-bucket partials of closed days")
+    c.add_argument("--buckets", required=True)
+    c.add_argument("--before", required=True, help="YYYY-MM-DD: compact the days before this one")
     m = sub.add_parser("monthly-report", help="report of one month from the lake")
     m.add_argument("--lake", required=True)
     m.add_argument("--out", required=True)
@@ -186,6 +208,8 @@ def main(argv: list[str] | None = None) -> None:
             snapshot_refresh(spark, args.lake, args.out)
         elif args.job == "daily-report":
             daily_report_job(spark, args.lake, args.out, args.day)
+        elif args.job == "compact-buckets":
+            compact_live_buckets(spark, args.buckets, args.before)
         elif args.job == "monthly-report":
             monthly_report_job(spark, args.lake, args.out, args.month)
     finally:
