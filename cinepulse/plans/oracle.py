@@ -127,6 +127,9 @@ ORACLE: dict[str, str] = {
 FROM decoded WHERE """ + _REJECT + " IS NULL",
     "quarantine_counts": _with(_MESSAGES)
     + "SELECT " + _REJECT + " AS reason, count(*) AS n FROM decoded WHERE " + _REJECT + " IS NOT NULL GROUP BY 1",
+    "intake_counts": _with(_MESSAGES)
+    + "SELECT CASE WHEN " + _REJECT + " IS NULL THEN 'accepted' ELSE 'rejected' END AS status, "
+    + _REJECT + " AS reason, count(*) AS n FROM decoded GROUP BY ALL",
     "normalize_timestamps": _with(
         """raw AS (
   SELECT event_id,

@@ -71,6 +71,12 @@ def q_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.quarantine_counts(_messages(spark, sf_dir))
 
 
+def q_intake_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one-pass intake (accepted and quarantined together), rows per status and reason."""
+    intake = ingest.intake(_messages(spark, sf_dir))
+    return intake.groupBy("status", F.col("reject_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_normalize_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ISO text with `Z`, zone-less, empty or junk; unparsable rows drop out."""
     ev = _events(spark, sf_dir)
