@@ -2,21 +2,20 @@
 
 A document's set holds the hashes of its distinct 5-word shingles (words between
 ASCII white space, A-Z lower-cased; the whole sequence if there are fewer words).
-Its signature has 128 minima. The forest has ``ORDERS`` orders of the signature; in
+Its signature has 256 minima. The forest has ``ORDERS`` orders of the signature; in
 each, documents are sorted by the signature's values in that order, and those that
-share the first ``DEPTH`` values form a region. Candidates are the neighbours inside
-a region: sorted by the further values, the nearest have the longest common prefix,
-so the depth at which a document is compared adapts to how crowded its region is.
-A region of more than ``REGION_ROWS`` documents is cut at its next four values, and
-by the id if those are equal as well, and its parts are tied by their first ids.
-
-Neighbours are taken in passes. After each pass the candidates whose signatures
-agree well enough are checked on the full sets, links are gathered to components,
-and the next pass looks further along the order, but only in regions that still hold
-more than one component and only across components. Passes go on until every region
-is exhausted: no partner is dropped for being one too many. What may be missed is a
-pair that shares no region in any order; with 40 orders of depth 5 that happens to
-about 2 in 100,000 pairs at similarity 0.75 and to fewer above.
+share the first ``DEPTH`` values form a region. Candidates are first the neighbours
+inside a region: sorted by the further values, the nearest have the longest common
+prefix, so the depth at which a document is compared adapts to how crowded its
+region is. Candidates whose signatures agree well enough are checked on the full
+sets, and links are gathered to components.
+
+No partner is dropped for being one too many: regions that then still hold more than
+one component are compared whole, signature against signature across components, in
+blocks of ``BLOCK_ROWS`` documents inside the tasks; only pairs that agree well
+enough leave a task, to be checked on the full sets. What may be missed is a pair
+that shares no region in any order; with 40 orders of depth 5 that happens to about
+2 in 100,000 pairs at similarity 0.75 and to fewer above.
 
 Documents with equal sets are one node (the smallest id), so copies never meet as
 pairs. Empty and NULL texts have the empty set and are linked with nothing. Rows
@@ -39,17 +38,19 @@ from cinepulse.llm.common import small_side, staged
 from cinepulse.llm.textvec import U64, grouped, mix, words_of
 
 WORDS_PER_SHINGLE = 5
-SIGNATURE = 128
+SIGNATURE = 256
 ORDERS = 40
 DEPTH = 5
 FURTHER = 4  # values after the region's, packed in one sortable number
+REACH = 2  # seats that the first pass looks ahead in an order
+#: A region is compared in blocks of so many documents; in the first pass it is cut at
+#: its further values, and by the id, if it has more than ``REGION_ROWS``.
+BLOCK_ROWS = 2048
 REGION_ROWS = 50_000
-#: Neighbours looked at by pass: the first, then as many more in each later pass.
-FIRST_REACH, NEXT_REACH = 2, 48
 THRESHOLD = 75  # percent
-#: Pairs whose 128 signature bytes agree less are not checked on the full sets: at a
-#: true similarity of 0.75 this is more than six standard errors away.
-LEAST_AGREEMENT = 64
+#: Pairs whose 256 signature bytes agree less are not checked on the full sets: at a
+#: true similarity of 0.75 this is 4.6 standard errors away.
+LEAST_AGREEMENT = 160
 SKETCHES = "id long, n_shingles long, set_hash binary, sketch binary, regions array<long>, further array<long>"
 
 _rng = np.random.default_rng(0xF0E57)
@@ -206,21 +207,89 @@ def _seats(spark: SparkSession, nodes: DataFrame) -> tuple[DataFrame, DataFrame]
     return rows, ties
 
 
-def _neighbours(seats: DataFrame, after: int, reach: int) -> DataFrame:
-    """Distinct pairs (a < b) of nodes ``after`` + 1 to ``after`` + ``reach`` seats apart."""
-    w = W.partitionBy("part").orderBy("further", "id").rowsBetween(after + 1, after + reach)
+def _neighbours(seats: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of nodes at most ``REACH`` seats apart."""
+    w = W.partitionBy("part").orderBy("further", "id").rowsBetween(1, REACH)
     pairs = seats.select("id", F.collect_list("id").over(w).alias("others")).filter(F.size("others") > 0)
     pairs = pairs.select("id", F.explode("others").alias("other"))
     return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).filter("a < b").distinct()
 
 
+def _foreign_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cell, block, id, comp, sketch) sorted by cell -> (a, b, agreement) of the
+    pairs of a cell that are in different components and agree well enough. A cell of
+    two blocks compares the one with the other."""
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def compare(ids: np.ndarray, comps: np.ndarray, blocks: np.ndarray, marks: np.ndarray) -> None:
+        if len(ids) < 2 or (comps == comps[0]).all():
+            return
+        two = blocks.min() != blocks.max()
+        for i in range(len(ids) - 1):
+            other = comps[i + 1 :] != comps[i]
+            if two:
+                other &= blocks[i + 1 :] != blocks[i]
+            at = np.flatnonzero(other) + i + 1
+            if not len(at):
+                continue
+            same = (marks[at] == marks[i]).sum(1)
+            hit = same >= LEAST_AGREEMENT
+            if hit.any():
+                mate, mine = ids[at[hit]], ids[i]
+                found.append((np.minimum(mate, mine), np.maximum(mate, mine), same[hit]))
+
+    def out() -> Iterator[pa.RecordBatch]:
+        if found:
+            a, b, n = (np.concatenate(c) for c in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n.astype(np.int32))], names=["a", "b", "agreement"])
+            found.clear()
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cells, ids, comps = (batch.column(i).to_numpy() for i in (0, 2, 3))
+        blocks = batch.column(1).to_numpy()
+        marks = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, SIGNATURE)
+        part = [cells, ids, comps, blocks, marks]
+        if held is not None:
+            part = [np.concatenate(x) for x in zip(held, part)]
+        edges = np.flatnonzero(np.r_[True, part[0][1:] != part[0][:-1]])
+        for i, j in zip(edges[:-1], edges[1:]):
+            compare(*(x[i:j] for x in part[1:]))
+        held = [x[edges[-1] :] for x in part]
+        yield from out()
+    if held is not None:
+        compare(*held[1:])
+        yield from out()
+
+
+def _open_pairs(spark: SparkSession, seats: DataFrame, labels: DataFrame | None, marks: DataFrame) -> DataFrame:
+    """Candidates across components in the regions that hold several: (a, b, agreement)."""
+    rows = seats.filter(F.col("size") > 2).select("id", "region", "size")
+    if labels is None:
+        rows = rows.withColumn("comp", F.col("id"))
+    else:
+        rows = rows.join(labels.select(F.col("node").alias("id"), "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    rows = staged(spark, rows, "seats-by-component")
+    several = rows.groupBy("region").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high").select("region")
+    rows = rows.join(small_side(staged(spark, several, "open-regions")), "region", "left_semi").join(marks, "id")
+    blocks = F.ceil(F.col("size") / F.lit(BLOCK_ROWS)).cast("int")
+    rows = rows.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("id"), blocks).cast("int")})
+    # A region of several blocks: every block meets every block, itself included.
+    mate = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    cells = rows.withColumn("mate", mate).withColumn("cell", F.xxhash64("region", F.least("block", "mate"), F.greatest("block", "mate")))
+    cells = cells.select("cell", "block", "id", "comp", "sketch").repartition("cell").sortWithinPartitions("cell")
+    return cells.mapInArrow(_foreign_pairs, "a long, b long, agreement int").distinct()
+
+
 def _across(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Pairs whose ends are in different components."""
     if labels is None:
         return pairs
     for c in ("a", "b"):
         pairs = pairs.join(labels.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}")), c, "left")
-    return pairs.filter(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b", *[c for c in pairs.columns if c == "agreement"])
+    return pairs.filter(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b")
 
 
 def _checked(spark: SparkSession, docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -239,34 +308,29 @@ def near_links(spark: SparkSession, docs: DataFrame, sketches: DataFrame) -> tup
     nodes = staged(spark, sketches.join(first.select(F.col("node").alias("id"), "set_hash"), ["id", "set_hash"], "left_semi").dropDuplicates(["id", "set_hash"]), "nodes")
     seats, ties = _seats(spark, nodes)
     marks = nodes.select("id", "sketch")
-    labels, links, after, reach = None, None, 0, FIRST_REACH
-    while True:
-        pairs = _neighbours(seats, after, reach)
-        pairs = _across(pairs.unionByName(ties).distinct() if after == 0 else pairs, labels)
-        marked = pairs.join(marks.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a").join(marks.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
-        alike = staged(spark, marked.select("a", "b", "sa", "sb").mapInArrow(_agreeing, "a long, b long, agreement int").distinct(), "alike")
-        # The best partners first; most others are in one component by then.
-        best = F.row_number().over(W.partitionBy("b").orderBy(F.desc("agreement"), "a"))
-        ranked = staged(spark, alike.withColumn("rank", best), "ranked")
-        for step in (F.col("rank") <= 2, F.col("rank") > 2):
-            todo = staged(spark, _across(ranked.filter(step).select("a", "b"), labels), "pairs")
-            if todo.isEmpty():
-                continue
-            found = _checked(spark, docs, todo)
-            links = staged(spark, found if links is None else links.unionByName(found), "found")
-            if not links.isEmpty():
-                labels = components(spark, links)
-        after, reach = after + reach, NEXT_REACH
-        open_seats = seats.filter(F.col("size") > after + 1)
-        if labels is not None:
-            open_seats = open_seats.join(labels.select(F.col("node").alias("id"), "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        else:
-            open_seats = open_seats.withColumn("comp", F.col("id"))
-        several = open_seats.groupBy("region").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high").select("region")
-        several = small_side(staged(spark, several, "open-regions"))
-        seats = staged(spark, seats.join(several, "region", "left_semi"), "open")
-        if seats.isEmpty():
-            return labels, nodes
+    side = {c: marks.select(F.col("id").alias(c), F.col("sketch").alias(f"s{c}")) for c in "ab"}
+    pairs = _neighbours(seats).unionByName(ties).distinct().join(side["a"], "a").join(side["b"], "b").select("a", "b", "sa", "sb")
+    near = staged(spark, pairs.mapInArrow(_agreeing, "a long, b long, agreement int").distinct(), "neighbours")
+    links, labels = _link(spark, docs, near, None, None)
+    rest = staged(spark, _open_pairs(spark, seats, labels, marks), "rest")
+    _, labels = _link(spark, docs, rest, links, labels)
+    return labels, nodes
+
+
+def _link(spark: SparkSession, docs: DataFrame, candidates: DataFrame, links: DataFrame | None, labels: DataFrame | None):
+    """Links and components with those among ``candidates`` (a, b, agreement; staged)."""
+    # The best partners first; most others are in one component by then.
+    best = F.row_number().over(W.partitionBy("b").orderBy(F.desc("agreement"), "a"))
+    ranked = staged(spark, candidates.withColumn("rank", best), "ranked")
+    for step in (F.col("rank") <= 2, F.col("rank") > 2):
+        todo = staged(spark, _across(ranked.filter(step).select("a", "b"), labels), "pairs")
+        if todo.isEmpty():
+            continue
+        found = _checked(spark, docs, todo)
+        links = staged(spark, found if links is None else links.unionByName(found), "found")
+        if not links.isEmpty():
+            labels = components(spark, links)
+    return links, labels
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
