@@ -11,9 +11,10 @@ region is. Candidates whose signatures agree well enough are checked on the full
 sets, and links are gathered to components.
 
 No partner is dropped for being one too many: regions that then still hold more than
-one component are compared whole, signature against signature across components, in
-blocks of ``BLOCK_ROWS`` documents inside the tasks; only pairs that agree well
-enough leave a task, to be checked on the full sets. What may be missed is a pair
+one component are compared whole across components, in blocks of ``BLOCK_ROWS``
+documents inside the tasks, by 16 bits of every shingle; these bound the similarity
+from above, and only pairs that may reach it leave a task, to be checked on the full
+sets. What may be missed is a pair
 that shares no region in any order; with 40 orders of depth 5 that happens to about
 2 in 100,000 pairs at similarity 0.75 and to fewer above.
 
@@ -142,6 +143,16 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             done += len(sets)
 
 
+def _short_set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text) -> (id, shorts): 16 bits of every shingle, ascending."""
+    for batch in batches:
+        done = 0
+        for sets in shingle_sets(batch.column(1).to_pylist()):
+            packed = pa.array([(s >> U64(48)).astype(np.uint16).tobytes() for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(sets)), packed], names=["id", "shorts"])
+            done += len(sets)
+
+
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, sketch_a, sketch_b) -> (a, b, agreement) of the pairs worth a full check."""
     for batch in batches:
@@ -216,27 +227,35 @@ def _neighbours(seats: DataFrame) -> DataFrame:
 
 
 def _foreign_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (cell, block, id, comp, sketch) sorted by cell -> (a, b, agreement) of the
-    pairs of a cell that are in different components and agree well enough. A cell of
-    two blocks compares the one with the other."""
+    """Rows (cell, block, id, comp, shorts) sorted by cell -> (a, b, agreement) of the
+    pairs of a cell that are in different components and may be similar enough: the
+    shorts that one set shares with the other bound their intersection from above. A
+    cell of two blocks compares the one with the other."""
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    table = np.zeros(1 << 16, bool)
 
-    def compare(ids: np.ndarray, comps: np.ndarray, blocks: np.ndarray, marks: np.ndarray) -> None:
+    def compare(ids: np.ndarray, comps: np.ndarray, blocks: np.ndarray, shorts: list[bytes]) -> None:
         if len(ids) < 2 or (comps == comps[0]).all():
             return
         two = blocks.min() != blocks.max()
+        sets = [np.frombuffer(x, np.uint16) for x in shorts]
+        sizes = np.array([len(x) for x in sets])
+        at, flat = np.r_[0, np.cumsum(sizes)], np.concatenate(sets)
         for i in range(len(ids) - 1):
             other = comps[i + 1 :] != comps[i]
             if two:
                 other &= blocks[i + 1 :] != blocks[i]
-            at = np.flatnonzero(other) + i + 1
-            if not len(at):
+            if not other.any():
                 continue
-            same = (marks[at] == marks[i]).sum(1)
-            hit = same >= LEAST_AGREEMENT
+            table[sets[i]] = True
+            common = np.add.reduceat(table[flat[at[i + 1] :]], at[i + 1 : -1] - at[i + 1], dtype=np.int64)
+            table[sets[i]] = False
+            common = np.minimum(common, sizes[i])
+            union = sizes[i] + sizes[i + 1 :] - common
+            hit = other & (100 * common >= THRESHOLD * union)
             if hit.any():
-                mate, mine = ids[at[hit]], ids[i]
-                found.append((np.minimum(mate, mine), np.maximum(mate, mine), same[hit]))
+                mate, mine = ids[i + 1 :][hit], ids[i]
+                found.append((np.minimum(mate, mine), np.maximum(mate, mine), (100 * common // union)[hit]))
 
     def out() -> Iterator[pa.RecordBatch]:
         if found:
@@ -244,27 +263,24 @@ def _foreign_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n.astype(np.int32))], names=["a", "b", "agreement"])
             found.clear()
 
-    held = None
+    held: tuple | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        cells, ids, comps = (batch.column(i).to_numpy() for i in (0, 2, 3))
-        blocks = batch.column(1).to_numpy()
-        marks = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, SIGNATURE)
-        part = [cells, ids, comps, blocks, marks]
+        part = [batch.column(i).to_numpy() for i in (0, 2, 3, 1)] + [batch.column(4).to_pylist()]
         if held is not None:
-            part = [np.concatenate(x) for x in zip(held, part)]
+            part = [np.concatenate(x) for x in zip(held[:4], part[:4])] + [held[4] + part[4]]
         edges = np.flatnonzero(np.r_[True, part[0][1:] != part[0][:-1]])
         for i, j in zip(edges[:-1], edges[1:]):
             compare(*(x[i:j] for x in part[1:]))
-        held = [x[edges[-1] :] for x in part]
+        held = tuple(x[edges[-1] :] for x in part)
         yield from out()
     if held is not None:
         compare(*held[1:])
         yield from out()
 
 
-def _open_pairs(spark: SparkSession, seats: DataFrame, labels: DataFrame | None, marks: DataFrame) -> DataFrame:
+def _open_pairs(spark: SparkSession, docs: DataFrame, seats: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Candidates across components in the regions that hold several: (a, b, agreement)."""
     rows = seats.filter(F.col("size") > 2).select("id", "region", "size")
     if labels is None:
@@ -273,13 +289,16 @@ def _open_pairs(spark: SparkSession, seats: DataFrame, labels: DataFrame | None,
         rows = rows.join(labels.select(F.col("node").alias("id"), "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     rows = staged(spark, rows, "seats-by-component")
     several = rows.groupBy("region").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high").select("region")
-    rows = rows.join(small_side(staged(spark, several, "open-regions")), "region", "left_semi").join(marks, "id")
+    rows = staged(spark, rows.join(small_side(staged(spark, several, "open-regions")), "region", "left_semi"), "open-seats")
+    wanted = staged(spark, rows.select("id").distinct(), "to-compare")
+    texts = docs.join(small_side(wanted), "id", "left_semi").select("id", "text")
+    shorts = staged(spark, texts.mapInArrow(_short_set_batches, "id long, shorts binary"), "shorts")
     blocks = F.ceil(F.col("size") / F.lit(BLOCK_ROWS)).cast("int")
-    rows = rows.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("id"), blocks).cast("int")})
+    rows = rows.join(shorts, "id").withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("id"), blocks).cast("int")})
     # A region of several blocks: every block meets every block, itself included.
     mate = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = rows.withColumn("mate", mate).withColumn("cell", F.xxhash64("region", F.least("block", "mate"), F.greatest("block", "mate")))
-    cells = cells.select("cell", "block", "id", "comp", "sketch").repartition("cell").sortWithinPartitions("cell")
+    cells = cells.select("cell", "block", "id", "comp", "shorts").repartition("cell").sortWithinPartitions("cell")
     return cells.mapInArrow(_foreign_pairs, "a long, b long, agreement int").distinct()
 
 
@@ -312,7 +331,7 @@ def near_links(spark: SparkSession, docs: DataFrame, sketches: DataFrame) -> tup
     pairs = _neighbours(seats).unionByName(ties).distinct().join(side["a"], "a").join(side["b"], "b").select("a", "b", "sa", "sb")
     near = staged(spark, pairs.mapInArrow(_agreeing, "a long, b long, agreement int").distinct(), "neighbours")
     links, labels = _link(spark, docs, near, None, None)
-    rest = staged(spark, _open_pairs(spark, seats, labels, marks), "rest")
+    rest = staged(spark, _open_pairs(spark, docs, seats, labels), "rest")
     _, labels = _link(spark, docs, rest, links, labels)
     return labels, nodes
 
