@@ -53,7 +53,7 @@ def features(codes: np.ndarray, borders: np.ndarray | None = None) -> tuple[np.n
     A word is a run of characters that are not ASCII white space; an n-gram covers n
     characters of one word with its border as one more character at either end. A word
     that repeats the word before it has one more feature, the same for all words.
-    ``borders``: ascending positions at which another text begins."""
+    ``borders``: ascending positions of the separators before each text."""
     padded = np.empty(len(codes) + 2, np.uint32)
     padded[0] = padded[-1] = 0x20
     padded[1:-1] = codes
@@ -172,8 +172,9 @@ def text_scores(texts: list[str | None], values: np.ndarray, bias: float) -> np.
             return
         joined = "\n".join(group)
         bounds = np.cumsum([0] + [len(g) + 1 for g in group])
-        buckets, places = features(code_points(joined), bounds + 1)
-        owner = np.asarray(owners)[np.minimum(np.maximum(np.searchsorted(bounds + 1, places, "right") - 1, 0), len(group) - 1)]
+        # A feature that starts at the separator before a text belongs to that text.
+        buckets, places = features(code_points(joined), bounds)
+        owner = np.asarray(owners)[np.minimum(np.maximum(np.searchsorted(bounds, places, "right") - 1, 0), len(group) - 1)]
         sums[:] += np.bincount(owner, values[buckets], len(texts))
         counts[:] += np.bincount(owner, minlength=len(texts))
         group.clear(), owners.clear()

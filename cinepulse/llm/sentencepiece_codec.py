@@ -122,8 +122,9 @@ def rebuild(proto: ModelProto):
         vocabulary = {p: i for i, (p, _, _) in enumerate(proto.pieces)}
         model = models.BPE(vocabulary, merges(proto.pieces), unk_token=unknown, fuse_unk=True, byte_fallback=proto.byte_fallback)
     elif proto.algorithm == UNIGRAM:
-        # Pieces that texts cannot contain get a score that never wins.
-        scored = [(p, s if kind in (NORMAL, USER_DEFINED) else -1e6) for p, s, kind in proto.pieces]
+        # Control pieces never match a text: their names get a blank, which no
+        # normalised text contains. (A text that spells a byte piece fails parity.)
+        scored = [(p if kind in (NORMAL, USER_DEFINED, BYTE) else " " + p, s) for p, s, kind in proto.pieces]
         model = models.Unigram(scored, proto.unknown_id, proto.byte_fallback)
     else:
         raise ValueError(f"algorithm {proto.algorithm} is not supported")
