@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: ISO-8601 forms of an instant: date, then optionally a time, then optionally a zone.
+ISO_EXTENDED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,6})?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?$"
+ISO_COMPACT = r"^([0-9]{4})([0-9]{2})([0-9]{2})T([0-9]{2})([0-9]{2})([0-9]{2})"
+
+
 def as_of_column(events: DataFrame | None, as_of=None, time_col: str = "event_time") -> Column:
     """The instant a live snapshot is taken at.
 
@@ -42,13 +47,19 @@ def resolve_as_of(events: DataFrame, time_col: str = "event_time"):
 
 
 def parse_iso_timestamp(c: Column | str) -> Column:
-    """ISO-8601 text with a ``Z`` suffix or without zone -> TIMESTAMP_NTZ in UTC.
+    """ISO-8601 text, extended or compact, with a zone offset, ``Z`` or no zone ->
+    TIMESTAMP_NTZ in UTC.
 
-    Empty or unparsable text gives NULL (``try_`` semantics, ANSI safe). Requires a
+    The text is held against the ISO form before it is parsed: a time without a date,
+    a lone year or month, blanks around, one-digit parts and zone names give NULL, as
+    does text that names no real instant (``try_`` semantics, ANSI safe). Requires a
     UTC session, in which zone-less text is read as UTC.
     """
     c = F.col(c) if isinstance(c, str) else c
-    return F.try_to_timestamp(c).cast("timestamp_ntz")
+    extended = F.regexp_replace(c, ISO_COMPACT, "$1-$2-$3T$4:$5:$6")
+    # Spark needs minutes behind an hour.
+    extended = F.regexp_replace(extended, r"^(.{10}[T ][0-9]{2})(Z|[+-].*)?$", "$1:00$2")
+    return F.when(extended.rlike(ISO_EXTENDED), F.try_to_timestamp(extended)).cast("timestamp_ntz")
 
 
 def iso_utc_text(c: Column | str, micros: bool = False) -> Column:

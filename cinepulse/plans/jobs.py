@@ -41,14 +41,18 @@ def streaming_job(
     wait: bool = True,
     live_buckets: str | None = None,
     with_intake: bool = False,
+    topic: str = kafka.DEFAULT_TOPIC,
+    starting_offsets: str = "latest",
+    max_offsets_per_trigger: int | None = 1000,
 ):
     """Start the streaming queries on one topic (or message files, for tests): trend,
     engagement and raw lake; with ``live_buckets`` (a bucket size such as
     ``"5 seconds"``) also the live pre-aggregation under ``base/live_buckets`` that
     ``snapshot_refresh_from_buckets`` reads; with ``with_intake`` also the
-    accepted/quarantine intake under ``base/intake``."""
+    accepted/quarantine intake under ``base/intake``. ``topic``, ``starting_offsets``
+    and ``max_offsets_per_trigger`` (None: no limit) are the topic's source settings."""
     if bootstrap_servers:
-        messages = kafka.read_kafka_stream(spark, bootstrap_servers)
+        messages = kafka.read_kafka_stream(spark, bootstrap_servers, topic, starting_offsets, max_offsets_per_trigger)
     elif message_path:
         messages = files.read_message_stream(spark, message_path)
     else:
@@ -104,10 +108,15 @@ def snapshot_refresh_from_buckets(
     snapshot_path: str,
     as_of: dt.datetime | None = None,
     window: str = S.DEFAULT_TRAILING,
+    bucket: str = "5 seconds",
 ) -> str:
     """Refresh the live snapshot from ``start_live_buckets`` output (``genres/`` and
-    ``movies/``): reads only window/bucket rows per key instead of raw events."""
-    as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    ``movies/``): reads only window/bucket rows per key instead of raw events. The
+    default instant is now, at the last edge of a ``bucket``: inside a bucket the
+    oldest bucket of the window would be lost."""
+    if as_of is None:
+        now, size = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), to_timedelta(bucket)
+        as_of = now - (now - dt.datetime.min) % size
     genres = spark.read.parquet(f"{buckets_path}/genres")
     movies = spark.read.parquet(f"{buckets_path}/movies")
     return snapshot.write_snapshot(live.trending_snapshot_from_buckets(genres, movies, as_of, window), snapshot_path)
@@ -169,6 +178,9 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--base-path", help="output folder (default: below spark.checkpoint.dir)")
     s.add_argument("--trigger", default=streams.DEFAULT_TRIGGER)
     s.add_argument("--live-buckets", help="bucket size for the live pre-aggregation, e.g. '5 seconds'")
+    s.add_argument("--topic", default=kafka.DEFAULT_TOPIC)
+    s.add_argument("--starting-offsets", default="latest")
+    s.add_argument("--max-offsets-per-trigger", type=int, default=1000, help="0: no limit")
     s.add_argument("--intake", action="store_true", help="also land accepted/quarantined messages")
     sub.add_parser("sample", help="batch sample mode")
     r = sub.add_parser("snapshot", help="refresh the live snapshot from the lake or from live buckets")
@@ -196,7 +208,8 @@ def main(argv: list[str] | None = None) -> None:
             base = args.base_path or f"{shared_dir(spark)}/cinepulse/stream-job"
             streaming_job(
                 spark, base, args.bootstrap_servers, args.message_path, trigger=args.trigger,
-                live_buckets=args.live_buckets, with_intake=args.intake,
+                live_buckets=args.live_buckets, with_intake=args.intake, topic=args.topic,
+                starting_offsets=args.starting_offsets, max_offsets_per_trigger=args.max_offsets_per_trigger or None,
             )
         elif args.job == "sample":
             trend, engagement = sample_job(spark)

@@ -134,13 +134,15 @@ FROM decoded WHERE """ + _REJECT + " IS NULL",
         """raw AS (
   SELECT event_id,
          CASE event_id % 4 WHEN 0 THEN strftime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ')
-                           WHEN 1 THEN strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f')
-                           WHEN 2 THEN '' ELSE 'not-a-time' END AS "timestamp"
+                ELSE CASE event_id % 8 WHEN 1 THEN strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f')
+                           WHEN 2 THEN '' WHEN 3 THEN 'not-a-time' WHEN 5 THEN strftime(event_time, '%H:%M:%S')
+                           WHEN 6 THEN strftime(event_time, '%Y') ELSE ' ' || strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') END
+                END AS "timestamp"
   FROM activity
 )"""
     )
     + """SELECT event_id, "timestamp", TRY_CAST("timestamp" AS TIMESTAMP) AS event_time
-FROM raw WHERE TRY_CAST("timestamp" AS TIMESTAMP) IS NOT NULL""",
+FROM raw WHERE event_id % 4 = 0 OR event_id % 8 = 1""",
     "publish_events": _with()
     + """SELECT user_id, action, movie_id, genre, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp", rating_value,
        CAST(len(json_keys(to_json(struct_pack(user_id := user_id, action := action, movie_id := movie_id, genre := genre,

@@ -78,13 +78,17 @@ def q_intake_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_normalize_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ISO text with `Z`, zone-less, empty or junk; unparsable rows drop out."""
+    """ISO text with `Z`, zone-less, empty, junk, time or year only, padded; rows
+    that are no ISO instant drop out, whatever the day of the run."""
     ev = _events(spark, sf_dir)
     text = (
         F.when(F.col("event_id") % 4 == 0, F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
-        .when(F.col("event_id") % 4 == 1, iso_naive_text("event_time"))
-        .when(F.col("event_id") % 4 == 2, F.lit(""))
-        .otherwise(F.lit("not-a-time"))
+        .when(F.col("event_id") % 8 == 1, iso_naive_text("event_time"))
+        .when(F.col("event_id") % 8 == 2, F.lit(""))
+        .when(F.col("event_id") % 8 == 3, F.lit("not-a-time"))
+        .when(F.col("event_id") % 8 == 5, F.date_format("event_time", "HH:mm:ss"))
+        .when(F.col("event_id") % 8 == 6, F.date_format("event_time", "yyyy"))
+        .otherwise(F.concat(F.lit(" "), iso_naive_text("event_time")))
     )
     raw = ev.select("event_id", text.alias("timestamp"))
     return ingest.normalize_timestamps(raw, "timestamp", "event_time")
@@ -184,7 +188,8 @@ def q_live_genres_from_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live genre top-5 from one-minute buckets at a minute boundary (max event
     time floored to the minute): equal to the raw-event view at that instant."""
     ev = _events(spark, sf_dir)
-    as_of = resolve_as_of(ev).replace(second=0, microsecond=0)
+    newest = resolve_as_of(ev)  # None without events
+    as_of = newest and newest.replace(second=0, microsecond=0)
     return live.live_trending_genres_from_buckets(live.genre_buckets(ev, LIVE_BUCKET), as_of, LIVE_TRAILING)
 
 

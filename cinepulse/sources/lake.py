@@ -11,6 +11,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PARTITION_COLUMNS = ["dt", "action"]
 DEFAULT_MAX_RECORDS_PER_FILE = 5_000_000
@@ -71,7 +72,12 @@ def read_lake(
     columns: list[str] | None = None,
 ) -> DataFrame:
     """Lake rows with ``start <= dt <= end`` and ``action in actions`` (each optional)."""
-    df = spark.read.option("basePath", path).parquet(path)
+    # The partition columns' types are declared: inferred, actions that look like
+    # numbers ("01", "1") would fall together as integers.
+    found = spark.read.option("basePath", path).parquet(path).schema
+    types = {"dt": T.DateType(), "action": T.StringType()}
+    schema = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in found])
+    df = spark.read.schema(schema).option("basePath", path).parquet(path)
     if start is not None:
         df = df.filter(F.col("dt") >= F.lit(start).cast("date"))
     if end is not None:

@@ -1,58 +1,81 @@
-"""Tables replaced whole: each replacement is a new ``version=<n>`` partition.
+"""Tables replaced whole: each replacement is a new ``version=<n>`` folder.
 
-A version is written with dynamic partition overwrite, so the committer moves the
-new partition folder into place in one rename. Readers see the previous version or
-the new one, never a half-written table, and rewriting the same version (a
-replayed streaming batch) replaces it instead of adding rows. ``read_latest``
-serves the newest version, and versions beyond ``keep`` are removed.
+A version counts once its commit marker (``_SUCCESS``) exists. Readers take the newest
+committed version, so they see the previous one or the new one, never a half-written
+table, and an empty result is a version like any other. Streaming batches are not
+ordered by their batch id, which starts anew with a new checkpoint: a batch is always
+published as the next version, and a mark with the query's id and the batch id keeps
+a replayed batch from being published again. Versions beyond ``keep`` are removed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 VERSION = "version"
 
 
+def _listing(spark: SparkSession, path: str):
+    """Hadoop file system of ``path`` and its versions: number -> names in the folder."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found: dict[int, set[str]] = {}
+    if fs.exists(root):
+        for st in fs.listStatus(root):
+            name, _, number = st.getPath().getName().partition("=")
+            if name == VERSION and number.isdigit():
+                found[int(number)] = {f.getPath().getName() for f in fs.listStatus(st.getPath())}
+    return fs, found
+
+
+def _committed(found: dict[int, set[str]]) -> list[int]:
+    return sorted(v for v, names in found.items() if "_SUCCESS" in names)
+
+
 def prune_versions(spark: SparkSession, path: str, keep: int) -> None:
-    """Delete all but the newest ``keep`` versions (Hadoop file system of ``path``)."""
+    """Delete all but the newest ``keep`` committed versions and those older than them."""
     if keep <= 0:
         return
-    try:
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(path)
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        names = [st.getPath().getName() for st in fs.listStatus(root)]
-    except Exception:  # Spark Connect or no table yet: keep every version
-        return
-    versions = sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{VERSION}=") and n.split("=", 1)[1].isdigit())
-    for v in versions[:-keep]:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION}={v}"), True)
+    fs, found = _listing(spark, path)
+    kept = _committed(found)[-keep:]
+    for v in found:
+        if kept and v < kept[0]:
+            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION}={v}"), True)
 
 
 def write_version(df: DataFrame, path: str, version: int, keep: int = 2, single_file: bool = False) -> str:
     """Publish ``df`` as version ``version`` of the table at ``path``."""
-    out = df.withColumn(VERSION, F.lit(int(version)).cast("long"))
-    if single_file:
-        out = out.coalesce(1)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(VERSION).parquet(path)
+    out = df.coalesce(1) if single_file else df
+    out.write.mode("overwrite").parquet(f"{path}/{VERSION}={int(version)}")
     prune_versions(df.sparkSession, path, keep)
     return path
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of the table (without the version column)."""
-    df = spark.read.parquet(path)
-    latest = df.select(F.max(VERSION)).scalar()
-    return df.filter(F.col(VERSION) == latest).drop(VERSION)
+    """The newest committed version of the table."""
+    committed = _committed(_listing(spark, path)[1])
+    if not committed:
+        raise FileNotFoundError(f"no committed version at {path}")
+    return spark.read.parquet(f"{path}/{VERSION}={committed[-1]}")
+
+
+def query_id(batch: DataFrame) -> str:
+    """Id of the streaming query whose batch this is; it lives as long as its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
 
 def publish_each_batch(path: str, keep: int = 2):
-    """``foreachBatch`` function: each trigger's full result becomes a new version
-    (the batch id is the version, so a replayed batch rewrites the same one)."""
+    """``foreachBatch`` function: each trigger's full result becomes the next version."""
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        write_version(batch, path, epoch_id, keep)
+        spark = batch.sparkSession
+        mark = f"_batch-{query_id(batch)}-{epoch_id}"
+        fs, found = _listing(spark, path)
+        if any(mark in found[v] for v in _committed(found)):
+            return
+        version = max(found, default=-1) + 1
+        write_version(batch, path, version, keep)
+        fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION}={version}/{mark}")).close()
 
     return publish

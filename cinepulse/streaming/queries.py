@@ -30,7 +30,7 @@ from cinepulse.operators.ingest import intake
 from cinepulse.operators.live import BUCKET_TIME, genre_buckets, movie_buckets, with_bucket_time
 from cinepulse.operators.windowed import engagement_scores, top_engagement, top_trending, trending_genres
 from cinepulse.sources.lake import PARTITION_COLUMNS, with_partition_columns
-from cinepulse.sources.versioned import publish_each_batch
+from cinepulse.sources.versioned import publish_each_batch, query_id
 
 DEFAULT_TRIGGER = "30 seconds"
 DEFAULT_WATERMARK = "10 minutes"
@@ -160,7 +160,7 @@ def start_live_buckets(
     Default: stateful, append mode; a bucket is written once, when the watermark
     passes its end, so the table lags by the watermark delay. ``fresh=True``: no
     state; every micro-batch appends its own partial aggregates tagged with
-    ``batch_id``, so a refresh sees events of the last trigger. The readers merge the
+    the query's id and ``batch_id``, so a refresh sees events of the last trigger. The readers merge the
     partial rows: they drop exact duplicates (a replayed batch writes the same rows),
     then sum. A late event is another partial row, never dropped.
     """
@@ -169,7 +169,7 @@ def start_live_buckets(
             for kind, build in (("genres", genre_buckets), ("movies", movie_buckets)):
                 (
                     build(batch, bucket)
-                    .withColumn("batch_id", F.lit(epoch_id).cast("long"))
+                    .withColumns({"run_id": F.lit(query_id(batch)), "batch_id": F.lit(epoch_id).cast("long")})
                     .withColumn("dt", F.to_date("bucket_start"))
                     .write.mode("append")
                     .partitionBy("dt")
