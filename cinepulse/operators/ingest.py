@@ -61,18 +61,67 @@ def parse_events(messages: DataFrame, event_time_from: str = "message") -> DataF
     return decode(messages, keep_corrupt=False, event_time_from=event_time_from)
 
 
-def _reject_reason() -> Column:
-    reason = F.when(~F.col("_decoded") | F.col(S.CORRUPT_COLUMN).isNotNull(), F.lit(MALFORMED))
-    for field in S.REQUIRED_FIELDS:
-        reason = reason.when(F.col(field).isNull(), F.lit(f"missing_{field}"))
-    return reason
+INTEGER_TEXT = r"^\s*[+-]?[0-9]+(\.0*)?\s*$"
 
 
-def classify(messages: DataFrame) -> DataFrame:
-    """Decoded events with ``reject_reason`` (NULL when accepted); one reason per
-    row: malformed first, then the first missing required field in field order."""
-    decoded = decode(messages, keep_corrupt=True)
-    return decoded.withColumn("reject_reason", _reject_reason())
+def _field(name: str, as_type: str) -> Column:
+    return F.try_variant_get(F.col("json"), f"$[0].{name}", as_type)
+
+
+def _kind(name: str) -> Column:
+    """JSON type of a field, as a variant type name; NULL when absent."""
+    return F.schema_of_variant(_field(name, "variant"))
+
+
+def _integer(name: str) -> Column:
+    """An optional integer as the model reads it: a whole number, a boolean, or text of
+    a whole number; NULL for any other value and beyond 32 bits."""
+    kind, number = _kind(name), _field(name, "double")
+    text = F.regexp_replace(F.trim(_field(name, "string")), r"\.0*$", "")
+    return (
+        F.when(kind == "BOOLEAN", _field(name, "boolean").cast("int"))
+        .when((kind == "STRING") & _field(name, "string").rlike(INTEGER_TEXT), text.try_cast("int"))
+        .when((kind != "STRING") & (number == F.floor(number)), number.try_cast("int"))
+    )
+
+
+def classify(messages: DataFrame, value_col: str = "value", time_col: str = "timestamp") -> DataFrame:
+    """Typed events with ``reject_reason`` (NULL when accepted) and, for every rejected
+    row, the raw text in ``_corrupt_record``.
+
+    The types are those of the declared model: a required field must be JSON text
+    (``invalid_<field>`` for a number, boolean, object or array; ``missing_<field>``
+    when absent or null), the rating may be absent, null, a whole number, a boolean or
+    the text of a whole number (else ``invalid_rating_value``). Anything that is not
+    one JSON object, also an object with text behind it or with a repeated key, is
+    ``malformed``. One reason per row: malformed, then the first field at fault.
+    """
+    text = F.col(value_col).cast("string")
+    # The parser stops at the end of the first value, so the message is read as the
+    # first entry of an array that a hash of it closes: text behind the object breaks
+    # the array or moves the hash from its place.
+    mark = F.xxhash64(text)
+    wrapped = F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]"))
+    # One-element explode: one parse per message (see ``decode``).
+    parsed = messages.select(
+        text.alias(S.CORRUPT_COLUMN), mark.alias("mark"), F.col(time_col).alias("event_time"), F.explode(F.array(F.try_parse_json(wrapped))).alias("json")
+    )
+    whole = (F.try_variant_get("json", "$[1]", "long") == F.col("mark")) & F.schema_of_variant(F.try_variant_get("json", "$[0]", "variant")).startswith("OBJECT")
+    strings = [f for f in S.PAYLOAD_FIELDS if f != "rating_value"]
+    values = [F.when(_kind(f) == "STRING", _field(f, "string")).alias(f) for f in strings]
+    kinds = [_kind(f).alias(f"_kind_{f}") for f in S.PAYLOAD_FIELDS]
+    typed = parsed.select(*values, _integer("rating_value").alias("rating_value"), "event_time", S.CORRUPT_COLUMN, F.coalesce(whole, F.lit(False)).alias("_whole"), *kinds)
+
+    reason = F.when(~F.col("_whole"), F.lit(MALFORMED))
+    for f in S.REQUIRED_FIELDS:
+        absent = F.coalesce(F.col(f"_kind_{f}"), F.lit("VOID")) == "VOID"
+        reason = reason.when(absent, F.lit(f"missing_{f}")).when(F.col(f).isNull(), F.lit(f"invalid_{f}"))
+    rated = F.coalesce(F.col("_kind_rating_value"), F.lit("VOID")) != "VOID"
+    reason = reason.when(rated & F.col("rating_value").isNull(), F.lit("invalid_rating_value"))
+    out = typed.withColumn("reject_reason", reason)
+    raw = F.when(F.col("reject_reason").isNotNull(), F.col(S.CORRUPT_COLUMN))
+    fields = [F.when(F.col("_whole"), F.col(f)).alias(f) for f in S.PAYLOAD_FIELDS]
+    return out.select(*fields, "event_time", raw.alias(S.CORRUPT_COLUMN), "reject_reason")
 
 
 def validate_events(messages: DataFrame, as_of=None) -> DataFrame:
@@ -118,7 +167,7 @@ def intake(messages: DataFrame, as_of=None) -> DataFrame:
 
 def quarantine(messages: DataFrame) -> DataFrame:
     """Rejected messages with their reason (the quarantine table)."""
-    return classify(messages).filter(F.col("reject_reason").isNotNull()).drop("_decoded")
+    return classify(messages).filter(F.col("reject_reason").isNotNull())
 
 
 def quarantine_counts(messages: DataFrame) -> DataFrame:
@@ -137,12 +186,27 @@ def encode_events(events: DataFrame, fields: list[str] | None = None) -> DataFra
     return events.select(payload.cast("binary").alias("value"))
 
 
-def to_messages(events: DataFrame, malformed_every: int | None = None, id_col: str = "event_id") -> DataFrame:
+#: Payload rewrites of ``to_messages(odd_every=...)``: pattern and replacement by the
+#: remainder of the event id.
+ODD_PAYLOADS = {
+    1: (r'"user_id":"user_([0-9]+)"', r'"user_id":$1'),
+    2: (r'"genre":(null|"[^"]*")', r'"genre":{}'),
+    3: (r'"rating_value":([0-9]+)', r'"rating_value":"$1"'),
+    4: (r'"rating_value":([0-9]+)', r'"rating_value":$1.0'),
+    5: (r'"rating_value":(null|[0-9]+)', r'"rating_value":true'),
+    6: (r"$", " x"),
+    7: (r'"rating_value":(null|[0-9]+)', r'"rating_value":2.5'),
+}
+
+
+def to_messages(events: DataFrame, malformed_every: int | None = None, id_col: str = "event_id", odd_every: int | None = None) -> DataFrame:
     """Activity rows -> topic messages (value BINARY, timestamp TIMESTAMP).
 
     The payload time is the event time as ``...Z`` text and the message time is the
     event time. With ``malformed_every`` = n, the payload of every n-th event id is
-    replaced by the broken text ``{bad`` (exercises the permissive decode).
+    replaced by the broken text ``{bad`` (exercises the permissive decode). With
+    ``odd_every`` = m, the payloads whose id leaves a remainder of 1 to 7 modulo m get
+    other JSON types or text behind the object (exercises the intake's type rules).
     """
     payload = F.to_json(
         F.struct(
@@ -155,6 +219,10 @@ def to_messages(events: DataFrame, malformed_every: int | None = None, id_col: s
         ),
         {"ignoreNullFields": "false"},
     )
+    if odd_every:
+        plain = payload
+        for remainder, (pattern, other) in ODD_PAYLOADS.items():
+            payload = F.when(F.col(id_col) % odd_every == remainder, F.regexp_replace(plain, pattern, other)).otherwise(payload)
     if malformed_every:
         payload = F.when(F.col(id_col) % malformed_every == 0, F.lit("{bad")).otherwise(payload)
     return events.select(

@@ -264,24 +264,3 @@ def trending_snapshot_from_buckets(
         F.lit("movie_scores").alias("section"), "position", F.col("movie_id").alias("key"), "score"
     )
     return genres.unionByName(movies)
-
-
-def compact_genre_buckets(partials: DataFrame) -> DataFrame:
-    """Per-batch genre partial rows -> one row per (bucket, genre), ``batch_id`` -1 and no ``run_id``."""
-    merged = partials.dropDuplicates().groupBy("bucket_start", "genre").agg(
-        F.sum("score").alias("score"), F.min("first_seen").alias("first_seen")
-    )
-    return merged.withColumns({"run_id": F.lit(None).cast("string"), "batch_id": F.lit(-1).cast("long")})
-
-
-def compact_movie_buckets(partials: DataFrame) -> DataFrame:
-    """Per-batch movie partial rows -> one row per (bucket, movie), ``batch_id`` -1 and no ``run_id``."""
-    merged = partials.dropDuplicates().groupBy("bucket_start", "movie_id").agg(
-        F.min_by("genre", F.col("first_seen")).alias("genre"),
-        F.sum("views").alias("views"),
-        F.sum("likes").alias("likes"),
-        F.sum("total_rating").alias("total_rating"),
-        F.sum("rating_count").alias("rating_count"),
-        F.min("first_seen").alias("first_seen"),
-    )
-    return merged.withColumns({"run_id": F.lit(None).cast("string"), "batch_id": F.lit(-1).cast("long")})

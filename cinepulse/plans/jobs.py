@@ -44,13 +44,21 @@ def streaming_job(
     topic: str = kafka.DEFAULT_TOPIC,
     starting_offsets: str = "latest",
     max_offsets_per_trigger: int | None = 1000,
+    complete_trend: bool = False,
+    ranked: bool = False,
 ):
     """Start the streaming queries on one topic (or message files, for tests): trend,
     engagement and raw lake; with ``live_buckets`` (a bucket size such as
     ``"5 seconds"``) also the live pre-aggregation under ``base/live_buckets`` that
     ``snapshot_refresh_from_buckets`` reads; with ``with_intake`` also the
     accepted/quarantine intake under ``base/intake``. ``topic``, ``starting_offsets``
-    and ``max_offsets_per_trigger`` (None: no limit) are the topic's source settings."""
+    and ``max_offsets_per_trigger`` (None: no limit) are the topic's source settings.
+
+    The trend is appended once a window closes, so state stays bounded;
+    ``complete_trend`` republishes all windows on each trigger instead. ``ranked`` adds
+    the top-10 trend and top-20 engagement tables (``base/top_trending``,
+    ``base/top_engagement``), re-ranked on each trigger: complete mode, whose state
+    holds every window ever seen."""
     if bootstrap_servers:
         messages = kafka.read_kafka_stream(spark, bootstrap_servers, topic, starting_offsets, max_offsets_per_trigger)
     elif message_path:
@@ -58,8 +66,14 @@ def streaming_job(
     else:
         raise ValueError("bootstrap_servers or message_path is required")
     events = ingest.parse_events(messages)
-    queries = streams.start_all(events, base_path, window_duration, watermark, trigger, state_partitions)
+    queries = streams.start_all(events, base_path, window_duration, watermark, trigger, state_partitions, not complete_trend)
     ck = f"{base_path}/_checkpoints"
+    if ranked:
+        for name, start in (("top_trending", streams.start_top_trending), ("top_engagement", streams.start_top_engagement)):
+            queries[name] = start(
+                events, f"{ck}/{name}", f"{base_path}/{name}", window_duration,
+                trigger=trigger, query_name=name, state_partitions=state_partitions,
+            )
     if live_buckets:
         # fresh (stateless) buckets: the snapshot sees the last trigger's events
         buckets = streams.start_live_buckets(
@@ -151,22 +165,27 @@ def monthly_report_job(spark: SparkSession, lake_path: str, out_path: str, month
     return out_path
 
 
-def compact_live_buckets(spark: SparkSession, buckets_path: str, before: dt.date | str) -> None:
-    """Merge the fresh live buckets' per-batch partial rows of the days before
-    ``before`` into one row per (bucket, key), replacing those ``dt`` partitions.
+def expire_live_buckets(spark: SparkSession, buckets_path: str, before: dt.date | str) -> list[str]:
+    """Delete the live buckets of the days before ``before`` and return those folders.
 
-    Run it on closed days only (older than the stream's newest events), since a
-    replaced day loses rows a running stream appends to it meanwhile. The job
-    rewrites the folders it reads, so the merged rows are checkpointed first
-    (``spark.checkpoint.dir``), which cuts their lineage to the old files.
+    The buckets serve a trailing window only (history is read from the lake), so old
+    days are dropped whole instead of being merged: nothing that a refresh reads is
+    rewritten, and a running stream that appends a late row to an old day, or repeats
+    a batch, changes no later answer. ``before`` must not be later than the first day
+    that a trailing window can still touch.
     """
     before = dt.date.fromisoformat(before) if isinstance(before, str) else before
-    for kind, compact in (("genres", live.compact_genre_buckets), ("movies", live.compact_movie_buckets)):
-        path = f"{buckets_path}/{kind}"
-        table = spark.read.parquet(path)
-        old = table.filter(F.col("dt") < F.lit(before)).drop("dt")
-        merged = compact(old).withColumn("dt", F.to_date("bucket_start")).select(*table.columns).checkpoint()
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
+    jvm = spark.sparkContext._jvm
+    gone = []
+    for kind in ("genres", "movies"):
+        root = jvm.org.apache.hadoop.fs.Path(f"{buckets_path}/{kind}")
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for folder in fs.listStatus(root) if fs.exists(root) else []:
+            name, _, day = folder.getPath().getName().partition("=")
+            if name == "dt" and day[:4].isdigit() and dt.date.fromisoformat(day) < before:
+                fs.delete(folder.getPath(), True)
+                gone.append(f"{kind}/dt={day}")
+    return sorted(gone)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -182,6 +201,11 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--starting-offsets", default="latest")
     s.add_argument("--max-offsets-per-trigger", type=int, default=1000, help="0: no limit")
     s.add_argument("--intake", action="store_true", help="also land accepted/quarantined messages")
+    s.add_argument("--window", default=S.DEFAULT_WINDOW)
+    s.add_argument("--watermark", default=streams.DEFAULT_WATERMARK)
+    s.add_argument("--state-partitions", type=int, help="state stores of each stateful query, fixed at its first start")
+    s.add_argument("--complete-trend", action="store_true", help="republish all trend windows on each trigger")
+    s.add_argument("--ranked", action="store_true", help="also keep the top-10 trend and top-20 engagement tables")
     sub.add_parser("sample", help="batch sample mode")
     r = sub.add_parser("snapshot", help="refresh the live snapshot from the lake or from live buckets")
     src = r.add_mutually_exclusive_group(required=True)
@@ -192,9 +216,9 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("--lake", required=True)
     d.add_argument("--out", required=True)
     d.add_argument("--day", required=True)
-    c = sub.add_parser("compact-buckets", help="merge fresh live-bucket partials of closed days")
+    c = sub.add_parser("expire-buckets", help="delete the live buckets of old days")
     c.add_argument("--buckets", required=True)
-    c.add_argument("--before", required=True, help="YYYY-MM-DD: compact the days before this one")
+    c.add_argument("--before", required=True, help="YYYY-MM-DD: delete the days before this one")
     m = sub.add_parser("monthly-report", help="report of one month from the lake")
     m.add_argument("--lake", required=True)
     m.add_argument("--out", required=True)
@@ -207,9 +231,10 @@ def main(argv: list[str] | None = None) -> None:
         if args.job == "stream":
             base = args.base_path or f"{shared_dir(spark)}/cinepulse/stream-job"
             streaming_job(
-                spark, base, args.bootstrap_servers, args.message_path, trigger=args.trigger,
-                live_buckets=args.live_buckets, with_intake=args.intake, topic=args.topic,
+                spark, base, args.bootstrap_servers, args.message_path, args.window, args.watermark, args.trigger,
+                args.state_partitions, live_buckets=args.live_buckets, with_intake=args.intake, topic=args.topic,
                 starting_offsets=args.starting_offsets, max_offsets_per_trigger=args.max_offsets_per_trigger or None,
+                complete_trend=args.complete_trend, ranked=args.ranked,
             )
         elif args.job == "sample":
             trend, engagement = sample_job(spark)
@@ -221,8 +246,8 @@ def main(argv: list[str] | None = None) -> None:
             snapshot_refresh(spark, args.lake, args.out)
         elif args.job == "daily-report":
             daily_report_job(spark, args.lake, args.out, args.day)
-        elif args.job == "compact-buckets":
-            compact_live_buckets(spark, args.buckets, args.before)
+        elif args.job == "expire-buckets":
+            expire_live_buckets(spark, args.buckets, args.before)
         elif args.job == "monthly-report":
             monthly_report_job(spark, args.lake, args.out, args.month)
     finally:

@@ -103,18 +103,39 @@ _MESSAGES = """decoded AS (
   FROM activity
 )"""
 
+# Messages with odd JSON types: by the remainder of the id, a number as user, an object
+# as genre, a rating as text / whole float / true, text behind the object, a rating of 2.5.
+_ODD_MESSAGES = """decoded AS (
+  SELECT user_id, action, movie_id, genre, strftime(event_time, '%Y-%m-%dT%H:%M:%SZ') AS "timestamp",
+         CASE WHEN odd = 5 THEN 1 ELSE rating_value END AS rating_value, event_time, odd, malformed
+  FROM (SELECT *, event_id % 31 AS odd, event_id % 97 = 0 OR event_id % 31 = 6 AS malformed FROM activity)
+)"""
+
 _REJECT = """CASE WHEN malformed THEN 'malformed'
+            WHEN odd = 1 THEN 'invalid_user_id'
             WHEN user_id IS NULL THEN 'missing_user_id'
             WHEN action IS NULL THEN 'missing_action'
             WHEN movie_id IS NULL THEN 'missing_movie_id'
+            WHEN odd = 2 THEN 'invalid_genre'
             WHEN genre IS NULL THEN 'missing_genre'
-            WHEN "timestamp" IS NULL THEN 'missing_timestamp' END"""
+            WHEN odd = 7 THEN 'invalid_rating_value' END"""
 
 # (start, end] one-minute buckets of truthy genres.
 _GENRE_BUCKETS = """
 SELECT time_bucket(INTERVAL 1 MINUTE, event_time - INTERVAL 1 MICROSECOND) AS bucket_start, genre, count(*) AS score
 FROM activity WHERE genre IS NOT NULL AND genre <> '' GROUP BY ALL"""
 
+_RECENT_MINUTE = _RECENT.replace("(SELECT t FROM as_of)", "date_trunc('minute', (SELECT t FROM as_of))")
+
+_SNAPSHOT = """SELECT 'trending_genres' AS section, position, genre AS "key", CAST(score AS DOUBLE) AS score FROM top_genres
+UNION ALL
+SELECT 'movie_scores' AS section, position, movie_id AS "key", score FROM top_movies"""
+
+_TOP_TRENDING = f"SELECT * FROM ({_TREND_5M}) ORDER BY activity_count DESC, window_start, genre NULLS FIRST LIMIT 10"
+_TOP_ENGAGEMENT = (
+    f"SELECT * FROM ({_ENGAGEMENT_5M}) ORDER BY engagement_score DESC, window_start, movie_id NULLS FIRST, genre NULLS FIRST LIMIT 20"
+)
+
 _LAKE_COUNTS = _with() + """
 SELECT CAST(event_time AS DATE) AS dt, action, count(*) AS n FROM activity GROUP BY ALL"""
 
@@ -122,12 +143,12 @@ ORACLE: dict[str, str] = {
     # ingest
     "parse_events": _with(_MESSAGES)
     + """SELECT user_id, action, movie_id, genre, "timestamp", rating_value, event_time FROM decoded""",
-    "validate_events": _with(_MESSAGES)
+    "validate_events": _with(_ODD_MESSAGES)
     + """SELECT user_id, action, movie_id, genre, (SELECT t FROM as_of) AS "timestamp", rating_value, event_time
 FROM decoded WHERE """ + _REJECT + " IS NULL",
-    "quarantine_counts": _with(_MESSAGES)
+    "quarantine_counts": _with(_ODD_MESSAGES)
     + "SELECT " + _REJECT + " AS reason, count(*) AS n FROM decoded WHERE " + _REJECT + " IS NOT NULL GROUP BY 1",
-    "intake_counts": _with(_MESSAGES)
+    "intake_counts": _with(_ODD_MESSAGES)
     + "SELECT CASE WHEN " + _REJECT + " IS NULL THEN 'accepted' ELSE 'rejected' END AS status, "
     + _REJECT + " AS reason, count(*) AS n FROM decoded GROUP BY ALL",
     "normalize_timestamps": _with(
@@ -150,7 +171,9 @@ FROM raw WHERE event_id % 4 = 0 OR event_id % 8 = 1""",
 FROM activity""",
     # windowed
     "trending_windows": _with() + _TREND_5M,
-    "trending_top10": _with() + f"SELECT * FROM ({_TREND_5M}) ORDER BY activity_count DESC, window_start, genre NULLS FIRST LIMIT 10",
+    "trending_top10": _with() + _TOP_TRENDING,
+    "stream_top_trending": _with() + _TOP_TRENDING,
+    "stream_top_engagement": _with() + _TOP_ENGAGEMENT,
     "top_genre_per_window": _with(
         """daily AS (
   SELECT time_bucket(INTERVAL 1 DAY, event_time) AS window_start,
@@ -163,15 +186,11 @@ FROM activity""",
   SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY activity_count DESC, genre) AS rn FROM daily
 ) WHERE rn = 1""",
     "engagement_windows": _with() + _ENGAGEMENT_5M,
-    "engagement_top20": _with()
-    + f"SELECT * FROM ({_ENGAGEMENT_5M}) ORDER BY engagement_score DESC, window_start, movie_id NULLS FIRST, genre NULLS FIRST LIMIT 20",
+    "engagement_top20": _with() + _TOP_ENGAGEMENT,
     # live
     "live_trending_genres": _with(_RECENT, _GENRES) + "SELECT genre, score FROM top_genres",
     "live_movie_scores": _with(_RECENT, _MOVIES) + "SELECT movie_id, genre, score, views, likes, avg_rating FROM top_movies",
-    "trending_snapshot": _with(_RECENT, _GENRES, _MOVIES)
-    + """SELECT 'trending_genres' AS section, position, genre AS "key", CAST(score AS DOUBLE) AS score FROM top_genres
-UNION ALL
-SELECT 'movie_scores' AS section, position, movie_id AS "key", score FROM top_movies""",
+    "trending_snapshot": _with(_RECENT, _GENRES, _MOVIES) + _SNAPSHOT,
     "health_counts": _with()
     + """SELECT count(*) AS events_processed,
        count(*) FILTER (WHERE event_time > (SELECT t FROM as_of) - INTERVAL 1 DAY) AS events_in_window
@@ -192,10 +211,12 @@ FROM top_movies t JOIN catalog c ON c.movie_id = t.movie_id WHERE t.position <=
 ) ORDER BY pref LIMIT 1""",
     "live_genre_buckets": _with() + _GENRE_BUCKETS,
     # raw-event live genres at the max event time floored to the minute
-    "live_genres_from_buckets": _with(
-        _RECENT.replace("(SELECT t FROM as_of)", "date_trunc('minute', (SELECT t FROM as_of))"), _GENRES
-    )
-    + "SELECT genre, score FROM top_genres",
+    "live_genres_from_buckets": _with(_RECENT_MINUTE, _GENRES) + "SELECT genre, score FROM top_genres",
+    "live_movie_scores_from_buckets": _with(_RECENT_MINUTE, _MOVIES)
+    + "SELECT movie_id, genre, score, views, likes, avg_rating FROM top_movies",
+    "trending_snapshot_from_buckets": _with(_RECENT_MINUTE, _GENRES, _MOVIES) + _SNAPSHOT,
+    # two days after the newest event
+    "snapshot_idle": _with(_RECENT.replace("(SELECT t FROM as_of)", "(SELECT t + INTERVAL 2 DAY FROM as_of)"), _GENRES, _MOVIES) + _SNAPSHOT,
     # catalogue
     "catalog_by_genre": _with() + "SELECT * FROM catalog WHERE genre = 'SMALL'",
     "catalog_all": _with() + "SELECT * FROM catalog",

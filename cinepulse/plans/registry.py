@@ -6,17 +6,19 @@ All run over the whole driver tables through the adapter views in
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinepulse import schema as S
 from cinepulse.functions.clock import iso_naive_text, resolve_as_of
 from cinepulse.operators import catalog as cat
 from cinepulse.operators import ingest, live, reports, state, windowed
 from cinepulse.session import ensure_utc, fresh_path
-from cinepulse.sources import adapter, files, lake
+from cinepulse.sources import adapter, files, lake, snapshot
 from cinepulse.sources.versioned import read_latest
 from cinepulse.streaming import queries as streams
 
@@ -24,13 +26,14 @@ from cinepulse.streaming import queries as streams
 TREND_WINDOW = "5 minutes"  # the reference's tumbling window
 DAY_WINDOW = "1 day"
 LIVE_TRAILING = "1 day"  # sf0.01 has about one event per 4 minutes
+IDLE = dt.timedelta(days=2)  # longer than the trailing window
 MALFORMED_EVERY = 97
+ODD_EVERY = 31  # remainders 1 to 7 get other JSON types (ingest.ODD_PAYLOADS)
 STREAM_WATERMARK = "10 minutes"
 SLIDING_WINDOW = ("1 hour", "15 minutes")
 LIVE_BUCKET = "1 minute"
 LAKE_DAY = "2024-01-15"
 LAKE_ACTION = "play"
-LAKE_FILES_PER_PARTITION = 2  # salted writers per (dt, action): a hot partition is split
 CATALOG_GENRE = "SMALL"
 STREAM_FILES = 4
 FILES_PER_TRIGGER = 2  # two micro-batches: state carried from one batch to the next
@@ -49,8 +52,8 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
-def _messages(spark: SparkSession, sf_dir: str, malformed_every: int | None = MALFORMED_EVERY) -> DataFrame:
-    return ingest.to_messages(_events(spark, sf_dir), malformed_every)
+def _messages(spark: SparkSession, sf_dir: str, malformed_every: int | None = MALFORMED_EVERY, odd_every: int | None = None) -> DataFrame:
+    return ingest.to_messages(_events(spark, sf_dir), malformed_every, odd_every=odd_every)
 
 
 # --- ingest -----------------------------------------------------------------
@@ -62,18 +65,19 @@ def q_parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_validate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accepted messages, payload time replaced by the intake instant."""
-    return _ntz(ingest.validate_events(_messages(spark, sf_dir)), "event_time")
+    """Accepted messages (some with odd JSON types), payload time replaced by
+    the intake instant."""
+    return _ntz(ingest.validate_events(_messages(spark, sf_dir, odd_every=ODD_EVERY)), "event_time")
 
 
 def q_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected messages per reason."""
-    return ingest.quarantine_counts(_messages(spark, sf_dir))
+    return ingest.quarantine_counts(_messages(spark, sf_dir, odd_every=ODD_EVERY))
 
 
 def q_intake_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one-pass intake (accepted and quarantined together), rows per status and reason."""
-    intake = ingest.intake(_messages(spark, sf_dir))
+    intake = ingest.intake(_messages(spark, sf_dir, odd_every=ODD_EVERY))
     return intake.groupBy("status", F.col("reject_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -141,6 +145,12 @@ def _live(spark: SparkSession, sf_dir: str):
     return ev, resolve_as_of(ev)
 
 
+def _at_minute(spark: SparkSession, sf_dir: str):
+    """Events and the newest event time floored to the minute (None without events)."""
+    ev, newest = _live(spark, sf_dir)
+    return ev, newest and newest.replace(second=0, microsecond=0)
+
+
 def q_live_trending_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live genre top 5 over the trailing day."""
     ev, as_of = _live(spark, sf_dir)
@@ -187,12 +197,32 @@ def q_headline_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_live_genres_from_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live genre top-5 from one-minute buckets at a minute boundary (max event
     time floored to the minute): equal to the raw-event view at that instant."""
-    ev = _events(spark, sf_dir)
-    newest = resolve_as_of(ev)  # None without events
-    as_of = newest and newest.replace(second=0, microsecond=0)
+    ev, as_of = _at_minute(spark, sf_dir)
     return live.live_trending_genres_from_buckets(live.genre_buckets(ev, LIVE_BUCKET), as_of, LIVE_TRAILING)
 
 
+def q_live_movie_scores_from_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live movie top-10 from one-minute buckets at a minute boundary."""
+    ev, as_of = _at_minute(spark, sf_dir)
+    return live.live_movie_scores_from_buckets(live.movie_buckets(ev, LIVE_BUCKET), as_of, LIVE_TRAILING)
+
+
+def q_trending_snapshot_from_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both live lists in long form from one-minute buckets at a minute boundary."""
+    ev, as_of = _at_minute(spark, sf_dir)
+    return live.trending_snapshot_from_buckets(live.genre_buckets(ev, LIVE_BUCKET), live.movie_buckets(ev, LIVE_BUCKET), as_of, LIVE_TRAILING)
+
+
+def q_snapshot_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: the snapshot published at the newest event and again after two idle days;
+    the table then holds the idle window's empty lists, not the older ones."""
+    ev, as_of = _live(spark, sf_dir)
+    path = fresh_path(spark, "snapshot")
+    snapshot.publish_live_snapshot(ev, path, as_of, LIVE_TRAILING)
+    snapshot.publish_live_snapshot(ev, path, as_of and as_of + IDLE, LIVE_TRAILING)
+    return snapshot.read_snapshot(spark, path)
+
+
 def q_live_genre_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-minute (start, end] buckets of live genre counts."""
     return live.genre_buckets(_events(spark, sf_dir), LIVE_BUCKET).select("bucket_start", "genre", "score")
@@ -249,27 +279,26 @@ def q_monthly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.monthly_report(_events(spark, sf_dir))
 
 
-def _write_lake(spark: SparkSession, sf_dir: str) -> str:
-    return lake.write_lake(
-        _events(spark, sf_dir), fresh_path(spark, "lake"), files_per_partition=LAKE_FILES_PER_PARTITION, salt_cols=["event_id"]
-    )
+def _landed(spark: SparkSession, sf_dir: str, *selection) -> DataFrame:
+    """All events written to a lake, and the selected part of it read back."""
+    ev = _events(spark, sf_dir)
+    path = lake.write_lake(ev, fresh_path(spark, "lake"))
+    return lake.read_lake(spark, path, *selection, schema=lake.stored_schema(ev))
 
 
 def q_daily_report_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily report built from the landed lake (all of it) instead of the events."""
-    return reports.daily_report(lake.read_lake(spark, _write_lake(spark, sf_dir)))
+    return reports.daily_report(_landed(spark, sf_dir))
 
 
 def q_lake_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lake written by (dt, action), rows per partition read back."""
-    path = _write_lake(spark, sf_dir)
-    return lake.partition_counts(lake.read_lake(spark, path))
+    """Lake written by (dt, action part), rows per day and action read back."""
+    return lake.partition_counts(_landed(spark, sf_dir))
 
 
 def q_lake_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One (dt, action) partition read back with partition pruning."""
-    path = _write_lake(spark, sf_dir)
-    return lake.read_lake(spark, path, LAKE_DAY, LAKE_DAY, [LAKE_ACTION], ["movie_id", "event_time"])
+    return _landed(spark, sf_dir, LAKE_DAY, LAKE_DAY, [LAKE_ACTION], ["movie_id", "event_time"])
 
 
 # --- streaming --------------------------------------------------------------
@@ -287,6 +316,13 @@ def _run(query) -> None:
     streams.await_all([query], STREAM_TIMEOUT_S)
 
 
+def _appended(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """A sink of ``rows`` partitioned by ``dt``, read with its declared schema: a stream
+    without any closed window has written no file to take it from."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("dt", T.DateType())])
+    return spark.read.schema(schema).parquet(path).drop("dt")
+
+
 def q_stream_trending_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trend as a complete-mode stream over two micro-batches."""
     src = _stream_source(spark, sf_dir)
@@ -306,7 +342,25 @@ def q_stream_engagement_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     _run(
         streams.start_engagement(events, out, ckpt, DAY_WINDOW, STREAM_WATERMARK, trigger="availableNow", state_partitions=STATE_PARTITIONS)
     )
-    return _ntz(spark.read.parquet(out).drop("dt"), "window_start", "window_end")
+    return _ntz(_appended(spark, out, windowed.engagement_scores(events, DAY_WINDOW)), "window_start", "window_end")
+
+
+def _top_stream(spark: SparkSession, sf_dir: str, start, name: str) -> DataFrame:
+    src = _stream_source(spark, sf_dir)
+    events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
+    out, ckpt = fresh_path(spark, name), fresh_path(spark, f"ckpt-{name}")
+    _run(start(events, ckpt, out, TREND_WINDOW, trigger="availableNow", state_partitions=STATE_PARTITIONS))
+    return _ntz(read_latest(spark, out), "window_start", "window_end")
+
+
+def q_stream_top_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranked trend view of the streaming job (top 10, complete mode)."""
+    return _top_stream(spark, sf_dir, streams.start_top_trending, "top-trending")
+
+
+def q_stream_top_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranked engagement view of the streaming job (top 20, complete mode)."""
+    return _top_stream(spark, sf_dir, streams.start_top_engagement, "top-engagement")
 
 
 def q_stream_live_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,7 +383,8 @@ def q_stream_live_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
         events, out, ckpt, LIVE_BUCKET, STREAM_WATERMARK, trigger="availableNow", state_partitions=STATE_PARTITIONS
     )
     streams.await_all(queries, STREAM_TIMEOUT_S)
-    return _ntz(spark.read.parquet(f"{out}/genres").select("bucket_start", "genre", "score"), "bucket_start")
+    genres = _appended(spark, f"{out}/genres", live.genre_buckets(events, LIVE_BUCKET))
+    return _ntz(genres.select("bucket_start", "genre", "score"), "bucket_start")
 
 
 def q_stream_raw_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -338,7 +393,7 @@ def q_stream_raw_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
     path, ckpt = fresh_path(spark, "stream-lake"), fresh_path(spark, "ckpt-stream-lake")
     _run(streams.start_raw_lake(events, path, ckpt, trigger="availableNow"))
-    return lake.partition_counts(lake.read_lake(spark, path))
+    return lake.partition_counts(lake.read_lake(spark, path, schema=lake.stored_schema(events)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

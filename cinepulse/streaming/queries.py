@@ -286,11 +286,11 @@ def start_all(
     watermark: str = DEFAULT_WATERMARK,
     trigger: str | None = DEFAULT_TRIGGER,
     state_partitions: int | None = None,
-    trending_append: bool = False,
+    trending_append: bool = True,
 ) -> dict[str, StreamingQuery]:
     """The streaming job: trend, engagement and raw lake from one parsed stream.
-    ``trending_append`` writes closed trend windows once (bounded state) instead of
-    rewriting every window on each trigger."""
+    ``trending_append`` writes closed trend windows once (bounded state); without it
+    every window is rewritten on each trigger."""
     ck = f"{base_path}/_checkpoints"
     trend_wm = watermark if trending_append else None
     return {
@@ -313,15 +313,3 @@ def await_all(queries, timeout_s: float | None = None) -> None:
             raise TimeoutError(f"streaming query {q.name or q.id} did not finish in {timeout_s}s")
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-
-
-def events_processed(query: StreamingQuery) -> int:
-    """Input rows over the query's retained progress reports (health counter)."""
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
-
-
-def late_rows_dropped(query: StreamingQuery) -> int:
-    """Rows the watermark dropped as too late, over the retained progress reports."""
-    return sum(
-        int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p.get("stateOperators", [])
-    )

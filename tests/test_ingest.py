@@ -61,7 +61,39 @@ def test_validate_and_quarantine(spark):
     accepted = ingest.validate_events(msgs, as_of=NOW)
     assert rows(accepted, "user_id", "timestamp") == [("user_123", NOW)]
     counts = dict(rows(ingest.quarantine_counts(msgs)))
-    assert counts == {"malformed": 3, "missing_genre": 1, "missing_user_id": 1}
+    assert counts == {"malformed": 2, "missing_genre": 1, "missing_user_id": 1, "invalid_rating_value": 1}
+
+
+BODY = '"action":"rate","movie_id":"A","genre":"X","timestamp":"t"'
+
+
+def test_declared_types(spark):
+    """JSON types of the model: text fields take text only, the rating whole numbers in any dress."""
+    ratings = {"5": 5, "5.0": 5, "true": 1, "false": 0, '"5"': 5, '" 7 "': 7, '"3.0"': 3, "-2": -2, "null": None, "1e2": 100}
+    bad = ["4.5", '"x"', '""', "{}", "[1]", "99999999999", '"4.5"']
+    texts = [f'{{"user_id":"u{i}",{BODY},"rating_value":{r}}}' for i, r in enumerate([*ratings, *bad])]
+    accepted = dict(rows(ingest.validate_events(messages(spark, texts), as_of=NOW), "user_id", "rating_value"))
+    assert accepted == {f"u{i}": v for i, v in enumerate(ratings.values())}
+    assert rows(ingest.quarantine_counts(messages(spark, texts))) == [("invalid_rating_value", len(bad))]
+
+    reasons = {
+        f'{{"user_id":12,{BODY}}}': "invalid_user_id",
+        f'{{"user_id":{{"a":1}},{BODY}}}': "invalid_user_id",
+        f'{{"user_id":true,{BODY}}}': "invalid_user_id",
+        f'{{"user_id":null,{BODY}}}': "missing_user_id",
+        f'{{"user_id":"u",{BODY}}} x': "malformed",
+        f'{{"user_id":"u",{BODY}}}{{}}': "malformed",
+        f'{{"user_id":"u",{BODY}}},{{}}': "malformed",
+        f'{{"user_id":"u",{BODY}}}] x': "malformed",
+        "[]": "malformed",
+        "12": "malformed",
+        "": "malformed",
+    }
+    q = ingest.quarantine(messages(spark, [*reasons, None]))
+    got = dict(rows(q, "_corrupt_record", "reject_reason"))
+    assert got == {**reasons, None: "malformed"}  # the raw text of every reject is kept
+    spaced = f' \n{{"user_id":"u","extra":[1,{{}}],{BODY}}}\t'
+    assert ingest.validate_events(messages(spark, [spaced]), as_of=NOW).count() == 1
 
 
 def test_normalize_timestamps(spark):
@@ -99,7 +131,7 @@ def test_intake_one_pass_both_tables(spark):
     msgs = messages(spark, [SAMPLE_MESSAGE, "{bad", '{"user_id":"u","action":"play","movie_id":"A","timestamp":"t"}'])
     out = ingest.intake(msgs, as_of=NOW)
     p = out._jdf.queryExecution().executedPlan().toString()
-    assert p.count("from_json(") == 1
+    assert p.count("parse_json(") + p.count("parseJson") == 1, p
     path = lake.write_intake(out, fresh_path(spark, "intake"), replace_partitions=True)
     lake.write_intake(out, path, replace_partitions=True)  # a rerun replaces, not duplicates
     back = spark.read.parquet(path)

@@ -22,7 +22,7 @@ def test_lake_layout_and_pruning(spark, sf_small):
     local = local_fs_path(path)
     dirs = sorted(d for d in os.listdir(local) if d.startswith("dt="))
     assert dirs[0].startswith("dt=2024-01-")
-    assert all(d.startswith("action=") for d in os.listdir(os.path.join(local, dirs[0])))
+    assert all(d.startswith("action_part=") for d in os.listdir(os.path.join(local, dirs[0])))
     back = lake.read_lake(spark, path)
     assert back.count() == ev.count()
     pruned = lake.read_lake(spark, path, "2024-01-15", "2024-01-15", ["play"], ["movie_id", "event_time"])

@@ -112,21 +112,29 @@ def test_fresh_buckets_merge_partials_and_replays(spark, sf_small):
     assert got_m == {(r.movie_id, r.score) for r in live.live_movie_scores(ev, AS_OF, "1 day", k=1000).collect()}
 
 
-def test_compact_fresh_buckets(spark, sf_small):
+def test_expired_days_leave_recent_views(spark, sf_small):
     from cinepulse.plans import jobs
 
     ev = activity(spark, sf_small)
     src = files.write_messages(ingest.to_messages(ev), fresh_path(spark, "msgs"), files=4)
-    stream = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=1))
+    stream = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=2))
     out, ckpt = fresh_path(spark, "fresh-buckets"), fresh_path(spark, "ckpt")
-    # day buckets: every day gets partial rows from each of the four batches
-    streams.await_all(streams.start_live_buckets(stream, out, ckpt, "1 day", trigger="availableNow", fresh=True), 300)
-    before = {k: spark.read.parquet(f"{out}/{k}").count() for k in ("genres", "movies")}
-    want_g = rows(live.live_trending_genres_from_buckets(spark.read.parquet(f"{out}/genres"), AS_OF, "1 day", k=1000))
-    want_m = rows(live.live_movie_scores_from_buckets(spark.read.parquet(f"{out}/movies"), AS_OF, "1 day", k=1000))
-    jobs.compact_live_buckets(spark, out, "2024-02-01")
-    g, m = spark.read.parquet(f"{out}/genres"), spark.read.parquet(f"{out}/movies")
-    assert g.count() < before["genres"] and m.count() < before["movies"]
-    assert g.groupBy("bucket_start", "genre").count().filter("count > 1").count() == 0
-    assert rows(live.live_trending_genres_from_buckets(g, AS_OF, "1 day", k=1000)) == want_g
-    assert rows(live.live_movie_scores_from_buckets(m, AS_OF, "1 day", k=1000)) == want_m
+    streams.await_all(streams.start_live_buckets(stream, out, ckpt, "1 hour", trigger="availableNow", fresh=True), 300)
+
+    def view():
+        g, m = spark.read.parquet(f"{out}/genres"), spark.read.parquet(f"{out}/movies")
+        return (
+            rows(live.live_trending_genres_from_buckets(g, AS_OF, "1 day", k=1000)),
+            rows(live.live_movie_scores_from_buckets(m, AS_OF, "1 day", k=1000)),
+        )
+
+    want = view()
+    gone = jobs.expire_live_buckets(spark, out, (AS_OF - dt.timedelta(days=1)).date())
+    assert gone and all(f.startswith(("genres/dt=", "movies/dt=")) for f in gone)
+    assert spark.read.parquet(f"{out}/genres").agg(F.min("dt")).first()[0] >= (AS_OF - dt.timedelta(days=1)).date()
+    assert view() == want
+    # a batch replayed after the expiry changes nothing
+    g = spark.read.parquet(f"{out}/genres").filter("batch_id = 1")
+    g.drop("dt").withColumn("dt", F.to_date("bucket_start")).write.mode("append").partitionBy("dt").parquet(f"{out}/genres")
+    assert view() == want
+    assert jobs.expire_live_buckets(spark, fresh_path(spark, "none"), "2024-02-01") == []

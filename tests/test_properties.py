@@ -118,11 +118,11 @@ def test_decode_and_validate_match_model(spark, payloads):
     assert sorted(got, key=repr) == sorted((model(p) for p in payloads), key=repr)
 
     def reason(p):
-        if isinstance(p.get("rating_value"), float):
-            return "malformed"  # a rating that is not an integer
         for f in FIELDS:
             if p.get(f) is None:
                 return f"missing_{f}"
+        if isinstance(p.get("rating_value"), float):
+            return "invalid_rating_value"  # no whole number
         return None
 
     want = collections.Counter(r for r in map(reason, payloads) if r)

@@ -15,6 +15,7 @@ from cinepulse.sources.adapter import activity
 from cinepulse.sources.fixtures import events_df
 from cinepulse.sources.versioned import read_latest
 from cinepulse.streaming import queries as streams
+from cinepulse.streaming.health import ProgressTotals
 
 from helpers import rows
 
@@ -65,12 +66,14 @@ def test_watermark_drops_late_rows(spark):
     )
     stream = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=1))
     out, ckpt = fresh_path(spark, "eng"), fresh_path(spark, "ckpt")
+    totals = ProgressTotals(spark).attach()
     q = streams.start_engagement(stream, out, ckpt, "5 minutes", "10 minutes", trigger="availableNow")
     streams.await_all([q], 300)
     got = rows(spark.read.parquet(out), "movie_id", "views")
     assert got == [("A", 1)]  # only the closed window, without the late row
-    assert streams.late_rows_dropped(q) == 1
-    assert streams.events_processed(q) == 4
+    totals.wait(q).detach()
+    assert totals.late_rows_dropped(q) == 1
+    assert totals.events_processed(q) == 4
 
 
 def test_raw_lake_restart_no_duplicates(spark, sf_small):
@@ -97,7 +100,7 @@ def test_three_queries_one_stream(spark, sf_small):
     base = fresh_path(spark, "job")
     qs = streams.start_all(stream, base, "1 day", "10 minutes", trigger="availableNow")
     streams.await_all(qs, 300)
-    assert read_latest(spark, f"{base}/trending").count() > 0
+    assert spark.read.parquet(f"{base}/trending").count() > 0
     assert spark.read.parquet(f"{base}/engagement").count() > 0
     assert lake.read_lake(spark, f"{base}/lake").count() == ev.count()
 
@@ -153,9 +156,11 @@ def test_ranked_stream_equals_batch_topk(spark, sf_small):
     assert sorted(got) == sorted(want)
     ckpt2 = fresh_path(spark, "ckpt")
     stream2 = ingest.parse_events(files.read_message_stream(spark, src))
+    totals = ProgressTotals(spark).attach()
     q = streams.start_top_engagement(stream2, ckpt2, None, "5 minutes", 5, trigger="availableNow", state_partitions=4)
     streams.await_all([q], 300)  # console sink: the ranked view prints each trigger
-    assert streams.events_processed(q) == ev.count()
+    totals.wait(q).detach()
+    assert totals.events_processed(q) == ev.count()
 
 
 def test_complete_mode_table_is_versioned(spark, sf_small):
@@ -186,6 +191,30 @@ def test_console_sink(spark, sf_small):
     ev = activity(spark, sf_small)
     src = files.write_messages(ingest.to_messages(ev), fresh_path(spark, "msgs"))
     stream = ingest.parse_events(files.read_message_stream(spark, src))
+    totals = ProgressTotals(spark).attach()
     q = streams.start_console(windowed.trending_genres(stream, "1 day"), "trend_console", trigger="availableNow", rows=5)
     streams.await_all([q], 300)
-    assert q.name == "trend_console" and streams.events_processed(q) == ev.count()
+    totals.wait(q).detach()
+    assert q.name == "trend_console" and totals.events_processed(q) == ev.count()
+
+
+def test_totals_outlive_reports_and_runs(spark):
+    src, path = fresh_path(spark, "totals-src"), fresh_path(spark, "totals")
+    schema = "value binary, timestamp timestamp"
+    old = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        ckpt, out, total = fresh_path(spark, "ckpt"), fresh_path(spark, "out"), 0
+        for n in (5, 2):  # two runs on one checkpoint, one batch a file
+            for i in range(n):
+                spark.createDataFrame([(bytearray(b"{}"), BASE)] * 10, schema).coalesce(1).write.mode("append").parquet(src)
+            total += 10 * n
+            totals = ProgressTotals(spark, path).attach()
+            stream = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=1))
+            q = streams.start_raw_lake(stream, out, ckpt, trigger="availableNow")
+            streams.await_all([q], 300)
+            totals.wait(q).detach()
+            assert totals.events_processed(q) == total
+        assert ProgressTotals(spark, path).events_processed(str(q.id)) == total
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)

@@ -64,6 +64,34 @@ def test_replayed_batch_is_published_once(spark):
 
 
 def test_lake_keeps_actions_as_text(spark):
-    rows = [(a, dt.datetime(2024, 1, 15, 10)) for a in ("01", "1", "play")]
+    rows = [(a, dt.datetime(2024, 1, 15, 10)) for a in ("01", "1", "play", "", None, "odd/../action")]
     path = lake.write_lake(spark.createDataFrame(rows, "action string, event_time timestamp_ntz"), fresh_path(spark, "lake"))
-    assert sorted(r.action for r in lake.read_lake(spark, path).collect()) == ["01", "1", "play"]
+    got = lake.read_lake(spark, path)
+    assert sorted((r.action for r in got.collect()), key=str) == ["", "01", "1", None, "odd/../action", "play"]
+    assert [r.action for r in lake.read_lake(spark, path, actions=["1"]).collect()] == ["1"]
+    assert got.columns == ["action", "event_time", "dt"]
+
+
+def _files(spark, path):
+    return len(spark.read.parquet(path).inputFiles())
+
+
+def test_lake_files_follow_size(spark):
+    hot = spark.range(0, 60_000, 1, 32).selectExpr(
+        "uuid() AS user_id", "CASE WHEN id % 100 = 0 THEN 'like' ELSE 'play' END AS action", "timestamp_ntz'2024-01-15 10:00:00' AS event_time"
+    )
+    assert _files(spark, lake.write_lake(hot, fresh_path(spark, "lake"))) == 2  # 32 tasks, two small partitions
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "200k")
+    try:
+        path = lake.write_lake(hot, fresh_path(spark, "lake"))
+    finally:
+        spark.conf.unset(key)
+    assert _files(spark, f"{path}/dt=2024-01-15/action_part=play") > 2  # several writers of the hot partition
+    assert lake.read_lake(spark, path).count() == 60_000
+
+
+def test_lake_without_rows(spark):
+    ev = spark.createDataFrame([], "action string, event_time timestamp_ntz")
+    path = lake.write_lake(ev, fresh_path(spark, "lake"))
+    assert lake.read_lake(spark, path, schema=lake.stored_schema(ev)).count() == 0
