@@ -12,6 +12,11 @@ from cinepulse.session import fresh_path
 #: the same join is shuffled. 100,000 rows of at most about 200 bytes are 20 MB.
 BROADCAST_ROWS = 100_000
 
+#: Rows of an Arrow batch while a stage is written: the buffers of a batch stand in the
+#: executor's JVM and in its Python worker at once, beside what the worker makes of them.
+ARROW_ROWS = 1000
+_ARROW_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -21,7 +26,12 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: cuts the lineage and
     fixes the rows for every later reader, also after the loss of an executor."""
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    rows = spark.conf.get(_ARROW_ROWS_KEY)
+    spark.conf.set(_ARROW_ROWS_KEY, str(ARROW_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ARROW_ROWS_KEY, rows)
     return spark.read.schema(df.schema).parquet(path)
 
 
