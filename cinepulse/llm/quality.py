@@ -35,6 +35,7 @@ EPOCHS = 6
 RATE = 0.1
 THRESHOLD = 0.7
 BLOCK_CHARS = 1 << 19
+GROUP_CHARS = 1 << 17  # short texts are taken together up to this size; about 200 bytes a character
 REPEATED = 0  # bucket of the feature "same word as before"
 
 _M1, _M2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
@@ -186,7 +187,7 @@ def text_scores(texts: list[str | None], values: np.ndarray, bias: float) -> np.
             group.append(block)
             owners.append(i)
             size += len(block)
-            if size >= BLOCK_CHARS:
+            if size >= GROUP_CHARS:
                 flush()
                 size = 0
     flush()

@@ -8,7 +8,7 @@ import numpy as np
 
 U64 = np.uint64
 #: Text handled at once: arrays of eight bytes per input byte stay near 10 MB each.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 _rng = np.random.default_rng(0x5EED)
 BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=U64) * U64(2) + U64(1)
