@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +39,35 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run``, a function for ``mapInArrow``, that hands memory it no longer uses back
+    to the system before every further batch and at its end. Python workers serve task after
+    task; without this each keeps the largest batch it has ever seen."""
+
+    def lean_run(batches: Batches) -> Batches:
+        def fed() -> Batches:
+            for batch in batches:
+                yield batch
+                hand_back()
+
+        try:
+            yield from run(fed())
+        finally:
+            hand_back()
+
+    return lean_run
+
+
+def hand_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 PLACE = ("_metadata.file_path", "_metadata.row_index")
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cinepulse.llm.common import held_out
+from cinepulse.llm.common import held_out, lean
 
 SAMPLE_ROWS = 300
 SAMPLE_CHARS = 10_000
@@ -280,7 +280,7 @@ def with_language(spark: SparkSession, docs: DataFrame, model: Model | None, tex
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores)], names=[*b.schema.names, "lang_pred", "score"])
 
     schema = docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)}).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def fit(docs: DataFrame, vocabulary: str | None = None, **columns: str) -> Model | None:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cinepulse.llm.common import small_side, staged
+from cinepulse.llm.common import lean, small_side, staged
 from cinepulse.llm.textvec import U64, grouped, mix, words_of
 
 WORDS_PER_SHINGLE = 5
@@ -292,14 +292,14 @@ def _open_pairs(spark: SparkSession, docs: DataFrame, seats: DataFrame, labels:
     rows = staged(spark, rows.join(small_side(staged(spark, several, "open-regions")), "region", "left_semi"), "open-seats")
     wanted = staged(spark, rows.select("id").distinct(), "to-compare")
     texts = docs.join(small_side(wanted), "id", "left_semi").select("id", "text")
-    shorts = staged(spark, texts.mapInArrow(_short_set_batches, "id long, shorts binary"), "shorts")
+    shorts = staged(spark, texts.mapInArrow(lean(_short_set_batches), "id long, shorts binary"), "shorts")
     blocks = F.ceil(F.col("size") / F.lit(BLOCK_ROWS)).cast("int")
     rows = rows.join(shorts, "id").withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("id"), blocks).cast("int")})
     # A region of several blocks: every block meets every block, itself included.
     mate = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = rows.withColumn("mate", mate).withColumn("cell", F.xxhash64("region", F.least("block", "mate"), F.greatest("block", "mate")))
     cells = cells.select("cell", "block", "id", "comp", "shorts").repartition("cell").sortWithinPartitions("cell")
-    return cells.mapInArrow(_foreign_pairs, "a long, b long, agreement int").distinct()
+    return cells.mapInArrow(lean(_foreign_pairs), "a long, b long, agreement int").distinct()
 
 
 def _across(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -315,10 +315,10 @@ def _checked(spark: SparkSession, docs: DataFrame, pairs: DataFrame) -> DataFram
     """The pairs (staged) that are links, by their full sets."""
     wanted = staged(spark, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "to-check")
     texts = docs.join(small_side(wanted), "id", "left_semi").select("id", "text")
-    sets = staged(spark, texts.mapInArrow(_set_batches, "id long, shingles binary"), "sets")
+    sets = staged(spark, texts.mapInArrow(lean(_set_batches), "id long, shingles binary"), "sets")
     side = {c: sets.select(F.col("id").alias(c), F.col("shingles").alias(f"shingles_{c}")) for c in "ab"}
     full = pairs.select("a", "b").hint("shuffle_merge").join(side["a"].hint("shuffle_merge"), "a").join(side["b"].hint("shuffle_merge"), "b")
-    return full.select("a", "b", "shingles_a", "shingles_b").mapInArrow(_linked, "a long, b long").distinct()
+    return full.select("a", "b", "shingles_a", "shingles_b").mapInArrow(lean(_linked), "a long, b long").distinct()
 
 
 def near_links(spark: SparkSession, docs: DataFrame, sketches: DataFrame) -> tuple[DataFrame | None, DataFrame]:
@@ -329,7 +329,7 @@ def near_links(spark: SparkSession, docs: DataFrame, sketches: DataFrame) -> tup
     marks = nodes.select("id", "sketch")
     side = {c: marks.select(F.col("id").alias(c), F.col("sketch").alias(f"s{c}")) for c in "ab"}
     pairs = _neighbours(seats).unionByName(ties).distinct().join(side["a"], "a").join(side["b"], "b").select("a", "b", "sa", "sb")
-    near = staged(spark, pairs.mapInArrow(_agreeing, "a long, b long, agreement int").distinct(), "neighbours")
+    near = staged(spark, pairs.mapInArrow(lean(_agreeing), "a long, b long, agreement int").distinct(), "neighbours")
     links, labels = _link(spark, docs, near, None, None)
     rest = staged(spark, _open_pairs(spark, docs, seats, labels), "rest")
     _, labels = _link(spark, docs, rest, links, labels)
@@ -355,7 +355,7 @@ def _link(spark: SparkSession, docs: DataFrame, candidates: DataFrame, links: Da
 def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept (the smallest id of the component)."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketches = staged(spark, docs.mapInArrow(_sketch_batches, SKETCHES), "sketches")
+    sketches = staged(spark, docs.mapInArrow(lean(_sketch_batches), SKETCHES), "sketches")
     labels, _ = near_links(spark, docs, sketches)
     rows = sketches.select("id", "n_shingles", "set_hash")
     first = rows.filter("n_shingles > 0").groupBy("set_hash").agg(F.min("id").alias("node"))

@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cinepulse.llm.common import lean
 from cinepulse.llm.tokens import WordEncoder, default_vocabulary
 
 MAX_TOKENS = 1024
@@ -168,4 +169,4 @@ def pack(
                     next_id += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, PIECES)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(lean(run), PIECES)

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cinepulse.llm.common import lean
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ["O", *[f"{p}-{k}" for k in KINDS for p in "BI"]]
 BUCKETS = 1 << 14
@@ -383,7 +385,7 @@ def with_spans(spark: SparkSession, docs: DataFrame, crf: Crf, text_col: str = "
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, "base_spans", "all_spans"])
 
     schema = docs.withColumns({c: F.lit(None).cast(SPANS) for c in ("base_spans", "all_spans")}).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def masked(spark: SparkSession, docs: DataFrame, crf: Crf, text_col: str = "text") -> DataFrame:
@@ -398,7 +400,7 @@ def masked(spark: SparkSession, docs: DataFrame, crf: Crf, text_col: str = "text
             at = b.schema.get_field_index(text_col)
             yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(clean, b.column(at).type), *b.columns[at + 1 :]], names=b.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def mask(text: str, spans: list[tuple[int, int, str]]) -> str:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinepulse.llm.common import held_out
+from cinepulse.llm.common import held_out, lean
 
 BUCKETS = 1 << 18
 DIMENSION = 12
@@ -207,4 +207,4 @@ def with_score(spark: SparkSession, docs: DataFrame, model: Model | None, text_c
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores)], names=[*b.schema.names, score_col])
 
     schema = docs.withColumn(score_col, F.lit(0.0)).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)

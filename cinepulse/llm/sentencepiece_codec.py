@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinepulse.llm.common import lean
 from cinepulse.llm.tokens import pack_ids
 
 MARK = "▁"
@@ -232,4 +233,4 @@ def encoded(docs: DataFrame, model: str | None = None, text_col: str = "text", t
                 yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*b.schema.names, "ids", "n_tokens", "decoded", "parity"])
 
     none = {c.split()[0]: F.lit(None).cast(c.split()[1]) for c in ENCODED.split(", ")}
-    return docs.mapInArrow(run, docs.withColumns(none).schema)
+    return docs.mapInArrow(lean(run), docs.withColumns(none).schema)

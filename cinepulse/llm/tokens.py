@@ -14,7 +14,7 @@ import re
 import sys
 from array import array
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 #: White space beside a blank, or a blank at an end: the text is cut with more care.
 _ODD = re.compile(r"\s | \s|\A | \Z")
 _BLANK = re.compile(r"(?<=\S) (?=\S)")

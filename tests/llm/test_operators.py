@@ -11,10 +11,11 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cinepulse.llm import chat_windows, exact_dedup, fingerprint, language, near_dedup, packing, pii, quality, secret_ledger, sentencepiece_codec, tokens
+from cinepulse.llm import chat_windows, common, exact_dedup, fingerprint, language, near_dedup, packing, pii, quality, secret_ledger, sentencepiece_codec, tokens
 from cinepulse.llm.common import documents
 from cinepulse.session import fresh_path
 
@@ -546,3 +547,18 @@ def test_chat_windows_read_back(spark, budget, history):
 def test_chat_empty(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_windows.read_back(chat_windows.format_windows(none)).count() == 0
+
+
+def test_lean_passes_batches_and_errors_through():
+    batches = [pa.RecordBatch.from_pydict({"x": [i]}) for i in range(3)]
+    assert [b.column(0)[0].as_py() for b in common.lean(lambda bs: bs)(iter(batches))] == [0, 1, 2]
+    assert list(common.lean(lambda bs: bs)(iter([]))) == []
+
+    def broken(bs):
+        yield next(bs)
+        raise ValueError("second")
+
+    out = common.lean(broken)(iter(batches))
+    next(out)
+    with pytest.raises(ValueError, match="second"):
+        next(out)
