@@ -2,9 +2,11 @@
 
 The turns of a conversation, in order, are cut into turn-aligned windows by prefix
 sums of their token counts: a window holds the next turns whose sum fits the budget,
-behind the conversation's system turn (if it opens with one) and the last turns of
-the window before, as far as the history budget goes. Repeated turns are marked and
-carry no loss, so every assistant text is a target exactly once.
+behind the conversation's system turn (if it opens with one, of whatever length) and
+the last turns of the window before, as far as the history budget goes and the first
+new turn leaves room. A window is over the budget only if the system turn and one new
+turn are; it then holds these two alone. Repeated turns are marked and carry no loss,
+so every assistant text is a target exactly once.
 
 Template: ``<s>``, then per turn ``[role]`` + text + ``[/role]`` (repeated turns:
 ``[=role]``), then ``</s>``. In texts and roles the characters ``\\``, ``<`` and
@@ -15,8 +17,7 @@ Conversations stream through a task in sorted order; memory holds one window (an
 one turn) at a time, however long a conversation is. NULL texts and roles are empty;
 turns with the same number are ordered by role, then text; repeated rows stay
 repeated turns; NULL turn numbers come first; rows of a NULL id form one
-conversation; a turn over the budget has a window of its own. Columns other than the
-four are not looked at.
+conversation. Columns other than the four are not looked at.
 """
 
 from __future__ import annotations
@@ -91,12 +92,20 @@ class _Windows:
         self.history, self.new, self.sum, self.n = kept[::-1], [], 0, self.n + 1
         return out
 
+    def _make_room(self, size: int) -> None:
+        """Drops the oldest history that does not fit beside the first new turn."""
+        left = self.budget - size - sum(t[2] for t in self.system)
+        while self.history and sum(t[2] for t in self.history) > left:
+            self.history.pop(0)
+
     def add(self, role: str, text: str) -> tuple | None:
         size = count_tokens(text)
         ahead = sum(t[2] for t in [*self.system, *self.history]) if self.n else 0
         out = self.close() if self.new and ahead + self.sum + size > self.budget else None
-        if self.turns == 0 and role == "system" and size <= self.budget // 2:
+        if self.turns == 0 and role == "system":
             self.system = [(role, text, size)]
+        if self.n and not self.new:
+            self._make_room(size)
         self.new.append((role, text, size))
         self.sum += size
         self.turns += 1
@@ -119,7 +128,7 @@ def format_windows(turns: DataFrame, budget: int = 512, history: int = 96) -> Da
     """Windows of conversations (conv_id, turn, role, text), in order within a task.
 
     ``budget`` and ``history`` count tokens (``count_tokens``) of a window and of the
-    repeated turns in it."""
+    repeated turns in it, the system turn aside."""
     out = pa.schema(
         [("conv_id", pa.int64()), ("window", pa.int64()), ("formatted", pa.string()), ("mask", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), ("tokens", pa.int64())]
     )

@@ -544,6 +544,25 @@ def test_chat_windows_read_back(spark, budget, history):
         assert w.tokens <= budget or len(new) == 1
 
 
+@pytest.mark.parametrize("system", [100, 257, 400, 508, 600])
+def test_chat_windows_always_repeat_the_system_turn(spark, system):
+    budget, first = 512, ("system", "s " * (system - 4) + "end")
+    rng = random.Random(system)
+    said = [first, *[("assistant" if i % 2 else "user", "w " * rng.choice([3, 40, 90, 200, 500])) for i in range(60)]]
+    turns = spark.createDataFrame([(1, i, *t) for i, t in enumerate(said)], "conv_id long, turn long, role string, text string")
+    windows = chat_windows.format_windows(turns, budget, 96)
+    got = [(chat_windows.parse_window(w.formatted), w.tokens) for w in sorted(windows.collect(), key=lambda w: w.window)]
+    assert len(got) > 3
+    for n, (parsed, size) in enumerate(got):
+        assert parsed[0] == (*first, n > 0)
+        assert sum(p[:2] == first for p in parsed) == 1
+        assert size == sum(chat_windows.count_tokens(t) for _, t, _ in parsed)
+        assert size <= budget or len(parsed) == 1 + (n > 0)
+    assert [p[:2] for parsed, _ in got for p in parsed if not p[2]] == said
+    loss = "".join(t for role, t in said if role == "assistant")
+    assert chat_windows.read_back(windows).first().loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
 def test_chat_empty(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_windows.read_back(chat_windows.format_windows(none)).count() == 0
