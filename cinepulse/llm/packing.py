@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinepulse.llm.common import lean
-from cinepulse.llm.tokens import WordEncoder, default_vocabulary
+from cinepulse.llm.tokens import TextEncoder, default_vocabulary
 
 MAX_TOKENS = 1024
 MAX_SEGMENTS = 256
@@ -153,7 +153,7 @@ def pack(
     names = [c.split()[0] for c in PIECES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = TextEncoder(path)
         next_id = TaskContext.get().partitionId() * SEQUENCES_PER_TASK
         for batch in batches:
             for at in range(0, batch.num_rows, window):

@@ -312,6 +312,26 @@ def test_word_encoder_equals_the_tokenizers_library(texts):
     assert tokens.WordEncoder(path, cache_words=50).encode(cases) == want
 
 
+def test_added_tokens_equal_the_tokenizers_library(spark, texts):
+    from tokenizers import Tokenizer
+
+    path = tokens.default_vocabulary()
+    library = Tokenizer.from_file(path)
+    rng = random.Random(6)
+    cases = ["", "<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|><|endoftext|>  b\n", "<|endoftext|", "<|<|endoftext|>endoftext|>", *list(texts.values())[:20]]
+    parts = ["<|endoftext|>", "<|endoftext", "|>", " ", "  ", "\n", "a", "it's", "é", "12"]
+    cases += ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(1500)]
+    want = [e.ids for e in library.encode_batch(cases, add_special_tokens=False)]
+    assert want[2] == [64, 220, 50256, 275]
+    assert tokens.TextEncoder(path, cache_words=50).encode(cases) == [np.array(w, "<u4").tobytes() for w in want]
+
+    rows = spark.createDataFrame(list(enumerate(cases[:6])), "doc_id long, text string")
+    for r in packing.pack(spark, rows).collect():
+        ids = [*want[r.doc_id], packing.END_ID]
+        assert r.doc_tokens == len(ids)
+        assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
+
+
 @pytest.mark.parametrize("limits", [packing.Limits(64, 4, 40), packing.Limits(64, 2, 64), packing.Limits()])
 def test_packing_keeps_all_limits_and_every_token(limits):
     rng = random.Random(4)
