@@ -6,10 +6,14 @@ rebuilt: the precompiled character map, blank handling, the marker for blanks,
 unigram scores (or, for a BPE model, merges in the order of the scores), byte
 fallback and the decoder. Batches are encoded by the library's threads.
 
-Texts are cut before each run of markers where no piece could cross the cut; every
-distinct word is encoded, decoded and compared with the original library once, and
-remembered. A word whose ids differ from the original's is reported (``parity``
-false), never silently replaced.
+Texts are cut before each run of blanks (literal markers U+2581 in or behind it are
+part of the run, and a blank behind a literal marker is no cut), where no piece could
+cross the cut; every distinct word is encoded, decoded and remembered. ``parity``
+compares with the original library: every whole text that holds a literal marker, and
+every distinct word of the others once. Of these, a BPE model without a normaliser
+merges each word alone, whatever stands around it; under any other model every whole
+text is compared. Ids that differ from the original's are reported (``parity`` false),
+never silently replaced.
 
 NULL is the empty text (no ids). A decoded text has what the normaliser made of the
 input, with a marker character in it read as a blank; otherwise, for the registered
@@ -20,9 +24,11 @@ tables and other columns need nothing special: the operator is a map.
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,6 +40,8 @@ from cinepulse.llm.tokens import pack_ids
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
+#: A blank that starts a run of markers.
+_RUN = re.compile(rf"(?<![ {MARK}]) ")
 CACHE_WORDS = 250_000
 ENCODED = "ids binary, n_tokens long, decoded string, parity boolean"
 
@@ -157,6 +165,8 @@ class Codec:
         self.charsmap = normalizers.Precompiled(self.proto.charsmap) if self.proto.charsmap else None
         # A cut before a blank is safe if no piece has a blank behind another character.
         self.cuts = all(MARK not in p.lstrip(MARK) for p, _, kind in self.proto.pieces if kind in (NORMAL, USER_DEFINED))
+        # Words alone show that the ids of their text are the original's.
+        self.by_word = self.cuts and self.proto.algorithm == BPE and self.proto.escape and not self.proto.remove_extra and not self.charsmap
         self.limit = cache_words
         self.words: dict[str, tuple[bytes, str, bool]] = {}
 
@@ -172,6 +182,9 @@ class Codec:
         """Words with the run of blanks before them; blanks at the end stay one word."""
         if not self.cuts:
             return [text] if text else []
+        if MARK in text:
+            at = [0, *[m.start() for m in _RUN.finditer(text)], len(text)]
+            return [text[a:b] for a, b in pairwise(at) if a < b]
         out, blanks = [], ""
         for i, w in enumerate(text.split(" ")):
             if i:
@@ -182,18 +195,17 @@ class Codec:
         return [*out, blanks] if blanks else out
 
     def _learn(self, words: list[str]) -> dict[str, tuple[bytes, str, bool]]:
-        """Ids and text of distinct words, each checked against the original library.
+        """Ids and text of distinct words, each checked against the original library
+        if that shows anything for their texts.
 
         The original adds its prefix to every text; behind a line break, which no
         piece holds together with anything else, a word stands as inside a text."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         texts = self.tokenizer.decode_batch(found, skip_special_tokens=False)
         lead = len(self.original.encode("\n"))
-        plain = not self.proto.remove_extra and not self.charsmap
-        if plain:
+        expected = [None] * len(words)
+        if self.by_word:
             expected = [ids[lead:] for ids in self.original.encode(["\n" + w for w in words], num_threads=1)]
-        else:
-            expected = [self.original.encode(w.lstrip(" ")) if w.startswith(" ") and self.proto.dummy_prefix else None for w in words]
         return {
             w: (pack_ids(ids), t, (want is None or ids == want) and t == w.replace(MARK, " "))
             for w, ids, t, want in zip(words, found, texts, expected)
@@ -201,20 +213,23 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, str, bool]]:
         """(packed ids, decoded text, parity) of each text."""
-        cut = [self.cut(self.normalise(t or "")) for t in texts]
+        plain = [self.normalise(t or "") for t in texts]
+        cut = [self.cut(t) for t in plain]
         known = self.words
         fresh = list({w for words in cut for w in words if w not in known})
         more: dict[str, tuple[bytes, str, bool]] = {}
         for i in range(0, len(fresh), 10_000):
             more |= self._learn(fresh[i : i + 10_000])
         if len(known) < self.limit:  # the frequent ones come early
-            known.update(more)
-            more = {}
+            known.update((w, p) for w, p in more.items() if MARK not in w)  # stretches may be long
         out = []
         strip = 1 if self.proto.dummy_prefix else 0
         for words in cut:
             parts = [known.get(w) or more[w] for w in words]
             out.append((b"".join([p[0] for p in parts]), "".join([p[1] for p in parts])[strip:], all([p[2] for p in parts])))
+        whole = [i for i, t in enumerate(plain) if not self.by_word or MARK in t]
+        for i, ids in zip(whole, self.original.encode([texts[i] or "" for i in whole], num_threads=1)):
+            out[i] = (*out[i][:2], out[i][2] and out[i][0] == pack_ids(ids))
         return out
 
 

@@ -428,6 +428,31 @@ def test_sentencepiece_parity(tmp_path, texts, kind):
     assert all(g[2] for g in got)
 
 
+@pytest.mark.parametrize("kind", ["bpe", "unigram"])
+def test_sentencepiece_literal_markers(tmp_path, kind):
+    path = sentencepiece_codec.default_model() if kind == "bpe" else _unigram_model(tmp_path / "u.model")
+    codec = sentencepiece_codec.Codec(path, threads=2)
+    rng = random.Random(7)
+    cases = ["▁ ▁", "a▁▁ ▁b", "a▁ b", "a ▁b", "▁", " ▁", "▁ ", "the▁the ▁ the▁", "▁" * 40 + " " * 40 + "▁the"]
+    cases += ["".join(rng.choice(["▁", " ", "▁▁", "  ", "the", "r", "\n"]) for _ in range(rng.randrange(12))) for _ in range(2000)]
+    got = codec.encode(cases)
+    same = [np.frombuffer(g[0], "<u4").tolist() == w for g, w in zip(got, codec.original.encode(cases))]
+    assert [g[1] for g in got] == [c.replace("▁", " ") for c in cases]
+    assert [g[2] for g in got] == same
+    # Only runs of 17 markers and more differ, literal or not: their pieces have one score.
+    assert all(s or re.search("[ ▁]{17}", " " + c) for s, c in zip(same, cases))
+
+
+def test_sentencepiece_reports_wrong_ids_of_a_whole_text(monkeypatch):
+    codec = sentencepiece_codec.Codec(sentencepiece_codec.default_model(), threads=2)
+    at_blanks = lambda text: [w for w in re.split("(?= )", text) if w]
+    monkeypatch.setattr(codec, "cut", at_blanks)
+    cases = ["▁ ▁", "a▁▁ ▁b", "a b"]
+    got = codec.encode(cases)
+    same = [np.frombuffer(g[0], "<u4").tolist() == w for g, w in zip(got, codec.original.encode(cases))]
+    assert [g[2] for g in got] == same == [False, False, True]
+
+
 def test_sentencepiece_on_spark(spark, edge, empty):
     got = sentencepiece_codec.encoded(edge).collect()
     assert all(r.decoded == (r.text or "") and r.parity for r in got) and len(got) == len(EDGE)
