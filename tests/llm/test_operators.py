@@ -351,6 +351,46 @@ def test_packing_keeps_all_limits_and_every_token(limits):
         assert at == size
 
 
+@pytest.mark.parametrize(
+    "size,spans,full",
+    [(32, [(0, 2)], (64, 2, 4)), (4, [(0, 1)], (32, 8, 8)), (16, [(0, 5), (3, 8)], (32, 2, 16))],
+    ids=["tokens", "segments", "loss"],
+)
+def test_packing_with_loss_spans_binds_at_each_limit(size, spans, full):
+    sequences = list(packing.pack_window([size] * 16, packing.Limits(64, 8, 16), spans=[spans] * 16))
+    assert {(sum(p.length for p in s), len(s), sum(p.loss for p in s)) for s in sequences} == {full}
+
+
+def test_packing_with_loss_spans_keeps_all_limits():
+    rng = random.Random(8)
+    sizes = [rng.choice([5, 20, 60, 300]) for _ in range(300)]
+    spans = [rng.choice([None, [], [(n // 2, n)], [(2, n // 3), (n // 4, n // 2)]]) for n in sizes]
+    bears = [[(s is None or any(a <= i < b for a, b in s)) and i < n - 1 for i in range(n)] for n, s in zip(sizes, spans)]
+    for limits in (packing.Limits(64, 3, 12), packing.Limits(256, 3, 12), packing.Limits(64, 64, 12), packing.Limits(64, 3, 64)):
+        sequences = list(packing.pack_window(sizes, limits, spans=spans))
+        covered = defaultdict(list)
+        for sequence in sequences:
+            assert sum(p.length for p in sequence) <= limits.tokens
+            assert len(sequence) <= limits.segments and sum(p.loss for p in sequence) <= limits.loss
+            for p in sequence:
+                assert p.length > 0 and p.loss == sum(bears[p.doc][p.start : p.start + p.length])
+                covered[p.doc] += range(p.start, p.start + p.length)
+        assert all(sorted(covered[d]) == list(range(n)) for d, n in enumerate(sizes))
+
+
+def test_packing_with_a_loss_column(spark):
+    rows = [(i, "word " * (5 + i), None if i == 3 else [(2, 4 + i // 2)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, answers array<struct<start: int, stop: int>>").coalesce(1)
+    got = packing.pack(spark, df, limits=packing.Limits(64, 4, 16), loss_col="answers").collect()
+    loss, in_sequence = defaultdict(int), defaultdict(int)
+    for r in got:
+        loss[r.doc_id] += r.loss_tokens
+        in_sequence[r.sequence_id] += r.loss_tokens
+    assert max(in_sequence.values()) <= 16
+    tokens_of = {r.doc_id: r.doc_tokens for r in got}
+    assert loss == {i: tokens_of[i] - 1 if s is None else s[0][1] - s[0][0] for i, _, s in rows}
+
+
 def test_packing_chooses_by_dot_product():
     """The room left is mostly tokens: the long piece is preferred to the short ones."""
     items = [packing.Piece(i, 0, n, n - 1) for i, n in enumerate((10, 900, 100, 24))]
