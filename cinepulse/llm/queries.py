@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinepulse.llm import chat_windows, exact_dedup, fingerprint, language, near_dedup, packing, pii, quality, secret_ledger, sentencepiece_codec
+from cinepulse.llm import (
+    chat_windows,
+    collocations,
+    exact_dedup,
+    fingerprint,
+    language,
+    license_index,
+    middle_fill,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    secret_ledger,
+    sentencepiece_codec,
+)
 from cinepulse.llm.common import documents, held_out
 from cinepulse.session import fresh_path
 
@@ -89,6 +103,34 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_windows.read_back(chat_windows.format_windows(turns.unionByName(more)))
 
 
+def op11_stripe_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of each language of the documents."""
+    return collocations.mine(spark, documents(spark, sf_dir))
+
+
+def op12_wavelet_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut in three for filling in the middle, and read back."""
+    done = middle_fill.transform(documents(spark, sf_dir).select("doc_id", "text"))
+    digests = {"output_sha256": F.sha2("fim", 256), "restored_sha256": F.sha2(middle_fill.restored(), 256)}
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *[c.alias(name) for name, c in digests.items()])
+
+
+def op13_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    found = license_index.with_licenses(documents(spark, sf_dir).select("doc_id", "text"))
+    words, labels = F.col("base_places.word"), F.col("base_places.label")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base_places").cast("long").alias("n_base"),
+        F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(labels)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(labels, F.col("notices.label"))), ",").alias("labels"),
+        F.col("license_score").alias("score"),
+    )
+
+
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -102,6 +144,9 @@ OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_marginal_language,
         op9_blob_ledger,
         op10_chat_windows,
+        op11_stripe_collocations,
+        op12_wavelet_middle,
+        op13_license_index,
     )
 }
 
@@ -136,4 +181,37 @@ ORACLE = {
         SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
                sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
         FROM t LEFT JOIN f USING (doc_id)""",
+    "op11_stripe_collocations": """
+        WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+                   FROM documents),
+        p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM t),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+        i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+        g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM i, (VALUES (1), (2), (3), (4)) s(k) WHERE i + k - 1 <= len(w)),
+        f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+        c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 30),
+        inner_parts AS (SELECT lang, k, a, w, unnest(range(1, k + 1)) AS i FROM c WHERE k > 2),
+        around AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+                   FROM inner_parts, (VALUES (2), (3)) s(m) WHERE m < k AND i + m - 1 <= k GROUP BY ALL),
+        alone AS (SELECT c.* FROM c LEFT JOIN around USING (lang, phrase) WHERE longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT),
+        cuts AS (SELECT lang, phrase, a, w, k, unnest(range(1, k)) AS cut FROM alone),
+        s AS (SELECT x.lang, x.phrase, x.a, x.cut, l.a AS l, r.a AS r, ((2000000::HUGEINT * x.a) // (l.a + r.a))::BIGINT AS score
+              FROM cuts x JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(x.w[1:x.cut], ' ')
+                          JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(x.w[x.cut + 1:x.k], ' ')),
+        b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM b JOIN n USING (lang) QUALIFY rank <= 2000""",
+    "op12_wavelet_middle": """
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h FROM documents),
+        g AS (SELECT *, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM t),
+        c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                     CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                          WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g),
+        p AS (SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM c)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle)
+                                ELSE concat('<S>', suffix, '<P>', prefix, '<M>', middle) END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM p""",
 }
