@@ -1,22 +1,23 @@
 """Collocations: phrases whose words stand together more often than their parts would, by stripes.
 
 A stripe belongs to a (language, prefix) and maps each next word to the number of times
-it follows the prefix inside a piece of text; the entry under the empty word is the total
-of the prefix itself. Tasks build the stripes of a block of text in numpy, stripes of
-equal prefixes are merged elementwise after one shuffle, and everything else is read
-from the merged stripes: an entry is the count of an extended phrase, the total the count
-of its first part, and the largest entry the right half of the subsumption test (the
-left half is the largest total among phrases that end in the phrase).
-
-A phrase can reach ``min_count`` only if all its words and pairs of words do. A first pass
-counts 64-bit hashes of words and pairs; those that reach ``min_count`` set a bit in a filter
-of a fixed size (``FILTER_BITS``, broadcast: 8 MB), and the stripes hold only phrases whose
-words and pairs are all in it. A false positive of the filter costs work and is counted like
-any other phrase; nothing frequent can be missed, so the counts are exact at any size.
-
-Stripes are cut by a hash of the next word into ``SEGMENTS`` parts, so that a prefix in a
-third of all texts, or one with a whole vocabulary behind it, is merged by many tasks. The
-lookups of parts are broadcast below a checked size and salted above it. A language's first
+it follows the prefix inside a piece of text; the stripe of a word also holds the word's own
+total. Tasks build the stripes of a block of text in numpy, stripes of equal prefixes are
+merged elementwise after one shuffle, and everything else is read from the merged
+stripes: an entry is the count of an extended phrase and the total of the longer prefix
+that it makes, and the largest entry of a stripe is the right half of the subsumption test
+(the left half is the largest entry among phrases that end in the phrase).
+
+A phrase can reach ``min_count`` only if all its parts do. Passes before the stripes count
+64-bit hashes of words and pairs, then of each further length whose parts reached
+``min_count``; what does sets a bit in a filter of a fixed size (``FILTER_BITS``, broadcast:
+8 MB), and the stripes hold only phrases whose parts are all in it. A false positive
+of the filter costs work and is counted like any other phrase; nothing frequent can be
+missed, so the counts are exact at any size.
+
+The stripe of a hot prefix (1 / ``HOT_SHARE`` of all counted phrases or more) is cut by a hash
+of the next word into ``SEGMENTS`` parts, so that a prefix in a third of all texts, or one
+with a whole vocabulary behind it, is merged by many tasks. The lookups of parts are broadcast below a checked size and salted above it. A language's first
 rows come from ranks within 64 groups of its phrases, then from the rows these leave.
 
 Words, pieces and case follow bytes of UTF-8: A-Z are lower-cased, line breaks and
@@ -49,18 +50,23 @@ LONGEST = 4
 SUBSUMED_PERCENT = 80
 SCORE_SCALE = 2_000_000
 TOP = 2000
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 22
+STEP_BYTES = 1 << 18
 FILTER_BITS = 1 << 26
-#: Parts of a stripe by the number of words in its prefix.
-SEGMENTS = {0: 64, 1: 64, 2: 16, 3: 4}
+#: A prefix that makes up 1 / HOT_SHARE of all counted phrases is hot: at most so many are.
+HOT_SHARE = 4096
+#: Parts of the stripe of a hot prefix.
+SEGMENTS = 64
 RANK_GROUPS = 64
+#: Entries of counted hashes that a task holds before it merges them.
+MERGE_ENTRIES = 1 << 21
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _APART = _BREAK.copy()
 _APART[[0x20, 0x09]] = True
 _NEXT_GAP = re.compile(rb"[\t-\r .,;:!?]")
-_PAIR = U64(0xD6E8FEB86659FD93)
+_STEP = U64(0xD6E8FEB86659FD93)
 
 HASHES = "hash long, n long"
 STRIPES = "lang string, size int, prefix string, segment int, next array<string>, n array<long>"
@@ -88,9 +94,6 @@ class Words:
     known: int
     open_words: list[bytes]
 
-    def pair_hashes(self) -> np.ndarray:
-        return mix(self.hashes[:-1] * _PAIR + self.hashes[1:])
-
 
 def _seed(lang: str) -> int:
     return int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little")
@@ -104,7 +107,10 @@ def _words(data: bytes, begins: list[int], codes: list[int], seeds: np.ndarray,
     ends = np.flatnonzero(~apart[:-1] & apart[1:])
     up, down = _power_tables(len(raw) + 1)
     total = np.zeros(len(raw) + 1, U64)
-    np.cumsum(BYTE_CODE[raw] * up[: len(raw)], out=total[1:])
+    for a in range(0, len(raw), STEP_BYTES):
+        b = min(len(raw), a + STEP_BYTES)
+        np.cumsum(BYTE_CODE[raw[a:b]] * up[a:b], out=total[a + 1 : b + 1])
+        total[a + 1 : b + 1] += total[a]
     plain = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U64))
     code = np.asarray(codes, np.int64)[np.searchsorted(begins, starts, "right") - 1]
     breaks = np.cumsum(_BREAK[raw], dtype=np.int64)
@@ -158,32 +164,81 @@ def _read(batch: pa.RecordBatch, longest: int, block_bytes: int) -> Iterator[tup
     return _blocks(batch.column("lang").to_pylist(), texts, longest, block_bytes)
 
 
-# --- first pass: the filter --------------------------------------------------------
+# --- passes that count hashes: the filter -------------------------------------------
+
+
+def _candidates(words: Words, bitmap: np.ndarray | None, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each word, whether a phrase of ``length`` words begins there of which all shorter
+    parts are in the filter (not looked at without one), and the hash of the phrase."""
+    hashes, open_ = words.hashes, np.ones(len(words.hashes), bool)
+    for k in range(1, length):
+        held = open_ if bitmap is None else open_ & _in_filter(bitmap, hashes)
+        open_ = held[:-1] & held[1:]
+        if k == 1:
+            open_ &= words.joined
+        hashes = mix(hashes[:-1] * _STEP + words.hashes[k:])
+    return open_, hashes
+
 
+def _counted(words: Words, bitmap: np.ndarray | None, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of the candidates of these lengths that end in a new word."""
+    found = []
+    for length in lengths:
+        open_, hashes = _candidates(words, bitmap, length)
+        found.append(hashes[max(0, words.known - length + 1) :][open_[max(0, words.known - length + 1) :]])
+    return np.unique(np.concatenate(found), return_counts=True)
 
-def _count_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    last = np.arange(1, len(words.starts))
-    pairs = words.pair_hashes()[words.joined & (last >= words.known)]
-    return np.unique(np.concatenate([words.hashes[words.known :], pairs]), return_counts=True)
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    hashes, place = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+    n = np.bincount(place, weights=np.concatenate([n for _, n in parts]), minlength=len(hashes)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], names=["hash", "n"])
 
-def frequent_filter(docs: DataFrame, min_count: int, longest: int = LONGEST, block_bytes: int = BLOCK_BYTES, bits: int = FILTER_BITS) -> np.ndarray:
-    """Bits at the hashes of all words and pairs of at least ``min_count`` occurrences; ``docs``
-    has lang and text. At most ``bits`` / 64 rows, whatever the input, come to the driver."""
+
+def _marks(
+    spark: SparkSession, docs: DataFrame, bitmap: np.ndarray | None, lengths: list[int], min_count: int, longest: int, block_bytes: int, bits: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Filter bits of the phrases of these lengths that occur ``min_count`` times, and the
+    hashes of the hot ones."""
+    shared = None if bitmap is None else spark.sparkContext.broadcast(bitmap.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None if shared is None else np.frombuffer(shared.value, U64)
+        parts = []
         for batch in batches:
             for words, _ in _read(batch, longest, block_bytes):
-                hashes, n = _count_hashes(words)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], names=["hash", "n"])
+                parts.append(_counted(words, known, lengths))
+                if sum(len(h) for h, _ in parts) > MERGE_ENTRIES:
+                    yield _merged(parts)
+                    parts.clear()
+        if parts:
+            yield _merged(parts)
 
     counted = docs.mapInArrow(lean(run), HASHES).groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
+    counted = staged(spark, counted, "phrase-hashes")
+    often = F.col("n").cast("decimal(20,0)") * HOT_SHARE >= F.lit(counted.agg(F.sum("n")).first()[0] or 0)
+    hot = counted.filter(often).select("hash").toArrow()["hash"].to_numpy()  # HOT_SHARE rows at most
     slot = F.col("hash").bitwiseAND(F.lit(bits - 1))
     marked = counted.select(F.shiftright(slot, 6).alias("word"), F.expr("shiftleft(1L, cast(hash & 63 as int))").alias("bit"))
     rows = marked.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(bits // 64, np.int64)
     out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
-    return out.view(U64)
+    return out.view(U64), hot.astype(np.int64).view(U64)
+
+
+def frequent_filter(
+    spark: SparkSession, docs: DataFrame, min_count: int, longest: int = LONGEST, block_bytes: int = BLOCK_BYTES, bits: int = FILTER_BITS
+) -> tuple[np.ndarray, np.ndarray]:
+    """Bits at the hashes of all phrases of fewer than ``longest`` words that occur ``min_count``
+    times; ``docs`` has lang and text. Words and pairs are counted in one pass, each further
+    length in another, by candidates whose parts are in the filter so far. Also the
+    hashes of hot phrases, sorted. At most ``bits`` / 64 + ``HOT_SHARE`` rows a pass,
+    whatever the input, come to the driver."""
+    bitmap, hot = _marks(spark, docs, None, [1, 2][: longest - 1], min_count, longest, block_bytes, bits)
+    for length in range(3, longest):
+        more, hotter = _marks(spark, docs, bitmap, [length], min_count, longest, block_bytes, bits)
+        bitmap, hot = bitmap | more, np.concatenate([hot, hotter])
+    return bitmap, np.sort(hot)
 
 
 def _in_filter(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -191,7 +246,7 @@ def _in_filter(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[(slot >> U64(6)).astype(np.int64)] >> (slot & U64(63))) & U64(1) == 1
 
 
-# --- second pass: stripes ------------------------------------------------------------
+# --- the last pass: stripes ----------------------------------------------------------
 
 
 def _texts_of(words: Words, chosen: np.ndarray) -> pa.DictionaryArray:
@@ -205,44 +260,46 @@ def _texts_of(words: Words, chosen: np.ndarray) -> pa.DictionaryArray:
     return pa.Array.from_buffers(pa.string(), len(chosen), [None, pa.py_buffer(offsets), pa.py_buffer(words.raw[inside])]).dictionary_encode()
 
 
-def _stripes(words: Words, langs: list[str], bitmap: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
+def _stripes(words: Words, langs: list[str], bitmap: np.ndarray, hot: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
     """The stripes of a block, by prefixes of 0 (only the number of words), 1, ... words."""
     lang_names = pa.array(langs, pa.string())
     n_words = np.bincount(words.codes[words.known :], minlength=len(langs))
     held = np.flatnonzero(n_words)
-    spread = np.full(len(held), len(words.starts) % SEGMENTS[0], np.int32)
+    spread = np.full(len(held), len(words.starts) % SEGMENTS, np.int32)
     yield _batch(lang_names.take(pa.array(held)), 0, pa.array([""] * len(held), pa.string()), spread, np.arange(len(held) + 1), pa.array([""] * len(held), pa.string()), n_words[held])
 
-    often = _in_filter(bitmap, words.hashes)
-    chosen = np.flatnonzero(often)
-    if not len(chosen):
+    places, hashes = [], []
+    for length in range(1, longest + 1):
+        open_, hashed = _candidates(words, bitmap, length)
+        places.append(np.flatnonzero(open_ if length == longest else open_ & _in_filter(bitmap, hashed)))
+        hashes.append(hashed)
+    if not len(places[0]):
         return
-    spelled = _texts_of(words, chosen)
+    spelled = _texts_of(words, places[0])
     vocabulary = pa.concat_arrays([spelled.dictionary.cast(pa.string()), pa.array([""], pa.string())])
     size = len(vocabulary)  # the last entry, the empty word, stands for totals
-    word = np.full(len(often), -1, np.int64)
-    word[chosen] = spelled.indices.to_numpy()
+    word = np.full(len(words.starts), -1, np.int64)
+    word[places[0]] = spelled.indices.to_numpy()
     part = np.zeros(size, np.int64)
-    part[word[chosen]] = (words.plain[chosen] >> U64(40)).astype(np.int64)
-    linked = words.joined & often[:-1] & often[1:] & _in_filter(bitmap, words.pair_hashes())
+    part[word[places[0]]] = (words.plain[places[0]] >> U64(40)).astype(np.int64)
 
-    # ``at``: where a phrase of the present length begins; ``kind``: its number among the distinct ones.
-    at, keys = chosen, words.codes[chosen] * size + word[chosen]
-    for length in range(1, longest):
-        _, first, kind = np.unique(keys, return_index=True, return_inverse=True)
+    # The number of a phrase among the distinct ones of its length, at the place where it begins.
+    number = np.full(len(words.starts), -1, np.int64)
+    keys = words.codes[places[0]] * size + word[places[0]]
+    for length, at, longer in zip(range(1, longest), places, places[1:]):
+        _, first, number[at] = np.unique(keys, return_index=True, return_inverse=True)
         sample = at[first]
-        total = np.bincount(kind[at + length - 1 >= words.known], minlength=len(first))
-        goes_on = at + length - 1 < len(linked)
-        goes_on[goes_on] = linked[at[goes_on] + length - 1]
-        longer, prefix = at[goes_on], kind[goes_on]
-        keys = prefix * size + word[longer + length]
-        pair, n = np.unique(keys[longer + length >= words.known], return_counts=True)
-        owner, after = np.divmod(pair, size)
-
-        rows = np.flatnonzero(total)
-        owner, after, n = np.concatenate([rows, owner]), np.concatenate([np.full(len(rows), size - 1), after]), np.concatenate([total[rows], n])
-        segment = part[after] % SEGMENTS.get(length, 1)
-        cell = owner * SEGMENTS.get(length, 1) + segment
+        keys = number[longer] * size + word[longer + length]
+        entry, n = np.unique(keys[longer + length >= words.known], return_counts=True)
+        owner, after = np.divmod(entry, size)
+        if length == 1:
+            total = np.bincount(number[at[at >= words.known]], minlength=len(first))
+            seen = np.flatnonzero(total)
+            owner, after, n = np.concatenate([seen, owner]), np.concatenate([np.full(len(seen), size - 1), after]), np.concatenate([total[seen], n])
+        if not len(n):
+            return
+        segment = np.where(_among(hashes[length - 1][sample], hot)[owner], part[after] % SEGMENTS, 0)
+        cell = owner * SEGMENTS + segment
         order = np.argsort(cell, kind="stable")
         begins = np.flatnonzero(np.diff(cell[order], prepend=-1))
         heads = order[begins]
@@ -252,9 +309,13 @@ def _stripes(words: Words, langs: list[str], bitmap: np.ndarray, longest: int) -
             lang_names.take(pa.array(words.codes[sample[owner[heads]]])), length, prefixes, segment[heads].astype(np.int32),
             np.append(begins, len(order)), vocabulary.take(pa.array(after[order])), n[order],
         )
-        if not len(longer):
-            return
-        at = longer
+
+
+def _among(hashes: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Which hashes are in a sorted list."""
+    if not len(chosen):
+        return np.zeros(len(hashes), bool)
+    return chosen[np.minimum(np.searchsorted(chosen, hashes), len(chosen) - 1)] == hashes
 
 
 def _batch(lang, size: int, prefix, segment: np.ndarray, offsets: np.ndarray, after, n: np.ndarray) -> pa.RecordBatch:
@@ -268,15 +329,15 @@ def _batch(lang, size: int, prefix, segment: np.ndarray, offsets: np.ndarray, af
 
 def merged_stripes(spark: SparkSession, docs: DataFrame, min_count: int, longest: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Entries of all stripes, merged: lang, size (words in the prefix), prefix, next, n. An
-    entry with an empty next word is the prefix's own total (of all words of the language if
-    the prefix is empty); other entries and totals below ``min_count`` are left out."""
-    bitmap = spark.sparkContext.broadcast(frequent_filter(docs, min_count, longest, block_bytes).tobytes())
+    entry with an empty next word is the total of the word before it (of all words of the
+    language if the prefix is empty); other entries below ``min_count`` are left out."""
+    shared = spark.sparkContext.broadcast([a.tobytes() for a in frequent_filter(spark, docs, min_count, longest, block_bytes)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(bitmap.value, U64)
+        bitmap, hot = (np.frombuffer(b, U64) for b in shared.value)
         for batch in batches:
             for words, langs in _read(batch, longest, block_bytes):
-                yield from _stripes(words, langs, bits, longest)
+                yield from _stripes(words, langs, bitmap, hot, longest)
 
     # Dealt by a subset of the grouping keys: the elementwise merge needs no second shuffle.
     dealt = docs.mapInArrow(lean(run), STRIPES).repartition("lang", "prefix", "segment")
@@ -293,13 +354,11 @@ def _rest(phrase: str, first: str) -> Column:
     return F.expr(f"substring({phrase}, length({first}) + 2)")
 
 
-def phrase_counts(stripes: DataFrame, longest: int) -> DataFrame:
-    """lang, phrase, size, n of all phrases of 1 to ``longest`` words in merged stripes."""
-    totals = stripes.filter("size > 0 and next = ''").select("lang", F.col("prefix").alias("phrase"), "size", "n")
-    full = stripes.filter((F.col("size") == longest - 1) & (F.col("next") != "")).select(
-        "lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), F.lit(longest).alias("size"), "n"
-    )
-    return totals.unionByName(full)
+def phrase_counts(stripes: DataFrame) -> DataFrame:
+    """lang, phrase, size, n of all phrases in merged stripes."""
+    words = stripes.filter("size = 1 and next = ''").select("lang", F.col("prefix").alias("phrase"), "size", "n")
+    longer = stripes.filter("next != ''").select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), (F.col("size") + 1).alias("size"), "n")
+    return words.unionByName(longer)
 
 
 def mine(
@@ -322,7 +381,7 @@ def mine(
         raise ValueError("a phrase to be cut has two words at least")
     read = docs.select(F.coalesce(lang_col, F.lit("und")).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     stripes = staged(spark, merged_stripes(spark, read, min_count, longest), "stripes")
-    counts = phrase_counts(stripes, longest)
+    counts = phrase_counts(stripes)
     found = counts.filter("size > 1")
 
     # One word longer is enough: inside a phrase two words longer lies one that is as frequent at least.
