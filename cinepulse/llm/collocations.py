@@ -50,7 +50,7 @@ LONGEST = 4
 SUBSUMED_PERCENT = 80
 SCORE_SCALE = 2_000_000
 TOP = 2000
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20
 STEP_BYTES = 1 << 18
 FILTER_BITS = 1 << 26
 #: A prefix that makes up 1 / HOT_SHARE of all counted phrases is hot: at most so many are.
@@ -59,7 +59,7 @@ HOT_SHARE = 4096
 SEGMENTS = 64
 RANK_GROUPS = 64
 #: Entries of counted hashes that a task holds before it merges them.
-MERGE_ENTRIES = 1 << 21
+MERGE_ENTRIES = 1 << 20
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
