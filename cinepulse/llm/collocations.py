@@ -2,8 +2,8 @@
 
 A stripe belongs to a (language, prefix) and maps each next word to the number of times
 it follows the prefix inside a piece of text; the stripe of a word also holds the word's own
-total. Tasks build the stripes of a block of text in numpy, stripes of equal prefixes are
-merged elementwise after one shuffle, and everything else is read from the merged
+total. Tasks build stripes and merge them over many blocks of text (``HELD_ENTRIES`` entries
+at a time), stripes of equal prefixes are merged elementwise after one shuffle, and everything else is read from the merged
 stripes: an entry is the count of an extended phrase and the total of the longer prefix
 that it makes, and the largest entry of a stripe is the right half of the subsumption test
 (the left half is the largest entry among phrases that end in the phrase).
@@ -58,8 +58,9 @@ HOT_SHARE = 4096
 #: Parts of the stripe of a hot prefix.
 SEGMENTS = 64
 RANK_GROUPS = 64
-#: Entries of counted hashes that a task holds before it merges them.
+#: Entries that a task gathers before it merges them, and merged entries of stripes that it holds.
 MERGE_ENTRIES = 1 << 20
+HELD_ENTRIES = 1 << 20
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -249,65 +250,120 @@ def _in_filter(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 # --- the last pass: stripes ----------------------------------------------------------
 
 
-def _texts_of(words: Words, chosen: np.ndarray) -> pa.DictionaryArray:
-    """The chosen words as strings, each distinct one once."""
+def _texts_of(words: Words, chosen: np.ndarray) -> pa.StringArray:
+    """The words at these places as strings."""
     edge = np.zeros(len(words.raw) + 1, np.int8)
     edge[words.starts[chosen]] += 1
     edge[words.ends[chosen]] -= 1
     inside = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
     offsets = np.zeros(len(chosen) + 1, np.int32)
     np.cumsum(words.ends[chosen] - words.starts[chosen], out=offsets[1:])
-    return pa.Array.from_buffers(pa.string(), len(chosen), [None, pa.py_buffer(offsets), pa.py_buffer(words.raw[inside])]).dictionary_encode()
-
-
-def _stripes(words: Words, langs: list[str], bitmap: np.ndarray, hot: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
-    """The stripes of a block, by prefixes of 0 (only the number of words), 1, ... words."""
-    lang_names = pa.array(langs, pa.string())
-    n_words = np.bincount(words.codes[words.known :], minlength=len(langs))
-    held = np.flatnonzero(n_words)
-    spread = np.full(len(held), len(words.starts) % SEGMENTS, np.int32)
-    yield _batch(lang_names.take(pa.array(held)), 0, pa.array([""] * len(held), pa.string()), spread, np.arange(len(held) + 1), pa.array([""] * len(held), pa.string()), n_words[held])
-
-    places, hashes = [], []
-    for length in range(1, longest + 1):
-        open_, hashed = _candidates(words, bitmap, length)
-        places.append(np.flatnonzero(open_ if length == longest else open_ & _in_filter(bitmap, hashed)))
-        hashes.append(hashed)
-    if not len(places[0]):
-        return
-    spelled = _texts_of(words, places[0])
-    vocabulary = pa.concat_arrays([spelled.dictionary.cast(pa.string()), pa.array([""], pa.string())])
-    size = len(vocabulary)  # the last entry, the empty word, stands for totals
-    word = np.full(len(words.starts), -1, np.int64)
-    word[places[0]] = spelled.indices.to_numpy()
-    part = np.zeros(size, np.int64)
-    part[word[places[0]]] = (words.plain[places[0]] >> U64(40)).astype(np.int64)
-
-    # The number of a phrase among the distinct ones of its length, at the place where it begins.
-    number = np.full(len(words.starts), -1, np.int64)
-    keys = words.codes[places[0]] * size + word[places[0]]
-    for length, at, longer in zip(range(1, longest), places, places[1:]):
-        _, first, number[at] = np.unique(keys, return_index=True, return_inverse=True)
-        sample = at[first]
-        keys = number[longer] * size + word[longer + length]
-        entry, n = np.unique(keys[longer + length >= words.known], return_counts=True)
-        owner, after = np.divmod(entry, size)
+    return pa.Array.from_buffers(pa.string(), len(chosen), [None, pa.py_buffer(offsets), pa.py_buffer(words.raw[inside])])
+
+
+class StripeCounter:
+    """Stripes of the blocks of a task, merged in the task before they leave it.
+
+    Words of the filter get numbers by language and spelling; occurrences of phrases are
+    rows of such numbers, counted by Arrow's grouping. ``HELD_ENTRIES`` bounds what is held.
+    """
+
+    def __init__(self, bitmap: np.ndarray, hot: np.ndarray, longest: int):
+        self.bitmap, self.hot, self.longest = bitmap, hot, longest
+        self._clear()
+
+    def _clear(self) -> None:
+        self.sizes: dict[str, int] = {}
+        self.numbers: dict[tuple[str, str], int] = {}
+        self.hashes: list[np.ndarray] = []  # of new words, by block: with and without the language
+        self.counted: dict[int, pa.Table] = {}
+        self.waiting: dict[int, list[np.ndarray]] = {k: [] for k in range(1, self.longest + 1)}
+        self.n_waiting = 0
+
+    def add(self, words: Words, langs: list[str]) -> None:
+        for code, n in enumerate(np.bincount(words.codes[words.known :], minlength=len(langs))):
+            if n:
+                self.sizes[langs[code]] = self.sizes.get(langs[code], 0) + int(n)
+        number = None
+        for length in range(1, self.longest + 1):
+            open_, hashes = _candidates(words, self.bitmap, length)
+            at = np.flatnonzero(open_ if length == self.longest else open_ & _in_filter(self.bitmap, hashes))
+            if number is None:
+                if not len(at):
+                    return
+                number = self._numbered(words, langs, at)
+            at = at[at + length > words.known]
+            self.waiting[length].append(np.stack([number[at + i] for i in range(length)]))
+            self.n_waiting += len(at)
+
+    def _numbered(self, words: Words, langs: list[str], at: np.ndarray) -> np.ndarray:
+        """The number of the word at each of these places."""
+        spelled = _texts_of(words, at).dictionary_encode()
+        size = len(spelled.dictionary)
+        kinds, first, place = np.unique(words.codes[at] * size + spelled.indices.to_numpy(), return_index=True, return_inverse=True)
+        code, word = np.divmod(kinds, size)
+        names = spelled.dictionary.take(pa.array(word)).to_pylist()
+        before = len(self.numbers)
+        found = np.array([self.numbers.setdefault((langs[c], w), len(self.numbers)) for c, w in zip(code, names)], np.int32)
+        fresh = first[found >= before]
+        order = np.argsort(found[found >= before])
+        self.hashes.append(np.stack([words.hashes[at[fresh]], words.plain[at[fresh]]])[:, order])
+        out = np.full(len(words.starts), -1, np.int32)
+        out[at] = found[place]
+        return out
+
+    def reduce(self) -> int:
+        """Count what waits; returns the number of entries held."""
+        for length, parts in self.waiting.items():
+            if parts:
+                rows = np.concatenate(parts, axis=1)
+                names = [f"w{i}" for i in range(length)]
+                table = pa.table([*map(pa.array, rows), pa.array(np.ones(rows.shape[1], np.int64))], names=[*names, "n"])
+                if length in self.counted:
+                    table = pa.concat_tables([self.counted[length], table])
+                self.counted[length] = table.group_by(names, use_threads=False).aggregate([("n", "sum")]).rename_columns([*names, "n"])
+                parts.clear()
+        self.n_waiting = 0
+        return sum(t.num_rows for t in self.counted.values())
+
+    def stripes(self) -> Iterator[pa.RecordBatch]:
+        """All stripes so far, by prefixes of 0 (only the number of words), 1, ... words."""
+        self.reduce()
+        langs = sorted(self.sizes)
+        n = np.array([self.sizes[x] for x in langs], np.int64)
+        empty = pa.array([""] * len(langs), pa.string())
+        yield _batch(pa.array(langs, pa.string()), 0, empty, (n % SEGMENTS).astype(np.int32), np.arange(len(langs) + 1), empty, n)
+        if self.numbers:
+            names = pa.array([w for _, w in self.numbers] + [""], pa.string())
+            lang_of = pa.array([x for x, _ in self.numbers], pa.string())
+            hashes, plain = np.concatenate(self.hashes, axis=1)
+            part = np.append((plain >> U64(40)).astype(np.int64) % SEGMENTS, 0)
+            for length in range(1, self.longest):
+                yield from self._of_length(length, names, lang_of, hashes, part)
+        self._clear()
+
+    def _of_length(self, length: int, names, lang_of, hashes: np.ndarray, part: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Stripes of prefixes of ``length`` words; those of single words hold their totals."""
+        columns = [c.to_numpy() for c in self.counted[length + 1].columns] if length + 1 in self.counted else [np.zeros(0, np.int64)] * (length + 2)
+        *prefix, after, n = columns
         if length == 1:
-            total = np.bincount(number[at[at >= words.known]], minlength=len(first))
-            seen = np.flatnonzero(total)
-            owner, after, n = np.concatenate([seen, owner]), np.concatenate([np.full(len(seen), size - 1), after]), np.concatenate([total[seen], n])
+            word, total = (c.to_numpy() for c in self.counted[1].columns) if 1 in self.counted else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            prefix, after, n = [np.concatenate([word, prefix[0]])], np.concatenate([np.full(len(word), len(names) - 1), after]), np.concatenate([total, n])
         if not len(n):
             return
-        segment = np.where(_among(hashes[length - 1][sample], hot)[owner], part[after] % SEGMENTS, 0)
-        cell = owner * SEGMENTS + segment
-        order = np.argsort(cell, kind="stable")
-        begins = np.flatnonzero(np.diff(cell[order], prepend=-1))
+        key = hashes[prefix[0]]
+        for p in prefix[1:]:
+            key = mix(key * _STEP + hashes[p])
+        segment = np.where(_among(key, self.hot), part[after], 0)
+        order = np.lexsort((segment, *reversed(prefix)))
+        cell = np.stack([*prefix, segment])[:, order]
+        begins = np.flatnonzero(np.append(True, (cell[:, 1:] != cell[:, :-1]).any(axis=0)))
         heads = order[begins]
-        names = [vocabulary.take(pa.array(word[sample[owner[heads]] + i])) for i in range(length)]
-        prefixes = pc.binary_join_element_wise(*names, " ") if length > 1 else names[0]
+        spelled = [names.take(pa.array(p[heads])) for p in prefix]
+        prefixes = pc.binary_join_element_wise(*spelled, " ") if length > 1 else spelled[0]
         yield _batch(
-            lang_names.take(pa.array(words.codes[sample[owner[heads]]])), length, prefixes, segment[heads].astype(np.int32),
-            np.append(begins, len(order)), vocabulary.take(pa.array(after[order])), n[order],
+            lang_of.take(pa.array(prefix[0][heads])), length, prefixes, segment[heads].astype(np.int32),
+            np.append(begins, len(order)), names.take(pa.array(after[order])), n[order],
         )
 
 
@@ -334,10 +390,13 @@ def merged_stripes(spark: SparkSession, docs: DataFrame, min_count: int, longest
     shared = spark.sparkContext.broadcast([a.tobytes() for a in frequent_filter(spark, docs, min_count, longest, block_bytes)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, hot = (np.frombuffer(b, U64) for b in shared.value)
+        counter = StripeCounter(*(np.frombuffer(b, U64) for b in shared.value), longest)
         for batch in batches:
             for words, langs in _read(batch, longest, block_bytes):
-                yield from _stripes(words, langs, bitmap, hot, longest)
+                counter.add(words, langs)
+                if counter.n_waiting > MERGE_ENTRIES and counter.reduce() > HELD_ENTRIES:
+                    yield from counter.stripes()
+        yield from counter.stripes()
 
     # Dealt by a subset of the grouping keys: the elementwise merge needs no second shuffle.
     dealt = docs.mapInArrow(lean(run), STRIPES).repartition("lang", "prefix", "segment")

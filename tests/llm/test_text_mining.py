@@ -99,17 +99,27 @@ def test_collocations_of_random_texts(spark, percent):
     assert want and _mined(spark, df, subsumed_percent=percent) == want
 
 
+def _unroll(counter, got):
+    for batch in counter.stripes():
+        for r in batch.to_pylist():
+            for w, n in zip(r["next"], r["n"]):
+                got[(r["size"], r["prefix"], w)] += n
+
+
 def test_blocks_do_not_change_stripes(spark):
     text = ("to be, or not to be  that is " * 50 + "\n" + "word " * 90 + " \t " * 300 + "end. ") * 3
     want, sizes = _phrases([("en", text)], 4)
-    every = np.full(collocations.FILTER_BITS // 64, 2**64 - 1, np.uint64)
-    for block in (16, 100, 1 << 20):
-        got = Counter()
-        for words, langs in collocations._blocks(["en"], [text.encode()], 4, block):
-            for batch in collocations._stripes(words, langs, every, np.sort(words.hashes[:2]), 4):
-                for r in batch.to_pylist():
-                    for w, n in zip(r["next"], r["n"]):
-                        got[(r["size"], r["prefix"], w)] += n
+    full = np.full(collocations.FILTER_BITS // 64, 2**64 - 1, np.uint64)
+    for block, every in ((16, 1), (100, 7), (1 << 20, 1)):
+        got, counter = Counter(), collocations.StripeCounter(full, np.zeros(0, np.uint64), 4)
+        for i, (words, langs) in enumerate(collocations._blocks(["en"], [text.encode()], 4, block)):
+            counter.hot = np.sort(words.hashes[:2])
+            counter.add(words, langs)
+            if i % every == 0:
+                counter.reduce()
+            if i % (3 * every) == 0:
+                _unroll(counter, got)
+        _unroll(counter, got)
         assert got[(0, "", "")] == sizes["en"]
         for (_, *p), n in want.items():
             assert got[(len(p) - 1, " ".join(p[:-1]), p[-1]) if len(p) > 1 else (1, p[0], "")] == n
