@@ -3,7 +3,7 @@
 A stripe belongs to a (language, prefix) and maps each next word to the number of times
 it follows the prefix inside a piece of text; the stripe of a word also holds the word's own
 total. Tasks build stripes and merge them over many blocks of text (``HELD_ENTRIES`` entries
-at a time), stripes of equal prefixes are merged elementwise after one shuffle, and everything else is read from the merged
+at a time), stripes of equal prefixes are merged elementwise after one shuffle (in sorted order, one open stripe at a time), and everything else is read from the merged
 stripes: an entry is the count of an extended phrase and the total of the longer prefix
 that it makes, and the largest entry of a stripe is the right half of the subsumption test
 (the left half is the largest entry among phrases that end in the phrase).
@@ -71,6 +71,7 @@ _STEP = U64(0xD6E8FEB86659FD93)
 
 HASHES = "hash long, n long"
 STRIPES = "lang string, size int, prefix string, segment int, next array<string>, n array<long>"
+ENTRIES = "lang string, size int, prefix string, next string, n long"
 _STRIPE_TYPES = pa.schema(
     [("lang", pa.string()), ("size", pa.int32()), ("prefix", pa.string()), ("segment", pa.int32()), ("next", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))]
 )
@@ -383,6 +384,55 @@ def _batch(lang, size: int, prefix, segment: np.ndarray, offsets: np.ndarray, af
     return pa.RecordBatch.from_arrays(columns, schema=_STRIPE_TYPES)
 
 
+def _merge(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.RecordBatch]:
+    """Entries of merged stripes; equal (language, prefix, segment) follow each other. The
+    last stripe of a batch may go on in the next one, so it is carried over, merged."""
+    carried = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch.cast(_STRIPE_TYPES)] if carried is None else [carried, batch.cast(_STRIPE_TYPES)]).combine_chunks()
+        if rows.num_rows:
+            flat, open_ = _merge_rows(rows)
+            carried = open_
+            yield _frequent(flat, min_count)
+    if carried is not None:
+        whole = pa.Table.from_batches([carried])
+        yield _frequent(_entries(whole, np.zeros(1, np.int64), np.array([0])), min_count)
+
+
+def _merge_rows(rows: pa.Table) -> tuple[pa.Table, pa.RecordBatch]:
+    """Merged entries of all stripes but the last, and the last as one row."""
+    fresh = np.zeros(rows.num_rows, bool)
+    for c in ("lang", "prefix", "segment", "size"):
+        column = rows[c].chunk(0)
+        fresh[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+    stripe = np.cumsum(fresh)
+    heads = np.flatnonzero(np.append(True, fresh[1:]))
+    flat = _entries(rows, stripe, heads)
+    last = pc.equal(flat["stripe"], int(stripe[-1]))
+    tail = flat.filter(last).combine_chunks()
+    key = {c: rows[c].chunk(0).slice(int(heads[-1]), 1) for c in ("lang", "size", "prefix", "segment")}
+    open_ = _batch(
+        key["lang"], key["size"][0].as_py(), key["prefix"], key["segment"].to_numpy(), np.array([0, tail.num_rows]), pa.array(tail["next"].to_pylist(), pa.string()), tail["n"].to_numpy()
+    )
+    return flat.filter(pc.invert(last)), open_
+
+
+def _entries(rows: pa.Table, stripe: np.ndarray, heads: np.ndarray) -> pa.Table:
+    """The summed entries of each stripe: stripe, lang, size, prefix, next, n."""
+    lists = rows["next"].chunk(0)
+    owner = pa.array(np.repeat(stripe, pc.list_value_length(lists).to_numpy()))
+    flat = pa.table({"stripe": owner, "next": lists.flatten(), "n": rows["n"].chunk(0).flatten()})
+    summed = flat.group_by(["stripe", "next"], use_threads=False).aggregate([("n", "sum")]).combine_chunks()
+    at = pa.array(heads[summed["stripe"].to_numpy()])
+    keys = {c: rows[c].chunk(0).take(at) for c in ("lang", "size", "prefix")}
+    return pa.table({"stripe": summed["stripe"], **keys, "next": summed["next"], "n": summed["n_sum"]})
+
+
+def _frequent(entries: pa.Table, min_count: int) -> pa.RecordBatch:
+    kept = entries.filter(pc.or_(pc.equal(entries["size"], 0), pc.greater_equal(entries["n"], min_count))).drop_columns(["stripe"]).combine_chunks()
+    return kept.to_batches()[0] if kept.num_rows else pa.RecordBatch.from_pylist([], schema=kept.schema)
+
+
 def merged_stripes(spark: SparkSession, docs: DataFrame, min_count: int, longest: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Entries of all stripes, merged: lang, size (words in the prefix), prefix, next, n. An
     entry with an empty next word is the total of the word before it (of all words of the
@@ -398,11 +448,8 @@ def merged_stripes(spark: SparkSession, docs: DataFrame, min_count: int, longest
                     yield from counter.stripes()
         yield from counter.stripes()
 
-    # Dealt by a subset of the grouping keys: the elementwise merge needs no second shuffle.
-    dealt = docs.mapInArrow(lean(run), STRIPES).repartition("lang", "prefix", "segment")
-    entries = dealt.select("lang", "size", "prefix", "segment", F.explode(F.arrays_zip("next", "n")).alias("e"))
-    merged = entries.groupBy("lang", "size", "prefix", "segment", F.col("e.next").alias("next")).agg(F.sum("e.n").alias("n"))
-    return merged.filter((F.col("size") == 0) | (F.col("n") >= min_count)).select("lang", "size", "prefix", "next", "n")
+    dealt = docs.mapInArrow(lean(run), STRIPES).repartition("lang", "prefix", "segment").sortWithinPartitions("lang", "prefix", "segment")
+    return dealt.mapInArrow(lean(lambda batches: _merge(batches, min_count)), ENTRIES)
 
 
 # --- phrases from stripes -----------------------------------------------------------------

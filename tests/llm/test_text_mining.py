@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,6 +127,25 @@ def test_blocks_do_not_change_stripes(spark):
         assert len(got) == len(want) + 1
 
 
+def test_stripes_merge_over_batches():
+    rng = random.Random(2)
+    rows = sorted(
+        (lang, len(prefix.split()), prefix, seg, [rng.choice("abc") for _ in range(rng.randrange(4))])
+        for lang in ("en", "fr") for prefix in ("", "x", "x y") for seg in (0, 1) for _ in range(5)
+    )
+    rows = [(*r[:4], r[4], [rng.randrange(1, 9) for _ in r[4]]) for r in rows]
+    want = Counter()
+    for lang, size, prefix, seg, words, ns in rows:
+        for w, n in zip(words, ns):
+            want[(lang, size, prefix, seg, w)] += n
+    want = sorted((*k[:3], k[4], n) for k, n in want.items() if n >= 9 or k[1] == 0)
+    names = collocations._STRIPE_TYPES.names
+    for step in (1, 3, 7, 100):
+        batches = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[a : a + step]], collocations._STRIPE_TYPES) for a in range(0, len(rows), step)]
+        got = sorted(tuple(r.values()) for b in collocations._merge(iter(batches), 9) for r in b.to_pylist())
+        assert got == want
+
+
 # --- fill in the middle ---------------------------------------------------------------
 
 
