@@ -181,30 +181,37 @@ def _bucket(events: DataFrame, bucket: str, time_col: str) -> tuple[DataFrame, C
     return ev, F.window(F.col(BUCKET_TIME), bucket)
 
 
-def genre_buckets(events: DataFrame, bucket: str = "5 seconds", time_col: str = "event_time") -> DataFrame:
-    """bucket_start, genre, score, first_seen: live genre counts per time bucket."""
-    first = order_key(_order_cols(events, time_col))
-    ev, win = _bucket(events, bucket, time_col)
-    agg = ev.filter(truthy("genre")).groupBy(win.alias("b"), "genre").agg(
-        F.count(F.lit(1)).alias("score"), F.min(first).alias("first_seen")
-    )
-    return agg.select(F.col("b.start").alias("bucket_start"), "genre", "score", "first_seen")
+def genre_figures(events: DataFrame, time_col: str = "event_time") -> list[Column]:
+    """The partial aggregates of a genre: score, first_seen."""
+    return [F.count(F.lit(1)).alias("score"), F.min(order_key(_order_cols(events, time_col))).alias("first_seen")]
 
 
-def movie_buckets(events: DataFrame, bucket: str = "5 seconds", time_col: str = "event_time") -> DataFrame:
-    """bucket_start, movie_id, genre (first seen in the bucket), views, likes,
-    total_rating, rating_count, first_seen: live movie statistics per time bucket."""
+def movie_figures(events: DataFrame, time_col: str = "event_time") -> list[Column]:
+    """The partial aggregates of a movie: genre (first seen), counts, ratings, first_seen."""
     first = order_key(_order_cols(events, time_col))
     rated = is_action(S.ACTION_RATE) & F.col("rating_value").isNotNull() & (F.col("rating_value") != 0)
-    ev, win = _bucket(events, bucket, time_col)
-    agg = ev.filter(truthy("movie_id")).groupBy(win.alias("b"), "movie_id").agg(
+    return [
         F.min_by(F.col("genre"), first).alias("genre"),
         F.count(F.when(is_action(S.ACTION_PLAY), F.lit(1))).alias("views"),
         F.count(F.when(is_action(S.ACTION_LIKE), F.lit(1))).alias("likes"),
         F.sum(F.when(rated, F.col("rating_value"))).alias("total_rating"),
         F.count(F.when(rated, F.lit(1))).alias("rating_count"),
         F.min(first).alias("first_seen"),
-    )
+    ]
+
+
+def genre_buckets(events: DataFrame, bucket: str = "5 seconds", time_col: str = "event_time") -> DataFrame:
+    """bucket_start, genre, score, first_seen: live genre counts per time bucket."""
+    ev, win = _bucket(events, bucket, time_col)
+    agg = ev.filter(truthy("genre")).groupBy(win.alias("b"), "genre").agg(*genre_figures(events, time_col))
+    return agg.select(F.col("b.start").alias("bucket_start"), "genre", "score", "first_seen")
+
+
+def movie_buckets(events: DataFrame, bucket: str = "5 seconds", time_col: str = "event_time") -> DataFrame:
+    """bucket_start, movie_id, genre (first seen in the bucket), views, likes,
+    total_rating, rating_count, first_seen: live movie statistics per time bucket."""
+    ev, win = _bucket(events, bucket, time_col)
+    agg = ev.filter(truthy("movie_id")).groupBy(win.alias("b"), "movie_id").agg(*movie_figures(events, time_col))
     return agg.select(F.col("b.start").alias("bucket_start"), "movie_id", "genre", "views", "likes", "total_rating", "rating_count", "first_seen")
 
 

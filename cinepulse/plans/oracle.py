@@ -139,6 +139,17 @@ _TOP_ENGAGEMENT = (
 _LAKE_COUNTS = _with() + """
 SELECT CAST(event_time AS DATE) AS dt, action, count(*) AS n FROM activity GROUP BY ALL"""
 
+# 20 instants between bucket edges, each with its own trailing window (registry.INSTANT_STEP, WINDOW_STEP).
+_AT_INSTANTS = """instants AS (
+  SELECT t - to_microseconds(i * 133867123457) AS as_of,
+         t - to_microseconds(i * 133867123457) - INTERVAL 1 DAY - to_microseconds(i * 18180777001) AS low
+  FROM as_of, range(20) AS r(i) WHERE t IS NOT NULL
+),
+recent AS (SELECT i.as_of, a.* FROM activity a JOIN instants i ON a.event_time > i.low AND a.event_time <= i.as_of)"""
+
+# Windows that a watermark of 10 minutes behind the newest event has closed.
+_CLOSED = "WHERE window_end <= date_trunc('millisecond', (SELECT t FROM as_of)) - INTERVAL 10 MINUTE"
+
 ORACLE: dict[str, str] = {
     # ingest
     "parse_events": _with(_MESSAGES)
@@ -262,4 +273,39 @@ FROM activity WHERE action = 'rate' AND rating_value IS NOT NULL GROUP BY user_i
     "stream_live_buckets": _with()
     + f"SELECT * FROM ({_GENRE_BUCKETS}) "
     + "WHERE bucket_start + INTERVAL 1 MINUTE <= date_trunc('millisecond', (SELECT t FROM as_of)) - INTERVAL 10 MINUTE",
+    # the live lists at 20 instants
+    "live_genres_at_instants": _with(_AT_INSTANTS)
+    + """SELECT as_of, CAST(position AS INTEGER) AS position, genre, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY as_of ORDER BY score DESC, first_seen) AS position FROM (
+    SELECT as_of, genre, count(*) AS score, min(struct_pack(t := event_time, id := event_id)) AS first_seen
+    FROM recent WHERE genre IS NOT NULL AND genre <> '' GROUP BY as_of, genre))
+WHERE position <= 5""",
+    "live_movies_at_instants": _with(_AT_INSTANTS)
+    + """SELECT as_of, CAST(position AS INTEGER) AS position, movie_id, genre, score, views, likes, avg_rating FROM (
+  SELECT *, row_number() OVER (PARTITION BY as_of ORDER BY score DESC, first_seen) AS position FROM (
+    SELECT *, CAST(views AS DOUBLE) * 1.0 + CAST(likes AS DOUBLE) * 2.0 + avg_rating * 5.0 AS score FROM (
+      SELECT as_of, movie_id, arg_min_null(genre, struct_pack(t := event_time, id := event_id)) AS genre,
+             count(*) FILTER (WHERE action = 'play') AS views, count(*) FILTER (WHERE action = 'like') AS likes,
+             coalesce(avg(rating_value) FILTER (WHERE action = 'rate' AND rating_value <> 0), CAST(0.0 AS DOUBLE)) AS avg_rating,
+             min(struct_pack(t := event_time, id := event_id)) AS first_seen
+      FROM recent WHERE movie_id IS NOT NULL AND movie_id <> '' GROUP BY as_of, movie_id)))
+WHERE position <= 10""",
+    # one read for three sinks
+    "stream_fanout_trending": _with() + _TREND_5M,
+    "stream_fanout_engagement": _with() + _ENGAGEMENT_5M,
+    "stream_fanout_lake": _LAKE_COUNTS,
+    # ranked views of closed windows
+    "stream_top_trending_closed": _with()
+    + f"SELECT * FROM ({_TREND_5M}) {_CLOSED} ORDER BY activity_count DESC, window_start, genre LIMIT 10",
+    "stream_top_engagement_closed": _with()
+    + f"SELECT * FROM ({_ENGAGEMENT_5M}) {_CLOSED} ORDER BY engagement_score DESC, window_start, movie_id NULLS FIRST, genre NULLS FIRST LIMIT 20",
+    "stream_top_genre_per_window": _with()
+    + """SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, genre, activity_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY activity_count DESC, genre) AS place FROM (
+    SELECT time_bucket(INTERVAL 1 DAY, event_time) AS window_start, time_bucket(INTERVAL 1 DAY, event_time) + INTERVAL 1 DAY AS window_end,
+           genre, count(*) AS activity_count FROM activity WHERE genre IS NOT NULL GROUP BY ALL)
+  """ + _CLOSED + """)
+WHERE place = 1""",
 }
+for _name in ("latest_ratings", "liked_pairs"):
+    ORACLE[f"stream_{_name}"] = ORACLE[_name]

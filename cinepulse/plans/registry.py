@@ -16,10 +16,11 @@ from pyspark.sql import types as T
 from cinepulse import schema as S
 from cinepulse.functions.clock import iso_naive_text, resolve_as_of
 from cinepulse.operators import catalog as cat
-from cinepulse.operators import ingest, live, reports, state, windowed
+from cinepulse.operators import ingest, live, reports, state, time_index, windowed
 from cinepulse.session import ensure_utc, fresh_path
 from cinepulse.sources import adapter, files, lake, snapshot
 from cinepulse.sources.versioned import read_latest
+from cinepulse.streaming import fanout, ranked, user_state
 from cinepulse.streaming import queries as streams
 
 # Parameters of the registered queries (see README, "Registered queries").
@@ -35,8 +36,12 @@ LIVE_BUCKET = "1 minute"
 LAKE_DAY = "2024-01-15"
 LAKE_ACTION = "play"
 CATALOG_GENRE = "SMALL"
-STREAM_FILES = 4
-FILES_PER_TRIGGER = 2  # two micro-batches: state carried from one batch to the next
+REPLAY_BATCHES = 4  # micro-batches of a replay: state is carried from one to the next
+INSTANTS = 20
+#: Steps between the instants of the indexed live views, and between their trailing windows.
+INSTANT_STEP = dt.timedelta(hours=37, minutes=11, microseconds=7_123_457)
+WINDOW_STEP = dt.timedelta(hours=5, minutes=3, microseconds=777_001)
+USER_BUCKETS = 16
 STREAM_TIMEOUT_S = 900
 STATE_PARTITIONS = 8  # state of these views is small (windows x genres/movies)
 
@@ -304,12 +309,23 @@ def q_lake_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming --------------------------------------------------------------
 
 
-def _stream_source(spark: SparkSession, sf_dir: str, time_ordered: bool = False) -> str:
-    """Land the activity messages as files a file stream replays (time-ordered
-    files model a topic read in arrival order: each batch then spans few days)."""
+def _stream_source(spark: SparkSession, sf_dir: str) -> dict:
+    """The activity messages as files in time order (their number follows the rows), for
+    ``read_message_stream`` in ``REPLAY_BATCHES`` micro-batches."""
     path = fresh_path(spark, "messages")
-    files.write_messages(_messages(spark, sf_dir, malformed_every=None), path, files=STREAM_FILES, time_ordered=time_ordered)
-    return path
+    n = files.write_replay(_messages(spark, sf_dir, malformed_every=None), path)
+    return {"path": path, "max_files_per_trigger": -(-n // REPLAY_BATCHES)}
+
+
+def _message_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.parse_events(files.read_message_stream(spark, **_stream_source(spark, sf_dir)))
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parsed events themselves (with their ids) as a stream in time order."""
+    ev, path = _events(spark, sf_dir), fresh_path(spark, "events")
+    n = files.write_replay(ev, path, "event_time")
+    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", str(-(-n // REPLAY_BATCHES))).parquet(path)
 
 
 def _run(query) -> None:
@@ -324,9 +340,8 @@ def _appended(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
 
 
 def q_stream_trending_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trend as a complete-mode stream over two micro-batches."""
-    src = _stream_source(spark, sf_dir)
-    events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
+    """Trend as a complete-mode stream over several micro-batches."""
+    events = _message_events(spark, sf_dir)
     out, ckpt = fresh_path(spark, "trending"), fresh_path(spark, "ckpt-trending")
     _run(streams.start_trending(events, out, ckpt, TREND_WINDOW, trigger="availableNow", state_partitions=STATE_PARTITIONS))
     return _ntz(read_latest(spark, out), "window_start", "window_end")
@@ -334,10 +349,7 @@ def q_stream_trending_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_engagement_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Engagement as an append-mode stream with a watermark (closed days)."""
-    src = _stream_source(spark, sf_dir)
-    # One batch for all files: the files are hash-split, not in time order, so a
-    # later batch could hold rows behind the watermark, which it would drop.
-    events = ingest.parse_events(files.read_message_stream(spark, src))
+    events = _message_events(spark, sf_dir)
     out, ckpt = fresh_path(spark, "engagement"), fresh_path(spark, "ckpt-engagement")
     _run(
         streams.start_engagement(events, out, ckpt, DAY_WINDOW, STREAM_WATERMARK, trigger="availableNow", state_partitions=STATE_PARTITIONS)
@@ -346,8 +358,7 @@ def q_stream_engagement_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _top_stream(spark: SparkSession, sf_dir: str, start, name: str) -> DataFrame:
-    src = _stream_source(spark, sf_dir)
-    events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
+    events = _message_events(spark, sf_dir)
     out, ckpt = fresh_path(spark, name), fresh_path(spark, f"ckpt-{name}")
     _run(start(events, ckpt, out, TREND_WINDOW, trigger="availableNow", state_partitions=STATE_PARTITIONS))
     return _ntz(read_latest(spark, out), "window_start", "window_end")
@@ -365,8 +376,7 @@ def q_stream_top_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_live_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live genres over sliding windows (1 hour every 15 minutes), streamed."""
-    src = _stream_source(spark, sf_dir)
-    events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
+    events = _message_events(spark, sf_dir)
     out, ckpt = fresh_path(spark, "live-genres"), fresh_path(spark, "ckpt-live-genres")
     _run(streams.start_live_genres(events, out, ckpt, *SLIDING_WINDOW, trigger="availableNow", state_partitions=STATE_PARTITIONS))
     return _ntz(read_latest(spark, out), "window_start", "window_end")
@@ -374,10 +384,7 @@ def q_stream_live_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_live_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live genre buckets as an append-mode stream (closed buckets)."""
-    src = _stream_source(spark, sf_dir)
-    # One batch, as for engagement: the files are not in time order, so a later
-    # batch could hold rows behind the watermark, which a watermark drops.
-    events = ingest.parse_events(files.read_message_stream(spark, src))
+    events = _message_events(spark, sf_dir)
     out, ckpt = fresh_path(spark, "live-buckets"), fresh_path(spark, "ckpt-live-buckets")
     queries = streams.start_live_buckets(
         events, out, ckpt, LIVE_BUCKET, STREAM_WATERMARK, trigger="availableNow", state_partitions=STATE_PARTITIONS
@@ -389,13 +396,111 @@ def q_stream_live_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_raw_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw lake sink, rows per partition read back."""
-    src = _stream_source(spark, sf_dir, time_ordered=True)
-    events = ingest.parse_events(files.read_message_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
+    events = _message_events(spark, sf_dir)
     path, ckpt = fresh_path(spark, "stream-lake"), fresh_path(spark, "ckpt-stream-lake")
     _run(streams.start_raw_lake(events, path, ckpt, trigger="availableNow"))
     return lake.partition_counts(lake.read_lake(spark, path, schema=lake.stored_schema(events)))
 
 
+def _instants(newest: dt.datetime | None) -> list[tuple[dt.datetime, dt.timedelta]]:
+    """Instants between bucket edges, each with a trailing window of its own length."""
+    return [] if newest is None else [(newest - i * INSTANT_STEP, dt.timedelta(days=1) + i * WINDOW_STEP) for i in range(INSTANTS)]
+
+
+def _indexed(spark: SparkSession, sf_dir: str) -> tuple[str, list]:
+    ev = _events(spark, sf_dir)
+    path = time_index.write_index(ev, fresh_path(spark, "time-index"))
+    return path, _instants(resolve_as_of(spark.read.parquet(f"{path}/{time_index.RAW}")))
+
+
+def q_live_genres_at_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live genre lists of 20 instants and window lengths, exact, from the time index."""
+    path, instants = _indexed(spark, sf_dir)
+    return time_index.live_genres_at(spark, path, instants)
+
+
+def q_live_movies_at_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live movie lists of 20 instants and window lengths, exact, from the time index."""
+    path, instants = _indexed(spark, sf_dir)
+    return time_index.live_movies_at(spark, path, instants)
+
+
+def _user_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, ckpt = fresh_path(spark, "user-state"), fresh_path(spark, "ckpt-user-state")
+    _run(
+        user_state.start_user_state(
+            _event_stream(spark, sf_dir), out, ckpt, USER_BUCKETS, trigger="availableNow", state_partitions=STATE_PARTITIONS
+        )
+    )
+    return user_state.read_user_state(spark, out)
+
+
+def q_stream_latest_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last rating per (user, movie) as non-expiring streaming state, upserted by batch."""
+    return user_state.latest_ratings(_user_state(spark, sf_dir))
+
+
+def q_stream_liked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The liked set as non-expiring streaming state, upserted by batch."""
+    return user_state.liked_pairs(_user_state(spark, sf_dir))
+
+
+def q_stream_top_genre_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most active genre of each closed day, by two chained aggregates in append mode."""
+    events = _event_stream(spark, sf_dir)
+    out, ckpt = fresh_path(spark, "top-genre"), fresh_path(spark, "ckpt-top-genre")
+    _run(ranked.start_top_per_window(events, out, ckpt, DAY_WINDOW, STREAM_WATERMARK, trigger="availableNow", state_partitions=STATE_PARTITIONS))
+    rows = ranked.top_genre_stream(events, DAY_WINDOW, STREAM_WATERMARK)
+    return _ntz(_appended(spark, out, rows), "window_start", "window_end")
+
+
+def _top_closed(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
+    events = _event_stream(spark, sf_dir)
+    out, ckpt = fresh_path(spark, f"closed-{view}"), fresh_path(spark, f"ckpt-closed-{view}")
+    _run(
+        ranked.start_top_closed(
+            view, events, out, ckpt, TREND_WINDOW, watermark=STREAM_WATERMARK, trigger="availableNow", state_partitions=STATE_PARTITIONS
+        )
+    )
+    return _ntz(read_latest(spark, out), "window_start", "window_end")
+
+
+def q_stream_top_trending_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 10 (window, genre) rows of closed windows, k rows merged by batch (bounded state)."""
+    return _top_closed(spark, sf_dir, "trending")
+
+
+def q_stream_top_engagement_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 20 engagement rows of closed windows, k rows merged by batch (bounded state)."""
+    return _top_closed(spark, sf_dir, "engagement")
+
+
+def _fanned_out(spark: SparkSession, sf_dir: str):
+    events = _event_stream(spark, sf_dir)
+    out, ckpt = fresh_path(spark, "fanout"), fresh_path(spark, "ckpt-fanout")
+    _run(fanout.start_fanout(events, out, ckpt, TREND_WINDOW, trigger="availableNow"))
+    return out, events.schema
+
+
+def q_stream_fanout_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Engagement windows summed from the partial rows of one read for three sinks."""
+    return _ntz(fanout.read_engagement(spark, *_fanned_out(spark, sf_dir)), "window_start", "window_end")
+
+
+def q_stream_fanout_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trend windows of the same read, after compaction of the partial rows."""
+    out, schema = _fanned_out(spark, sf_dir)
+    fanout.compact(spark, out, schema, least_parts=2)
+    return _ntz(fanout.read_trending(spark, out, schema), "window_start", "window_end")
+
+
+def q_stream_fanout_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw lake of the same read, compacted, rows per day and action."""
+    out, schema = _fanned_out(spark, sf_dir)
+    fanout.compact(spark, out, schema, least_parts=2)
+    return lake.partition_counts(fanout.read_sink(spark, out, fanout.RAW, schema))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

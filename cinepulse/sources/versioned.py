@@ -65,6 +65,20 @@ def query_id(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
 
+def merge_each_batch(path: str, merge, keep: int = 2):
+    """``foreachBatch`` function: ``merge(newest version or None, batch)`` becomes the next
+    version. A batch with a published mark is left out; a batch that failed between its version
+    and its mark is merged again, so ``merge`` must not change by a second merge."""
+
+    def publish(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        committed = _committed(_listing(spark, path)[1])
+        held = spark.read.schema(batch.schema).parquet(f"{path}/{VERSION}={committed[-1]}") if committed else None
+        publish_each_batch(path, keep)(merge(held, batch), epoch_id)
+
+    return publish
+
+
 def publish_each_batch(path: str, keep: int = 2):
     """``foreachBatch`` function: each trigger's full result becomes the next version."""
 
