@@ -16,7 +16,7 @@ id and a number.
 A document's ids end with ``end_id``, which bears no loss. All its other ids bear loss,
 unless a column gives the spans that do (answers without their prompts). Without that
 column the loss limit binds only if it is below the token limit. NULL and empty texts have
-that one id only. Repeated rows are packed as often as they occur; a NULL id stays
+that one id only; runs of white space of any length are encoded (``tokens``). Repeated rows are packed as often as they occur; a NULL id stays
 NULL; an empty table gives no piece.
 """
 

@@ -6,6 +6,9 @@ fast (the tests compare both libraries). The usual pattern never joins character
 across a single blank between two characters that are not white space: texts are cut
 there and every distinct word is encoded once and remembered.
 
+White space of any length is encoded: long runs are cut out by the pattern's own rule
+before the pattern sees them.
+
 The added tokens of the file (``<|endoftext|>``) are matched inside a text as the
 library does by default: the text is split at them, they give their own ids, and the
 parts between are encoded as separate texts.
@@ -22,6 +25,12 @@ CACHE_WORDS = 100_000
 #: White space beside a blank, or a blank at an end: the text is cut with more care.
 _ODD = re.compile(r"\s | \s|\A | \Z")
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
+#: Fixed value: the white space of that pattern.
+WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: White space from this length on does not go through the pattern, which needs stack for each
+#: character of it (about a million end the process).
+LONG_RUN = 1000
+_LONG_RUN = re.compile(f"[{WHITE}]{{{LONG_RUN},}}")
 #: Fixed value: the pattern of the byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -77,12 +86,26 @@ def pack_ids(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
+def encode_with_runs(encoding, text: str) -> list[int]:
+    """Ids of a text with white space of any length. The pattern makes one piece of such a run,
+    without its last character if more text follows, which begins the next piece; nothing
+    before or behind a run depends on it."""
+    out, at = [], 0
+    for run in _LONG_RUN.finditer(text):
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        out += encoding.encode_ordinary(text[at : run.start()])
+        out += encoding._encode_single_piece(text[run.start() : stop])
+        at = stop
+    return out + encoding.encode_ordinary(text[at:])
+
+
 class WordEncoder:
     """Packed ids of texts without added tokens (their characters are encoded like any
     others); remembers up to ``cache_words`` words."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
-        self.encode_word = read_encoding(path).encode_ordinary
+        encoding = read_encoding(path)
+        self.encode_word = lambda text: encode_with_runs(encoding, text)
         self.limit = cache_words
         self.words: dict[str, bytes] = {}  # a piece without its blank -> ids
 
