@@ -68,6 +68,16 @@ def hand_back() -> None:
         trim(0)
 
 
+def with_columns(batch: pa.RecordBatch, new: dict[str, pa.Array]) -> pa.RecordBatch:
+    """``batch`` with these columns in place of those of equal names, else at the end, as
+    ``DataFrame.withColumns`` makes the schema."""
+    names, columns = list(batch.schema.names), list(batch.columns)
+    for name, column in new.items():
+        at = next((i for i, n in enumerate(names) if n.lower() == name.lower()), len(names))
+        names[at : at + 1], columns[at : at + 1] = [name], [column]
+    return pa.RecordBatch.from_arrays(columns, names=names)
+
+
 PLACE = ("_metadata.file_path", "_metadata.row_index")
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cinepulse.llm.common import held_out, lean
+from cinepulse.llm.common import held_out, lean, with_columns
 
 SAMPLE_ROWS = 300
 SAMPLE_CHARS = 10_000
@@ -41,7 +41,8 @@ CACHE_WORDS = 400_000
 GROUP_WORDS = 1 << 18
 TABLE_BITS = 22
 #: Runs of letters; a longer one goes on as the next word.
-WORD = re.compile(rf"[^\W\d_]{{1,{WORD_CHARS}}}")
+_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha())  # \w, but no letters
+WORD = re.compile(rf"[^\W\d_{_NUMBERS}]{{1,{WORD_CHARS}}}")
 MARK = "▁"  # what the vocabulary writes for the start of a word
 
 U64 = np.uint64
@@ -277,7 +278,7 @@ def with_language(spark: SparkSession, docs: DataFrame, model: Model | None, tex
         scorer = Scorer(Model(*shared.value))
         for b in batches:
             langs, scores = scorer.predict(b.column(text_col).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores)], names=[*b.schema.names, "lang_pred", "score"])
+            yield with_columns(b, {"lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores)})
 
     schema = docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)}).schema
     return docs.mapInArrow(lean(run), schema)

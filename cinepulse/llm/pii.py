@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinepulse.llm.common import lean
+from cinepulse.llm.common import lean, with_columns
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ["O", *[f"{p}-{k}" for k in KINDS for p in "BI"]]
@@ -382,7 +382,7 @@ def with_spans(spark: SparkSession, docs: DataFrame, crf: Crf, text_col: str = "
         for b in batches:
             found = all_spans([t or "" for t in b.column(text_col).to_pylist()], shared.value)
             cols = [pa.array([[{"kind": k, "start": s, "stop": e} for s, e, k in f[j]] for f in found], _SPAN_TYPE) for j in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, "base_spans", "all_spans"])
+            yield with_columns(b, dict(zip(("base_spans", "all_spans"), cols)))
 
     schema = docs.withColumns({c: F.lit(None).cast(SPANS) for c in ("base_spans", "all_spans")}).schema
     return docs.mapInArrow(lean(run), schema)

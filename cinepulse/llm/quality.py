@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinepulse.llm.common import held_out, lean
+from cinepulse.llm.common import held_out, lean, with_columns
 
 BUCKETS = 1 << 18
 DIMENSION = 12
@@ -204,7 +204,7 @@ def with_score(spark: SparkSession, docs: DataFrame, model: Model | None, text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             scores = text_scores(b.column(text_col).to_pylist(), shared.value, bias)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores)], names=[*b.schema.names, score_col])
+            yield with_columns(b, {score_col: pa.array(scores)})
 
     schema = docs.withColumn(score_col, F.lit(0.0)).schema
     return docs.mapInArrow(lean(run), schema)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinepulse.llm.common import lean
+from cinepulse.llm.common import lean, with_columns
 from cinepulse.llm.tokens import pack_ids
 
 MARK = "▁"
@@ -245,7 +245,7 @@ def encoded(docs: DataFrame, model: str | None = None, text_col: str = "text", t
                 b = batch.slice(at, rows)
                 ids, texts, parity = zip(*codec.encode(b.column(text_col).to_pylist()))
                 new = [pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(texts, pa.string()), pa.array(parity)]
-                yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*b.schema.names, "ids", "n_tokens", "decoded", "parity"])
+                yield with_columns(b, dict(zip(("ids", "n_tokens", "decoded", "parity"), new)))
 
     none = {c.split()[0]: F.lit(None).cast(c.split()[1]) for c in ENCODED.split(", ")}
     return docs.mapInArrow(lean(run), docs.withColumns(none).schema)

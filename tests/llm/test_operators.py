@@ -520,9 +520,9 @@ def test_quality_score_does_not_depend_on_the_batch(texts, monkeypatch):
 
 def test_quality_edges(spark, edge, empty):
     model = quality.train(["good words here", "BAD!! BAD!!"] * 5, [1, 0] * 5)
-    got = quality.with_score(spark, edge.drop("score"), model).collect()
+    got = quality.with_score(spark, edge, model).collect()
     assert len(got) == len(EDGE) and all(0 <= r.score <= 1 for r in got)
-    assert quality.with_score(spark, empty.drop("score"), None).count() == 0
+    assert quality.with_score(spark, empty, None).count() == 0
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.fit(edge, none) is None
 
@@ -556,9 +556,9 @@ def test_language_on_held_out_documents(spark, docs):
 
 def test_language_edges(spark, edge, empty):
     model = language.train({"a": ["der die das"], "b": ["the and of"]}, language.read_pieces(language.default_vocabulary()))
-    got = {r.doc_id: (r.lang_pred, r.score) for r in language.with_language(spark, edge.drop("score"), model).collect()}
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.with_language(spark, edge, model).collect()}
     assert got[1] == got[2] == got[5] == ("und", 0.0) and got[8][0] in "ab"
-    assert language.with_language(spark, empty.drop("score"), None).count() == 0
+    assert language.with_language(spark, empty, None).count() == 0
     assert language.fit(edge.withColumn("lang", F.lit(None).cast("string"))) is None
 
 

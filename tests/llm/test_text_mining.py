@@ -285,3 +285,44 @@ def test_middle_query_restores_every_text(spark):
     got = OPERATORS["op12_wavelet_middle"](spark, SF)
     same = got.join(docs, "doc_id").filter(F.col("restored_sha256") == F.sha2(F.coalesce("text", F.lit("")), 256))
     assert same.count() == docs.count()
+
+
+# --- earlier operators: clashing names, long white space, number characters ------------------
+
+
+def test_columns_of_equal_names_are_replaced(spark):
+    from cinepulse.llm import language, pii, quality, sentencepiece_codec
+
+    rows = [(1, "mail a@b.co or call", 1, 2.5, "x", [3], "y", b"z"), (2, None, 1, 2.5, "x", [3], "y", b"z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids int, Score double, lang_pred string, base_spans array<int>, parity string, decoded binary")
+    found = pii.with_spans(spark, df, pii.fit())
+    assert found.columns == [*df.columns, "all_spans"] and [len(r.base_spans) for r in found.orderBy("doc_id").collect()] == [1, 0]
+    coded = sentencepiece_codec.encoded(df).orderBy("doc_id").collect()
+    assert [(r.decoded, r.parity) for r in coded] == [("mail a@b.co or call", True), ("", True)]
+    sample = [(["good words of sense here"], 1), (["zzz qqq zzz qqq"], 0)]
+    model = quality.train([t[0] for t, _ in sample] * 5, [y for _, y in sample] * 5)
+    scored = quality.with_score(spark, df, model)
+    assert len(scored.columns) == len(df.columns) and all(0 <= r.score <= 1 for r in scored.collect())
+    named = language.with_language(spark, df, language.train({"en": ["the words of"], "de": ["die und der"]}, language.read_pieces(language.default_vocabulary())))
+    assert sorted(c.lower() for c in named.columns) == sorted(c.lower() for c in df.columns)
+    assert [r.lang_pred in ("en", "de", "und") for r in named.collect()] == [True, True]
+
+
+def test_number_characters_are_no_letters():
+    from cinepulse.llm import language
+
+    assert [language.WORD.findall(t) for t in ("½ ² Ⅷ ④", "a½b", "x² 一 é")] == [[], ["a", "b"], ["x", "一", "é"]]
+
+
+@pytest.mark.parametrize("run", [" ", "\n", "\t", " \n\t ", "  ", "\x1c "])
+def test_long_white_space_has_the_library_ids(run):
+    from tokenizers import Tokenizer
+
+    from cinepulse.llm import tokens
+
+    path = tokens.default_vocabulary()
+    library, own = Tokenizer.from_file(path), tokens.TextEncoder(path)
+    for n in (999, 1000, 1001, 2_000_000 if run in " \n" else 50_000):
+        blank = run * (n // len(run))
+        for text in (blank, f"a{blank}b", f"x y{blank}'s {blank}<|endoftext|>{blank}5"):
+            assert np.frombuffer(own.encode([text])[0], np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
