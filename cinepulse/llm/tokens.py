@@ -105,7 +105,8 @@ class WordEncoder:
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         encoding = read_encoding(path)
-        self.encode_word = lambda text: encode_with_runs(encoding, text)
+        ordinary = encoding.encode_ordinary
+        self.encode_word = lambda text: ordinary(text) if len(text) < LONG_RUN else encode_with_runs(encoding, text)
         self.limit = cache_words
         self.words: dict[str, bytes] = {}  # a piece without its blank -> ids
 
