@@ -8,6 +8,7 @@
   does it from the live bucket tables.
 * ``daily_report_job`` / ``monthly_report_job``: the engagement report of one day
   or month, from its lake partitions only, replacing only its output partition.
+* ``refresh_reports_job``: the mergeable day partials of both reports, of changed days only.
 
 ``python -m cinepulse.plans.jobs --help`` runs them from the command line.
 """
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cinepulse import schema as S
 from cinepulse.functions.expressions import to_timedelta
-from cinepulse.operators import ingest, live, reports, windowed
+from cinepulse.operators import day_partials, ingest, live, reports, windowed
 from cinepulse.session import ensure_utc, shared_dir
 from cinepulse.sources import files, kafka, lake, snapshot
 from cinepulse.sources.fixtures import sample_events
@@ -165,6 +166,12 @@ def monthly_report_job(spark: SparkSession, lake_path: str, out_path: str, month
     return out_path
 
 
+def refresh_reports_job(spark: SparkSession, lake_path: str, partials_path: str) -> day_partials.Refresh:
+    """Bring the day partials up to date, reading only the days whose files changed.
+    ``day_partials.daily_report`` and ``monthly_report`` read the reports from them."""
+    return day_partials.refresh(spark, lake_path, partials_path)
+
+
 def expire_live_buckets(spark: SparkSession, buckets_path: str, before: dt.date | str) -> list[str]:
     """Delete the live buckets of the days before ``before`` and return those folders.
 
@@ -219,6 +226,9 @@ def main(argv: list[str] | None = None) -> None:
     c = sub.add_parser("expire-buckets", help="delete the live buckets of old days")
     c.add_argument("--buckets", required=True)
     c.add_argument("--before", required=True, help="YYYY-MM-DD: delete the days before this one")
+    f = sub.add_parser("refresh-reports", help="recompute the report partials of the days whose lake files changed")
+    f.add_argument("--lake", required=True)
+    f.add_argument("--partials", required=True)
     m = sub.add_parser("monthly-report", help="report of one month from the lake")
     m.add_argument("--lake", required=True)
     m.add_argument("--out", required=True)
@@ -246,6 +256,8 @@ def main(argv: list[str] | None = None) -> None:
             snapshot_refresh(spark, args.lake, args.out)
         elif args.job == "daily-report":
             daily_report_job(spark, args.lake, args.out, args.day)
+        elif args.job == "refresh-reports":
+            print(refresh_reports_job(spark, args.lake, args.partials))
         elif args.job == "expire-buckets":
             expire_live_buckets(spark, args.buckets, args.before)
         elif args.job == "monthly-report":

@@ -46,6 +46,15 @@ FROM (
 )"""
 
 
+_CATALOG_VERSIONS = """changes AS (
+  SELECT pos * 3 + v AS change_id, movie_id, v,
+         TIMESTAMP '2024-01-01' + to_hours(CAST((v * 10 + pos % 7) * 24 + pos % 24 AS BIGINT)) AS valid_from,
+         title || ' v' || CAST(v AS VARCHAR) AS title, genre AS catalog_genre, (v = 2 AND pos % 11 = 0) AS deleted
+  FROM catalog, range(3) AS r(v)
+),
+versions AS (SELECT *, lead(valid_from) OVER (PARTITION BY movie_id ORDER BY valid_from) AS valid_to FROM changes)"""
+
+
 _TREND_5M = """
 SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start,
        time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE AS window_end,
@@ -309,3 +318,19 @@ WHERE place = 1""",
 }
 for _name in ("latest_ratings", "liked_pairs"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]
+for _name in ("daily_report", "monthly_report"):
+    ORACLE[f"{_name}_incremental"] = ORACLE[_name]
+for _name in ("catalog_versions", "stream_catalog_versions"):
+    ORACLE[_name] = _with(_CATALOG_VERSIONS) + """SELECT a.event_id, a.movie_id, v.change_id, v.title, v.catalog_genre, v.valid_from, v.valid_to
+FROM activity a LEFT JOIN versions v
+  ON v.movie_id = a.movie_id AND NOT v.deleted AND a.event_time >= v.valid_from AND (v.valid_to IS NULL OR a.event_time < v.valid_to)"""
+# the state holds the true ratings; in the batch run ratings of 5 are NULL
+ORACLE["stream_state_audit"] = _with() + """SELECT user_id, movie_id,
+       CASE WHEN m = 0 THEN 'unexpected' ELSE 'different' END AS problem, found_rating, expected_rating
+FROM (
+  SELECT user_id, movie_id,
+         arg_max(rating_value, struct_pack(t := event_time, id := event_id)) FILTER (WHERE action = 'rate' AND rating_value IS NOT NULL) AS found_rating,
+         arg_max(rating_value, struct_pack(t := event_time, id := event_id)) FILTER (WHERE action = 'rate' AND rating_value <> 5) AS expected_rating,
+         count(*) FILTER (WHERE action = 'like' OR (action = 'rate' AND rating_value <> 5)) AS m
+  FROM activity WHERE action = 'like' OR (action = 'rate' AND rating_value IS NOT NULL) GROUP BY user_id, movie_id)
+WHERE found_rating IS DISTINCT FROM expected_rating OR m = 0"""

@@ -16,11 +16,11 @@ from pyspark.sql import types as T
 from cinepulse import schema as S
 from cinepulse.functions.clock import iso_naive_text, resolve_as_of
 from cinepulse.operators import catalog as cat
-from cinepulse.operators import ingest, live, reports, state, time_index, windowed
+from cinepulse.operators import catalog_history, day_partials, ingest, live, reports, state, time_index, windowed
 from cinepulse.session import ensure_utc, fresh_path
 from cinepulse.sources import adapter, files, lake, snapshot
 from cinepulse.sources.versioned import read_latest
-from cinepulse.streaming import fanout, ranked, user_state
+from cinepulse.streaming import audit, catalog_stream, fanout, ranked, user_state
 from cinepulse.streaming import queries as streams
 
 # Parameters of the registered queries (see README, "Registered queries").
@@ -42,6 +42,9 @@ INSTANTS = 20
 INSTANT_STEP = dt.timedelta(hours=37, minutes=11, microseconds=7_123_457)
 WINDOW_STEP = dt.timedelta(hours=5, minutes=3, microseconds=777_001)
 USER_BUCKETS = 16
+LATE_FROM = "2024-01-20"  # ratings from here on reach the lake after the first refresh of the reports
+#: Versions of each movie: changed every ten days from here on, at an hour of its key.
+CATALOG_START, CATALOG_VERSIONS, CATALOG_STEP_DAYS = "2024-01-01", 3, 10
 STREAM_TIMEOUT_S = 900
 STATE_PARTITIONS = 8  # state of these views is small (windows x genres/movies)
 
@@ -296,6 +299,52 @@ def q_daily_report_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.daily_report(_landed(spark, sf_dir))
 
 
+def _refreshed(spark: SparkSession, sf_dir: str) -> str:
+    """Report partials of the whole lake, refreshed before and after the late ratings arrive."""
+    ev = _events(spark, sf_dir)
+    path, out = fresh_path(spark, "lake"), fresh_path(spark, "day-partials")
+    late = F.coalesce((F.col("action") == S.ACTION_RATE) & (F.col("event_time") >= F.lit(LATE_FROM).cast("timestamp")), F.lit(False))
+    for part in (ev.filter(~late), ev.filter(late)):
+        lake.write_lake(part, path)
+        day_partials.refresh(spark, path, out, lake.stored_schema(ev))
+    return out
+
+
+def q_daily_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily report from mergeable day partials, after a refresh that recomputes
+    only the days with late files."""
+    return day_partials.daily_report(spark, _refreshed(spark, sf_dir))
+
+
+def q_monthly_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly report summed from the day partials."""
+    return day_partials.monthly_report(spark, _refreshed(spark, sf_dir))
+
+
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of catalogue changes: versions of every movie, the last one of some a deletion."""
+    version = F.explode(F.sequence(F.lit(0), F.lit(CATALOG_VERSIONS - 1))).alias("v")
+    rows = adapter.catalog(spark, sf_dir).select("pos", "movie_id", "title", "genre", version)
+    hours = (F.col("v") * CATALOG_STEP_DAYS + F.col("pos") % 7) * 24 + F.col("pos") % 24
+    return rows.select(
+        (F.col("pos") * CATALOG_VERSIONS + F.col("v")).alias("change_id"),
+        "movie_id",
+        (F.lit(CATALOG_START).cast("timestamp") + F.make_dt_interval(hours=hours.cast("int"))).alias("changed_at"),
+        F.concat("title", F.lit(" v"), F.col("v").cast("string")).alias("title"),
+        F.col("genre").alias("catalog_genre"),
+        ((F.col("v") == CATALOG_VERSIONS - 1) & (F.col("pos") % 11 == 0)).alias("deleted"),
+    )
+
+
+_VERSIONED = ["event_id", "movie_id", *catalog_history.ATTRIBUTES, *catalog_history.RANGE]
+
+
+def q_catalog_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with the catalogue version valid at its time."""
+    versions = catalog_history.history(_changes(spark, sf_dir))
+    return _ntz(catalog_history.join_versions(_events(spark, sf_dir), versions).select(*_VERSIONED), *catalog_history.RANGE)
+
+
 def q_lake_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lake written by (dt, action part), rows per day and action read back."""
     return lake.partition_counts(_landed(spark, sf_dir))
@@ -501,6 +550,29 @@ def q_stream_fanout_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.partition_counts(fanout.read_sink(spark, out, fanout.RAW, schema))
 
 
+def q_stream_catalog_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a stream, each micro-batch joined with the newest published log."""
+    events = _event_stream(spark, sf_dir)
+    log, out, ckpt = fresh_path(spark, "catalog-log"), fresh_path(spark, "versioned"), fresh_path(spark, "ckpt-versioned")
+    catalog_stream.publish_changes(_changes(spark, sf_dir), log, "load", 0)
+    _run(catalog_stream.start_versioned(events, log, out, ckpt, trigger="availableNow"))
+    return _ntz(catalog_stream.read_versioned(spark, out, events.schema).select(*_VERSIONED), *catalog_history.RANGE)
+
+
+def q_stream_state_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checkpointed user state held against a batch run whose ratings of 5 became
+    NULL: the audit must name exactly the keys that this touches."""
+    out, ckpt = fresh_path(spark, "user-state"), fresh_path(spark, "ckpt-user-state")
+    stream = _event_stream(spark, sf_dir)
+    _run(user_state.start_user_state(stream, out, ckpt, USER_BUCKETS, trigger="availableNow", state_partitions=STATE_PARTITIONS))
+    ev = _events(spark, sf_dir)
+    planted = ev.withColumn("rating_value", F.when(F.col("rating_value") != 5, F.col("rating_value")))
+    found = audit.audit_user_state(spark, ckpt, planted)
+    return found.select(
+        *user_state.KEY, "problem", F.col("found.rating_value").alias("found_rating"), F.col("expected.rating_value").alias("expected_rating")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

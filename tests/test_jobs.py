@@ -77,3 +77,12 @@ def test_monthly_report_job(spark, sf_small):
     got = sorted(rows(spark.read.parquet(out), "movie_id", "genre", "views", "likes"), key=str)
     want = sorted(rows(reports.monthly_report(ev), "movie_id", "genre", "views", "likes"), key=str)
     assert got == want
+
+
+def test_refresh_reports_job_without_a_declared_schema(spark, sf_small):
+    ev = activity(spark, sf_small)
+    path, out = lake.write_lake(ev, fresh_path(spark, "lake")), fresh_path(spark, "partials")
+    assert jobs.refresh_reports_job(spark, path, out).recomputed
+    assert not jobs.refresh_reports_job(spark, path, out).recomputed
+    got, want = day_partials.monthly_report(spark, out, "2024-01"), reports.monthly_report(ev)
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
