@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.errors import AnalysisException
 
-from cinepulse.operators import ingest, reports
+from cinepulse.operators import day_partials, ingest, reports
 from cinepulse.plans import jobs
 from cinepulse.session import fresh_path
 from cinepulse.sources import files, kafka, lake
