@@ -28,7 +28,8 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import pairwise
+from functools import lru_cache
+from itertools import accumulate, chain, pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,7 +43,10 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 #: A blank that starts a run of markers.
 _RUN = re.compile(rf"(?<![ {MARK}]) ")
-CACHE_WORDS = 250_000
+#: Blanks and the word behind them, or blanks at the end.
+_WORD = re.compile(" *[^ ]+| +")
+CACHE_WORDS = 500_000  # about 200 bytes each
+KEPT_CHARS = 200  # longer stretches are not remembered beyond their batch once the memory is full
 ENCODED = "ids binary, n_tokens long, decoded string, parity boolean"
 
 
@@ -168,7 +172,9 @@ class Codec:
         # Words alone show that the ids of their text are the original's.
         self.by_word = self.cuts and self.proto.algorithm == BPE and self.proto.escape and not self.proto.remove_extra and not self.charsmap
         self.limit = cache_words
-        self.words: dict[str, tuple[bytes, str, bool]] = {}
+        self.lead = len(self.original.encode("\n"))
+        self.words: dict[str, bytes] = {}  # packed ids
+        self.odd: dict[str, tuple[str, bool]] = {}  # decoded text and parity, unless the word itself and true
 
     def normalise(self, text: str) -> str:
         """What is encoded: blanks are still blanks."""
@@ -185,61 +191,65 @@ class Codec:
         if MARK in text:
             at = [0, *[m.start() for m in _RUN.finditer(text)], len(text)]
             return [text[a:b] for a, b in pairwise(at) if a < b]
-        out, blanks = [], ""
-        for i, w in enumerate(text.split(" ")):
-            if i:
-                blanks += " "
-            if w:
-                out.append(blanks + w)
-                blanks = ""
-        return [*out, blanks] if blanks else out
-
-    def _learn(self, words: list[str]) -> dict[str, tuple[bytes, str, bool]]:
-        """Ids and text of distinct words, each checked against the original library
+        return _WORD.findall(text)
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of distinct words, each decoded again and checked against the original library
         if that shows anything for their texts.
 
         The original adds its prefix to every text; behind a line break, which no
         piece holds together with anything else, a word stands as inside a text."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         texts = self.tokenizer.decode_batch(found, skip_special_tokens=False)
-        lead = len(self.original.encode("\n"))
-        expected = [None] * len(words)
+        expected = found
         if self.by_word:
-            expected = [ids[lead:] for ids in self.original.encode(["\n" + w for w in words], num_threads=1)]
-        return {
-            w: (pack_ids(ids), t, (want is None or ids == want) and t == w.replace(MARK, " "))
-            for w, ids, t, want in zip(words, found, texts, expected)
-        }
+            expected = [ids[self.lead :] for ids in self.original.encode(["\n" + w for w in words], num_threads=1)]
+        packed, ends = pack_ids(list(chain.from_iterable(found))), list(accumulate(map(len, found), initial=0))
+        self.words.update((w, packed[4 * a : 4 * b]) for w, a, b in zip(words, ends, ends[1:]))
+        for w, ids, t, want in zip(words, found, texts, expected):
+            if t != w or ids != want:
+                self.odd[w] = t, ids == want and t == w.replace(MARK, " ")
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, str, bool]]:
         """(packed ids, decoded text, parity) of each text."""
         plain = [self.normalise(t or "") for t in texts]
         cut = [self.cut(t) for t in plain]
-        known = self.words
-        fresh = list({w for words in cut for w in words if w not in known})
-        more: dict[str, tuple[bytes, str, bool]] = {}
+        used = set().union(*cut)
+        fresh = list(used.difference(self.words))
         for i in range(0, len(fresh), 10_000):
-            more |= self._learn(fresh[i : i + 10_000])
-        if len(known) < self.limit:  # the frequent ones come early
-            known.update((w, p) for w, p in more.items() if MARK not in w)  # stretches may be long
+            self._learn(fresh[i : i + 10_000])
         out = []
         strip = 1 if self.proto.dummy_prefix else 0
+        ids, odd = self.words.__getitem__, self.odd
         for words in cut:
-            parts = [known.get(w) or more[w] for w in words]
-            out.append((b"".join([p[0] for p in parts]), "".join([p[1] for p in parts])[strip:], all([p[2] for p in parts])))
+            text, parity = "".join(words), True  # what the words of the text decode to, but for odd ones
+            if odd and not odd.keys().isdisjoint(words):
+                text = "".join([odd[w][0] if w in odd else w for w in words])
+                parity = all(odd[w][1] for w in words if w in odd)
+            out.append((b"".join(map(ids, words)), text[strip:], parity))
+        if len(self.words) > self.limit:  # the frequent ones are among those just used
+            kept = [w for w in used if len(w) <= KEPT_CHARS]
+            self.words = {w: ids(w) for w in kept[: self.limit]}
+            self.odd = {w: odd[w] for w in odd.keys() & self.words.keys()}
         whole = [i for i, t in enumerate(plain) if not self.by_word or MARK in t]
-        for i, ids in zip(whole, self.original.encode([texts[i] or "" for i in whole], num_threads=1)):
-            out[i] = (*out[i][:2], out[i][2] and out[i][0] == pack_ids(ids))
+        for i, want in zip(whole, self.original.encode([texts[i] or "" for i in whole], num_threads=1)):
+            out[i] = (*out[i][:2], out[i][2] and out[i][0] == pack_ids(want))
         return out
 
 
+@lru_cache(1)
+def _codec(path: str, threads: int) -> Codec:
+    """The codec of a worker process, kept with its words from one task to the next."""
+    return Codec(path, threads)
+
+
 def encoded(docs: DataFrame, model: str | None = None, text_col: str = "text", threads: int = 2, rows: int = 1000) -> DataFrame:
     """``docs`` with ids (packed unsigned 32-bit), n_tokens, decoded and parity as
     further columns. ``threads``: of the library, per task."""
     path = model or default_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path, threads)
+        codec = _codec(path, threads)
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 b = batch.slice(at, rows)

@@ -666,3 +666,14 @@ def test_lean_passes_batches_and_errors_through():
     next(out)
     with pytest.raises(ValueError, match="second"):
         next(out)
+
+
+def test_sentencepiece_with_a_full_word_memory(texts):
+    path = sentencepiece_codec.default_model()
+    cases = ["", " ", "x" * 5000, "a▁ b", *list(texts.values())[:40]]
+    small, large = (sentencepiece_codec.Codec(path, 1, cache_words=n) for n in (5, 10**6))
+    want = large.encode(cases)
+    for _ in range(2):
+        assert [small.encode([c])[0] for c in cases] == want
+        assert len(small.words) <= 5 and small.odd.keys() <= small.words.keys()
+    assert large.encode(cases) == want
