@@ -4,12 +4,17 @@ Each language is a unigram distribution over the pieces of a public SentencePiec
 model. The likelihood of a word is the sum over all its segmentations into pieces,
 computed by the forward algorithm, vectorised over words of one length; a text's is
 the product over its words. The distributions are fitted by expectation
-maximisation (forward-backward) on a bounded sample per language (``SAMPLE_ROWS``
-rows of at most ``SAMPLE_CHARS`` characters, chosen by a hash of the id).
-
-Words are the runs of letters of the lower-cased text, marked at the start as the
-pieces are; a character outside the vocabulary has a fixed small probability; words
-over ``WORD_CHARS`` characters are cut there. A NULL text or one without a letter is
+maximisation (forward-backward) on a bounded sample per language: rows in the order of
+a hash of the id, at most ``SAMPLE_ROWS``, until their whole texts reach
+``SAMPLE_CHARS`` characters (the row that passes it is the last). Of rows with one
+id the least text is learned.
+
+Words are the runs of letters of the lower-cased text, of any length, marked at the
+start as the pieces are; a character outside the vocabulary has a fixed small
+probability. Pieces that no such word can hold are left out. Words over ``LONG``
+letters are summed one by one in logarithms, since their likelihood is below the
+smallest double; scoring holds one block of such a word, learning the whole word
+(16 bytes a letter and language). A NULL text or one without a letter is
 ``und`` with score 0, as is every text if there is nothing to learn from. Equally
 likely languages: the first by name. The score is the posterior of the prediction
 under equal priors. Scoring is a map over batches, without a shuffle.
@@ -31,19 +36,21 @@ from pyspark.sql import functions as F
 from cinepulse.llm.common import held_out, lean, with_columns
 
 SAMPLE_ROWS = 300
-SAMPLE_CHARS = 10_000
-WORD_CHARS = 28
-PIECE_CHARS = 10
+SAMPLE_CHARS = 3_000_000
+ID_BUCKETS = 64  # the lowest hashes of a language are found in each bucket first
+LONG = 30  # 1e-8 to this power is a double
+BLOCK = 1 << 14  # letters of a long word looked up at a time
 ITERATIONS = 3
 SMOOTHING = 0.02
 UNKNOWN = 1e-8  # of one character that is no piece
 CACHE_WORDS = 400_000
 GROUP_WORDS = 1 << 18
 TABLE_BITS = 22
-#: Runs of letters; a longer one goes on as the next word.
+#: Runs of letters.
 _NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha())  # \w, but no letters
-WORD = re.compile(rf"[^\W\d_{_NUMBERS}]{{1,{WORD_CHARS}}}")
+WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 MARK = "▁"  # what the vocabulary writes for the start of a word
+_PIECE = re.compile(rf"{MARK}?[^\W\d_{_NUMBERS}]*")
 
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
@@ -56,12 +63,12 @@ def default_vocabulary() -> str:
 
 
 def read_pieces(model_path: str) -> list[str]:
-    """Ordinary pieces of at most ``PIECE_CHARS`` characters of a SentencePiece model."""
+    """Ordinary pieces of a SentencePiece model that lower-cased words can hold."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
     ids = (i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)))
-    return sorted({p for i in ids if 0 < len(p := sp.id_to_piece(i)) <= PIECE_CHARS})
+    return sorted({p for i in ids if (p := sp.id_to_piece(i)) and p == p.lower() and _PIECE.fullmatch(p)})
 
 
 def _hash(codes: np.ndarray) -> np.ndarray:
@@ -82,8 +89,9 @@ class Vocabulary:
 
     def __init__(self, pieces: list[str]):
         self.pieces = pieces
+        self.reach = max(map(len, pieces), default=1)
         self.keys = np.empty(len(pieces) + 1, U64)
-        for n in range(1, PIECE_CHARS + 1):
+        for n in range(1, self.reach + 1):
             at = [i for i, p in enumerate(pieces) if len(p) == n]
             if at:
                 self.keys[at] = self.start(_codes([pieces[i] for i in at], n), 0, n)
@@ -122,11 +130,25 @@ class Vocabulary:
         out = {}
         for a in range(length):
             h = np.full(len(codes), 1, U64)
-            for b in range(a + 1, min(length, a + PIECE_CHARS) + 1):
+            for b in range(a + 1, min(length, a + self.reach) + 1):
                 h = _extend(h, codes[:, b - 1])
                 out[a, b] = self.find(h)
         return out
 
+    def ends(self, codes: np.ndarray, start: int, stop: int) -> np.ndarray:
+        """Pieces of one word that end behind the letters ``start`` to ``stop``: row b, column
+        n - 1 is the piece of n letters that ends at start + 1 + b, if it lies in the word."""
+        out = np.full((stop - start, self.reach), len(self.pieces), np.int32)
+        first = max(0, start + 1 - self.reach)
+        part = codes[first:stop]
+        h = np.full(len(part), 1, U64)
+        for n in range(1, min(self.reach, len(part)) + 1):
+            h = _extend(h[: len(part) - n + 1], part[n - 1 :])  # of the n letters from each place
+            end = first + n + np.arange(len(h))
+            inside = end > start
+            out[end[inside] - start - 1, n - 1] = self.find(h[inside])
+        return out
+
 
 def _codes(words: list[str], n: int) -> np.ndarray:
     return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, n)
@@ -157,7 +179,7 @@ class Model:
         alpha = [np.ones((n, len(self.languages)))]
         for b in range(1, length + 1):
             total = np.zeros_like(alpha[0])
-            for a in range(max(0, b - PIECE_CHARS), b):
+            for a in range(max(0, b - self.vocabulary.reach), b):
                 total += alpha[a] * self.span_probs(spans, a, b)
             alpha.append(total)
         return alpha
@@ -166,6 +188,10 @@ class Model:
         """Log likelihood of each marked word in each language."""
         out = np.empty((len(words), len(self.languages)))
         for at, codes in by_length(words):
+            if codes.shape[1] > LONG:
+                for i, word in zip(at, codes):
+                    out[i] = self.long_score(word)
+                continue
             spans = self.vocabulary.spans(codes)
             out[at] = np.log(self.forward(spans, len(at), codes.shape[1])[-1])
         return out
@@ -174,12 +200,16 @@ class Model:
         """Expected uses of every piece, summed over segmentations (forward-backward)."""
         totals = np.zeros_like(self.probs)
         for at, codes in by_length(words):
+            if codes.shape[1] > LONG:
+                for i, word in zip(at, codes):
+                    self.long_expected(word, counts[i], totals)
+                continue
             length, spans = codes.shape[1], self.vocabulary.spans(codes)
             alpha = self.forward(spans, len(at), length)
             beta = [np.ones_like(alpha[0])] * (length + 1)
             for a in range(length - 1, -1, -1):
                 total = np.zeros_like(alpha[0])
-                for b in range(a + 1, min(length, a + PIECE_CHARS) + 1):
+                for b in range(a + 1, min(length, a + self.vocabulary.reach) + 1):
                     total += self.span_probs(spans, a, b) * beta[b]
                 beta[a] = total
             weight = counts[at] / alpha[length]
@@ -190,6 +220,57 @@ class Model:
         return totals
 
 
+    # Long words: the same sums in logarithms, letter by letter.
+
+    def log_ends(self, ends: np.ndarray) -> np.ndarray:
+        """Log probabilities (letter, piece length, language) of ``Vocabulary.ends``."""
+        with np.errstate(divide="ignore"):
+            logs = np.log(self.probs)[ends]
+        logs[:, 0] = np.maximum(logs[:, 0], np.log(UNKNOWN))
+        return logs
+
+    def log_forward(self, codes: np.ndarray, keep: bool) -> np.ndarray:
+        """Log alpha behind every letter of a word if ``keep``, else behind the last ones."""
+        reach = self.vocabulary.reach
+        held = np.zeros((1, len(self.languages)))  # alpha before the first letter
+        for start in range(0, len(codes), BLOCK):
+            stop = min(start + BLOCK, len(codes))
+            logs = self.log_ends(self.vocabulary.ends(codes, start, stop))
+            known = len(held)
+            held = np.concatenate([held, np.empty((stop - start, held.shape[1]))])
+            for b in range(stop - start):
+                n = min(reach, known + b)
+                ways = held[known + b - n : known + b][::-1] + logs[b, :n]
+                top = ways.max(0)
+                held[known + b] = top + np.log(np.exp(ways - top).sum(0))
+            if not keep:
+                held = held[-reach:]
+        return held
+
+    def long_score(self, codes: np.ndarray) -> np.ndarray:
+        return self.log_forward(codes, keep=False)[-1]
+
+    def long_expected(self, codes: np.ndarray, counts: np.ndarray, totals: np.ndarray) -> None:
+        """Add the expected uses of every piece in one long word to ``totals``."""
+        length, reach = len(codes), self.vocabulary.reach
+        alpha = self.log_forward(codes, keep=True)
+        beta = np.full((length + 1, len(self.languages)), -np.inf)
+        beta[-1] = 0
+        for stop in range(length, 0, -BLOCK):
+            start = max(0, stop - BLOCK)
+            ends = self.vocabulary.ends(codes, start, stop)
+            logs = self.log_ends(ends)
+            for b in range(stop, start, -1):  # beta of b is whole: hand it to the places before
+                n = min(reach, b)
+                into = beta[b - n : b][::-1]
+                np.logaddexp(into, logs[b - start - 1, :n] + beta[b], out=into)
+            for n in range(1, reach + 1):
+                at = np.arange(max(start + 1, n), stop + 1)
+                use = np.exp(alpha[at - n] + logs[at - start - 1, n - 1] + beta[at] - alpha[-1]) * counts
+                for lang in range(len(self.languages)):
+                    totals[:, lang] += np.bincount(ends[at - start - 1, n - 1], use[:, lang], len(totals))
+
+
 def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
@@ -215,6 +296,18 @@ class Scorer:
         self.scores = np.empty((0, len(model.languages)))
 
     def _lookup(self, words: list[str]) -> np.ndarray:
+        long = [i for i, w in enumerate(words) if len(w) >= LONG]  # with its mark, over LONG
+        if not long:
+            return self._remembered(words)
+        out = np.empty((len(words), len(self.model.languages)))
+        short = np.ones(len(words), bool)
+        short[long] = False
+        out[short] = self._remembered([w for w in words if len(w) < LONG])
+        for i in long:  # not remembered, since they may be of any length
+            out[i] = self.model.word_scores([MARK + words[i]])[0]
+        return out
+
+    def _remembered(self, words: list[str]) -> np.ndarray:
         if len(self.index) > CACHE_WORDS:
             self.index, self.scores = {}, self.scores[:0]
         fresh = [w for w in dict.fromkeys(words) if w not in self.index]
@@ -253,17 +346,24 @@ class Scorer:
 
 
 def labelled_sample(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, list[str]]:
-    """Texts by language: up to ``rows`` each, not held out, lowest hashes of the id first."""
+    """Texts by language: not held out, lowest hashes of the id first, up to ``rows`` ids and
+    until their texts reach ``chars`` characters."""
     known = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"), F.length(text_col).alias("n"))
-    known = known.filter(F.col("lang").isNotNull() & F.col("n").between(1, chars) & ~held_out("id"))
-    first = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    ids = known.withColumn("first", first).filter(F.col("first") <= rows).select("id", "lang")
+    known = known.filter(F.col("lang").isNotNull() & (F.col("n") > 0) & ~held_out("id")).withColumn("h", F.xxhash64("id"))
+    # A language with most of the rows is cut bucket by bucket; rows of one id share a rank.
+    order = [F.col("h"), F.col("id")]
+    near = F.dense_rank().over(W.partitionBy("lang", F.pmod("h", F.lit(ID_BUCKETS))).orderBy(*order))
+    first = known.withColumn("near", near).filter(F.col("near") <= rows).groupBy("lang", "h", "id").agg(F.max("n").alias("n"))
+    by_hash = W.partitionBy("lang").orderBy(*order)  # at most rows x ID_BUCKETS ids a language
+    before = F.sum("n").over(by_hash.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("n")
+    ids = first.withColumns({"first": F.row_number().over(by_hash), "before": before})
+    ids = ids.filter((F.col("first") <= rows) & (F.col("before") < chars)).select("id", "lang")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    texts = texts.filter(F.length("text") > 0).join(F.broadcast(ids), ["id", "lang"]).groupBy("lang", "id").agg(F.min("text").alias("text"))
     found: dict[str, list[str]] = {}
-    # Bounded: ``rows`` rows of ``chars`` characters a language.
-    for r in texts.join(F.broadcast(ids.dropDuplicates()), ["id", "lang"]).orderBy("lang", "id", "text").collect():
-        if len(r["text"]) <= chars:
-            found.setdefault(r["lang"], []).append(r["text"])
+    # Bounded: one text an id, ``rows`` ids and ``chars`` characters and a text a language.
+    for r in texts.orderBy("lang", "id").collect():
+        found.setdefault(r["lang"], []).append(r["text"])
     return found
 
 

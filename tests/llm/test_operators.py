@@ -9,6 +9,7 @@ import random
 import re
 import zlib
 from collections import defaultdict
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -548,6 +549,56 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(model.word_scores([word])[0], want)
 
 
+def test_words_and_pieces_of_any_length():
+    pieces = language.read_pieces(language.default_vocabulary())
+    longest = max(pieces, key=len)
+    assert len(longest) == 16
+    words = [longest.strip(language.MARK), "donaudampfschifffahrt" * 3, "straightforward" * 40, "ж" * 29, "ж" * 30, "x" * 5000]
+    model = language.train({"a": [" ".join(words[:3])], "b": ["the " + words[1]]}, pieces)
+    at = {p: i for i, p in enumerate(pieces)}
+    for word, got in zip(words, model.word_scores([language.MARK + w for w in words])):
+        for lang in range(2):
+            way = [Decimal(1)]  # plain forward sums, without underflow
+            marked = language.MARK + word
+            for b in range(1, len(marked) + 1):
+                total = Decimal(0)
+                for a in range(max(0, b - 16), b):
+                    p = model.probs[at[marked[a:b]], lang] if marked[a:b] in at else 0.0
+                    total += way[a] * Decimal(max(p, language.UNKNOWN) if b - a == 1 else p)
+                way.append(total)
+            assert np.isclose(got[lang], float(way[-1].ln()), rtol=1e-9)
+    assert language.words_of("½ ² Ⅷ") == []
+    assert language.words_of("Ab" * 1000) == ["ab" * 1000]
+
+
+def test_long_words_learn_like_short_ones(monkeypatch):
+    pieces = ["▁", "t", "h", "e", "th", "he", "▁th", "het", "▁the", "ehtethehte"]
+    samples = {"x": ["the the he", "thehetheehtethehteththe"], "y": ["het hhhhhhh", "q"]}
+    want = language.train(samples, pieces)
+    scores = want.word_scores(["▁thehehe", "▁", "▁ehtethehtethe"])
+    monkeypatch.setattr(language, "LONG", 2)
+    for block in (1, 3, 4, 100):
+        monkeypatch.setattr(language, "BLOCK", block)
+        got = language.train(samples, pieces)
+        assert np.allclose(got.probs, want.probs, rtol=1e-9)
+        assert np.allclose(want.word_scores(["▁thehehe", "▁", "▁ehtethehtethe"]), scores, rtol=1e-9)
+        texts = ["the hethethehe", "", "½"]
+        a, b = language.Scorer(want).predict(texts)
+        assert a[1:] == ["und", "und"] and b[0] > 0.5 and a[0] in "xy"
+
+
+def test_language_sample_holds_long_rows_and_one_text_an_id(spark):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, "short text", "a") for i in ids[:100]] + [(i, "w" * 50_000, "b") for i in ids[100:104]]
+    rows += [(ids[0], t, "c") for t in ("zz", "yy", "yy")] * 50 + [(None, "x", "a"), (ids[5], None, "a"), (ids[6], "", "a"), (ids[7], "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.labelled_sample(docs, rows=10, chars=60_000)
+    assert len(got["a"]) == 10 and set(got["a"]) <= {"short text", "x"}
+    assert [len(t) for t in got["b"]] == [50_000, 50_000]  # the row that passes the bound is the last
+    assert got["c"] == ["yy"]
+    assert len(language.labelled_sample(docs, rows=1000)["b"]) == 4
+
+
 def test_language_on_held_out_documents(spark, docs):
     got = language.with_language(spark, docs.select("doc_id", "text", "lang"), language.fit(docs)).collect()
     held = [r for r in got if zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
