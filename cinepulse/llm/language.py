@@ -46,11 +46,9 @@ UNKNOWN = 1e-8  # of one character that is no piece
 CACHE_WORDS = 400_000
 GROUP_WORDS = 1 << 18
 TABLE_BITS = 22
-#: Runs of letters.
-_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha())  # \w, but no letters
-WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+#: Runs of letters, and of number characters such as ``½`` that are split off afterwards.
+WORD = re.compile(r"[^\W\d_]+")
 MARK = "▁"  # what the vocabulary writes for the start of a word
-_PIECE = re.compile(rf"{MARK}?[^\W\d_{_NUMBERS}]*")
 
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
@@ -68,7 +66,7 @@ def read_pieces(model_path: str) -> list[str]:
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
     ids = (i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)))
-    return sorted({p for i in ids if (p := sp.id_to_piece(i)) and p == p.lower() and _PIECE.fullmatch(p)})
+    return sorted({p for i in ids if (p := sp.id_to_piece(i)) and p == p.lower() and (p == MARK or p.removeprefix(MARK).isalpha())})
 
 
 def _hash(codes: np.ndarray) -> np.ndarray:
@@ -272,7 +270,12 @@ class Model:
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    """Runs of letters of the lower-cased text. A class that names each number character
+    would be searched from one to the next for every character of the text."""
+    words = WORD.findall(text.lower())
+    if all(map(str.isalpha, words)):
+        return words
+    return [w for x in words for w in "".join(c if c.isalpha() else " " for c in x).split(" ") if w]
 
 
 def train(samples: dict[str, list[str]], pieces: list[str], iterations: int = ITERATIONS) -> Model:
