@@ -2,21 +2,30 @@
 
 Base patterns (emails, IPv4 addresses, card and phone numbers) give exact spans. A
 CRF, trained by gradient descent on a small labelled table, reads the words around
-and adds spans that the patterns do not cover (phone numbers without a plus, cards
-with dots, addresses in brackets). Base spans stay; an added span never overlaps one.
+and adds spans that the patterns do not cover: phone numbers without a plus, cards of
+13 digits or with other marks between the digits, IPv6 addresses, addresses with
+``[.]``, emails at a host without a dot or with letters outside ASCII. Base spans stay;
+an added span never overlaps one.
+
+A labelling of the CRF only becomes a span if its kind allows it (``allowed``): 7 to
+15 digits in at most five groups and no letter for a phone; 13 to 19 digits that pass
+Luhn for a card; a valid IPv6 address, or four parts of at most 255, for an address; one
+``@`` between a name and a host with a letter for an email.
 
 A word without a digit or an ``@`` can only have the label "none". The chain is cut
 there without changing the best labelling, so only runs of the other words are
-decoded, by Viterbi in numpy over all runs of one length in a batch; words before
-and after still count as context.
+decoded, each whole, by Viterbi in numpy over all runs of one length in a batch (some
+hundred bytes a word of a run); words before and after still count as context.
 
 Offsets are code points, end exclusive. NULL is the empty text; whole texts are
 read, whatever their length; repeated rows are handled alike; an empty table gives
-an empty result; columns other than the text are passed through unread.
+an empty result; columns other than the text are passed through unread, but for those
+named like the result's, which are replaced.
 """
 
 from __future__ import annotations
 
+import ipaddress
 import random
 import re
 import zlib
@@ -34,8 +43,8 @@ from cinepulse.llm.common import lean, with_columns
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ["O", *[f"{p}-{k}" for k in KINDS for p in "BI"]]
 BUCKETS = 1 << 14
-MARGIN = 4.0  # by how much an added span must beat the label "none", in log odds
-RUN_WORDS = 64  # longer runs are decoded in pieces of so many words
+MARGIN = 2.0  # by how much an added span must beat the label "none", in log odds
+BATCH_WORDS = 1 << 17  # of the runs of one length that are decoded together
 
 # --- base patterns --------------------------------------------------------------
 
@@ -116,7 +125,7 @@ def runs(text: str) -> list[list[tuple[int, int]]]:
     m = _MARKS.search(text)
     while m:
         a, b = _word_at(text, m.start())
-        if out and len(out[-1]) < RUN_WORDS and not text[out[-1][-1][1] : a].strip():
+        if out and not text[out[-1][-1][1] : a].strip():
             out[-1].append((a, b))
         else:
             out.append([(a, b)])
@@ -125,38 +134,57 @@ def runs(text: str) -> list[list[tuple[int, int]]]:
 
 
 def shape(word: str) -> str:
-    """Digits as 9, letters as a or A in runs of one; long words by their first 40 characters."""
-    out = re.sub(r"[0-9]", "9", word[:40])
-    out = re.sub(r"[^\W\d_]+", lambda m: "A" if m[0].isupper() else "a", out)
-    return out
+    """Digits as 9, letters as a or A in runs of one."""
+    return re.sub(r"[^\W\d_]+", lambda m: "A" if m[0].isupper() else "a", re.sub(r"[0-9]", "9", word))
+
+
+def _plain(word: str) -> str:
+    return re.sub(r"\W", "", word.lower())
+
 
+def words_before(text: str, at: int, n: int = 3) -> list[str]:
+    """Up to ``n`` whole words before a place, the nearest first."""
+    size = 64
+    while True:
+        near = text[max(0, at - size) : at]
+        words = near.split()
+        if size >= at or len(words) > n:  # the first word of the window may be cut
+            return [_plain(w) for w in words[: -n - 1 : -1]]
+        if len(words) > 1 and size >= 1024:  # far from the place: fewer words, but whole ones
+            return [_plain(w) for w in words[:0:-1]]
+        size *= 4
 
-def _context(text: str, at: int, back: bool) -> str:
-    """The word before or after a place, lower-cased, without marks around it."""
-    near = text[max(0, at - 40) : at] if back else text[at : at + 40]
-    words = near.split()
-    return re.sub(r"\W", "", words[-1 if back else 0].lower()) if words else ""
+
+_NEXT = re.compile(r"\s*(\S*)")
+_HEXES = re.compile(r"[0-9A-Fa-f:]+")
 
 
 def word_features(text: str, run: list[tuple[int, int]]) -> list[list[int]]:
     words = [text[a:b].strip(_OPEN + _CLOSE.replace(".", "") + ".,;:") or text[a:b] for a, b in run]
     shapes = [shape(w) for w in words]
-    before, after = _context(text, run[0][0], True), _context(text, run[-1][1], False)
+    shorts = [re.sub("9+", "9", s) for s in shapes]
+    near = words_before(text, run[0][0])
+    before, after = near[0] if near else "", _plain(_NEXT.match(text, run[-1][1])[1])
+    length = f"run={min(len(run), 6)}/{min(sum(sum(map(str.isdigit, w)) for w in words), 20)}"
     out = []
-    for i, (w, s) in enumerate(zip(words, shapes)):
-        digits = sum(c.isdigit() for c in w[:40])
+    for i, (w, s, short) in enumerate(zip(words, shapes, shorts)):
+        digits, place = sum(map(str.isdigit, w)), min(i, 6)
         names = [
             "bias",
             f"shape={s}",
-            f"short={re.sub('9+', '9', s)}",
+            f"short={short}",
             f"digits={min(digits, 17)}",
-            f"at={'@' in w}",
+            f"at={'@' in w}/{w[:1] == '@'}",
             f"dots={min(w.count('.'), 4)}",
-            f"letters={any(c.isalpha() for c in w[:40])}",
+            f"colons={min(w.count(':'), 8)}/{'::' in w}/{_HEXES.fullmatch(w) is not None}",
+            f"letters={any(map(str.isalpha, w))}",
             f"first={text[run[i][0]]}" if text[run[i][0]] in "+(" else "first=other",
             f"last={shapes[i - 1]}" if i else f"before={before}",
             f"next={shapes[i + 1]}" if i + 1 < len(run) else f"after={after}",
-            f"before+short={before}/{re.sub('9+', '9', shapes[0])}/{i}",
+            f"{length}/{place}",
+            f"{length}/{place}/{s}",
+            *[f"near={x}/{place}" for x in near],
+            *[f"near={x}/{short}" for x in near],
         ]
         out.append([zlib.crc32(n.encode()) % BUCKETS for n in names])
     return out
@@ -164,66 +192,80 @@ def word_features(text: str, run: list[tuple[int, int]]) -> list[list[int]]:
 
 # --- the labelled table -----------------------------------------------------------
 
-#: Sentences of the labelled table; {kind:...} marks a span, a digit
-#: template's # is a random digit.
-SENTENCES = (
-    "please call {phone:(###) ###-####} before noon",
-    "phone {phone:###-###-####} or come by",
-    "tel {phone:### ### ####} today",
-    "my number is {phone:(###) ###-####}, thanks",
-    "mobile: {phone:+## ### #######} any time",
-    "reach us at {phone:+1 (###) ###-####} now",
-    "fax {phone:###.###.####} is off",
-    "call {phone:#-###-###-####} toll free",
-    "write to {email:ann##@mail#.example.com} soon",
-    "mail {email:bob.lee@example.org} about it",
-    "contact <{email:j.doe_##@host.net}> please",
-    "email {email:info##@shop-##.example} for help",
-    "address {email:x##@localhost} inside",
-    "card {card:####-####-####-####} was charged",
-    "visa {card:#### #### #### ####} expires",
-    "paid with {card:################} online",
-    "card number {card:####.####.####.####} on file",
-    "server {ip:1##.##.1#.2#} is down",
-    "from {ip:##.1##.#.##} port ####",
-    "host {ip:10.#.#.1##} answered",
-    "in #### the river rose ## feet",
-    "on ####-0#-1# we met at 1#:##",
-    "it costs ##.## or ### in all",
-    "version #.#.# and #.##.# of it",
-    "see page ### to ### of volume #",
-    "chapter #.# has ## parts",
-    "about #,###,### people and ## towns",
-    "id ##ab##cd##ef##ab##cd## was used",
-    "token = \"a#b#c#d#e#f#a#b#c#d#e#f#a#b#c#d#e#f#a#b#c#d#\" and more",
-    "order no ######## of ##/##/####",
-    "the ##th and ##st of may ####",
-    "flight ab### at gate b## on #### seats",
-    "score ##-## in game ### of ####",
-    "code #### #### for the door",
-    "sum of ## ## ### and #### numbers",
-    "price $## each for ##% off",
-    "follow @user## and @team for news",
-    "isbn ###-#-##-######-# of ####",
-    "lot #############, box ######",
-    "from ##### to ###### units",
-)
-_SPAN = re.compile(r"\{(\w+):([^}]*)\}")
-
-
-def labelled_table(copies: int = 6, seed: int = 11) -> list[tuple[str, list[tuple[int, int, str]]]]:
-    """The small labelled table: (text, spans), each sentence with ``copies`` draws of digits."""
-    rng, out = random.Random(seed), []
-    for _ in range(copies):
-        for sentence in SENTENCES:
-            filled = re.sub("#", lambda m: str(rng.randrange(10)), sentence)
-            text, spans, end = "", [], 0
-            for m in _SPAN.finditer(filled):
-                text += filled[end : m.start()]
-                spans.append((len(text), len(text) + len(m[2]), m[1]))
-                text += m[2]
-                end = m.end()
-            out.append((text + filled[end:], spans))
+# A sentence is an opening, a form and an end; in forms # is a random digit and x a random
+# hexadecimal one. Of the many combinations a seeded draw takes a few thousand; a
+# quarter of all combinations, by their hash, is held out of the training table.
+
+_OPENINGS = {
+    "phone": "my phone is|call me at|reach me on|tel|tel.|telephone:|his mobile|her cell is|phone:|please call|fax|ring me on|contact number|dial|"
+    "text me at|whatsapp|the hotline|you can call|mobile number|office phone|my number is|call us at|phone number:|call",
+    "card": "card|visa|my card number is|paid with card|credit card:|mastercard|charge card|debit card|the card ending|card no.",
+    "ip": "server|host|requests from|address|ping|gateway|connect to|blocked|the ip|router at|login from",
+    "email": "mail|write to|contact|email|e-mail:|reach us at|send it to|address:|message|from",
+    "none": "in|see pages|years|the sum of|prices were|version|section|isbn|order|score|lot|values|data:|temperatures|rows|id|invoice|on|from|"
+    "between|size|about|chapter|room|table|figures|we sold|results|token =|flight|bus|at|it costs|count|serial|built in|numbers|the|",
+}
+_FORMS = {
+    "phone": "###-###-####|(###) ###-####|###.###.####|### ### ####|0## #######|0### ######|0## ### ## ##|0# ## ## ## ##|###-####|(0##) ########|"
+    "#-###-###-####|00## ## #######|0###/######|(###)###-####|### #######|##########|0##-#######|### ####",
+    "card": "####.####.####.####|#############|####/####/####/####|####_####_####_####|####  ####  ####  ####|####.######.#####",
+    "ip": "2001:db8:xxxx::##|fe80::xxx:b#ff:fe##:c###|20##:0db8:85a3:0000:0000:8a2e:0###:7xx#|1#[.]2#[.]1##[.]#|##(.)#(.)1##(.)##|fd##:xxxx:#::1|::ffff:xx#:#x",
+    "email": "ann##@localhost|josé##@example.com|user@mailhost|bob.lee@intranet|jörg@example.de|x##@[10.#.1#.#]|ops-##@node#|zoë.m@exämple.org",
+    "none": "####|#### ####|#### #### ####|##|###|## and ###|#.#.#|#.##|##.##|$##.##|##%|#,###,###|####-0#-1#|1#:##|1#:##:##|##/##/####|###-#-##-######-#|"
+    "########|##########|###########|###-####|### ####|############|#################|x#x#x#x#x#x#x#x#x#|ab###|@user##|@team|# @ $#.##|### ### ###|##-##|##.##.####|#x#|# of ##|##th|"
+    "{#}|{##}|{###}|{####}|{19##}|{20##}|{0.##}|{#.##}|{##.#}|{-#.#}|{$#.##}|{#,###}|{#/#}|{1#:##}|{####-0#-1#}|{#####}|{######}",
+}
+_ENDS = "||.|today|before noon|, thanks|any time|or come by|if it rains|and ask for ann|after six|please|in all|for the report|were found|!|to be sure"
+#: Openings of phone numbers before numbers that are none.
+_DECOYS = "call # of ## people|phone ## pro|the phone costs ###|call ## times|tel aviv ####|fax it in ####|mobile sales of #,### and #,###|dial # or #|my number is #|" \
+    "card ## of ###|card game of ####|visa for ## days|host ## guests|mail ## letters|server ## of ##|call {20##}|phone {0.##}|tel {#}|numbers to call {##}"
+
+
+def allowed(span: str, kind: str) -> bool:
+    """Whether a labelled span is one that its kind allows."""
+    digits = "".join(c for c in span if c in "0123456789")
+    if kind == "phone":
+        groups = re.findall("[0-9]+", span)
+        return 7 <= len(digits) <= 15 and len(groups) <= 5 and not any(map(str.isalpha, span)) and "@" not in span and ":" not in span
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and luhn(digits) and not any(map(str.isalpha, span))
+    if kind == "email":
+        name, _, host = span.partition("@")
+        return any(map(str.isalnum, name)) and "@" not in host and (any(map(str.isalpha, host)) or host[:1] == "[")
+    parts = re.split(r"\[\.\]|\(\.\)", span)
+    if len(parts) == 4:
+        return all(p.isascii() and p.isdigit() and _small(p) for p in parts)
+    try:
+        return ipaddress.ip_address(span).version == 6
+    except ValueError:
+        return False
+
+
+def _filled(form: str, kind: str, rng: random.Random) -> str:
+    form = re.sub(r"\{(.*?)\}", lambda m: " ".join([m[1]] * rng.randrange(3, 14)), form)  # a list
+    hexed = kind == "ip" or form.startswith("x#")
+    out = "".join(rng.choice("0123456789") if c == "#" else rng.choice("0123456789abcdef") if c == "x" and hexed else c for c in form)
+    while kind == "card" and not luhn(re.sub("[^0-9]", "", out)):
+        out = out[:-1] + str((int(out[-1]) + 1) % 10)
+    return out
+
+
+def labelled_table(sentences: int = 2400, seed: int = 11, held: bool = False) -> list[tuple[str, list[tuple[int, int, str]]]]:
+    """The labelled table: (text, spans). ``held`` draws from the sentences held out of training."""
+    rng, ends, out = random.Random(seed), _ENDS.split("|"), []
+    decoys = _DECOYS.split("|")
+    while len(out) < sentences:
+        kind = rng.choices([*KINDS, "none", "decoy"], [1, 1, 1, 4, 5, 1])[0]
+        opening = "" if kind == "decoy" else rng.choice(_OPENINGS[kind].split("|"))
+        form = rng.choice(decoys if kind == "decoy" else _FORMS[kind].split("|"))
+        end = rng.choice(ends)
+        if (zlib.crc32(f"{opening}|{form}|{end}".encode()) % 4 == 0) != held:
+            continue
+        form = _filled(form, kind, rng)
+        text = f"{opening} " if opening else ""
+        spans = [(len(text), len(text) + len(form), kind)] if kind in KINDS and allowed(form, kind) else []
+        if kind not in KINDS or spans:
+            out.append((text + form + ("" if end[:1] in ".,!" else " ") + end, spans))
     return out
 
 
@@ -242,14 +284,17 @@ class Crf:
     start: np.ndarray
 
     def potentials(self, feats: list[list[int]]) -> np.ndarray:
-        return self.emit[np.asarray(feats)].sum(1)
+        return np.stack([self.emit[f].sum(0) for f in feats])
+
+    def emissions(self, text: str, run: list[tuple[int, int]]) -> np.ndarray:
+        return self.potentials(word_features(text, run))
 
     def viterbi(self, node: np.ndarray) -> np.ndarray:
         """Best labels of a batch of runs of one length: node is runs x words x labels."""
         best, back = node[:, 0] + self.start, []
         for t in range(1, node.shape[1]):
             scores = best[:, :, None] + self.step[None]
-            back.append(scores.argmax(1))
+            back.append(scores.argmax(1).astype(np.int8))
             best = scores.max(1) + node[:, t]
         path = [best.argmax(1)]
         for b in reversed(back):
@@ -287,7 +332,7 @@ def forbidden_steps() -> np.ndarray:
     return out
 
 
-def train(table: list[tuple[str, list[tuple[int, int, str]]]], epochs: int = 12, rate: float = 0.15, decay: float = 1e-3, seed: int = 5) -> Crf:
+def train(table: list[tuple[str, list[tuple[int, int, str]]]], epochs: int = 10, rate: float = 0.15, decay: float = 1e-3, seed: int = 5) -> Crf:
     """Stochastic gradient descent on the conditional log likelihood of the table's runs."""
     fixed = forbidden_steps()
     crf = Crf(np.zeros((BUCKETS, len(LABELS))), fixed.copy(), np.array([-30.0 if x[0] == "I" else 0.0 for x in LABELS]))
@@ -299,7 +344,7 @@ def train(table: list[tuple[str, list[tuple[int, int, str]]]], epochs: int = 12,
                 hit = next(((s, k) for s, e, k in spans if a < e and b > s), None)
                 gold.append(0 if hit is None else LABELS.index(("I-" if hit == last else "B-") + hit[1]))
                 last = hit
-            data.append((np.asarray(word_features(text, run)), np.array(gold)))
+            data.append((word_features(text, run), np.array(gold)))
     rng = np.random.default_rng(seed)
     for epoch in range(epochs):
         pace = rate / (1 + epoch / 4)
@@ -321,10 +366,10 @@ def added_spans(texts: list[str], crf: Crf) -> list[list[tuple[int, int, str]]]:
         for run in runs(t):
             by_length[len(run)].append((i, run))
     for length, group in by_length.items():
-        for at in range(0, len(group), 2048):
-            part = group[at : at + 2048]
-            feats = np.asarray([word_features(texts[i], run) for i, run in part])
-            node = crf.emit[feats].sum(2)
+        step = max(1, BATCH_WORDS // length)
+        for at in range(0, len(group), step):
+            part = group[at : at + step]
+            node = np.stack([crf.emissions(texts[i], run) for i, run in part])
             gain = node - node[:, :, :1]
             for r, ((i, run), path) in enumerate(zip(part, crf.viterbi(node))):
                 t = 0
@@ -337,7 +382,7 @@ def added_spans(texts: list[str], crf: Crf) -> list[list[tuple[int, int, str]]]:
                         stop += 1
                     score = sum(gain[r, j, path[j]] for j in range(t, stop))
                     span = _trimmed(texts[i], run[t][0], run[stop - 1][1], LABELS[path[t]][2:])
-                    if score >= MARGIN and span:
+                    if score >= MARGIN and span and allowed(texts[i][span[0] : span[1]], span[2]):
                         out[i].append(span)
                     t = stop
     return out
