@@ -2,19 +2,23 @@
 
 A text is the multiset of its paragraphs: the pieces between line breaks, and inside
 a line between sentence ends, so that a one-line text also has several; blank pieces
-do not count. Every paragraph is hashed to a vector of 63 lanes with entries 0 or 1;
-the fingerprint is the sum of these vectors, each lane modulo 2**21, and the number
-of paragraphs. Equal multisets have equal fingerprints in any order, and a paragraph
-is inserted or deleted by adding or subtracting its vector (``combine``).
-
-Read as signs, the lanes also estimate how much two texts share: the mean product of
-the signed lanes estimates the number of common paragraphs (standard error about
-0.13 of the geometric mean of the sizes), ``likeness`` turns it into 0 to 1.
-
-The 63 lanes are 21 words of 3 lanes. All of it is built-in column functions on one
-row; only the next document's text moves, in one shuffle by ranges of the id.
-Fingerprints of NULL and empty texts are that of no paragraph; two of those are
-alike (1.0), and one of those is unlike any other (0.0).
+do not count. Every paragraph is hashed to a wide vector: SHA-512 of a counter, a colon
+and the paragraph, for four counters, gives 32 parts of 64 bits (16 hexadecimal digits);
+60 bits of the hash of each part are a word of 4 lanes. The fingerprint is the number of
+paragraphs and the sum of their vectors, each of the 128 lanes modulo 2**15. Equal
+multisets have equal fingerprints in any order, and a paragraph is inserted or deleted
+by adding or subtracting its vector (``combine``).
+
+How much two texts share is estimated apart from that, by a sketch: 63 lanes that are
+1 or 0 by the bits of a 64-bit hash of the paragraph, summed modulo 2**21. Read as
+signs, the mean product of the lanes of two texts estimates the number of common
+paragraphs (standard error about 0.13 of the geometric mean of the sizes); ``likeness``
+turns it into 0 to 1.
+
+All of it is built-in column functions on one row; only the next document's text and
+sketch move, in one shuffle by ranges of the id. Fingerprints of NULL and empty texts
+are that of no paragraph; two of those are alike (1.0), and one of those is unlike any
+other (0.0).
 """
 
 from __future__ import annotations
@@ -25,63 +29,104 @@ from pyspark.sql import functions as F
 
 from cinepulse.llm.common import text_or_empty
 
-WORDS = 21
-LANE_BITS = 21
-LANES = 3 * WORDS
-ONES = 1 | 1 << LANE_BITS | 1 << 2 * LANE_BITS  # one in each lane of a word
-LANE_MASK = (1 << LANE_BITS) - 1
-#: Lane values of a word without their top bits: two of them add without a carry.
-LOW = ONES * (LANE_MASK >> 1)
-TOPS = ONES << LANE_BITS - 1
 PARAGRAPH_END = r"\n|(?<=[.!?])\x20"
 
+# The wide vector.
+COUNTERS = 4
+DIGITS = 16  # hexadecimal digits of a digest for a word
+WORDS = COUNTERS * 128 // DIGITS
+WIDE_BITS = 15
 
-def _add(a: Column, b: Column) -> Column:
-    """Sum of two words, each lane modulo 2**21: the low bits add without a carry out
+# The sketch.
+SKETCH_WORDS = 21
+SKETCH_BITS = 21
+
+
+def _lanes(bits: int) -> int:
+    """Lanes of a word: it stays below the sign bit."""
+    return 63 // bits
+
+
+def _ones(bits: int) -> int:
+    """One in each lane of a word."""
+    return sum(1 << bits * j for j in range(_lanes(bits)))
+
+
+def _add(a: Column, b: Column, bits: int = WIDE_BITS) -> Column:
+    """Sum of two words, each lane modulo 2**bits: the low bits add without a carry out
     of the lane, the top bits are added by exclusive or."""
-    low = a.bitwiseAND(F.lit(LOW)) + b.bitwiseAND(F.lit(LOW))
-    return low.bitwiseXOR(a.bitwiseXOR(b).bitwiseAND(F.lit(TOPS)))
+    low = F.lit(_ones(bits) * ((1 << bits - 1) - 1))
+    tops = F.lit(_ones(bits) << bits - 1)
+    return (a.bitwiseAND(low) + b.bitwiseAND(low)).bitwiseXOR(a.bitwiseXOR(b).bitwiseAND(tops))
+
+
+def _sub(a: Column, b: Column, bits: int = WIDE_BITS) -> Column:
+    low = F.lit(_ones(bits) * ((1 << bits - 1) - 1))
+    tops = F.lit(_ones(bits) << bits - 1)
+    return (a.bitwiseOR(tops) - b.bitwiseAND(low)).bitwiseXOR(a.bitwiseXOR(F.bitwise_not(b)).bitwiseAND(tops))
+
 
+def paragraphs(text: Column) -> Column:
+    """The paragraphs that are not blank."""
+    return F.filter(F.split(text, PARAGRAPH_END), lambda p: F.length(F.trim(p)) > 0)
 
-def _sub(a: Column, b: Column) -> Column:
-    low = a.bitwiseOR(F.lit(TOPS)) - b.bitwiseAND(F.lit(LOW))
-    return low.bitwiseXOR(a.bitwiseXOR(F.bitwise_not(b)).bitwiseAND(F.lit(TOPS)))
 
+def whole_paragraphs(text: Column) -> Column:
+    """The text up to the end of its last paragraph that any text behind it leaves as it is."""
+    return F.regexp_extract(text, r"(?s)^.*(?:\n|[.!?]\x20)", 0)
 
-def paragraph_hashes(text: Column) -> Column:
-    """One 64-bit hash per paragraph that is not blank."""
-    parts = F.filter(F.split(text, PARAGRAPH_END), lambda p: F.length(F.trim(p)) > 0)
-    return F.transform(parts, lambda p: F.xxhash64(p))
+
+def _zeros(n: int) -> Column:
+    return F.array_repeat(F.lit(0).cast("long"), n)
+
+
+def wide_vector(paragraph: Column) -> Column:
+    """array<bigint> of the 32 words of a paragraph."""
+    digests = F.array(*[F.sha2(F.concat(F.lit(f"{c}:"), paragraph), 512) for c in range(COUNTERS)])
+    used = F.lit((1 << WIDE_BITS * _lanes(WIDE_BITS)) - 1)
+
+    # The hash makes a number of the digits; ``conv`` takes several times as long.
+    def words(digest: Column) -> Column:
+        return F.array(*[F.xxhash64(F.substring(digest, at, DIGITS)).bitwiseAND(used) for at in range(1, 129, DIGITS)])
+
+    return F.flatten(F.transform(digests, words))
 
 
 def fingerprint(text: Column) -> Column:
-    """array<bigint>: number of paragraphs, then the 21 words of lane sums."""
-    hashes = paragraph_hashes(text)
-    # One word: the sum of (hash >> k) & ONES over the paragraphs.
-    zero = F.array(F.lit(0).cast("long"), *[F.lit(0).cast("long")] * WORDS)
+    """array<bigint>: number of paragraphs, then the 32 words of lane sums."""
+    parts = paragraphs(text)
+    total = F.aggregate(parts, _zeros(WORDS), lambda acc, p: F.zip_with(acc, wide_vector(p), lambda a, b: _add(a, b)))
+    return F.concat(F.array(F.size(parts).cast("long")), total)
+
 
+def sketch(text: Column) -> Column:
+    """array<bigint>: number of paragraphs, then the 21 words of the sketch."""
+    hashes = F.transform(paragraphs(text), lambda p: F.xxhash64(p))
+    ones = F.lit(_ones(SKETCH_BITS))
+
+    # One word: the sum of (hash >> k) & ones over the paragraphs.
     def step(acc: Column, h: Column) -> Column:
-        return F.array(acc[0] + 1, *[_add(acc[k + 1], F.shiftrightunsigned(h, k).bitwiseAND(F.lit(ONES))) for k in range(WORDS)])
+        return F.array(acc[0] + 1, *[_add(acc[k + 1], F.shiftrightunsigned(h, k).bitwiseAND(ones), SKETCH_BITS) for k in range(SKETCH_WORDS)])
 
-    return F.aggregate(hashes, zero, step)
+    return F.aggregate(hashes, _zeros(SKETCH_WORDS + 1), step)
 
 
 def combine(a: Column, b: Column, delete: bool = False) -> Column:
     """Fingerprint of the paragraphs of both texts, or of ``a`` without those of ``b``."""
     op = _sub if delete else _add
     count = a[0] - b[0] if delete else a[0] + b[0]
-    return F.array(count, *[op(a[k], b[k]) for k in range(1, WORDS + 1)])
+    words = F.zip_with(F.slice(a, 2, WORDS), F.slice(b, 2, WORDS), lambda x, y: op(x, y))
+    return F.concat(F.array(count), words)
 
 
 def as_text(fp: Column) -> Column:
     return F.array_join(F.transform(fp, lambda w: F.lower(F.hex(w))), ".")
 
 
-def signed_lanes(fp: Column) -> Column:
-    """array<double> of the 63 lanes read as signs: 2 * ones - paragraphs."""
-    lanes = [
-        F.shiftrightunsigned(fp[k], LANE_BITS * j).bitwiseAND(F.lit(LANE_MASK)) * 2 - fp[0] for k in range(1, WORDS + 1) for j in range(3)
-    ]
+def signed_lanes(found: Column) -> Column:
+    """array<double> of the 63 lanes of a sketch read as signs: 2 * ones - paragraphs."""
+    mask = F.lit((1 << SKETCH_BITS) - 1)
+    lanes = [F.shiftrightunsigned(found[k], SKETCH_BITS * j).bitwiseAND(mask) * 2 - found[0] for k in range(1, SKETCH_WORDS + 1) for j in range(_lanes(SKETCH_BITS))]
     return F.transform(F.array(*lanes), lambda x: x.cast("double"))
 
 
@@ -159,21 +204,29 @@ def fingerprint_edits(spark: SparkSession, docs: DataFrame, id_col: str = "doc_i
     comes the first). Rows that repeat stay separate rows. A NULL id comes first.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    rows = with_next(spark, rows.withColumn("fp", fingerprint(F.col("text"))), "doc_id", ["text"], ["text", "fp"])
+    rows = with_next(spark, rows.withColumn("sketch", sketch(F.col("text"))), "doc_id", ["text"], ["text", "sketch"])
     edited = F.concat(F.expr("substring(text, 1, length(text) - length(text) div 2)"), F.expr("substring(next_text, 1, length(text) div 2)"))
-    rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), edited.alias("edited"), "fp", "next_fp")
-    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fp", "next_fp", fingerprint(F.col("edited")).alias("edited_fp"))
-    lanes = rows.select("*", *[signed_lanes(F.col(c)).alias(f"{c}_lanes") for c in ("fp", "edited_fp", "next_fp")])
+    rows = rows.select("doc_id", "text", edited.alias("edited"), "sketch", "next_sketch", whole_paragraphs(F.expr("substring(text, 1, length(text) - length(text) div 2)")).alias("same"))
+    # The vectors of the paragraphs that the edit leaves are summed once for both texts.
+    rows = rows.select("*", fingerprint(F.col("same")).alias("same_fp"), sketch(F.col("edited")).alias("edited_sketch"))
+    both = {c: combine(F.col("same_fp"), fingerprint(F.expr(f"substring({c}, length(same) + 1)"))) for c in ("text", "edited")}
+    lanes = rows.select("*", *[signed_lanes(F.col(c)).alias(f"{c}_lanes") for c in ("sketch", "edited_sketch", "next_sketch")])
     products = {
         f"{a[0]}{b[0]}": dot(F.col(f"{a}_lanes"), F.col(f"{b}_lanes"))
-        for a, b in (("fp", "fp"), ("edited_fp", "edited_fp"), ("next_fp", "next_fp"), ("fp", "edited_fp"), ("fp", "next_fp"))
+        for a, b in (
+            ("sketch", "sketch"),
+            ("edited_sketch", "edited_sketch"),
+            ("next_sketch", "next_sketch"),
+            ("sketch", "edited_sketch"),
+            ("sketch", "next_sketch"),
+        )
     }
     return lanes.select("*", *[v.alias(k) for k, v in products.items()]).select(
         "doc_id",
-        "n_chars",
-        "edited_sha256",
-        as_text(F.col("fp")).alias("fingerprint"),
-        as_text(F.col("edited_fp")).alias("edited_fingerprint"),
-        likeness(F.col("fe"), F.col("ff"), F.col("ee")).alias("near_edited"),
-        likeness(F.col("fn"), F.col("ff"), F.col("nn")).alias("near_next"),
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        as_text(both["text"]).alias("fingerprint"),
+        as_text(both["edited"]).alias("edited_fingerprint"),
+        likeness(F.col("se"), F.col("ss"), F.col("ee")).alias("near_edited"),
+        likeness(F.col("sn"), F.col("ss"), F.col("nn")).alias("near_next"),
     )

@@ -9,7 +9,7 @@ import math
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from decimal import Decimal
 
 import numpy as np
@@ -184,10 +184,63 @@ def test_fingerprint_is_a_multiset_hash(spark):
 
 
 def test_fingerprint_lanes_wrap_apart(spark):
-    top = sum(((1 << 21) - 1) << 21 * j for j in range(3))
-    row = spark.createDataFrame([(top, 1 | 1 << 42)], "a long, b long")
-    got = row.select(fingerprint._add(F.col("a"), F.col("b")).alias("s"), fingerprint._sub(fingerprint._add(F.col("a"), F.col("b")), F.col("b")).alias("d")).first()
-    assert got.s == ((1 << 21) - 1) << 21 and got.d == top
+    for bits in (fingerprint.WIDE_BITS, fingerprint.SKETCH_BITS):
+        top = fingerprint._ones(bits) * ((1 << bits) - 1)
+        row = spark.createDataFrame([(top, fingerprint._ones(bits) - (1 << bits))], "a long, b long")
+        total = fingerprint._add(F.col("a"), F.col("b"), bits)
+        got = row.select(total.alias("s"), fingerprint._sub(total, F.col("b"), bits).alias("d")).first()
+        assert got.s == ((1 << bits) - 1) << bits and got.d == top
+
+
+def plain_paragraphs(text):
+    return [p for p in re.split(r"\n|(?<=[.!?]) ", text) if p.strip(" ")]
+
+
+def plain_fingerprint(text):
+    """Each lane of 15 bits summed alone, from 16 digits of the digests."""
+    import xxhash
+
+    lanes, parts = [0] * 128, plain_paragraphs(text)
+    for p in parts:
+        digits = "".join(hashlib.sha512(f"{c}:{p}".encode()).hexdigest() for c in range(4))
+        hashes = [xxhash.xxh64(digits[i : i + 16].encode(), seed=42).intdigest() for i in range(0, 512, 16)]
+        lanes = [(x + y) % 2**15 for x, y in zip(lanes, [h >> 15 * j & 0x7FFF for h in hashes for j in range(4)])]
+    words = [sum(x << 15 * j for j, x in enumerate(lanes[i : i + 4])) for i in range(0, 128, 4)]
+    return ".".join(f"{w:x}" for w in [len(parts), *words])
+
+
+def plain_signs(text):
+    import xxhash
+
+    hashes = [xxhash.xxh64(p.encode(), seed=42).intdigest() for p in plain_paragraphs(text)]
+    # Lane j of word k is the bit at 21 j + k.
+    return np.array([sum(2 * (h >> 21 * j + k & 1) - 1 for h in hashes) for k in range(21) for j in range(3)], float)
+
+
+def plain_likeness(a, b):
+    x, y = plain_signs(a), plain_signs(b)
+    ab, aa, bb = x @ y, x @ x, y @ y
+    if ab == aa == bb:
+        return 1.0
+    union = aa + bb - ab
+    return min(1.0, max(0.0, ab / union)) if union > 0 else 0.0
+
+
+def test_fingerprints_equal_a_plain_version(spark, docs, edge, texts):
+    got = {r.doc_id: r for r in fingerprint.fingerprint_edits(spark, docs).collect()}
+    ids, errors = sorted(texts), []
+    for i, nxt in zip(ids, [*ids[1:], ids[0]]):
+        t, half = texts[i], len(texts[i]) // 2
+        edited = t[: len(t) - half] + texts[nxt][:half]
+        assert got[i].fingerprint == plain_fingerprint(t) and got[i].edited_fingerprint == plain_fingerprint(edited)
+        assert abs(got[i].near_edited - plain_likeness(t, edited)) < 1e-9
+        assert abs(got[i].near_next - plain_likeness(t, texts[nxt])) < 1e-9
+        a, b = Counter(plain_paragraphs(t)), Counter(plain_paragraphs(edited))
+        errors.append(abs(got[i].near_edited - (a & b).total() / max(1, (a | b).total())))
+    print("likeness: mean error", np.mean(errors), "largest", max(errors))
+    assert np.mean(errors) < 0.1
+    for r in edge.select("text", fingerprint.as_text(fingerprint.fingerprint(common.text_or_empty())).alias("f")).collect():
+        assert r.f == plain_fingerprint(r.text or "")
 
 
 def test_edited_texts_and_likeness(spark, docs, texts):
