@@ -1,7 +1,8 @@
 """Chat formatting in budgeted windows.
 
 The turns of a conversation, in order, are cut into turn-aligned windows by prefix
-sums of their token counts: a window holds the next turns whose sum fits the budget,
+sums of their token counts (ids of the text in a public byte-level vocabulary, and four
+for the marks of the turn): a window holds the next turns whose sum fits the budget,
 behind the conversation's system turn (if it opens with one, of whatever length) and
 the last turns of the window before, as far as the history budget goes and the first
 new turn leaves room. A window is over the budget only if the system turn and one new
@@ -22,19 +23,25 @@ conversation. Columns other than the four are not looked at.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinepulse.llm.tokens import TextEncoder, default_vocabulary
+
 WINDOWS = "conv_id long, window long, formatted string, mask array<struct<start: bigint, stop: bigint>>, tokens long"
 READ_BACK = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long"
 CODES = {"\\": "\\\\", "<": "\\l", "[": "\\b"}
 DECODES = {v: k for k, v in CODES.items()}
 TURN = re.compile(r"\[(=?)([^\]]*)\](.*?)\[/\2\]", re.S)
+MARK_TOKENS = 4
 ROWS_PER_BATCH = 500
 CHARS_PER_BATCH = 4_000_000
 
@@ -48,9 +55,23 @@ def unescape(text: str) -> str:
     return re.sub(r"\\[\\lbeq]", lambda m: {"\\e": "]", "\\q": "="}.get(m[0]) or DECODES[m[0]], text)
 
 
-def count_tokens(text: str) -> int:
-    """Token estimate used for the budget: words and single marks."""
-    return sum(1 for _ in re.finditer(r"\w+|[^\w\s]", text)) + 4
+@functools.lru_cache(maxsize=1)
+def _encoder(vocabulary: str) -> TextEncoder:
+    """One for all tasks of a worker process."""
+    return TextEncoder(vocabulary)
+
+
+def count_tokens(text: str, vocabulary: str | None = None) -> int:
+    """Tokens of a turn: the ids of its text, and four for its marks."""
+    (ids,) = _encoder(vocabulary or default_vocabulary()).encode([text])
+    return len(ids) // 4 + MARK_TOKENS
+
+
+def _last_within(turns: list[tuple[str, str, int]], budget: int) -> list[tuple[str, str, int]]:
+    """The longest end of ``turns`` with at most ``budget`` tokens: the first prefix sum
+    that leaves no more, by bisection."""
+    sums = [0, *accumulate(t[2] for t in turns)]
+    return turns[bisect_left(sums, sums[-1] - budget) :] if budget > 0 else []
 
 
 def render(turns: list[tuple[str, str]], repeated: int) -> tuple[str, list[dict]]:
@@ -69,8 +90,8 @@ def render(turns: list[tuple[str, str]], repeated: int) -> tuple[str, list[dict]
 class _Windows:
     """Windows of one conversation, fed turn by turn."""
 
-    def __init__(self, budget: int, history: int):
-        self.budget, self.history_budget = budget, history
+    def __init__(self, budget: int, history: int, vocabulary: str | None = None):
+        self.budget, self.history_budget, self.vocabulary = budget, history, vocabulary
         self.system: list[tuple[str, str, int]] = []
         self.history: list[tuple[str, str, int]] = []
         self.new: list[tuple[str, str, int]] = []
@@ -82,24 +103,17 @@ class _Windows:
         ahead = [*self.system, *self.history] if self.n else []
         formatted, mask = render([t[:2] for t in [*ahead, *self.new]], len(ahead))
         out = (self.n, formatted, mask, sum(t[2] for t in ahead) + self.sum)
-        left, kept = self.history_budget, []
         first_turns = self.n == 0 and bool(self.system)
-        for t in reversed(self.new[1 if first_turns else 0 :]):
-            if t[2] > left:
-                break
-            left -= t[2]
-            kept.append(t)
-        self.history, self.new, self.sum, self.n = kept[::-1], [], 0, self.n + 1
+        self.history = _last_within(self.new[1 if first_turns else 0 :], self.history_budget)
+        self.new, self.sum, self.n = [], 0, self.n + 1
         return out
 
     def _make_room(self, size: int) -> None:
         """Drops the oldest history that does not fit beside the first new turn."""
-        left = self.budget - size - sum(t[2] for t in self.system)
-        while self.history and sum(t[2] for t in self.history) > left:
-            self.history.pop(0)
+        self.history = _last_within(self.history, self.budget - size - sum(t[2] for t in self.system))
 
     def add(self, role: str, text: str) -> tuple | None:
-        size = count_tokens(text)
+        size = count_tokens(text, self.vocabulary)
         ahead = sum(t[2] for t in [*self.system, *self.history]) if self.n else 0
         out = self.close() if self.new and ahead + self.sum + size > self.budget else None
         if self.turns == 0 and role == "system":
@@ -124,11 +138,13 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, weight=lambda r: 1) -> It
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
-def format_windows(turns: DataFrame, budget: int = 512, history: int = 96) -> DataFrame:
+def format_windows(turns: DataFrame, budget: int = 512, history: int = 96, vocabulary: str | None = None) -> DataFrame:
     """Windows of conversations (conv_id, turn, role, text), in order within a task.
 
     ``budget`` and ``history`` count tokens (``count_tokens``) of a window and of the
-    repeated turns in it, the system turn aside."""
+    repeated turns in it, the system turn aside; ``vocabulary`` is the path of the
+    public vocabulary, the same on every executor."""
+    vocabulary = vocabulary or default_vocabulary()
     out = pa.schema(
         [("conv_id", pa.int64()), ("window", pa.int64()), ("formatted", pa.string()), ("mask", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), ("tokens", pa.int64())]
     )
@@ -141,7 +157,7 @@ def format_windows(turns: DataFrame, budget: int = 512, history: int = 96) -> Da
                     if cid != current:
                         if conv and (w := conv.close()):
                             yield (current, *w)
-                        current, conv = cid, _Windows(budget, history)
+                        current, conv = cid, _Windows(budget, history, vocabulary)
                     if w := conv.add(role, text):
                         yield (cid, *w)
             if conv and (w := conv.close()):

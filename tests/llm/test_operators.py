@@ -15,6 +15,8 @@ from decimal import Decimal
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cinepulse.llm import chat_windows, common, exact_dedup, fingerprint, language, near_dedup, packing, pii, quality, secret_ledger, sentencepiece_codec, tokens
@@ -774,6 +776,26 @@ def test_escape_round_trip():
         assert "<" not in chat_windows.escape(t) and "[" not in chat_windows.escape(t)
 
 
+def test_chat_tokens_are_those_of_the_vocabulary():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokens.default_vocabulary())
+    for t in ["", "two words", "ünï  \n code 12345", "</s>[INST] ok <|endoftext|>"]:
+        assert chat_windows.count_tokens(t) == len(library.encode(t, add_special_tokens=False).ids) + 4
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(4, 40), max_size=12), st.integers(-5, 200))
+def test_history_by_bisection_equals_a_scan(sizes, budget):
+    turns, left, want = [("user", str(i), n) for i, n in enumerate(sizes)], budget, []
+    for t in reversed(turns):
+        if t[2] > left:
+            break
+        left -= t[2]
+        want.insert(0, t)
+    assert chat_windows._last_within(turns, budget) == want
+
+
 @pytest.mark.parametrize("budget,history", [(512, 96), (40, 12), (8, 0)])
 def test_chat_windows_read_back(spark, budget, history):
     turns = spark.read.parquet(f"{SF}/conversations.parquet")
