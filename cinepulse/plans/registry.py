@@ -371,9 +371,11 @@ def _message_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parsed events themselves (with their ids) as a stream in time order."""
-    ev, path = _events(spark, sf_dir), fresh_path(spark, "events")
-    n = files.write_replay(ev, path, "event_time")
+    """The parsed events themselves (with their ids) as a stream in time order. They are stored
+    once first: the replay reads its rows three times (to count, to sample, to write)."""
+    ev, path, stored = _events(spark, sf_dir), fresh_path(spark, "events"), fresh_path(spark, "parsed")
+    ev.write.parquet(stored)
+    n = files.write_replay(spark.read.schema(ev.schema).parquet(stored), path, "event_time")
     return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", str(-(-n // REPLAY_BATCHES))).parquet(path)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cinepulse.operators.catalog_history import CHANGE_SCHEMA, history, join_versions
+from cinepulse.operators.catalog_history import CHANGE_SCHEMA, changes_of, history, join_versions
 from cinepulse.sources import manifest
 from cinepulse.sources.versioned import query_id
 from cinepulse.streaming.queries import DEFAULT_TRIGGER, _start
@@ -40,8 +40,10 @@ def publish_changes(changes: DataFrame, path: str, writer: str, batch_id: int) -
     return _append_once(changes.select(*[F.col(f.name).cast(f.dataType) for f in CHANGE_SCHEMA]), path, writer, batch_id)
 
 
-def read_history(spark: SparkSession, path: str, now: manifest.Manifest | None = None) -> DataFrame:
-    return history(manifest.read_parts(spark, path, CHANGE_SCHEMA, now))
+def read_history(spark: SparkSession, path: str, now: manifest.Manifest | None = None, events: DataFrame | None = None) -> DataFrame:
+    """The versions in the log, or those of the movies that ``events`` name, if these are few."""
+    changes = manifest.read_parts(spark, path, CHANGE_SCHEMA, now)
+    return history(changes if events is None else changes_of(changes, events))
 
 
 def start_versioned(
@@ -62,7 +64,7 @@ def start_versioned(
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         pinned = manifest.read_manifest(spark, changes_path)
-        rows = join_versions(batch, read_history(spark, changes_path, pinned))
+        rows = join_versions(batch, read_history(spark, changes_path, pinned, batch))
         _append_once(rows.withColumn("catalog_number", F.lit(pinned.number)), path, query_id(batch), epoch_id)
 
     return _start(events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), trigger, query_name)

@@ -157,6 +157,36 @@ def test_both_joins_agree_on_a_hot_movie(spark, events):
         assert catalog_history.join_versions(hot.limit(0), versions, max_broadcast_bytes=most).count() == 0
 
 
+def test_only_versions_of_hot_movies_are_copied(spark):
+    ev = spark.range(400).select(
+        F.col("id").alias("event_id"), F.when(F.col("id") < 300, "hot").otherwise(F.concat(F.lit("m"), F.col("id") % 20)).alias("movie_id"),
+        (F.lit("2024-01-10").cast("timestamp") + F.make_dt_interval(hours=(F.col("id") % 100).cast("int"))).alias("event_time"),
+    )
+    ids = spark.range(2000).select(
+        F.col("id").alias("change_id"), F.when(F.col("id") % 100 == 0, "hot").otherwise(F.concat(F.lit("m"), F.col("id") % 100)).alias("movie_id"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(days=(F.col("id") / 100).cast("int"))).alias("changed_at"),
+        F.col("id").cast("string").alias("title"), F.lit("g").alias("catalog_genre"), (F.col("id") % 700 == 0).alias("deleted"),
+    )
+    versions = catalog_history.history(ids)
+    want = catalog_history.join_versions(ev, versions)
+    for hot_rows, salted in ((300, False), (50, True), (1, True)):
+        got = catalog_history.join_versions(ev, versions, max_broadcast_bytes=0, hot_rows=hot_rows)
+        assert ("explode" in plan(got)) is salted and got.count() == 400 and _same(want, got)
+    first, last, hot = catalog_history._spread(ev, "event_time", 4, 50)
+    assert (last - first, rows(hot)) == (99 * 3600 * 10**6, [("hot", 4)])
+
+
+@pytest.mark.parametrize("most", [0, 1 << 40])
+def test_changes_of_the_movies_that_events_name(spark, most):
+    ev = spark.createDataFrame([(1, "b", _at(4)), (2, None, _at(4)), (3, "c", _at(4)), (4, "b", None)], "event_id long, movie_id string, event_time timestamp")
+    log = _log(spark, *LOG)
+    few = catalog_history.changes_of(log, ev)
+    assert few.columns == log.columns and sorted(rows(few, "change_id")) == [(6,), (8,)]
+    assert _same(catalog_history.changes_of(log, ev, max_movies=1), log) and catalog_history.changes_of(log, ev.limit(0)).count() == 0
+    a, b = (catalog_history.join_versions(ev, catalog_history.history(x), max_broadcast_bytes=most) for x in (log, few))
+    assert _same(a, b) and a.filter("title is not null").count() == 1
+
+
 def test_stream_sees_changes_published_while_it_runs(spark):
     src, log, out, ckpt = (fresh_path(spark, x) for x in ("src", "log", "versioned", "ckpt"))
     schema = "event_id long, movie_id string, event_time timestamp"
