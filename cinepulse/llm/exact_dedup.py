@@ -15,7 +15,8 @@ the id and the text are not looked at, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,9 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # A store is closed with its task. Else an executor keeps those of all its partitions, and of
+    # runs that have ended, open until a maintenance pass: memory by partitions, not by tasks.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
@@ -37,6 +41,19 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+@contextmanager
+def _state_conf(spark: SparkSession) -> Iterator[None]:
+    """``STATE_CONF`` for what writes or reads the state meanwhile."""
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _advance(spark: SparkSession, source: str, schema, state: str, files_per_trigger: int | None) -> None:
     """Run the stream over the files that the state has not seen yet."""
     reader = spark.readStream.schema(schema)
@@ -47,17 +64,11 @@ def _advance(spark: SparkSession, source: str, schema, state: str, files_per_tri
         .groupBy("digest")
         .agg(F.max(F.struct("id", "loc_file", "loc_row")).alias("keeper"), F.count(F.lit(1)).alias("n"))
     )
-    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
-    for k, v in STATE_CONF.items():
-        spark.conf.set(k, v)
-    try:
+    with _state_conf(spark):
         query = (
             keyed.writeStream.format("noop").outputMode("update").option("checkpointLocation", state).trigger(availableNow=True).start()
         )
         query.awaitTermination()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def read_state(spark: SparkSession, state: str) -> DataFrame:
@@ -94,7 +105,8 @@ def decisions(
     if rows.isEmpty():
         return rows.withColumns({"keep_id": F.col("id"), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
 
-    hits = staged(spark, read_state(spark, state).filter("n > 1"), "exact-dedup-hits")
+    with _state_conf(spark):
+        hits = staged(spark, read_state(spark, state).filter("n > 1"), "exact-dedup-hits")
     # Full bytes of every row whose digest was hit: one smallest and one largest text
     # per digest, combined before the shuffle; they are equal if all texts are.
     full = located(docs, F.col(id_col).alias("id"), text.alias("text"), digest(text).alias("digest"))

@@ -6,6 +6,7 @@ import functools
 import hashlib
 import itertools
 import math
+import os
 import random
 import re
 import zlib
@@ -98,6 +99,14 @@ def test_exact_dedup_filters_and_keeps_columns(spark, edge, empty):
     assert exact_dedup.drop_copies(spark, empty).count() == 0
 
 
+def test_exact_dedup_closes_its_state_stores(spark, edge):
+    local = spark._jvm.org.apache.spark.util.Utils.getLocalDir(spark._jsc.sc().conf())
+    stores = lambda: {d for d in os.listdir(local) if d.startswith("StateStoreId")}
+    before = stores()
+    assert exact_dedup.decisions(spark, edge).count() == edge.count()
+    assert stores() <= before
+
+
 def test_exact_dedup_grows_with_its_state(spark):
     path, work = fresh_path(spark, "growing"), fresh_path(spark, "work")
     one = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
