@@ -46,8 +46,22 @@ UNKNOWN = 1e-8  # of one character that is no piece
 CACHE_WORDS = 400_000
 GROUP_WORDS = 1 << 18
 TABLE_BITS = 22
-#: Runs of letters, and of number characters such as ``½`` that are split off afterwards.
-WORD = re.compile(r"[^\W\d_]+")
+
+
+class _Letters:
+    """Runs of letters. A class that names each number character such as ``½`` would be searched
+    from one to the next for every character of the text: they are split off afterwards."""
+
+    _runs = re.compile(r"[^\W\d_]+")
+
+    def findall(self, text: str) -> list[str]:
+        words = self._runs.findall(text)
+        if all(map(str.isalpha, words)):
+            return words
+        return [w for x in words for w in "".join(c if c.isalpha() else " " for c in x).split(" ") if w]
+
+
+WORD = _Letters()
 MARK = "▁"  # what the vocabulary writes for the start of a word
 
 U64 = np.uint64
@@ -270,12 +284,8 @@ class Model:
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters of the lower-cased text. A class that names each number character
-    would be searched from one to the next for every character of the text."""
-    words = WORD.findall(text.lower())
-    if all(map(str.isalpha, words)):
-        return words
-    return [w for x in words for w in "".join(c if c.isalpha() else " " for c in x).split(" ") if w]
+    """Runs of letters of the lower-cased text."""
+    return WORD.findall(text.lower())
 
 
 def train(samples: dict[str, list[str]], pieces: list[str], iterations: int = ITERATIONS) -> Model:
