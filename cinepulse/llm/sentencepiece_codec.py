@@ -7,8 +7,10 @@ unigram scores (or, for a BPE model, merges in the order of the scores), byte
 fallback and the decoder. Batches are encoded by the library's threads.
 
 Texts are cut before each run of blanks (literal markers U+2581 in or behind it are
-part of the run, and a blank behind a literal marker is no cut), where no piece could
-cross the cut; every distinct word is encoded, decoded and remembered. ``parity``
+part of the run, and a blank behind a literal marker is no cut) and, under a BPE model with
+byte fallback whose pieces hold no line break, before each run of line breaks: no piece
+could cross the cut. Every distinct word is encoded, decoded and remembered; under
+such a model new words stand in one text for this, a line break between them. ``parity``
 compares with the original library: every whole text that holds a literal marker, and
 every distinct word of the others once. Of these, a BPE model without a normaliser
 merges each word alone, whatever stands around it; under any other model every whole
@@ -45,6 +47,9 @@ UNIGRAM, BPE = 1, 2
 _RUN = re.compile(rf"(?<![ {MARK}]) ")
 #: Blanks and the word behind them, or blanks at the end.
 _WORD = re.compile(" *[^ ]+| +")
+#: The same, cut before line breaks too.
+_LINE_WORD = re.compile("\n* *[^ \n]+| +|\n+")
+JOINED_WORDS = 100  # new words that stand in one text
 CACHE_WORDS = 500_000  # about 200 bytes each
 KEPT_CHARS = 200  # longer stretches are not remembered beyond their batch once the memory is full
 ENCODED = "ids binary, n_tokens long, decoded string, parity boolean"
@@ -171,10 +176,14 @@ class Codec:
         self.cuts = all(MARK not in p.lstrip(MARK) for p, _, kind in self.proto.pieces if kind in (NORMAL, USER_DEFINED))
         # Words alone show that the ids of their text are the original's.
         self.by_word = self.cuts and self.proto.algorithm == BPE and self.proto.escape and not self.proto.remove_extra and not self.charsmap
+        # Line breaks keep words apart if they are bytes alone, in no piece.
+        self.lines = self.by_word and self.proto.byte_fallback and not any("\n" in p for p, _, _ in self.proto.pieces)
+        self.words_of = (_LINE_WORD if self.lines else _WORD).findall
         self.limit = cache_words
         self.lead = len(self.original.encode("\n"))
         self.words: dict[str, bytes] = {}  # packed ids
         self.odd: dict[str, tuple[str, bool]] = {}  # decoded text and parity, unless the word itself and true
+        self.again: set[str] = set()  # words that came again after the batch that brought them
 
     def normalise(self, text: str) -> str:
         """What is encoded: blanks are still blanks."""
@@ -191,7 +200,31 @@ class Codec:
         if MARK in text:
             at = [0, *[m.start() for m in _RUN.finditer(text)], len(text)]
             return [text[a:b] for a, b in pairwise(at) if a < b]
-        return _WORD.findall(text)
+        if self.lines and "  " not in text and "\0" not in text:  # as below, but for runs of line breaks
+            words = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+            return words if words[0] else words[1:]
+        return self.words_of(text)
+
+    def _learn_joined(self, words: list[str]) -> list[str]:
+        """Ids of distinct words, many in one text with a line break before each. The words of a
+        text are learned if all its ids are the original's of each word alone and decode to
+        it; the others are returned."""
+        lines, starts = ["\n" + w for w in words], range(0, len(words), JOINED_WORDS)
+        texts = ["".join(lines[i : i + JOINED_WORDS]) for i in starts]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        decoded = self.tokenizer.decode_batch(found, skip_special_tokens=False)
+        expected = self.original.encode(lines, num_threads=1)
+        left, lead = [], self.lead
+        for i, text, ids, t in zip(starts, texts, found, decoded):
+            some, want = words[i : i + JOINED_WORDS], [e[lead - 1 :] for e in expected[i : i + JOINED_WORDS]]
+            if ids != list(chain.from_iterable(want)) or t != text.replace(MARK, " "):
+                left += some
+                continue
+            packed, ends = pack_ids(ids), list(accumulate(map(len, want), initial=0))
+            self.words.update((w, packed[4 * a + 4 : 4 * b]) for w, a, b in zip(some, ends, ends[1:]))
+            if MARK in text:
+                self.odd.update((w, (w.replace(MARK, " "), True)) for w in some if MARK in w)
+        return left
 
     def _learn(self, words: list[str]) -> None:
         """Ids of distinct words, each decoded again and checked against the original library
@@ -217,7 +250,13 @@ class Codec:
         used = set().union(*cut)
         fresh = list(used.difference(self.words))
         for i in range(0, len(fresh), 10_000):
-            self._learn(fresh[i : i + 10_000])
+            new = fresh[i : i + 10_000]
+            if self.lines:
+                new = self._learn_joined(new)
+            if new:
+                self._learn(new)
+        used.difference_update(fresh)
+        self.again |= used
         out = []
         strip = 1 if self.proto.dummy_prefix else 0
         ids, odd = self.words.__getitem__, self.odd
@@ -227,10 +266,11 @@ class Codec:
                 text = "".join([odd[w][0] if w in odd else w for w in words])
                 parity = all(odd[w][1] for w in words if w in odd)
             out.append((b"".join(map(ids, words)), text[strip:], parity))
-        if len(self.words) > self.limit:  # the frequent ones are among those just used
-            kept = [w for w in used if len(w) <= KEPT_CHARS]
-            self.words = {w: ids(w) for w in kept[: self.limit]}
+        if len(self.words) > self.limit:  # the frequent ones came again, or are among those just used
+            kept = [w for w in chain(self.again, fresh) if len(w) <= KEPT_CHARS]
+            self.words = {w: ids(w) for w in kept[: self.limit // 2]}
             self.odd = {w: odd[w] for w in odd.keys() & self.words.keys()}
+            self.again = set()
         whole = [i for i, t in enumerate(plain) if not self.by_word or MARK in t]
         for i, want in zip(whole, self.original.encode([texts[i] or "" for i in whole], num_threads=1)):
             out[i] = (*out[i][:2], out[i][2] and out[i][0] == pack_ids(want))

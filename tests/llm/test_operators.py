@@ -823,3 +823,36 @@ def test_sentencepiece_with_a_full_word_memory(texts):
         assert [small.encode([c])[0] for c in cases] == want
         assert len(small.words) <= 5 and small.odd.keys() <= small.words.keys()
     assert large.encode(cases) == want
+
+
+def test_sentencepiece_line_breaks_keep_words_apart():
+    codec = sentencepiece_codec.Codec(sentencepiece_codec.default_model(), threads=1)
+    cases = ["one.\nTwo three", "three\nTwo\n\n  x \n", "\n\n\na", " \n  \n", "a\0b\nc", "é𝄞\r\n\nq", "two  blanks\nTwo", "▁\n ▁ x\n▁", " " * 20 + "x\n" + " " * 20]
+    rng = random.Random(3)
+    cases += ["".join(rng.choice(["\n", " ", "  ", "\0", "the", "é", "𝄞", "▁", "<s>", "7"]) for _ in range(rng.randrange(14))) for _ in range(2000)]
+    got, want = codec.encode(cases), codec.original.encode(cases)
+    assert ["".join(codec.cut(" " + c)) for c in cases] == [" " + c for c in cases]
+    assert [g[1] for g in got] == [c.replace("▁", " ") for c in cases]
+    assert [g[2] for g in got] == [np.frombuffer(g[0], "<u4").tolist() == w for g, w in zip(got, want)]
+    assert all(g[2] for g, c in zip(got, cases) if not re.search("[ ▁]{17}", " " + c))
+    assert codec.cut(" one.\nTwo three") == [" one.", "\nTwo", " three"]
+
+
+def test_sentencepiece_new_words_stand_in_one_text(monkeypatch):
+    codec = sentencepiece_codec.Codec(sentencepiece_codec.default_model(), threads=1)
+    alone, learn = [], codec._learn
+    monkeypatch.setattr(codec, "_learn", lambda words: (alone.extend(words), learn(words)))
+    blanks = " " * 20 + "x"
+    cases = [" ".join(f"word{i}" for i in range(1000)), blanks]
+    got = codec.encode(cases)
+    assert [g[1] for g in got] == cases and [g[2] for g in got] == [True, False]
+    assert np.frombuffer(got[0][0], "<u4").tolist() == codec.original.encode(cases[0])
+    # Only those beside the one word whose ids differ were encoded one by one.
+    assert " " + blanks in alone and len(alone) <= sentencepiece_codec.JOINED_WORDS
+
+
+def test_sentencepiece_words_that_came_again_are_kept():
+    codec = sentencepiece_codec.Codec(sentencepiece_codec.default_model(), threads=1, cache_words=8)
+    for text in ("often a", "often b", "c d e f g h i"):
+        codec.encode([text])
+    assert " often" in codec.words and len(codec.words) <= 8 and codec.again == set()
