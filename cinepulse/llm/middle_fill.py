@@ -98,13 +98,14 @@ class WaveletMatrix:
 
     def unit_start(self, kinds: tuple[int, ...], number: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Position of unit ``number`` (from 0, over the block) between ``low`` and ``high``,
-        by bisection on ranks; ``high`` if there is none."""
+        by bisection on ranks; ``high`` if there is none. Ranks are taken of the open ranges
+        only: behind one that has closed at the end of the block there are no symbols."""
         low, high = low.copy(), high.copy()
-        while (open_ := low < high).any():
-            middle = (low + high) // 2
-            reached = self.units(kinds, middle + 1) > number
-            high = np.where(open_ & reached, middle, high)
-            low = np.where(open_ & ~reached, middle + 1, low)
+        while len(open_ := np.flatnonzero(low < high)):
+            middle = (low[open_] + high[open_]) // 2
+            reached = self.units(kinds, middle + 1) > number[open_]
+            high[open_[reached]] = middle[reached]
+            low[open_[~reached]] = middle[~reached] + 1
         return low
 
 

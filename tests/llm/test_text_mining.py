@@ -183,6 +183,27 @@ def test_middles(edge, unit):
     assert {r.form for r in got} == {"plain", "psm", "spm"}
 
 
+@pytest.mark.parametrize("unit", sorted(CUTS))
+def test_cuts_of_blocks_of_every_size(unit):
+    """The last text's cut lies at the end of the block while other texts are still searched."""
+    rng = random.Random(unit)
+    for size in range(1, 260):
+        text = "".join(rng.choice("ab\n ") for _ in range(size))
+        for texts in ([text, ""], [text, "", ""], [text[:-1], text[-1]]):
+            h1, h2 = (np.array([rng.randrange(1 << 32) for _ in texts[1:]] + [(1 << 32) - 1]) for _ in range(2))
+            h2[-1] = len(CUTS[unit](texts[-1])) - 1  # behind the last unit
+            got = middle_fill.cut_texts([t.encode() for t in texts], h1, h2, unit)[3]
+            starts = [CUTS[unit](t) for t in texts]
+            assert got.tolist() == [sorted((s[a % len(s)], s[b % len(s)])) for s, a, b in zip(starts, h1, h2)], (size, texts)
+
+
+def test_middles_of_a_block_that_fills_its_cells(spark):
+    rows = [(1, "x" * 40 + " é " + "y" * 19), (2, None)]
+    got = middle_fill.transform(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).orderBy("doc_id").collect()
+    assert sum(len((t or "").encode()) for _, t in rows) == 63
+    assert [(r.form, r.n, r.prefix_chars, r.middle_chars, r.fim) for r in got] == [_middle(i, t, CUTS["char"]) for i, t in rows]
+
+
 def test_middles_replace_clashing_columns(edge):
     done = middle_fill.transform(edge)
     assert sorted(done.columns) == sorted(edge.columns + ["prefix_chars", "middle_chars"])
